@@ -50,40 +50,46 @@ def statistics(rows: DataFrame, keys: Sequence[str], value: str, accuracy: int =
         F.percentile_approx(v, [0.5 - step, 0.5 + step], accuracy).alias("_q"),
     )
     # equal values fold to one row; hashed on group and value, so a hot group spreads
-    distinct = rows.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c"))
+    distinct = rows.groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c"))
 
-    lo_rank = F.floor((F.col("n") - 1) / 2)
-    hi_rank = F.floor(F.col("n") / 2)
-    bracket = groups.select(*keys, F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    carried = ["n", "total", "_min", "_max", "_q"]
+    lo, hi = F.col("_q")[0], F.col("_q")[1]
     ranks = (
-        distinct.join(bracket, keys)
+        distinct.join(groups, keys)
         .groupBy(*keys)
         .agg(
-            F.sum(F.when(F.col("_v") < F.col("_lo"), F.col("_c")).otherwise(0)).alias("_below"),
-            F.sum(F.when(F.col("_v") <= F.col("_hi"), F.col("_c")).otherwise(0)).alias("_upto"),
+            F.sum(F.when(F.col("_v") < lo, F.col("_c")).otherwise(0)).alias("_below"),
+            F.sum(F.when(F.col("_v") <= hi, F.col("_c")).otherwise(0)).alias("_upto"),
+            *[F.first(c).alias(c) for c in carried],
         )
     )
+    lo_rank = F.floor((F.col("n") - 1) / 2)
+    hi_rank = F.floor(F.col("n") / 2)
     hit = (F.col("_below") <= lo_rank) & (F.col("_upto") > hi_rank)
-    picks = groups.join(ranks, keys).select(
-        *keys,
-        F.when(hit, F.col("_q")[0]).otherwise(F.col("_min")).alias("_lo"),
-        F.when(hit, F.col("_q")[1]).otherwise(F.col("_max")).alias("_hi"),
+    picks = ranks.select(
+        *keys, "n", "total",
+        F.when(hit, lo).otherwise(F.col("_min")).alias("_lo"),
+        F.when(hit, hi).otherwise(F.col("_max")).alias("_hi"),
         F.when(hit, F.col("_below")).otherwise(F.lit(0)).alias("_before"),
         lo_rank.alias("_lo_rank"),
         hi_rank.alias("_hi_rank"),
     )
     running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    # groups without any value stay, with count 0 and no median
+    empty = F.col("n") == 0
     inside = (
         distinct.join(picks, keys)
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")) | empty)
         .withColumn("_end", F.col("_before") + F.sum("_c").over(running))
     )
     covers_lo = (F.col("_end") - F.col("_c") <= F.col("_lo_rank")) & (F.col("_lo_rank") < F.col("_end"))
     covers_hi = (F.col("_end") - F.col("_c") <= F.col("_hi_rank")) & (F.col("_hi_rank") < F.col("_end"))
-    medians = (
-        inside.where(covers_lo | covers_hi)
+    return (
+        inside.where(covers_lo | covers_hi | empty)
         .groupBy(*keys)
-        .agg(((F.min("_v") + F.max("_v")) / 2).alias("median"))
+        .agg(
+            F.first("n").alias("n"),
+            F.first("total").alias("total"),
+            ((F.min("_v") + F.max("_v")) / 2).alias("median"),
+        )
     )
-    # groups without any value stay, with count 0
-    return groups.select(*keys, "n", "total").join(medians, keys, "left")

@@ -134,20 +134,28 @@ def series_lengths(curves: DataFrame, by: Sequence[str] = BY, alias: str = "n_ho
     return curves.groupBy(*held(curves, by)).agg((F.max("hour") + 1).alias(alias))
 
 
-def align_series(
+def common_length(
     left: DataFrame, right: DataFrame, hours: int = HOURS_PER_YEAR, by: Sequence[str] = BY
-) -> tuple[DataFrame, DataFrame]:
-    """Cut two sources to the shorter one, and to ``hours`` at most."""
+) -> DataFrame:
+    """Hours of the shorter of two sources per run, ``hours`` at most."""
     on = shared(left, right, by)
     n_left = series_lengths(left, on, "_n_left")
     n_right = series_lengths(right, on, "_n_right")
-    limit = n_left.join(n_right, on).select(*on, F.least("_n_left", "_n_right", F.lit(hours)).alias("_limit"))
+    return n_left.join(n_right, on).select(*on, F.least("_n_left", "_n_right", F.lit(hours)).alias("_limit"))
+
 
-    def cut(curves: DataFrame) -> DataFrame:
-        joined = curves.where(F.col("hour") < hours).join(limit, on)
-        return joined.where(F.col("hour") < F.col("_limit")).select(*curves.columns)
+def cut_to(curves: DataFrame, limit: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """Rows before the limit of their run."""
+    joined = curves.join(limit, shared(curves, limit, by))
+    return joined.where(F.col("hour") < F.col("_limit")).select(*curves.columns)
 
-    return cut(left), cut(right)
+
+def align_series(
+    left: DataFrame, right: DataFrame, hours: int = HOURS_PER_YEAR, by: Sequence[str] = BY
+) -> tuple[DataFrame, DataFrame]:
+    """Cut two sources to the shorter one, and to ``hours`` at most."""
+    limit = common_length(left, right, hours, by)
+    return cut_to(left, limit, by), cut_to(right, limit, by)
 
 
 def demand_supply_wide(curves: DataFrame, by: Sequence[str] = BY) -> DataFrame:

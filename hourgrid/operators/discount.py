@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.fixed import CHUNK_HOURS
@@ -70,25 +70,34 @@ def discounts(
     not discounted.
     """
     keys = held(site, by)
-    pairs = site.select(*keys, "product", "sector").distinct().withColumn("_known", F.lit(True))
     # a market without all run keys serves every run that shares the ones it has
-    market = per_run(totals, site, keys)
-    cells = market.join(site, [*keys, *CELL], "full_outer").join(pairs, [*keys, "product", "sector"], "left")
+    cells = per_run(totals, site, keys).join(site, [*keys, *CELL], "full_outer")
+    # one row per hour in each window: as long as the calendar at most
+    series = Window.partitionBy(*keys, "product", "sector")
     owed = _zero("hx") - _zero("inside") if with_exceptions else _zero("hx")
     return cells.select(
         *keys, *CELL,
         _zero("t").alias("t"),
         _zero("inside").alias("inside"),
         _zero("hx").alias("hx"),
-        F.when(F.col("_known"), owed).otherwise(0.0).alias("d"),
+        F.when(F.max(F.col("hx").isNotNull()).over(series), owed).otherwise(0.0).alias("d"),
         time.chunk(F.col("hour"), chunk_hours).alias("chunk"),
     )
 
 
+def _short() -> Column:
+    """Does this cell owe more than the market has?"""
+    return F.round("t", COMPARE) < F.round("d", COMPARE)
+
+
+def _kept() -> Column:
+    """Share of the market power that remains after the discount."""
+    return F.lit(1.0) - F.coalesce(F.try_divide("d", "t"), F.lit(0.0))
+
+
 def imbalanced_chunks(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """One flag per run and chunk: does any hour owe more than the market has?"""
-    short = F.round("t", COMPARE) < F.round("d", COMPARE)
-    return cells.groupBy(*held(cells, by), "chunk").agg(F.bool_or(short).alias("imbalanced"))
+    return cells.groupBy(*held(cells, by), "chunk").agg(F.bool_or(_short()).alias("imbalanced"))
 
 
 def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
@@ -97,32 +106,31 @@ def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     In a balanced chunk it is what remains after the discount, ``1 - d/t``.  In an
     imbalanced chunk the hourly residual per product is spread over the remaining
     market power of that product as well.
+
+    Both windows share one shuffle by run and chunk; a chunk has as many rows as it
+    has hours and sectors, whatever the data.
     """
     keys = held(cells, by)
-    kept = F.lit(1.0) - F.coalesce(F.try_divide("d", "t"), F.lit(0.0))
-    cells = cells.withColumn("_kept", kept)
-    # n1: market power left; residual: what the market had minus what both sources give now
-    n1 = F.sum(F.col("t") * F.col("_kept"))
-    products = cells.groupBy(*keys, "hour", "product").agg(
-        n1.alias("_left"),
-        (F.sum(F.col("t") + F.col("inside")) - n1 - F.sum("hx")).alias("_residual"),
-    )
+    chunk = Window.partitionBy(*keys, "chunk")
+    product = Window.partitionBy(*keys, "chunk", "hour", "product")
+    cells = cells.withColumn("_kept", _kept())
+    left = F.sum(F.col("t") * F.col("_kept")).over(product)
+    had = F.sum(F.col("t") + F.col("inside")).over(product)
+    cells = cells.withColumns({"_left": left, "_residual": had - left - F.sum("hx").over(product)})
     # a product that lost all of its power may leave float noise behind; it counts as nothing
     spread = F.when(F.round("_left", COMPARE) == 0, F.lit(0.0)).otherwise(
         F.lit(1.0) + F.try_divide("_residual", "_left")
     )
-    flagged = cells.join(imbalanced_chunks(cells, by), [*keys, "chunk"])
-    return flagged.join(products, [*keys, "hour", "product"]).select(
-        *keys, *CELL,
-        F.when(F.col("imbalanced"), F.col("_kept") * spread).otherwise(F.col("_kept")).alias("factor"),
+    cells = cells.withColumn("_imbalanced", F.bool_or(_short()).over(chunk))
+    return cells.select(
+        *keys, *CELL, F.when(F.col("_imbalanced"), F.col("_kept") * spread).otherwise(F.col("_kept")).alias("factor")
     )
 
 
 def undistributable(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Hours and products with a residual but no market power to carry it (diagnostics)."""
     keys = held(cells, by)
-    kept = F.lit(1.0) - F.coalesce(F.try_divide("d", "t"), F.lit(0.0))
-    n1 = F.sum(F.col("t") * kept)
+    n1 = F.sum(F.col("t") * _kept())
     products = cells.groupBy(*keys, "chunk", "hour", "product").agg(
         F.round(n1, COMPARE).alias("remaining"),
         F.round(F.sum(F.col("t") + F.col("inside")) - n1 - F.sum("hx"), COMPARE).alias("residual"),
@@ -174,19 +182,24 @@ def nodal_power(
 ) -> DataFrame:
     """Raw market and site curves to net power per hour and node.
 
-    The hours of both sources are cut to the shorter one.  Discounting happens on
-    (hour, product, sector) totals; the spread over nodes comes last and is summed
-    over products and sectors in the same stage.
+    Discounting happens on (hour, product, sector) totals, cut to the hours that both
+    sources have; the spread over nodes comes last and is summed over products and
+    sectors in the same stage.  Both sources are read and summed once: every later
+    use starts from the shuffled sums.
     """
     nodes = [exceptions] if isinstance(exceptions, str) else list(exceptions or [])
-    known = c.drop_idle_unknown_sites(c.drop_site(site_curves), sites, by)
-    market, known = c.align_series(market, known, by=by)
     categorised = c.categorise(market, categories, carrier=carrier, by=by)
-    simulated = c.nodal_sector_curves(known, sites, station_exceptions, sector_exceptions, by)
-    totals = weighted_totals(categorised, weights, nodes, by)
+    lifted = c.lift_to_high_voltage(sites, station_exceptions, by)
+    net = c.net_by_sector(c.drop_site(site_curves), lifted, by)
+    limit = c.common_length(categorised, net, by=by)
+    net = c.cut_to(net, limit, by)
+    simulated = c.split_products(net)
+    if sector_exceptions is not None:
+        simulated = c.remap_sectors(simulated, sector_exceptions, by)
+    totals = c.cut_to(weighted_totals(categorised, weights, nodes, by), limit, by)
     cells = discounts(totals, site_totals(simulated, by), bool(nodes), by, chunk_hours)
     share = factors(cells, by)
-    # what is left per (hour, product, sector), still without nodes
+    # what is left per (hour, product, sector), still without nodes; hours that were cut have no factor
     left = categorised.join(share, shared(categorised, share, by, *CELL))
     left = left.withColumn("mw", F.col("mw") * F.col("factor"))
     outside = weights.where(~F.col("node").isin(nodes)) if nodes else weights

@@ -67,10 +67,14 @@ def number_hours(routed: DataFrame, by: Sequence[str] = BY, block: int = positio
     return positions.number_rows(routed, [*held(routed, by), "carrier", *SERIES], "row_idx", "hour", block)
 
 
-def align_to_first(series: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    """Cut all series of a carrier to the length of its first one."""
+def align_to_first(series: DataFrame, routed: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """Cut all series of a carrier to the length of its first one.
+
+    ``routed`` are the rows before numbering; the lengths are counted there, so the
+    numbering is not repeated.
+    """
     keys = [*held(series, by), "carrier"]
-    sizes = series.groupBy(*keys, *SERIES).agg(F.count("*").alias("_n"), F.min("row_idx").alias("_first"))
+    sizes = routed.groupBy(*keys, *SERIES).agg(F.count("*").alias("_n"), F.min("row_idx").alias("_first"))
     limits = sizes.groupBy(*keys).agg(F.min_by("_n", F.struct("member", "_first", "assetName", "carrierId")).alias("_limit"))
     return series.join(limits, keys).where(F.col("hour") < F.col("_limit")).drop("_limit")
 
@@ -100,7 +104,7 @@ def export_site_curves(
     gas codes in asset names are unified and equal names summed before naming.
     """
     routed = route(raw, by).where(F.col("carrier") != "co2")
-    series = align_to_first(number_hours(routed, by, block), by)
+    series = align_to_first(number_hours(routed, by, block), routed, by)
     asset = text.unify_gas_code(F.col("assetName")) if merge_gas_codes else F.col("assetName")
     curves = series.select(*held(raw, by), "carrier", asset.alias("asset"), "hour", "mw")
     if merge_gas_codes:

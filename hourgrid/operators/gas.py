@@ -59,23 +59,35 @@ def clean_sites(sites: DataFrame) -> DataFrame:
     return sites.na.drop()
 
 
-def fit_calendar(
+def fitted_length(
     curves: DataFrame, market_length: DataFrame, hours: int = fixed.HOURS_PER_YEAR, by: Sequence[str] = BY
 ) -> DataFrame:
-    """Cut at ``hours``; a series shorter than the market's is padded with its last row.
+    """Hours per run and carrier before (``_n``) and after (``_to``) fitting the calendar.
 
     ``market_length`` holds ``market_hours`` per run and carrier.
     """
     keys = [*held(curves, by), "carrier"]
-    cut = curves.where(F.col("hour") < hours).select(*keys, "site", "hour", "mw")
-    lengths = cut.groupBy(*keys).agg((F.max("hour") + 1).alias("_n"))
+    lengths = curves.where(F.col("hour") < hours).groupBy(*keys).agg((F.max("hour") + 1).alias("_n"))
     on = shared(lengths, market_length, by, "carrier")
-    short = lengths.join(market_length.select(*on, "market_hours"), on).where(
-        (F.col("_n") < F.col("market_hours")) & (F.col("_n") < hours)
-    )
-    last = cut.join(short, keys).where(F.col("hour") == F.col("_n") - 1)
-    padding = last.select(*keys, "site", F.explode(F.sequence(F.col("_n"), F.lit(hours - 1))).alias("hour"), "mw")
-    return cut.unionByName(padding)
+    joined = lengths.join(market_length.select(*on, "market_hours"), on, "left")
+    padded = F.when(F.col("_n") < F.col("market_hours"), F.lit(hours)).otherwise(F.col("_n"))
+    return joined.select(*keys, "_n", padded.alias("_to"))
+
+
+def fit_calendar(
+    curves: DataFrame, market_length: DataFrame, hours: int = fixed.HOURS_PER_YEAR, by: Sequence[str] = BY
+) -> DataFrame:
+    """Cut at ``hours``; a series shorter than the market's is padded with its last row.
+
+    The rows of the last hour are repeated where they are; nothing but the lengths is
+    shuffled.
+    """
+    keys = [*held(curves, by), "carrier"]
+    lengths = fitted_length(curves, market_length, hours, by)
+    last = (F.col("hour") == F.col("_n") - 1) & (F.col("_to") > F.col("_n"))
+    spread = F.when(last, F.sequence(F.col("hour"), F.col("_to") - 1)).otherwise(F.array("hour"))
+    cut = curves.where(F.col("hour") < hours)
+    return cut.join(lengths, keys).select(*keys, "site", F.explode(spread).alias("hour"), "mw")
 
 
 def site_power(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:
@@ -89,21 +101,27 @@ def site_power(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> D
 def fold_balance_sites(
     curves: DataFrame,
     sites: DataFrame,
+    lengths: DataFrame,
     nodes: Mapping[str, str] = fixed.BALANCE_NODES,
     by: Sequence[str] = BY,
 ) -> DataFrame:
     """Net power per hour and node; each carrier's balance node has a row in every hour.
 
     Sites that no design lists are left out, sites on the balance node share it.
+    ``lengths`` gives the hours (``_to``) per run and carrier.
     """
-    nodal = site_power(curves, sites, by)
-    keys = held(nodal, by)
-    calendar = curves.where(F.col("carrier").isin(list(nodes))).select(*held(curves, by), "carrier", "hour").distinct()
+    on = shared(curves, sites, by, "carrier", "site")
+    keys = list(dict.fromkeys(held(curves, by) + held(sites, by)))
+    lookup = sites.select(*held(sites, by), "carrier", "site", F.col("substation").alias("node"))
+    listed = curves.join(lookup, on).select(*keys, "carrier", "hour", "node", "mw")
     networks = sites.select(*held(sites, by), "carrier").distinct()
-    empty = calendar.join(networks, shared(calendar, networks, by, "carrier")).select(
-        *keys, "carrier", "hour", _by_carrier(nodes).alias("node"), F.lit(0.0).alias("mw")
+    calendar = lengths.where(F.col("carrier").isin(list(nodes))).join(networks, shared(lengths, networks, by, "carrier"))
+    empty = calendar.select(
+        *keys, "carrier", F.explode(F.sequence(F.lit(0), F.col("_to") - 1)).alias("hour"),
+        _by_carrier(nodes).alias("node"), F.lit(0.0).alias("mw"),
     )
-    return nodal.unionByName(empty).groupBy(*keys, "carrier", "hour", "node").agg(F.sum("mw").alias("mw"))
+    # the zero rows join before the sum, so there is one shuffle
+    return listed.unionByName(empty).groupBy(*keys, "carrier", "hour", "node").agg(F.sum("mw").alias("mw"))
 
 
 def demand_supply(nodal: DataFrame) -> DataFrame:
@@ -140,5 +158,6 @@ def gas_model_input(
 ) -> DataFrame:
     """Node power of both gases on a full calendar, long, keyed by day and hour."""
     fitted = fit_calendar(curves, market_length, hours, by)
-    folded = fold_balance_sites(fitted, clean_sites(sites), nodes, by)
+    lengths = fitted_length(curves, market_length, hours, by)
+    folded = fold_balance_sites(fitted, clean_sites(sites), lengths, nodes, by)
     return time_keys(node_power(folded)).drop("hour")

@@ -63,16 +63,20 @@ def element_excess(flows: DataFrame, elements: DataFrame, by: Sequence[str] = BY
     return joined.select(*keys, "element_type", "element_id", "hour", over.alias("excess")).where("excess is not null")
 
 
-def element_overload(flows: DataFrame, elements: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+def element_overload(
+    flows: DataFrame, elements: DataFrame, by: Sequence[str] = BY, runs: DataFrame | None = None
+) -> DataFrame:
     """Score every element; those without overload stay, as zeros.
 
+    ``runs`` lists the runs to score; without it they are found in the flows.
+
     Statistics are per element id, because names may repeat.  There is one flow per
     element and hour, so a group is as long as the calendar at most.
     """
     keys = list(dict.fromkeys(held(flows, by) + held(elements, by)))
     on = [*keys, "element_type", "element_id"]
     stats = quantiles.bounded_statistics(element_excess(flows, elements, by), on, "excess")
-    elements = per_run(elements, flows, by)
+    elements = per_run(elements, flows if runs is None else runs, by)
     keep = [
         *[F.col(k) for k in keys],
         F.col("element_id"),
@@ -83,20 +87,29 @@ def element_overload(flows: DataFrame, elements: DataFrame, by: Sequence[str] =
     return _scores(elements, stats, on, "left", F.col("factor"), keep)
 
 
-def line_overload(flows: DataFrame, lines: DataFrame, buses: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    return element_overload(flows.where(F.col("element_type") == "line"), line_elements(lines, buses, by), by)
+def line_overload(
+    flows: DataFrame, lines: DataFrame, buses: DataFrame, by: Sequence[str] = BY, runs: DataFrame | None = None
+) -> DataFrame:
+    return element_overload(flows.where(F.col("element_type") == "line"), line_elements(lines, buses, by), by, runs)
 
 
-def trafo_overload(flows: DataFrame, trafos: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    return element_overload(flows.where(F.col("element_type") == "trafo"), trafo_elements(trafos, by), by)
+def trafo_overload(
+    flows: DataFrame, trafos: DataFrame, by: Sequence[str] = BY, runs: DataFrame | None = None
+) -> DataFrame:
+    return element_overload(flows.where(F.col("element_type") == "trafo"), trafo_elements(trafos, by), by, runs)
 
 
 def network_overload(
-    flows: DataFrame, lines: DataFrame, trafos: DataFrame, buses: DataFrame, by: Sequence[str] = BY
+    flows: DataFrame,
+    lines: DataFrame,
+    trafos: DataFrame,
+    buses: DataFrame,
+    by: Sequence[str] = BY,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """Lines and transformers in one pass over the flows."""
     elements = line_elements(lines, buses, by).unionByName(trafo_elements(trafos, by))
-    return element_overload(flows, elements, by)
+    return element_overload(flows, elements, by, runs)
 
 
 def site_flow(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:

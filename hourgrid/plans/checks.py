@@ -60,18 +60,19 @@ def v3(spark, d):
     return checks.weight_sums(weights, SCENARIO)
 
 
-@query("v4_element_mismatch", """SELECT '0001' AS network_id, coalesce(f.element_type, n.element_type) AS element_type,
+@query("v4_element_mismatch", """SELECT coalesce(f.network_id, n.network_id) AS network_id, coalesce(f.element_type, n.element_type) AS element_type,
     coalesce(f.element_id, n.element_id) AS element_id, f.element_id IS NOT NULL AS in_flow, n.element_id IS NOT NULL AS in_network
-    FROM (SELECT DISTINCT element_type, element_id FROM element_flow) f
-    FULL OUTER JOIN (SELECT 'line' AS element_type, p_partkey + 5 AS element_id FROM part
-        UNION ALL SELECT 'trafo', p_partkey + 7 FROM part) n
-    ON f.element_type = n.element_type AND f.element_id = n.element_id WHERE f.element_id IS NULL OR n.element_id IS NULL""")
+    FROM (SELECT DISTINCT network_id, element_type, element_id FROM element_flow) f
+    FULL OUTER JOIN (SELECT network_id, 'line' AS element_type, element_id + 5 AS element_id FROM line
+        UNION ALL SELECT network_id, 'trafo', element_id + 7 FROM trafo) n
+    ON f.network_id = n.network_id AND f.element_type = n.element_type AND f.element_id = n.element_id
+    WHERE f.element_id IS NULL OR n.element_id IS NULL""")
 def v4(spark, d):
-    part = v.table(spark, d, "part")
-    side = lambda kind, by: part.select(
-        F.lit("0001").alias("network_id"), F.lit(kind).alias("element_type"), (F.col("p_partkey") + by).alias("element_id")
+    side = lambda table, kind, shift: table.select(
+        "network_id", F.lit(kind).alias("element_type"), (F.col("element_id") + shift).alias("element_id")
     )
-    return checks.element_mismatch(v.element_flow(spark, d), side("line", 5).unionByName(side("trafo", 7)), NETWORK)
+    elements = side(v.line(spark, d), "line", 5).unionByName(side(v.trafo(spark, d), "trafo", 7))
+    return checks.element_mismatch(v.element_flow(spark, d), elements, NETWORK)
 
 
 @query("v5_unknown_substations", """SELECT DISTINCT scenario_id, substation FROM site WHERE substation NOT IN (SELECT short_name FROM bus)""")
@@ -126,11 +127,13 @@ def v11(spark, d):
     return checks.series_length(v.site_curve(spark, d), by=SCENARIO)
 
 
-@query("v12_scenarios_without_prices", """SELECT 'U' || c_custkey AS scenario_id FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("v12_scenarios_without_prices", """SELECT 'U' || (c_custkey + 20) AS scenario_id FROM customer
+    WHERE c_custkey + 20 NOT IN (SELECT o_custkey FROM orders)""")
 def v12(spark, d):
-    ids = lambda t, c: v.table(spark, d, t).select(F.concat(F.lit("U"), F.col(c).cast("string")).alias("scenario_id"))
-    return checks.scenarios_without_prices(ids("customer", "c_custkey"), ids("orders", "o_custkey"), SCENARIO)
+    ids = lambda t, key: v.table(spark, d, t).select(F.concat(F.lit("U"), key.cast("string")).alias("scenario_id"))
+    return checks.scenarios_without_prices(
+        ids("customer", F.col("c_custkey") + 20), ids("orders", F.col("o_custkey")), SCENARIO
+    )
 
 
 @query("v14_duplicate_site_hours", """SELECT l_linestatus AS scenario_id, 'L' || l_suppkey AS site,

@@ -86,7 +86,8 @@ def w6(spark, d):
 
 @query("j16_align_to_first_series", """SELECT scenario_id, carrier, member, row_idx, "assetName", "carrierId", hour FROM aligned""")
 def j16(spark, d):
-    rows = export.align_to_first(export.number_hours(p4(spark, d), SCENARIO, BLOCK), SCENARIO)
+    routed = p4(spark, d)
+    rows = export.align_to_first(export.number_hours(routed, SCENARIO, BLOCK), routed, SCENARIO)
     return rows.select("scenario_id", "carrier", "member", "row_idx", "assetName", "carrierId", "hour")
 
 

@@ -30,8 +30,8 @@ define("gas_nodes", """SELECT c.scenario_id, network_id, c.carrier, hour, substa
 define("gas_folded", """SELECT scenario_id, network_id, carrier, hour, node, sum(mw) AS mw FROM (
     SELECT c.scenario_id, network_id, c.carrier, hour, substation AS node, mw
     FROM gas_fitted c JOIN gas_listed s ON c.scenario_id = s.scenario_id AND c.carrier = s.carrier AND c.site = s.site
-    UNION ALL SELECT c.scenario_id, network_id, c.carrier, hour, CASE WHEN c.carrier = 'methane' THEN 'BAL_M' ELSE 'BAL_H' END, 0
-    FROM (SELECT DISTINCT scenario_id, carrier, hour FROM gas_fitted) c
+    UNION ALL SELECT c.scenario_id, network_id, c.carrier, CAST(h AS INTEGER), CASE WHEN c.carrier = 'methane' THEN 'BAL_M' ELSE 'BAL_H' END, 0
+    FROM (SELECT scenario_id, carrier, max(hour) + 1 AS n FROM gas_fitted GROUP BY ALL) c JOIN range(100000) AS k(h) ON h < n
     JOIN (SELECT DISTINCT scenario_id, network_id, carrier FROM gas_listed) s ON c.scenario_id = s.scenario_id AND c.carrier = s.carrier)
     GROUP BY ALL""")
 
@@ -74,8 +74,8 @@ def c6(spark, d):
 
 @query("a10_fold_balance_sites", "SELECT scenario_id, network_id, carrier, hour, node, round(mw, 4) + 0.0 AS mw FROM gas_folded")
 def a10(spark, d):
-    fitted = w4(spark, d)
-    return gas.fold_balance_sites(fitted, gas.clean_sites(v.gas_site(spark, d)), by=NETWORK)
+    lengths = gas.fitted_length(v.gas_curve(spark, d), v.market_length(spark, d), CALENDAR, SCENARIO)
+    return gas.fold_balance_sites(w4(spark, d), gas.clean_sites(v.gas_site(spark, d)), lengths, by=NETWORK)
 
 
 @query("c8_gas_model_input", """SELECT scenario_id, network_id, carrier, node, round(-mw, 4) + 0.0 AS power,

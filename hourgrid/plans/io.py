@@ -38,14 +38,15 @@ def snk2(spark, d):
     return spark.read.parquet(path).select("scenario_id", "carrier", "hour", "site", "mw")
 
 
-@query("src8_network_tables", "SELECT element_id, name, length_km FROM line")
+@query("src8_network_tables", """SELECT l.network_id, l.element_id, l.name, f.vn_kv AS from_kv FROM line l
+    JOIN bus f ON l.network_id = f.network_id AND l.from_bus = f.bus_id""")
 def src8(spark, d):
     root = scratch_path(spark, "network")
     for name, df in {"bus": v.bus(spark, d), "line": v.line(spark, d), "trafo": v.trafo(spark, d)}.items():
         sinks.write_table(df, f"{root}/{name}", ["network_id"])
-    schema_kept = {"network_id": "0001"}
-    read = spark.read.schema("element_id BIGINT, name STRING, length_km DOUBLE, network_id STRING").parquet(f"{root}/line")
-    return read.where(F.col("network_id") == schema_kept["network_id"]).select("element_id", "name", "length_km")
+    net = tables.read_network(spark, root, v.NETWORKS)
+    source = net["bus"].select("network_id", F.col("bus_id").alias("from_bus"), F.col("vn_kv").alias("from_kv"))
+    return net["line"].join(source, ["network_id", "from_bus"]).select("network_id", "element_id", "name", "from_kv")
 
 
 @query("src11_keys_from_folders", """SELECT l_linestatus AS scenario, l_returnflag AS design, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY ALL""")

@@ -32,12 +32,13 @@ define("mv_flow", f"""SELECT c.scenario_id, hour, substation, sum(mw) AS mw
     WHERE CAST(regexp_extract(substation, {PART}, 2) AS INTEGER) < 150 GROUP BY ALL""")
 define("grid_line", """SELECT l.network_id, 'line' AS element_type, element_id, name,
     coalesce(f.vn_kv, t.vn_kv) * max_i_ka * sqrt(3.0) AS capacity, length_km AS factor
-    FROM line l LEFT JOIN bus f ON l.from_bus = f.bus_id LEFT JOIN bus t ON l.to_bus = t.bus_id""")
+    FROM line l LEFT JOIN bus f ON l.from_bus = f.bus_id AND l.network_id = f.network_id
+    LEFT JOIN bus t ON l.to_bus = t.bus_id AND l.network_id = t.network_id""")
 define("grid_trafo", "SELECT network_id, 'trafo' AS element_type, element_id, name, sn_mva AS capacity, 13.3::DOUBLE AS factor FROM trafo")
 define("grid_element", "SELECT * FROM grid_line UNION ALL SELECT * FROM grid_trafo")
-define("element_stats", f"""SELECT f.scenario_id, f.element_type, f.element_id, {STATS}
+define("element_stats", f"""SELECT f.scenario_id, f.network_id, f.element_type, f.element_id, {STATS}
     FROM (SELECT f.*, CASE WHEN abs(mva) - capacity > 0 THEN abs(mva) - capacity END AS x
-          FROM element_flow f JOIN grid_element e ON f.element_type = e.element_type AND f.element_id = e.element_id) f
+          FROM element_flow f JOIN grid_element e ON f.network_id = e.network_id AND f.element_type = e.element_type AND f.element_id = e.element_id) f
     GROUP BY ALL""")
 
 
@@ -45,7 +46,7 @@ def elements_sql(view: str) -> str:
     return f"""SELECT r.scenario_id, e.network_id, e.element_id, e.name AS "elementName", e.element_type AS "elementType",
         round(coalesce(e.capacity, 0), 4) + 0.0 AS "elementCapacity", {scores_sql('e.factor')}
         FROM {view} e JOIN (SELECT DISTINCT scenario_id, network_id FROM element_flow) r ON e.network_id = r.network_id
-        LEFT JOIN element_stats s ON s.scenario_id = r.scenario_id AND s.element_type = e.element_type
+        LEFT JOIN element_stats s ON s.scenario_id = r.scenario_id AND s.network_id = r.network_id AND s.element_type = e.element_type
             AND s.element_id = e.element_id"""
 
 
@@ -89,18 +90,18 @@ def c10_minus(spark, d):
 @query("c11_network_overload", elements_sql("grid_element"))
 def c11(spark, d):
     return overload.network_overload(
-        v.element_flow(spark, d), v.line(spark, d), v.trafo(spark, d), v.bus(spark, d), NETWORK
+        v.element_flow(spark, d), v.line(spark, d), v.trafo(spark, d), v.bus(spark, d), NETWORK, v.run(spark, d)
     )
 
 
 @query("c11_line_overload", elements_sql("grid_line"))
 def c11_line(spark, d):
-    return overload.line_overload(v.element_flow(spark, d), v.line(spark, d), v.bus(spark, d), NETWORK)
+    return overload.line_overload(v.element_flow(spark, d), v.line(spark, d), v.bus(spark, d), NETWORK, v.run(spark, d))
 
 
 @query("c11_trafo_overload", elements_sql("grid_trafo"))
 def c11_trafo(spark, d):
-    return overload.trafo_overload(v.element_flow(spark, d), v.trafo(spark, d), NETWORK)
+    return overload.trafo_overload(v.element_flow(spark, d), v.trafo(spark, d), NETWORK, v.run(spark, d))
 
 
 @query("u2_union_of_elements", """SELECT network_id, element_type, element_id, name,
@@ -192,14 +193,14 @@ def a6(spark, d):
     return overload.site_flow(v.site_curve(spark, d), v.site(spark, d), SCENARIO)
 
 
-@query("p19_line_capacity", "SELECT element_id, name, round(capacity, 4) + 0.0 AS capacity, round(factor, 4) + 0.0 AS factor FROM grid_line")
+@query("p19_line_capacity", "SELECT network_id, element_id, name, round(capacity, 4) + 0.0 AS capacity, round(factor, 4) + 0.0 AS factor FROM grid_line")
 def p19(spark, d):
-    return overload.line_elements(v.line(spark, d), v.bus(spark, d), NETWORK).select("element_id", "name", "capacity", "factor")
+    return overload.line_elements(v.line(spark, d), v.bus(spark, d), NETWORK).select("network_id", "element_id", "name", "capacity", "factor")
 
 
-@query("p20_trafo_capacity", "SELECT element_id, name, capacity, factor FROM grid_trafo")
+@query("p20_trafo_capacity", "SELECT network_id, element_id, name, capacity, factor FROM grid_trafo")
 def p20(spark, d):
-    return overload.trafo_elements(v.trafo(spark, d), NETWORK).select("element_id", "name", "capacity", "factor")
+    return overload.trafo_elements(v.trafo(spark, d), NETWORK).select("network_id", "element_id", "name", "capacity", "factor")
 
 
 @query("p21_reduced_capacity", " UNION ALL ".join(
@@ -220,7 +221,7 @@ def p21(spark, d):
 
 @query("p22_element_excess", """SELECT f.scenario_id, f.network_id, f.element_type, f.element_id, hour,
     round(abs(mva) - capacity, 4) + 0.0 AS excess
-    FROM element_flow f JOIN grid_element e ON f.element_type = e.element_type AND f.element_id = e.element_id
+    FROM element_flow f JOIN grid_element e ON f.network_id = e.network_id AND f.element_type = e.element_type AND f.element_id = e.element_id
     WHERE abs(mva) - capacity > 0""")
 def p22(spark, d):
     elements = overload.line_elements(v.line(spark, d), v.bus(spark, d), NETWORK).unionByName(

@@ -15,6 +15,7 @@ NETWORK = ("scenario_id", "network_id")
 # Fixed values of the views ---------------------------------------------------
 
 SCENARIOS = ["F", "O"]
+NETWORKS = ["0001", "0002"]
 EVENT_HOURS = 720
 BASE_LOAD = 250.0
 CALENDAR = 2600
@@ -121,7 +122,7 @@ def weights(spark: SparkSession, d: str) -> DataFrame:
 def bus(spark: SparkSession, d: str) -> DataFrame:
     volt = F.element_at(F.array(F.lit(110.0), F.lit(150.0), F.lit(380.0)), F.col("n_nationkey") % 3 + 1)
     return table(spark, d, "nation").select(
-        F.lit("0001").alias("network_id"),
+        F.explode(_strings(NETWORKS)).alias("network_id"),
         F.col("n_nationkey").cast("bigint").alias("bus_id"),
         volt.alias("vn_kv"),
         F.concat(F.lit("N"), _letter("n_nationkey"), F.lit("150")).alias("short_name"),
@@ -130,7 +131,7 @@ def bus(spark: SparkSession, d: str) -> DataFrame:
 
 def line(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(
-        F.lit("0001").alias("network_id"),
+        F.explode(_strings(NETWORKS)).alias("network_id"),
         F.col("p_partkey").alias("element_id"),
         F.col("p_name").alias("name"),
         (F.col("p_partkey") % 30).alias("from_bus"),
@@ -142,7 +143,7 @@ def line(spark: SparkSession, d: str) -> DataFrame:
 
 def trafo(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(
-        F.lit("0001").alias("network_id"),
+        F.explode(_strings(NETWORKS)).alias("network_id"),
         F.col("p_partkey").alias("element_id"),
         F.col("p_name").alias("name"),
         F.col("p_size").cast("double").alias("sn_mva"),
@@ -151,13 +152,20 @@ def trafo(spark: SparkSession, d: str) -> DataFrame:
 
 def element_flow(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").select(
-        F.col("l_linestatus").alias("scenario_id"), F.lit("0001").alias("network_id"),
+        F.col("l_linestatus").alias("scenario_id"),
+        F.when(F.col("l_linestatus") == "F", F.lit("0001")).otherwise(F.lit("0002")).alias("network_id"),
         F.when(F.col("l_returnflag") == "A", F.lit("trafo")).otherwise(F.lit("line")).alias("element_type"),
         F.col("l_partkey").alias("element_id"), _ship_day().alias("hour"), _net_quantity().alias("mva"),
     )
     return rows.groupBy("scenario_id", "network_id", "element_type", "element_id", "hour").agg(F.sum("mva").alias("mva"))
 
 
+def run(spark: SparkSession, d: str) -> DataFrame:
+    """Scenario and network of every run; reads one column."""
+    network = F.when(F.col("l_linestatus") == "F", F.lit("0001")).otherwise(F.lit("0002"))
+    return table(spark, d, "lineitem").select(F.col("l_linestatus").alias("scenario_id"), network.alias("network_id")).distinct()
+
+
 def link_flow(spark: SparkSession, d: str) -> DataFrame:
     price = F.col("l_extendedprice")
     return table(spark, d, "lineitem").select(
@@ -283,6 +291,7 @@ def price(spark: SparkSession, d: str) -> DataFrame:
 _QTY = "CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END"
 _DAY = "CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS INTEGER)"
 _SCEN = "(VALUES ('F'), ('O')) AS sc(scenario_id)"
+_NETS = "(VALUES ('0001'), ('0002')) AS nw(network_id)"
 _BRAND = "CAST(split_part(p_brand, '#', 2) AS INTEGER)"
 
 
@@ -317,14 +326,14 @@ SQL = {
         FROM {_SCEN}, categories, range({EVENT_HOURS}) AS r(h)) GROUP BY ALL""",
     "weights": """SELECT 'R' || r_regionkey AS node, sector, (r_regionkey + 1) / 15.0::DOUBLE AS weight
         FROM region, (VALUES ('Sector 0'), ('Sector 1'), ('Sector 2')) AS v(sector)""",
-    "bus": """SELECT '0001' AS network_id, CAST(n_nationkey AS BIGINT) AS bus_id,
+    "bus": f"""SELECT network_id, CAST(n_nationkey AS BIGINT) AS bus_id,
         CAST([110.0, 150.0, 380.0][n_nationkey % 3 + 1] AS DOUBLE) AS vn_kv,
-        'N' || chr(65 + n_nationkey) || '150' AS short_name FROM nation""",
-    "line": """SELECT '0001' AS network_id, p_partkey AS element_id, p_name AS name, p_partkey % 30 AS from_bus,
-        p_partkey % 25 AS to_bus, p_size / 10.0::DOUBLE AS length_km, p_size / 500.0::DOUBLE AS max_i_ka FROM part""",
-    "trafo": """SELECT '0001' AS network_id, p_partkey AS element_id, p_name AS name,
-        CAST(p_size AS DOUBLE) AS sn_mva FROM part""",
-    "element_flow": f"""SELECT l_linestatus AS scenario_id, '0001' AS network_id,
+        'N' || chr(65 + n_nationkey) || '150' AS short_name FROM nation, {_NETS}""",
+    "line": f"""SELECT network_id, p_partkey AS element_id, p_name AS name, p_partkey % 30 AS from_bus,
+        p_partkey % 25 AS to_bus, p_size / 10.0::DOUBLE AS length_km, p_size / 500.0::DOUBLE AS max_i_ka FROM part, {_NETS}""",
+    "trafo": f"""SELECT network_id, p_partkey AS element_id, p_name AS name,
+        CAST(p_size AS DOUBLE) AS sn_mva FROM part, {_NETS}""",
+    "element_flow": f"""SELECT l_linestatus AS scenario_id, CASE WHEN l_linestatus = 'F' THEN '0001' ELSE '0002' END AS network_id,
         CASE WHEN l_returnflag = 'A' THEN 'trafo' ELSE 'line' END AS element_type, l_partkey AS element_id,
         {_DAY} AS hour, sum({_QTY}) AS mva FROM lineitem GROUP BY ALL""",
     "link_flow": """SELECT l_linestatus AS scenario_id, 'L' || l_suppkey AS naam,

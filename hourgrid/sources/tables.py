@@ -157,7 +157,11 @@ def read_network(spark: SparkSession, root: str, network_ids: Sequence[str] | No
     """
     tables = {}
     for name in ("bus", "line", "trafo"):
-        table = spark.read.parquet(f"{root}/{name}")
+        # network ids keep their leading zeros: the partition column is declared, not guessed
+        found = spark.read.parquet(f"{root}/{name}").schema
+        fields = [f for f in found.fields if f.name != "network_id"]
+        schema = T.StructType([*fields, T.StructField("network_id", T.StringType())])
+        table = spark.read.schema(schema).parquet(f"{root}/{name}")
         tables[name] = table if network_ids is None else table.where(F.col("network_id").isin(list(network_ids)))
     return tables
 
