@@ -113,7 +113,8 @@ def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     keys = held(cells, by)
     chunk = Window.partitionBy(*keys, "chunk")
     product = Window.partitionBy(*keys, "chunk", "hour", "product")
-    cells = cells.withColumn("_kept", _kept())
+    # the chunk comes first: its shuffle serves the narrower window as well
+    cells = cells.withColumns({"_kept": _kept(), "_imbalanced": F.bool_or(_short()).over(chunk)})
     left = F.sum(F.col("t") * F.col("_kept")).over(product)
     had = F.sum(F.col("t") + F.col("inside")).over(product)
     cells = cells.withColumns({"_left": left, "_residual": had - left - F.sum("hx").over(product)})
@@ -121,7 +122,6 @@ def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     spread = F.when(F.round("_left", COMPARE) == 0, F.lit(0.0)).otherwise(
         F.lit(1.0) + F.try_divide("_residual", "_left")
     )
-    cells = cells.withColumn("_imbalanced", F.bool_or(_short()).over(chunk))
     return cells.select(
         *keys, *CELL, F.when(F.col("_imbalanced"), F.col("_kept") * spread).otherwise(F.col("_kept")).alias("factor")
     )

@@ -60,13 +60,13 @@ def src11(spark, d):
 
 
 def _land_batches(spark, d) -> str:
-    """Scenario records as message batches, one batch per customer; one half doubly encoded."""
+    """Scenario records as message batches of ten ids at most; some records doubly encoded."""
     path = scratch_path(spark, "messages")
     records = v.scenario(spark, d)
     body = F.to_json(F.struct(*RECORD))
     twice = F.to_json(F.struct(body.alias("Message")))
     coded = F.struct(F.when(F.col("calculationState") == "F", twice).otherwise(body).alias("body"))
-    batch = records.groupBy("scenarioUuid").agg(F.collect_list(coded).alias("Records"))
+    batch = records.groupBy(F.floor(F.col("scenarioId") / 10).alias("batch")).agg(F.collect_list(coded).alias("Records"))
     batch.select(F.to_json(F.struct("Records")).alias("value")).write.text(path)
     return path
 

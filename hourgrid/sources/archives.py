@@ -29,8 +29,8 @@ CELLS = T.StructType([*_PLACE, T.StructField("column", T.StringType()), T.Struct
 
 
 def _members(content: bytes) -> Iterator[tuple[int, str, io.BufferedIOBase]]:
-    """Regular files of an archive in order, streamed one after the other."""
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
+    """Regular files of an archive in order."""
+    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
         for position, entry in enumerate(e for e in archive if e.isfile()):
             yield position, entry.name, archive.extractfile(entry)
 
@@ -82,6 +82,7 @@ def read_records(
             for path_, content in zip(batch["path"], batch["content"]):
                 for piece in _frames(content, member, sep, label, skip_bad):
                     fields = piece.reindex(columns=["member", "member_pos", "row_idx", *columns])
+                    fields[columns] = fields[columns].astype(object).where(fields[columns].notna(), None)
                     fields.insert(0, "path", path_)
                     yield fields
 

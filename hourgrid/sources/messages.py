@@ -47,12 +47,12 @@ def encode(records: DataFrame) -> Column:
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """Landed message files, one JSON document per file."""
-    return decode(spark.read.option("wholetext", True).text(path))
+    return decode(spark.read.text(path, wholetext=True))
 
 
 def stream_batches(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """The same as an unbounded input."""
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return decode(reader.text(path))
+    return decode(reader.text(path, wholetext=True))
