@@ -139,9 +139,14 @@ def common_length(
 ) -> DataFrame:
     """Hours of the shorter of two sources per run, ``hours`` at most."""
     on = shared(left, right, by)
-    n_left = series_lengths(left, on, "_n_left")
-    n_right = series_lengths(right, on, "_n_right")
-    return n_left.join(n_right, on).select(*on, F.least("_n_left", "_n_right", F.lit(hours)).alias("_limit"))
+    none = F.lit(None).cast("int")
+    hours_of_both = left.select(*on, F.col("hour").alias("_left"), none.alias("_right")).unionByName(
+        right.select(*on, none.alias("_left"), F.col("hour").alias("_right"))
+    )
+    ends = hours_of_both.groupBy(*on).agg(F.max("_left").alias("_left"), F.max("_right").alias("_right"))
+    # a run that only one source has is left out
+    both = ends.where(F.col("_left").isNotNull() & F.col("_right").isNotNull())
+    return both.select(*on, F.least(F.col("_left") + 1, F.col("_right") + 1, F.lit(hours)).alias("_limit"))
 
 
 def cut_to(curves: DataFrame, limit: DataFrame, by: Sequence[str] = BY) -> DataFrame:

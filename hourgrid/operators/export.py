@@ -20,23 +20,32 @@ def _has_series(raw: DataFrame) -> DataFrame:
 
 
 def member_facts(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    """Asset class of each member's first row, and whether it holds a methane import asset."""
+    """Kind of each member by its first row's asset class, and whether it holds a methane import asset.
+
+    The class is reduced to two flags before the sum, so that the aggregate keeps
+    plain numbers and hashes instead of sorting.
+    """
+    electricity = F.col("assetClass").contains(fixed.ELECTRICITY_CLASS).cast("int")
+    gas = F.col("assetClass").contains(fixed.GAS_CLASS).cast("int")
     methane = text.contains_any(F.col("assetName"), fixed.METHANE_ASSETS)
     return (
         _has_series(raw)
         .groupBy(*held(raw, by), "member")
         .agg(
-            F.min_by("assetClass", "row_idx").alias("member_class"),
+            F.min_by(electricity + 2 * gas, "row_idx").alias("_kind"),
             F.bool_or(methane).alias("has_methane_asset"),
         )
-        .where(F.col("member_class").isNotNull())
+        .where(F.col("_kind").isNotNull())
+        .select(
+            *held(raw, by), "member",
+            (F.col("_kind") % 2 == 1).alias("is_electricity"), (F.col("_kind") >= 2).alias("is_gas"), "has_methane_asset",
+        )
     )
 
 
 def target_carriers() -> Column:
-    """Carriers a row goes to; expects ``member_class`` and ``has_methane_asset`` on the row."""
-    electricity = F.col("member_class").contains(fixed.ELECTRICITY_CLASS)
-    gas = F.col("member_class").contains(fixed.GAS_CLASS)
+    """Carriers a row goes to; expects the member's facts on the row."""
+    electricity, gas = F.col("is_electricity"), F.col("is_gas")
     carrier = lambda codes: text.contains_any(F.col("carrierId"), codes)
     asset = lambda names: text.contains_any(F.col("assetName"), names)
     methane = (gas & carrier(fixed.METHANE_CARRIERS)) | (~gas & asset(fixed.METHANE_ASSETS))
@@ -51,31 +60,50 @@ def target_carriers() -> Column:
     ))
 
 
-def route(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    """Rows per target carrier in MW; a row may go to several carriers, or to none."""
+def targets(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """Rows that go anywhere, in MW, with their target carriers as an array."""
     facts = member_facts(raw, by)
     joined = _has_series(raw).join(facts, shared(raw, facts, by, "member"))
-    return joined.select(
+    rows = joined.select(
         *held(raw, by), "member", "row_idx", "assetName", "carrierId", "sector",
         power.watt_to_megawatt(F.col("allocationPower")).alias("mw"),
-        F.explode(target_carriers()).alias("carrier"),
+        target_carriers().alias("carriers"),
     )
+    return rows.where(F.size("carriers") > 0)
+
+
+def one_row_per_carrier(rows: DataFrame) -> DataFrame:
+    others = [c for c in rows.columns if c != "carriers"]
+    return rows.select(*others, F.explode("carriers").alias("carrier"))
 
 
-def number_hours(routed: DataFrame, by: Sequence[str] = BY, block: int = positions.BLOCK) -> DataFrame:
-    """Hour of every row: its position inside its own series."""
-    return positions.number_rows(routed, [*held(routed, by), "carrier", *SERIES], "row_idx", "hour", block)
+def route(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+    """Rows per target carrier in MW; a row may go to several carriers, or to none."""
+    return one_row_per_carrier(targets(raw, by))
 
 
-def align_to_first(series: DataFrame, routed: DataFrame, by: Sequence[str] = BY) -> DataFrame:
+def number_hours(rows: DataFrame, by: Sequence[str] = BY, block: int = positions.BLOCK) -> DataFrame:
+    """Hour of every row: its position inside its own series.
+
+    All rows of a series go to the same carriers, so they are numbered before they
+    are repeated per carrier.
+    """
+    return positions.number_rows(rows, [*held(rows, by), *SERIES], "row_idx", "hour", block)
+
+
+def align_to_first(series: DataFrame, rows: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Cut all series of a carrier to the length of its first one.
 
-    ``routed`` are the rows before numbering; the lengths are counted there, so the
-    numbering is not repeated.
+    ``series`` are numbered rows per carrier; ``rows`` the targets they come from.
+    The lengths are counted there, so the numbering is not repeated.
     """
     keys = [*held(series, by), "carrier"]
-    sizes = routed.groupBy(*keys, *SERIES).agg(F.count("*").alias("_n"), F.min("row_idx").alias("_first"))
-    limits = sizes.groupBy(*keys).agg(F.min_by("_n", F.struct("member", "_first", "assetName", "carrierId")).alias("_limit"))
+    # the carriers of a series are the same on every row
+    sizes = rows.groupBy(*held(rows, by), *SERIES).agg(
+        F.count("*").alias("_n"), F.min("row_idx").alias("_first"), F.first("carriers").alias("carriers")
+    )
+    order = F.struct("member", "_first", "assetName", "carrierId")
+    limits = one_row_per_carrier(sizes).groupBy(*keys).agg(F.min_by("_n", order).alias("_limit"))
     return series.join(limits, keys).where(F.col("hour") < F.col("_limit")).drop("_limit")
 
 
@@ -103,8 +131,8 @@ def export_site_curves(
     ``merge_gas_codes`` is for name maps that are the same for electricity and gas:
     gas codes in asset names are unified and equal names summed before naming.
     """
-    routed = route(raw, by).where(F.col("carrier") != "co2")
-    series = align_to_first(number_hours(routed, by, block), routed, by)
+    rows = targets(raw, by).withColumn("carriers", F.array_remove("carriers", "co2")).where(F.size("carriers") > 0)
+    series = align_to_first(one_row_per_carrier(number_hours(rows.drop("sector"), by, block)), rows, by)
     asset = text.unify_gas_code(F.col("assetName")) if merge_gas_codes else F.col("assetName")
     curves = series.select(*held(raw, by), "carrier", asset.alias("asset"), "hour", "mw")
     if merge_gas_codes:

@@ -115,10 +115,13 @@ def fold_balance_sites(
     lookup = sites.select(*held(sites, by), "carrier", "site", F.col("substation").alias("node"))
     listed = curves.join(lookup, on).select(*keys, "carrier", "hour", "node", "mw")
     networks = sites.select(*held(sites, by), "carrier").distinct()
-    calendar = lengths.where(F.col("carrier").isin(list(nodes))).join(networks, shared(lengths, networks, by, "carrier"))
+    calendar = lengths.join(networks, shared(lengths, networks, by, "carrier"))
+    # not a filter: it would reach the lengths and keep their shuffle from being shared
+    hours = F.when(F.col("carrier").isin(list(nodes)), F.sequence(F.lit(0), F.col("_to") - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
     empty = calendar.select(
-        *keys, "carrier", F.explode(F.sequence(F.lit(0), F.col("_to") - 1)).alias("hour"),
-        _by_carrier(nodes).alias("node"), F.lit(0.0).alias("mw"),
+        *keys, "carrier", F.explode(hours).alias("hour"), _by_carrier(nodes).alias("node"), F.lit(0.0).alias("mw")
     )
     # the zero rows join before the sum, so there is one shuffle
     return listed.unionByName(empty).groupBy(*keys, "carrier", "hour", "node").agg(F.sum("mw").alias("mw"))

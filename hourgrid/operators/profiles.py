@@ -93,24 +93,34 @@ def assign_profiles(
     """
     keys = held(ports, by)
     asset = [*keys, "asset_id"]
+    # carriers as numbers (0: not listed), so that the aggregates hash instead of sorting
+    listed = F.array(*[F.lit(c) for c in class_of_carrier])
+    coded = ports.select(
+        *asset, "asset_pos", "port_pos", "port_kind", "carrier_name",
+        F.coalesce(F.array_position(listed, F.col("carrier_id")), F.lit(0)).cast("int").alias("_code"),
+    )
     plants = (
-        ports.groupBy(*asset)
+        coded.groupBy(*asset)
         .agg(
             F.min("asset_pos").alias("asset_pos"),
-            F.min_by("carrier_id", "port_pos").alias("_first"),
+            F.min_by("_code", "port_pos").alias("_first"),
             F.min(F.when(F.col("carrier_name") == "Electricity", F.col("port_pos"))).alias("_outlet"),
         )
-        .where(F.col("_first").isin(list(class_of_carrier)) & F.col("_outlet").isNotNull())
+        .where((F.col("_first") > 0) & F.col("_outlet").isNotNull())
     )
     inlets = (
-        ports.where(F.col("port_kind") == "in")
-        .join(plants.select(*asset, "_outlet"), asset)
+        coded.where(F.col("port_kind") == "in")
+        .join(plants.select(*asset, "_outlet", F.col("asset_pos").alias("_pos")), asset)
         .where(F.col("port_pos") <= F.col("_outlet"))
         .groupBy(*asset)
-        .agg(F.max_by("carrier_id", "port_pos").alias("carrier_id"))
+        .agg(F.max_by("_code", "port_pos").alias("_code"), F.first("_pos").alias("asset_pos"))
+        .where(F.col("_code") > 0)
+    )
+    classes = F.array(*[F.lit(c) for c in class_of_carrier.values()])
+    assigned = inlets.select(
+        *asset, "asset_pos",
+        F.element_at(listed, F.col("_code")).alias("carrier_id"), F.element_at(classes, F.col("_code")).alias("profile"),
     )
-    lookup = lookup_table(ports.sparkSession, class_of_carrier, "carrier_id", "profile")
-    assigned = plants.select(*asset, "asset_pos").join(inlets, asset).join(lookup, "carrier_id")
     owners = assigned.groupBy(*keys, "profile").agg(F.min("asset_pos").alias("_owner"))
     return assigned.join(owners, [*keys, "profile"]).select(
         *asset, "asset_pos", "carrier_id", "profile",

@@ -56,7 +56,8 @@ def p4(spark, d):
     return export.route(v.asset_row(spark, d), SCENARIO)
 
 
-@query("p32_member_class", "SELECT scenario_id, member, member_class, has_methane_asset FROM member_fact")
+@query("p32_member_class", """SELECT scenario_id, member, contains(member_class, 'EConnection') AS is_electricity,
+    contains(member_class, 'GConnection') AS is_gas, has_methane_asset FROM member_fact""")
 def p32(spark, d):
     return export.member_facts(v.asset_row(spark, d), SCENARIO)
 
@@ -80,15 +81,17 @@ def p6(spark, d):
 
 @query("w6_row_position_as_hour", """SELECT scenario_id, carrier, member, row_idx, "assetName", "carrierId", hour FROM numbered""")
 def w6(spark, d):
-    rows = export.number_hours(p4(spark, d), SCENARIO, BLOCK)
+    numbered = export.number_hours(export.targets(v.asset_row(spark, d), SCENARIO), SCENARIO, BLOCK)
+    rows = export.one_row_per_carrier(numbered)
     return rows.select("scenario_id", "carrier", "member", "row_idx", "assetName", "carrierId", "hour")
 
 
 @query("j16_align_to_first_series", """SELECT scenario_id, carrier, member, row_idx, "assetName", "carrierId", hour FROM aligned""")
 def j16(spark, d):
-    routed = p4(spark, d)
-    rows = export.align_to_first(export.number_hours(routed, SCENARIO, BLOCK), routed, SCENARIO)
-    return rows.select("scenario_id", "carrier", "member", "row_idx", "assetName", "carrierId", "hour")
+    rows = export.targets(v.asset_row(spark, d), SCENARIO)
+    series = export.one_row_per_carrier(export.number_hours(rows, SCENARIO, BLOCK))
+    aligned = export.align_to_first(series, rows, SCENARIO)
+    return aligned.select("scenario_id", "carrier", "member", "row_idx", "assetName", "carrierId", "hour")
 
 
 @query("c1_export_site_curves", """SELECT scenario_id, carrier, "assetName" AS asset, grid_name AS site, hour, round(mw, 4) + 0.0 AS mw

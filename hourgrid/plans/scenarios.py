@@ -68,8 +68,7 @@ def c16(spark, d):
     json_extract_string(body, '$.investmentPath') AS plan FROM (SELECT to_json(t) AS body FROM ({_FAN}) t)""")
 def snk5(spark, d):
     body = scenarios.messages(c15(spark, d))
-    part = lambda p, n: F.get_json_object("body", f"$.{p}").alias(n)
-    return body.select(part("scenarioId", "id"), part("networkId", "network"), part("investmentPath", "plan"))
+    return body.select(F.json_tuple("body", "scenarioId", "networkId", "investmentPath").alias("id", "network", "plan"))
 
 
 # updates from the rows of the orders: several per customer, the last order wins

@@ -26,6 +26,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # small tables on few cores: keep the partitions that a cluster would merge
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     builder = builder.config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
