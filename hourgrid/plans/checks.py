@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourgrid.operators import checks, curves
+from hourgrid.operators import checks, curves, quality
 from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
 from hourgrid.plans.views import NETWORK, SCENARIO, define
@@ -155,3 +155,21 @@ def quarantine(spark, d):
     )
     passed = checks.quarantine(orders, orders.where(F.col("o_totalprice") > 400000), ["scenarioUuid"])
     return passed.groupBy("scenarioUuid").agg(F.count("*").alias("n"))
+
+
+@query("v_electricity_offenders", """SELECT scenario_id, 'market key without category' AS "check", market_key AS item FROM
+        (SELECT DISTINCT scenario_id, market_key FROM market_curve) WHERE market_key NOT IN (SELECT market_key FROM categories WHERE category <> 'Flex')
+    UNION ALL SELECT scenario_id, 'curve without site', site FROM (SELECT DISTINCT scenario_id, site FROM site_curve) c
+        WHERE NOT EXISTS (SELECT 1 FROM shifted_site k WHERE k.scenario_id = c.scenario_id AND k.site = c.site)
+    UNION ALL SELECT scenario_id, 'site without curve', site FROM shifted_site k
+        WHERE NOT EXISTS (SELECT 1 FROM site_curve c WHERE k.scenario_id = c.scenario_id AND k.site = c.site)
+    UNION ALL SELECT DISTINCT scenario_id, 'substation without bus', replace(substation, 'N', 'Q') FROM lifted_site""")
+def electricity(spark, d):
+    sites = v.site(spark, d).withColumns(
+        {"site": (F.col("site").cast("bigint") + 3).cast("string"), "substation": F.replace("substation", F.lit("N"), F.lit("Q"))}
+    )
+    known = v.categories(spark, d).where(F.col("category") != "Flex")
+    return quality.electricity_offenders(v.market_curve(spark, d), v.site_curve(spark, d), known, sites, v.bus(spark, d), by=SCENARIO)
+
+
+define("shifted_site", "SELECT scenario_id, CAST(CAST(site AS BIGINT) + 3 AS VARCHAR) AS site FROM site")

@@ -188,3 +188,33 @@ def r2(spark, d):
 def r3(spark, d):
     nodal = c2(spark, d)
     return curves.to_wide(nodal, ["scenario_id", "hour"], "node", [f"R{i}" for i in range(5)])
+
+
+@query("j2_sites_to_sectors", """SELECT c.scenario_id, hour, substation, sector, round(sum(mw), 4) + 0.0 AS mw FROM site_curve c
+    JOIN site s ON c.scenario_id = s.scenario_id AND c.site = s.site GROUP BY ALL""")
+def j2(spark, d):
+    return curves.net_by_sector(v.site_curve(spark, d), v.site(spark, d), SCENARIO).withColumnRenamed("node", "substation")
+
+
+@query("j4_listed_sites", f"""SELECT c.scenario_id, hour, c.site, round(mw, 4) + 0.0 AS mw FROM site_curve c
+    WHERE EXISTS (SELECT 1 FROM site s WHERE c.scenario_id = s.scenario_id AND c.site = s.site
+        AND CAST(regexp_extract(substation, {PART}, 2) AS INTEGER) < 150)""")
+def j4(spark, d):
+    listed = curves.medium_voltage_sites(v.site(spark, d)).select("scenario_id", "site")
+    return v.site_curve(spark, d).join(listed, ["scenario_id", "site"], "left_semi").select("scenario_id", "hour", "site", "mw")
+
+
+@query("j17_hours_of_both_sources", """SELECT DISTINCT m.scenario_id, m.hour FROM market_curve m JOIN site_curve s
+    ON m.scenario_id = s.scenario_id AND m.hour = s.hour""")
+def j17(spark, d):
+    keys = ["scenario_id", "hour"]
+    hours = v.market_curve(spark, d).select(*keys).distinct()
+    return hours.join(v.site_curve(spark, d).select(*keys).distinct(), keys, "left_semi")
+
+
+@query("u6_nodes_in_one_source", """SELECT scenario_id, node FROM (SELECT DISTINCT scenario_id, node FROM market_node)
+    WHERE node NOT IN (SELECT 'R' || (n_nationkey % 3) FROM nation)""")
+def u6(spark, d):
+    nodes = c2(spark, d).select("scenario_id", "node").distinct()
+    others = v.table(spark, d, "nation").select(F.concat(F.lit("R"), (F.col("n_nationkey") % 3).cast("string")).alias("node"))
+    return nodes.join(others.distinct(), "node", "left_anti").select("scenario_id", "node")

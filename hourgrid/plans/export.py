@@ -122,3 +122,24 @@ def src5(spark, d):
 @query("a13_distinct_assets", """SELECT DISTINCT scenario_id, "assetName", "carrierId" FROM asset_row""")
 def a13(spark, d):
     return v.asset_row(spark, d).select("scenario_id", "assetName", "carrierId").distinct()
+
+
+@query("p7_name_sites", """SELECT scenario_id, member, row_idx, carrier, "assetName" AS asset, grid_name AS site FROM routed r
+    LEFT JOIN last_name n ON r."assetName" = n.raw_name WHERE grid_name IS NOT NULL OR carrier = 'electricity'""")
+def p7(spark, d):
+    rows = p4(spark, d).select("scenario_id", "member", "row_idx", "carrier", F.col("assetName").alias("asset"))
+    named = export.name_sites(rows, v.site_name(spark, d), SCENARIO)
+    return named.select("scenario_id", "member", "row_idx", "carrier", "asset", "site")
+
+
+@query("p8_unnamed_series", """SELECT scenario_id, carrier, CAST(count(*) AS BIGINT) AS n, CAST(count(grid_name) AS BIGINT) AS named
+    FROM routed r LEFT JOIN last_name n ON r."assetName" = n.raw_name WHERE grid_name IS NOT NULL OR carrier = 'electricity' GROUP BY ALL""")
+def p8(spark, d):
+    return p7(spark, d).groupBy("scenario_id", "carrier").agg(F.count("*").alias("n"), F.count("site").alias("named"))
+
+
+@query("o3_first_match", """SELECT scenario_id, member, min(row_idx) AS row_idx FROM asset_row
+    WHERE contains("assetName", 'CO2_F') OR contains("assetName", 'GM') GROUP BY ALL""")
+def o3(spark, d):
+    found = v.asset_row(spark, d).where(text.contains_any(F.col("assetName"), ["CO2_F", "GM"]))
+    return found.groupBy("scenario_id", "member").agg(F.min("row_idx").alias("row_idx"))

@@ -254,3 +254,13 @@ _H2 = "('W1_001','W1_002','W1_003','W1_004','HW_001','HW_002','HW_003','HW_004',
     WHERE from_node NOT IN {_H2} OR to_node NOT IN {_H2}""")
 def p25(spark, d):
     return overload.split_links(v.link_factor(spark, d))
+
+
+@query("j6_line_voltages", """SELECT l.network_id, element_id, f.vn_kv AS from_kv, t.vn_kv AS to_kv FROM line l
+    LEFT JOIN bus f ON l.from_bus = f.bus_id AND l.network_id = f.network_id
+    LEFT JOIN bus t ON l.to_bus = t.bus_id AND l.network_id = t.network_id""")
+def j6(spark, d):
+    buses = v.bus(spark, d)
+    side = lambda s: buses.select("network_id", F.col("bus_id").alias(f"{s}_bus"), F.col("vn_kv").alias(f"{s}_kv"))
+    lines = v.line(spark, d).join(side("from"), ["network_id", "from_bus"], "left")
+    return lines.join(side("to"), ["network_id", "to_bus"], "left").select("network_id", "element_id", "from_kv", "to_kv")

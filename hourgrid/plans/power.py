@@ -150,3 +150,19 @@ def c17(spark, d):
     from hourgrid.operators.checks import hourly_totals
 
     return hourly_totals(*_aligned(spark, d), SCENARIO)
+
+
+@query("a14_any_and_all", """SELECT scenario_id, product, bool_or(round(t, 9) < round(d, 9)) AS any_short,
+    bool_and(round(t, 9) >= round(d, 9)) AS all_covered FROM cell_area GROUP BY ALL""")
+def a14(spark, d):
+    short = F.round("t", 9) < F.round("d", 9)
+    return _cells(spark, d).groupBy("scenario_id", "product").agg(
+        F.bool_or(short).alias("any_short"), F.bool_and(~short).alias("all_covered")
+    )
+
+
+@query("d_undistributable", """SELECT c.scenario_id, c.hour, c.product, CAST(c.hour // 24 AS INTEGER) AS chunk
+    FROM res_area c JOIN imb_area i ON c.scenario_id = i.scenario_id AND c.hour // 24 = i.chunk
+    WHERE i.imb AND round(left_, 9) = 0 AND round(r, 9) <> 0""")
+def undistributable(spark, d):
+    return discount.undistributable(_cells(spark, d), SCENARIO).select("scenario_id", "hour", "product", "chunk")

@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from hourgrid.functions import text, time
-from hourgrid.operators import checks, curves, discount, export, gas, overload, profiles, scenarios
+from hourgrid.operators import checks, curves, discount, export, gas, overload, profiles, quality, scenarios
 
 S = ("scenario_id",)
 
@@ -283,3 +283,24 @@ def test_require_and_quarantine(spark):
     with pytest.raises(checks.CheckFailed, match="too large"):
         checks.require(bad, "too large")
     assert rows(checks.quarantine(facts, bad, S)) == [("a", 1)]
+
+
+def test_bad_runs_are_set_aside(spark):
+    market = _market(spark, BALANCED).select("scenario_id", "hour", F.concat_ws("_", "product", "node").alias("market_key"), "mw")
+    market = market.unionByName(market.withColumn("scenario_id", F.lit("t")))
+    cats = market.select("market_key").distinct().select(
+        "market_key", F.lit("Electricity").alias("carrier"), F.split("market_key", "_")[0].alias("product"), F.lit("s").alias("sector"))
+    weights = spark.createDataFrame([("A", "s", 0.25), ("B", "s", 0.75)], "node string, sector string, weight double")
+    curve = spark.createDataFrame([("s", 0, "x", 5.0), ("t", 0, "x", 5.0), ("t", 0, "unlisted", 1.0), ("t", 0, "idle", 0.0)],
+                                  "scenario_id string, hour int, site string, mw double")
+    sites = spark.createDataFrame([("s", "x", "N150", "s"), ("t", "x", "N150", "s")],
+                                  "scenario_id string, site string, substation string, sector string")
+    power, bad = quality.checked_nodal_power(market, curve, cats, weights, sites, exceptions="A", by=S)
+    assert rows(bad) == [("t", "curve without site", "unlisted")]
+    got = rows(power, "scenario_id", "node", "power")
+    assert [(r[0], r[1]) for r in got] == [("s", "B"), ("s", "N150")]
+    # supply 100: A had 25, the sites 0, so B keeps 75 + 25; demand 120: A had 30, the sites 5, so B keeps 90 + 25
+    assert got[0][2] == pytest.approx(100 - 115) and got[1][2] == pytest.approx(-5)
+    uneven = weights.where("node = 'A'")
+    with pytest.raises(checks.CheckFailed, match="add up"):
+        quality.checked_nodal_power(market, curve, cats, uneven, sites, by=S)
