@@ -49,11 +49,13 @@ def statistics(rows: DataFrame, keys: Sequence[str], value: str, accuracy: int =
         F.max(v).alias("_max"),
         F.percentile_approx(v, [0.5 - step, 0.5 + step], accuracy).alias("_q"),
     )
+    # plain numbers from here on, so that the next aggregate hashes instead of sorting
+    groups = groups.select(*keys, "n", "total", "_min", "_max", F.col("_q")[0].alias("_q_lo"), F.col("_q")[1].alias("_q_hi"))
     # equal values fold to one row; hashed on group and value, so a hot group spreads
     distinct = rows.groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c"))
 
-    carried = ["n", "total", "_min", "_max", "_q"]
-    lo, hi = F.col("_q")[0], F.col("_q")[1]
+    carried = ["n", "total", "_min", "_max", "_q_lo", "_q_hi"]
+    lo, hi = F.col("_q_lo"), F.col("_q_hi")
     ranks = (
         distinct.join(groups, keys)
         .groupBy(*keys)

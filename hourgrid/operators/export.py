@@ -12,6 +12,7 @@ from hourgrid.functions import positions, power, text
 from hourgrid.keys import BY, held, shared
 
 SERIES = ["member", "assetName", "carrierId"]
+CARRIER_BITS = {"electricity": 1, "methane": 2, "hydrogen": 4, "co2": 8}
 
 
 def _has_series(raw: DataFrame) -> DataFrame:
@@ -44,37 +45,42 @@ def member_facts(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
 
 
 def target_carriers() -> Column:
-    """Carriers a row goes to; expects the member's facts on the row."""
+    """Carriers a row goes to, as a sum of ``CARRIER_BITS``; expects the member's facts on the row."""
     electricity, gas = F.col("is_electricity"), F.col("is_gas")
     carrier = lambda codes: text.contains_any(F.col("carrierId"), codes)
     asset = lambda names: text.contains_any(F.col("assetName"), names)
-    methane = (gas & carrier(fixed.METHANE_CARRIERS)) | (~gas & asset(fixed.METHANE_ASSETS))
-    hydrogen = (gas & carrier(fixed.HYDROGEN_CARRIERS)) | (
-        ~gas & ~F.col("has_methane_asset") & asset(fixed.HYDROGEN_ASSETS)
-    )
-    return F.array_compact(F.array(
-        F.when(electricity, F.lit("electricity")),
-        F.when(methane, F.lit("methane")),
-        F.when(hydrogen, F.lit("hydrogen")),
-        F.when(gas & carrier(fixed.CO2_CARRIERS), F.lit("co2")),
-    ))
-
-
-def targets(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    """Rows that go anywhere, in MW, with their target carriers as an array."""
+    goes = {
+        "electricity": electricity,
+        "methane": (gas & carrier(fixed.METHANE_CARRIERS)) | (~gas & asset(fixed.METHANE_ASSETS)),
+        "hydrogen": (gas & carrier(fixed.HYDROGEN_CARRIERS))
+        | (~gas & ~F.col("has_methane_asset") & asset(fixed.HYDROGEN_ASSETS)),
+        "co2": gas & carrier(fixed.CO2_CARRIERS),
+    }
+    total = F.lit(0)
+    for name, rule in goes.items():
+        total = total + F.when(rule, F.lit(CARRIER_BITS[name])).otherwise(F.lit(0))
+    return total
+
+
+def targets(raw: DataFrame, by: Sequence[str] = BY, carriers: Sequence[str] = tuple(CARRIER_BITS)) -> DataFrame:
+    """Rows that go to any of the carriers, in MW, with their targets as one number."""
     facts = member_facts(raw, by)
     joined = _has_series(raw).join(facts, shared(raw, facts, by, "member"))
+    wanted = sum(CARRIER_BITS[c] for c in carriers)
     rows = joined.select(
         *held(raw, by), "member", "row_idx", "assetName", "carrierId", "sector",
         power.watt_to_megawatt(F.col("allocationPower")).alias("mw"),
-        target_carriers().alias("carriers"),
+        target_carriers().bitwiseAND(F.lit(wanted)).alias("targets"),
     )
-    return rows.where(F.size("carriers") > 0)
+    return rows.where(F.col("targets") > 0)
 
 
 def one_row_per_carrier(rows: DataFrame) -> DataFrame:
-    others = [c for c in rows.columns if c != "carriers"]
-    return rows.select(*others, F.explode("carriers").alias("carrier"))
+    others = [c for c in rows.columns if c != "targets"]
+    names = F.array_compact(F.array(*[
+        F.when(F.col("targets").bitwiseAND(F.lit(bit)) > 0, F.lit(name)) for name, bit in CARRIER_BITS.items()
+    ]))
+    return rows.select(*others, F.explode(names).alias("carrier"))
 
 
 def route(raw: DataFrame, by: Sequence[str] = BY) -> DataFrame:
@@ -98,9 +104,9 @@ def align_to_first(series: DataFrame, rows: DataFrame, by: Sequence[str] = BY) -
     The lengths are counted there, so the numbering is not repeated.
     """
     keys = [*held(series, by), "carrier"]
-    # the carriers of a series are the same on every row
+    # the targets of a series are the same on every row
     sizes = rows.groupBy(*held(rows, by), *SERIES).agg(
-        F.count("*").alias("_n"), F.min("row_idx").alias("_first"), F.first("carriers").alias("carriers")
+        F.count("*").alias("_n"), F.min("row_idx").alias("_first"), F.max("targets").alias("targets")
     )
     order = F.struct("member", "_first", "assetName", "carrierId")
     limits = one_row_per_carrier(sizes).groupBy(*keys).agg(F.min_by("_n", order).alias("_limit"))
@@ -131,7 +137,7 @@ def export_site_curves(
     ``merge_gas_codes`` is for name maps that are the same for electricity and gas:
     gas codes in asset names are unified and equal names summed before naming.
     """
-    rows = targets(raw, by).withColumn("carriers", F.array_remove("carriers", "co2")).where(F.size("carriers") > 0)
+    rows = targets(raw, by, ["electricity", "methane", "hydrogen"])
     series = align_to_first(one_row_per_carrier(number_hours(rows.drop("sector"), by, block)), rows, by)
     asset = text.unify_gas_code(F.col("assetName")) if merge_gas_codes else F.col("assetName")
     curves = series.select(*held(raw, by), "carrier", asset.alias("asset"), "hour", "mw")
