@@ -7,6 +7,7 @@ the rows mean is decided by DataFrame operators.
 
 from __future__ import annotations
 
+import gzip
 import io
 import tarfile
 from collections.abc import Iterator, Sequence
@@ -118,6 +119,36 @@ def read_cells(
     )
 
 
+def read_wide_files(spark: SparkSession, path: str | Sequence[str], sep: str = ";", hour: str | None = "hour") -> DataFrame:
+    """Wide curve files, gzip or plain, as long cells (path, hour, site, mw).
+
+    Each file may have columns of its own.  Without an ``hour`` column the position of
+    the row is the hour.
+    """
+    schema = T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("hour", T.IntegerType()),
+        T.StructField("site", T.StringType()), T.StructField("mw", T.DoubleType()),
+    ])
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path_, content in zip(batch["path"], batch["content"]):
+                data = io.BytesIO(content)
+                text = gzip.open(data) if content[:2] == b"\x1f\x8b" else data
+                row = 0
+                for piece in pd.read_csv(text, sep=sep, dtype=str, chunksize=ROWS, encoding="utf-8-sig"):
+                    at = piece.pop(hour).astype(int) if hour else pd.Series(range(row, row + len(piece)), index=piece.index)
+                    row += len(piece)
+                    piece.insert(0, "hour", at)
+                    long = piece.melt("hour", var_name="site", value_name="mw")
+                    long["mw"] = pd.to_numeric(long["mw"], errors="coerce")
+                    long.insert(0, "path", path_)
+                    yield long
+
+    cells = _archives(spark, path).mapInPandas(parse, schema)
+    return cells.withColumn("mw", F.when(~F.isnan("mw"), F.col("mw")))
+
+
 def first_member(rows: DataFrame, prefix: str, archive: Sequence[str] = ("path",)) -> DataFrame:
     """Rows of the first member of each archive whose name starts with ``prefix``."""
     found = rows.where(F.col("member").startswith(prefix))

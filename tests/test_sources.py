@@ -90,6 +90,18 @@ def test_wide_curves_with_keys_from_folders(spark, tmp_path):
         ("s1", "2030", 0, "a", 1.5), ("s1", "2030", 0, "b", None), ("s1", "2030", 1, "a", 2.5), ("s1", "2030", 1, "b", -1.0)]
 
 
+def test_wide_files_with_columns_of_their_own(spark, tmp_path):
+    write_gz(tmp_path / "s1" / "curves.csv.gz", "a;b;hour\n1.5;;0\n2.5;-1;1\n")
+    write_gz(tmp_path / "s2" / "curves.csv.gz", "hour;c\n5;7\n")
+    got = archives.read_wide_files(spark, f"{tmp_path}/*/curves.csv.gz")
+    keyed = got.withColumn("scenario_id", F.regexp_extract("path", r"([^/]+)/curves", 1))
+    assert rows(keyed, "scenario_id", "hour", "site", "mw") == [
+        ("s1", 0, "a", 1.5), ("s1", 0, "b", None), ("s1", 1, "a", 2.5), ("s1", 1, "b", -1.0), ("s2", 5, "c", 7.0)]
+    (tmp_path / "plain.csv").write_text("a\n1\n2\n")
+    plain = archives.read_wide_files(spark, str(tmp_path / "plain.csv"), hour=None)
+    assert rows(plain, "hour", "site", "mw") == [(0, "a", 1.0), (1, "a", 2.0)]
+
+
 def test_lookups(spark, tmp_path):
     (tmp_path / "cat.csv").write_text("KEY;carrier;product;category;sector\nk (MW);Electricity;Demand;Flex;Other\n")
     assert rows(tables.read_categories(spark, str(tmp_path / "cat.csv"))) == [("k (MW)", "Electricity", "Demand", "Flex", "Other")]
