@@ -1,24 +1,13 @@
-"""Shape of the plans: what must never appear, and what must reach the scan."""
+"""Shape of the plans: what must reach the scan, and how often a scan runs."""
 
 import os
 import sys
 
-import pytest
-
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry
 import plans
 
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "SinglePartition"]
-
-
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(("st", "snk1", "snk2", "src"))))
-def test_no_cross_join_no_python_no_single_partition(spark, sf_dir, name):
-    text = plans.plan_text(entry.queries()[name](spark, sf_dir))
-    assert [f for f in FORBIDDEN if f in text] == []
-
-
 def test_only_needed_columns_are_read(spark, sf_dir):
     text = plans.plan_text(entry.queries()["c9_mv_substation_flow"](spark, sf_dir))
     line = next(t for t in text.splitlines() if "FileScan" in t and "l_suppkey" in t)
