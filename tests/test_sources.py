@@ -31,7 +31,7 @@ def pack(path: Path, members: dict[str, str]) -> str:
 
 def test_site_records(spark, tmp_path):
     header = ",assetName,assetClass,carrierId,sector,allocationPower\n"
-    path = pack(tmp_path / "essim.tar.gz", {
+    path = pack(tmp_path / "series.tar.gz", {
         "a.csv": header + "0,Site A,EConnection,EL,x,2000000\n1,Site A,EConnection,EL,x,too,many,fields\n2,Site A,EConnection,EL,x,\n",
         "b.csv": ",other\n0,1\n",
         "c.csv": header + "0,CO2_F_1,GConnection,CO2_F,y,5\n",
@@ -48,7 +48,7 @@ def test_site_records(spark, tmp_path):
 def test_long_members_are_read_whole(spark, tmp_path):
     n = archives.ROWS * 2 + 5
     body = "".join(f"{i},{i}.5\n" for i in range(n))
-    path = pack(tmp_path / "etm.tar.gz", {"x.csv": "Time,other\n", "merit_order.csv": "Time,key (MW)\n" + body})
+    path = pack(tmp_path / "market.tar.gz", {"x.csv": "Time,other\n", "merit_order.csv": "Time,key (MW)\n" + body})
     got = archives.market_curves(spark, path)
     assert got.count() == n and got.agg(F.max("hour"), F.sum("mw")).first()[:] == (n - 1, sum(i + 0.5 for i in range(n)))
     assert rows(got.where("hour = 4100"), "market_key", "mw") == [("key (MW)", 4100.5)]
@@ -69,9 +69,9 @@ def test_gas_curves_and_links(spark, tmp_path):
 
 def test_many_archives_at_once(spark, tmp_path):
     for s in "abc":
-        pack(tmp_path / s / "etm.tar.gz", {"merit_order.csv": f"Time,k\nt,{ord(s)}\n"})
-    got = archives.market_curves(spark, f"{tmp_path}/*/etm.tar.gz")
-    keyed = got.withColumn("scenario_id", F.regexp_extract("path", r"([^/]+)/etm\.tar\.gz$", 1))
+        pack(tmp_path / s / "market.tar.gz", {"merit_order.csv": f"Time,k\nt,{ord(s)}\n"})
+    got = archives.market_curves(spark, f"{tmp_path}/*/market.tar.gz")
+    keyed = got.withColumn("scenario_id", F.regexp_extract("path", r"([^/]+)/market\.tar\.gz$", 1))
     assert rows(keyed, "scenario_id", "mw") == [("a", 97.0), ("b", 98.0), ("c", 99.0)]
 
 
