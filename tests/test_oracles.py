@@ -10,11 +10,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry
 import compare
 import plans
+from hourgrid.plans import oracles, queries
 
 # what no plan may hold: cross joins, Python workers, stages of one task
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "SinglePartition"]
 
-ORACLES = entry.oracle_sql()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,12 +24,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(entry.queries()) == sorted(ORACLES)
+    assert sorted(queries()) == sorted(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
+    df = queries()[name](spark, sf_dir)
     text = plans.plan_text(df)
     assert [f for f in FORBIDDEN if f in text] == []
     assert compare.compare(spark, con, name, lambda *_: df, ORACLES[name], sf_dir) is None
