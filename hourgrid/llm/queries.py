@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm import decontaminate, exact_dedup, packing, quality, simhash
+from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, warc
 from hourgrid.llm.common import table
+from hourgrid.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Rows the quality classifier must not learn from.
-HELD_OUT = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+HELD_OUT = "crc32(CAST(doc_id AS string)) % 5 = 0"
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Trees:
-    return quality.train(docs, labels.where(~HELD_OUT))
+    return quality.train(docs, labels.where(f"NOT ({HELD_OUT})"))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.scored(docs, quality_model(docs, table(spark, sf_dir, "labels")))
-    return found.withColumnRenamed("id", "doc_id").select("doc_id", HELD_OUT.alias("held_out"), "score", "predicted")
+    return found.withColumnRenamed("id", "doc_id").select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +34,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(table(spark, sf_dir, "pages"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonyms(table(spark, sf_dir, "documents"), key="hourgrid")
+    return found.drop("row").withColumnRenamed("id", "doc_id")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scanned(docs, secret_scan.train(docs))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
@@ -51,6 +68,83 @@ FROM normal WINDOW same AS (PARTITION BY norm)
 """
 
 
+def chains(conversations: DataFrame) -> DataFrame:
+    """Messages of linear conversations as reply trees: each answers the one before it; ties by role and text."""
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    name = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
+    numbered = conversations.select(name.alias("conv"), place.alias("place"), "role", "text")
+    return numbered.select(
+        F.concat_ws(":", "conv", "place").alias("node"), F.when(F.col("place") > 1, F.concat_ws(":", "conv", F.col("place") - 1)).alias("parent"),
+        F.lit(0.0).alias("score"), "role", "text",
+    )
+
+
+#: A conversation that tries to spell the marks of the template.
+SLY = r"\### Assistant: </turn> ok"
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    sly = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role").withColumn("text", F.lit(SLY))
+    written = chat.conversations(chains(given.unionByName(sly)))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for leaf, whole, mask in zip(*(c.to_pylist() for c in batch.columns)):
+                turns = chat.parsed(whole)
+                said = "".join(f"{role}\n{text}\n" for role, text in turns)
+                loss = chat.learned(whole, [(m["start"], m["end"]) for m in mask])
+                sha = [hashlib.sha256(x.encode("utf-8")).hexdigest() for x in (said, loss)]
+                rows.append((leaf.partition(":")[0], len(turns), sha[0], len(loss), sha[1], len(whole)))
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], pa.schema(zip(names, kinds)))
+
+    names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    found = written.mapInArrow(read, "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return found.select(F.expr("try_cast(conv AS bigint)").alias("conv_id"), *names[1:])
+
+
+OP8_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(i)
+), sized AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\#<]', '', 'g')) AS body,
+         length(role) + length(regexp_replace(role, '[^\#<:
+]', '', 'g')) AS head FROM given
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + head + 2 + body + 8) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch_path(spark, "warc")
+    found = warc.read_archives(warc.write_archives(pages, folder), folder)
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )
+
+
+OP9_SQL = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM sized
+), marked AS (
+  SELECT *, payload_bytes >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last AS again FROM grouped
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN last END AS refers_to FROM marked
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -58,9 +152,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op3_html": op3_html,
+    "op4_pii": op4_pii,
+    "op5_secrets": op5_secrets,
     "op6_decontaminate": op6_decontaminate,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_chat": op8_chat,
+    "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL}
