@@ -28,7 +28,7 @@ from hourgrid.llm.common import col, text_of
 LONGEST = 2048
 END_ID = 1
 STEP_TOKENS = 32 * LONGEST
-MEMORY = 3 << 19  # words and pieces whose ids a worker remembers
+WORDS_KEPT, PIECES_KEPT = 1 << 20, 3 << 19  # words, and pieces of words, whose ids a worker remembers
 STRETCH = 1 << 20  # bytes of a text that are split into words at once
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
@@ -60,6 +60,10 @@ class WordIds:
         return ids
 
     def _learn(self, words: list[bytes]) -> None:
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        if len(self.pieces) > PIECES_KEPT:
+            self.pieces.clear()
         text = self.tokenizer.normalizer.normalize_str(b" ".join(words).decode("utf-8"))
         if text.count(" ") != len(words) - 1:
             self.words.update((w, self.encoded(w.decode("utf-8"))) for w in words)
@@ -84,11 +88,8 @@ class WordIds:
             words = raw[at:to].split()
             ids = list(map(self.words.get, words))
             if None in ids:
-                if len(self.words) + len(self.pieces) > MEMORY:
-                    self.words.clear()
-                    self.pieces.clear()
-                self._learn(list(dict.fromkeys(w for w in words if w not in self.words)))
-                ids = map(self.words.__getitem__, words)
+                self._learn(list({w: None for w, known in zip(words, ids) if known is None}))
+                ids = [self.words[w] if known is None else known for w, known in zip(words, ids)]
             out.append(b"".join(ids))
             at = to
         return b"".join(out)
