@@ -110,9 +110,8 @@ WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(i)
 ), sized AS (
-  SELECT *, length(text) + length(regexp_replace(text, '[^\#<]', '', 'g')) AS body,
-         length(role) + length(regexp_replace(role, '[^\#<:
-]', '', 'g')) AS head FROM given
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS body,
+         length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g')) AS head FROM given
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
