@@ -33,7 +33,7 @@ def update_by_key(
 ) -> DataFrame:
     """Overwrite columns of the rows whose key occurs in ``updates``; no rows are added.
 
-    With several updates per key the last in ``order`` wins.
+    With several updates per key the last in ``order`` wins; without an order they are refused.
     """
     changes = _last(updates, key, columns, order)
     joined = table.join(changes, list(key), "left")
@@ -51,10 +51,17 @@ def _position(order: Sequence[str] | None) -> Column:
     return F.struct(*order) if order else F.lit(0)
 
 
+def _told_apart(picked: Column, order: Sequence[str] | None) -> Column:
+    """Without an order a key may have one update only; a second one is an error."""
+    if order:
+        return picked
+    return F.when(F.count(F.lit(1)) == 1, picked).otherwise(F.raise_error(F.lit("several updates of one key need an order")))
+
+
 def _last(updates: DataFrame, key: Sequence[str], columns: Sequence[str], order: Sequence[str] | None) -> DataFrame:
     return (
         updates.groupBy(*key)
-        .agg(F.max_by(F.struct(*columns), _position(order)).alias("_new"))
+        .agg(_told_apart(F.max_by(F.struct(*columns), _position(order)), order).alias("_new"))
         .withColumn("_hit", F.lit(True))
     )
 
@@ -69,11 +76,11 @@ def upsert(
     """Insert new keys; of known keys overwrite the listed columns only.
 
     Several updates of one key act in ``order``: the first inserts, the last sets
-    the overwritten columns.
+    the overwritten columns.  Without an order they are refused.
     """
     key = list(key)
     kept = [c for c in table.columns if c not in key and c not in overwrite]
-    aggregates = [F.max_by(F.struct(*overwrite), _position(order)).alias("_new")]
+    aggregates = [_told_apart(F.max_by(F.struct(*overwrite), _position(order)), order).alias("_new")]
     if kept:
         have = [c for c in kept if c in updates.columns]
         if have:

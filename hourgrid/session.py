@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -20,8 +21,8 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the local bench; on a cluster use the one it gives."""
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None) -> SparkSession:
+    """A session for tests and the local bench, with a folder of its own; on a cluster use the one it gives."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("hourgrid")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -29,24 +30,31 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     # small tables on few cores: keep the partitions that a cluster would merge
     builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     builder = builder.config("spark.driver.memory", memory)
+    builder = builder.config("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="hourgrid-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by the cluster.
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    A path without a scheme means the driver's own disk unless a default file system is set, so on a cluster a scheme is
+    asked for, or a default file system that is not local.  ``file:`` is taken at its word: it may be a shared mount.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="hourgrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not urlparse(folder).scheme and not _one_machine(spark.sparkContext.master):
+        default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+        if urlparse(default).scheme in ("", "file"):
+            raise ValueError(f"spark.checkpoint.dir is {folder}: on a cluster name its file system as well")
+    return folder.rstrip("/")
+
+
+def _one_machine(master: str) -> bool:
+    """``local`` and ``local[n]`` run in one process; ``local-cluster`` does not."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

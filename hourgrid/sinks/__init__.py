@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from hourgrid.keys import BY, held
 
 
+def _writer(df: DataFrame, partition: Sequence[str], mode: str) -> DataFrameWriter:
+    """Partitioned by the run keys; an overwrite replaces the runs that ``df`` holds and leaves the others.
+
+    Without any of the keys there is one result, and an overwrite replaces it.
+    """
+    keys = held(df, partition)
+    writer = df.write.mode(mode)
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys) if keys else writer
+
+
 def write_table(df: DataFrame, path: str, partition: Sequence[str] = BY, mode: str = "overwrite") -> None:
     """Parquet partitioned by run key: the system of record.
 
     Rows are not shuffled for the layout; a run's rows may come as several files.
     """
-    df.write.mode(mode).partitionBy(*held(df, partition)).parquet(path)
+    _writer(df, partition, mode).parquet(path)
 
 
 def write_csv(
@@ -23,9 +33,7 @@ def write_csv(
 ) -> None:
     """Gzip CSV with semicolons, partitioned by run key."""
     out = df.sortWithinPartitions(*sort) if sort else df
-    writer = out.write.mode(mode).option("sep", ";").option("header", True).option("compression", "gzip")
-    keys = held(df, partition)
-    (writer.partitionBy(*keys) if keys else writer).csv(path)
+    _writer(out, partition, mode).option("sep", ";").option("header", True).option("compression", "gzip").csv(path)
 
 
 def write_by_carrier(df: DataFrame, path: str, by: Sequence[str] = BY, mode: str = "overwrite") -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hourgrid.operators import scenarios
 from hourgrid.sources.messages import stream_batches
 
-__all__ = ["stream_batches", "fan_out", "write_records", "log_updates", "read_state", "compact_state"]
+__all__ = ["stream_batches", "fan_out", "write_records", "stream_name", "log_updates", "read_state", "compact_state"]
 
 
 def fan_out(records: DataFrame, plans: DataFrame, plan_field: str = "investmentPath") -> DataFrame:
@@ -26,29 +27,42 @@ def write_records(records: DataFrame, path: str, checkpoint: str, available_now:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def stream_name(checkpoint: str) -> str:
+    """Name of a stream in the log: a stream that starts over with another checkpoint is another stream."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode("utf-8")).hexdigest()[:16]
+
+
 def log_updates(
     updates: DataFrame, path: str, checkpoint: str, key: Sequence[str], order: Sequence[str], available_now: bool = True
 ) -> StreamingQuery:
     """Append the state updates of every batch to a log.
 
-    A batch is written to a folder of its own and a repeated batch overwrites that
-    folder, so redelivery changes nothing.  The cost of a batch is the batch, not the
-    state table.
+    A batch is written to a folder of its own, named by the stream and its number, and a
+    repeated batch overwrites that folder, so redelivery changes nothing.  A stream that
+    starts over with a new checkpoint has another name, so it leaves the old log alone.
+    The cost of a batch is the batch, not the state table.
     """
+    stream = stream_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # the same update may be delivered twice inside one batch
-        batch.dropDuplicates([*key, *order]).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # the same update may be delivered twice inside one batch; updates that differ are all kept
+        batch.dropDuplicates().write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
 
     writer = updates.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def read_state(
-    base: DataFrame, path: str, key: Sequence[str], overwrite: Sequence[str], order: Sequence[str], after: int = -1
+    base: DataFrame, path: str, key: Sequence[str], overwrite: Sequence[str], order: Sequence[str],
+    after: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """State table: the base with the logged updates applied in order."""
-    log = base.sparkSession.read.parquet(path).where(F.col("batch_id") > after)
+    """State table: the base with the logged updates applied, by batch and ``order``.
+
+    ``after`` names for each stream the last batch that the base holds already.
+    """
+    log = base.sparkSession.read.parquet(path)
+    for stream, batch_id in (after or {}).items():
+        log = log.where((F.col("stream") != stream) | (F.col("batch_id") > batch_id))
     return scenarios.upsert(base, log, key, overwrite, ["batch_id", *order])
 
 

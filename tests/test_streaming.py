@@ -66,6 +66,6 @@ def test_compacted_state_is_a_new_base(spark, tmp_path):
     base = streaming.compact_state(spark, state, str(tmp_path / "base1"))
     land(tmp_path / "in", "2.json", record(1, "b", "later"))
     streaming.log_updates(updates_of(spark, tmp_path / "in"), *args).awaitTermination()
-    got = streaming.read_state(base, str(tmp_path / "log"), key, overwrite, order, after=0)
+    got = streaming.read_state(base, str(tmp_path / "log"), key, overwrite, order, {streaming.stream_name(str(tmp_path / "check")): 0})
     assert rows(got) == [("1", "f", "b")]
     assert got.where(F.col("scenarioId") == "1").count() == 1
