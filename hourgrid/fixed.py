@@ -26,7 +26,7 @@ GAS_CODE_NAME = "CH4"
 
 IGNORED_SITE = "Rijnmond_Per"
 
-# carrier -> (export site, import site, balance node)
+# carrier -> (export site, import site), and carrier -> balance node
 SLACK_SITES = {
     "methane": ("CH4Export_Per", "CH4Import_Wijngaarden"),
     "hydrogen": ("ExportH2_Per", "ImportH2_MV"),

@@ -17,11 +17,13 @@ SKETCH_ACCURACY = 10_000
 
 
 def bounded_statistics(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Median, count and sum per group of at most one row per hour; nulls are dropped first."""
+    """Median, count and sum per group of at most one row per hour.
+
+    Nulls count as nothing; a group of nulls has count 0, no median and no sum.
+    """
     v = F.col(value)
     return (
-        rows.where(v.isNotNull())
-        .groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.median(v).alias("median"), F.count(v).alias("n"), F.sum(v).alias("total"))
     )
 

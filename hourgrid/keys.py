@@ -14,11 +14,28 @@ from pyspark.sql import DataFrame
 BY = ("scenario_id", "year")
 
 
+# columns that tell runs apart wherever they occur
+KEY_LIKE = ("scenario_id", "year", "plan", "design", "network_id")
+
+
 def held(df: DataFrame, by: Sequence[str]) -> list[str]:
-    """The run keys that ``df`` carries."""
+    """The run keys that ``df`` carries; a lookup may carry none."""
     return [c for c in by if c in df.columns]
 
 
+def run_keys(facts: DataFrame, by: Sequence[str]) -> list[str]:
+    """The run keys of a fact table, by which it is summed.
+
+    ``by=()`` stands for a single run.  Else a table without any of the keys is refused, and so is one that carries
+    another key of runs: its runs would be added up.
+    """
+    found = held(facts, by)
+    other = [c for c in KEY_LIKE if c in facts.columns and c not in by]
+    if other or by and not found:
+        raise ValueError(f"runs are told apart by {list(by)}, the table has {found + other}")
+    return found
+
+
 def shared(left: DataFrame, right: DataFrame, by: Sequence[str], *columns: str) -> list[str]:
     """Join columns: run keys held by both sides, then the named columns."""
     return [c for c in by if c in left.columns and c in right.columns] + list(columns)

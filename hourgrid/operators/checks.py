@@ -148,6 +148,12 @@ def series_length(curves: DataFrame, hours: int = HOURS_PER_YEAR, by: Sequence[s
     return lengths.where(F.col("n_hours") != F.lit(hours))
 
 
+def long_series(raw: DataFrame, hours: int = HOURS_PER_YEAR, by: Sequence[str] = BY) -> DataFrame:
+    """Series of raw members with more rows than the calendar has hours."""
+    keys = [*held(raw, by), "member", "assetName", "carrierId"]
+    return raw.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > hours)
+
+
 def scenarios_without_prices(scenarios: DataFrame, prices: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Scenarios without a price curve."""
     on = shared(scenarios, prices, by)

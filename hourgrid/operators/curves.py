@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.fixed import HOURS_PER_YEAR, IGNORED_SITE, MV_LIMIT_KV
 from hourgrid.functions import power, text
-from hourgrid.keys import BY, held, shared
+from hourgrid.keys import BY, held, run_keys, shared
 
 
 def categorise(
@@ -25,7 +25,7 @@ def categorise(
     lookup = lookup.select(*on, *columns)
     return (
         curves.join(lookup, on)
-        .groupBy(*held(curves, by), "hour", *columns)
+        .groupBy(*run_keys(curves, by), "hour", *columns)
         .agg(F.sum("mw").alias("mw"))
     )
 
@@ -34,7 +34,7 @@ def regionalise(categorised: DataFrame, weights: DataFrame, by: Sequence[str] =
     """Spread every sector over the nodes by weight; the join on sector is the fan-out."""
     on = shared(categorised, weights, by, "sector")
     return categorised.join(weights.select(*on, "node", "weight"), on).select(
-        *held(categorised, by), "hour", "node", "product", "sector", (F.col("mw") * F.col("weight")).alias("mw")
+        *run_keys(categorised, by), "hour", "node", "product", "sector", (F.col("mw") * F.col("weight")).alias("mw")
     )
 
 
@@ -72,7 +72,7 @@ def lift_to_high_voltage(sites: DataFrame, exceptions: DataFrame | None = None,
 def net_by_sector(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Signed net power per hour, node and sector."""
     on = shared(curves, sites, by, "site")
-    keys = list(dict.fromkeys(held(curves, by) + held(sites, by)))
+    keys = list(dict.fromkeys(run_keys(curves, by) + held(sites, by)))
     lookup = sites.select(*held(sites, by), "site", F.col("substation").alias("node"), "sector")
     return curves.join(lookup, on).groupBy(*keys, "hour", "node", "sector").agg(F.sum("mw").alias("mw"))
 
@@ -118,7 +118,7 @@ def drop_idle_unknown_sites(curves: DataFrame, sites: DataFrame, by: Sequence[st
     """Remove sites that no design knows and that carry no power; other unknown sites stay."""
     on = shared(curves, sites, by, "site")
     unknown = curves.join(sites.select(*on), on, "left_anti")
-    keys = held(curves, by) + ["site"]
+    keys = run_keys(curves, by) + ["site"]
     idle = unknown.groupBy(*keys).agg(F.sum("mw").alias("_sum"))
     idle = idle.where(F.round(F.coalesce("_sum", F.lit(0.0)), 9) == 0).select(*keys)
     return curves.join(idle, keys, "left_anti")
@@ -131,7 +131,7 @@ def drop_site(curves: DataFrame, site: str = IGNORED_SITE) -> DataFrame:
 
 def series_lengths(curves: DataFrame, by: Sequence[str] = BY, alias: str = "n_hours") -> DataFrame:
     """Number of hours of each run, from its last hour."""
-    return curves.groupBy(*held(curves, by)).agg((F.max("hour") + 1).alias(alias))
+    return curves.groupBy(*run_keys(curves, by)).agg((F.max("hour") + 1).alias(alias))
 
 
 def common_length(
@@ -165,7 +165,7 @@ def align_series(
 
 def demand_supply_wide(curves: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Demand and supply side by side per hour and node."""
-    keys = held(curves, by)
+    keys = run_keys(curves, by)
     side = lambda p: F.coalesce(F.sum(F.when(F.col("product") == p, F.col("mw"))), F.lit(0.0))
     return curves.groupBy(*keys, "hour", "node").agg(side("Demand").alias("demand"), side("Supply").alias("supply"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.fixed import CHUNK_HOURS
 from hourgrid.functions import power, time
-from hourgrid.keys import BY, held, per_run, shared
+from hourgrid.keys import BY, held, per_run, run_keys, shared
 from hourgrid.operators import curves as c
 
 CELL = ["hour", "product", "sector"]
@@ -33,7 +33,7 @@ def _zero(name: str) -> Column:
 def market_totals(market: DataFrame, exceptions: Sequence[str], by: Sequence[str] = BY) -> DataFrame:
     """Totals per hour, product and sector: ``t`` outside the exception nodes, ``inside`` on them."""
     inside = F.col("node").isin(list(exceptions)) if exceptions else F.lit(False)
-    return market.groupBy(*held(market, by), *CELL).agg(
+    return market.groupBy(*run_keys(market, by), *CELL).agg(
         F.sum(F.when(~inside, F.col("mw")).otherwise(0.0)).alias("t"),
         F.sum(F.when(inside, F.col("mw")).otherwise(0.0)).alias("inside"),
     )
@@ -50,14 +50,14 @@ def weighted_totals(
     )
     on = shared(categorised, shares, by, "sector")
     return categorised.join(shares, on).select(
-        *held(categorised, by), *CELL,
+        *run_keys(categorised, by), *CELL,
         (F.col("mw") * F.col("_out")).alias("t"),
         (F.col("mw") * F.col("_in")).alias("inside"),
     )
 
 
 def site_totals(simulated: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    return simulated.groupBy(*held(simulated, by), *CELL).agg(F.sum("mw").alias("hx"))
+    return simulated.groupBy(*run_keys(simulated, by), *CELL).agg(F.sum("mw").alias("hx"))
 
 
 def discounts(
@@ -69,7 +69,7 @@ def discounts(
     only the difference is discounted.  A sector the sites do not have at all is
     not discounted.
     """
-    keys = held(site, by)
+    keys = run_keys(site, by)
     # a market without all run keys serves every run that shares the ones it has
     cells = per_run(totals, site, keys).join(site, [*keys, *CELL], "full_outer")
     # one row per hour in each window: as long as the calendar at most
@@ -97,7 +97,7 @@ def _kept() -> Column:
 
 def imbalanced_chunks(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """One flag per run and chunk: does any hour owe more than the market has?"""
-    return cells.groupBy(*held(cells, by), "chunk").agg(F.bool_or(_short()).alias("imbalanced"))
+    return cells.groupBy(*run_keys(cells, by), "chunk").agg(F.bool_or(_short()).alias("imbalanced"))
 
 
 def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
@@ -110,7 +110,7 @@ def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     Both windows share one shuffle by run and chunk; a chunk has as many rows as it
     has hours and sectors, whatever the data.
     """
-    keys = held(cells, by)
+    keys = run_keys(cells, by)
     chunk = Window.partitionBy(*keys, "chunk")
     product = Window.partitionBy(*keys, "chunk", "hour", "product")
     # the chunk comes first: its shuffle serves the narrower window as well
@@ -129,7 +129,7 @@ def factors(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
 
 def undistributable(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Hours and products with a residual but no market power to carry it (diagnostics)."""
-    keys = held(cells, by)
+    keys = run_keys(cells, by)
     n1 = F.sum(F.col("t") * _kept())
     products = cells.groupBy(*keys, "chunk", "hour", "product").agg(
         F.round(n1, COMPARE).alias("remaining"),
@@ -141,7 +141,7 @@ def undistributable(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
 
 def _net(market: DataFrame, simulated: DataFrame, by: Sequence[str]) -> DataFrame:
     """Supply minus demand of both sources per run, hour and node."""
-    keys = held(simulated, by)
+    keys = run_keys(simulated, by)
     net = power.signed(F.col("product"), F.col("mw")).alias("power")
     both = market.select(*keys, "hour", "node", net).unionByName(simulated.select(*keys, "hour", "node", net))
     return both.groupBy(*keys, "hour", "node").agg((F.sum("power") + F.lit(0.0)).alias("power"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import fixed
 from hourgrid.functions import power, time
-from hourgrid.keys import BY, held, shared
+from hourgrid.keys import BY, held, run_keys, shared
 
 
 def _by_carrier(carrier_values: Mapping[str, str]):
@@ -23,7 +23,7 @@ def _by_carrier(carrier_values: Mapping[str, str]):
 
 def hourly_balance(curves: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Sum over all sites per carrier and hour."""
-    return curves.groupBy(*held(curves, by), "carrier", "hour").agg(F.sum("mw").alias("residual"))
+    return curves.groupBy(*run_keys(curves, by), "carrier", "hour").agg(F.sum("mw").alias("residual"))
 
 
 def balance_on_slack(
@@ -31,27 +31,26 @@ def balance_on_slack(
 ) -> DataFrame:
     """Make every hour sum to 0: surplus leaves on the export site, shortage comes from the import site.
 
-    Only the rows of the slack sites are shuffled to meet their correction.
+    One sum per run, carrier and hour holds the balance and what the two slack sites
+    carry; their corrected rows are made from it, all other rows stay where they are.
     """
-    keys = held(curves, by)
+    keys = [*run_keys(curves, by), "carrier", "hour"]
     out_site = _by_carrier({k: v[0] for k, v in slack.items()})
     in_site = _by_carrier({k: v[1] for k, v in slack.items()})
-    r = F.coalesce("residual", F.lit(0.0))
-    fixes = F.array(
-        F.struct(out_site.alias("site"), (-F.least(r, F.lit(0.0))).alias("fix")),
-        F.struct(in_site.alias("site"), (-F.greatest(r, F.lit(0.0))).alias("fix")),
+    is_slack = F.coalesce((F.col("site") == out_site) | (F.col("site") == in_site), F.lit(False))
+    on_site = lambda site: F.sum(F.when(F.col("site") == site, F.col("mw")))
+    hours = (
+        curves.where(F.col("carrier").isin(list(slack)))
+        .groupBy(*keys)
+        .agg(F.sum("mw").alias("_r"), on_site(out_site).alias("_out"), on_site(in_site).alias("_in"))
     )
-    balanced = F.col("carrier").isin(list(slack))
-    corrections = (
-        hourly_balance(curves.where(balanced), by)
-        .select(*keys, "carrier", "hour", F.explode(fixes).alias("_f"))
-        .select(*keys, "carrier", "hour", "_f.site", "_f.fix")
+    r, zero = F.coalesce("_r", F.lit(0.0)), F.lit(0.0)
+    rows = F.array(
+        F.struct(out_site.alias("site"), (F.coalesce("_out", zero) - F.least(r, zero)).alias("mw")),
+        F.struct(in_site.alias("site"), (F.coalesce("_in", zero) - F.greatest(r, zero)).alias("mw")),
     )
-    is_slack = F.coalesce((F.col("site") == out_site) | (F.col("site") == in_site), F.lit(False))
-    on = [*keys, "carrier", "hour", "site"]
-    slack_rows = curves.where(is_slack).select(*on, "mw").join(corrections, on, "full_outer")
-    corrected = slack_rows.select(*on, (F.coalesce("mw", F.lit(0.0)) + F.coalesce("fix", F.lit(0.0))).alias("mw"))
-    return curves.where(~is_slack).select(*on, "mw").unionByName(corrected)
+    corrected = hours.select(*keys, F.explode(rows).alias("_s")).select(*keys, "_s.site", "_s.mw")
+    return curves.where(~is_slack).select(*keys, "site", "mw").unionByName(corrected)
 
 
 def clean_sites(sites: DataFrame) -> DataFrame:
@@ -66,7 +65,7 @@ def fitted_length(
 
     ``market_length`` holds ``market_hours`` per run and carrier.
     """
-    keys = [*held(curves, by), "carrier"]
+    keys = [*run_keys(curves, by), "carrier"]
     lengths = curves.where(F.col("hour") < hours).groupBy(*keys).agg((F.max("hour") + 1).alias("_n"))
     on = shared(lengths, market_length, by, "carrier")
     joined = lengths.join(market_length.select(*on, "market_hours"), on, "left")
@@ -82,7 +81,7 @@ def fit_calendar(
     The rows of the last hour are repeated where they are; nothing but the lengths is
     shuffled.
     """
-    keys = [*held(curves, by), "carrier"]
+    keys = [*run_keys(curves, by), "carrier"]
     lengths = fitted_length(curves, market_length, hours, by)
     last = (F.col("hour") == F.col("_n") - 1) & (F.col("_to") > F.col("_n"))
     spread = F.when(last, F.sequence(F.col("hour"), F.col("_to") - 1)).otherwise(F.array("hour"))
@@ -93,7 +92,7 @@ def fit_calendar(
 def site_power(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Net power per hour and node of the listed sites."""
     on = shared(curves, sites, by, "carrier", "site")
-    keys = list(dict.fromkeys(held(curves, by) + held(sites, by)))
+    keys = list(dict.fromkeys(run_keys(curves, by) + held(sites, by)))
     lookup = sites.select(*held(sites, by), "carrier", "site", F.col("substation").alias("node"))
     return curves.join(lookup, on).groupBy(*keys, "carrier", "hour", "node").agg(F.sum("mw").alias("mw"))
 
@@ -111,7 +110,7 @@ def fold_balance_sites(
     ``lengths`` gives the hours (``_to``) per run and carrier.
     """
     on = shared(curves, sites, by, "carrier", "site")
-    keys = list(dict.fromkeys(held(curves, by) + held(sites, by)))
+    keys = list(dict.fromkeys(run_keys(curves, by) + held(sites, by)))
     lookup = sites.select(*held(sites, by), "carrier", "site", F.col("substation").alias("node"))
     listed = curves.join(lookup, on).select(*keys, "carrier", "hour", "node", "mw")
     networks = sites.select(*held(sites, by), "carrier").distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.fixed import CONSTANT_WEIGHT, HOURS_PER_YEAR, HYDROGEN_NODES
 from hourgrid.functions import power, quantiles
-from hourgrid.keys import BY, held, per_run, shared
+from hourgrid.keys import BY, held, per_run, run_keys, shared
 from hourgrid.operators.curves import medium_voltage_sites
 
 RESULT = ["weighFactor", "overloadVolume", "overloadMedian", "overloadFreq", "overloadScore", "overloadCalculated"]
@@ -58,7 +58,7 @@ def element_excess(flows: DataFrame, elements: DataFrame, by: Sequence[str] = BY
     """Hourly excess of every element; rows within the capacity are dropped."""
     on = shared(flows, elements, by, "element_type", "element_id")
     joined = flows.join(elements.select(*on, "capacity"), on)
-    keys = list(dict.fromkeys(held(flows, by) + held(elements, by)))
+    keys = list(dict.fromkeys(run_keys(flows, by) + held(elements, by)))
     over = power.excess(F.col("mva"), F.col("capacity"))
     return joined.select(*keys, "element_type", "element_id", "hour", over.alias("excess")).where("excess is not null")
 
@@ -73,7 +73,7 @@ def element_overload(
     Statistics are per element id, because names may repeat.  There is one flow per
     element and hour, so a group is as long as the calendar at most.
     """
-    keys = list(dict.fromkeys(held(flows, by) + held(elements, by)))
+    keys = list(dict.fromkeys(run_keys(flows, by) + held(elements, by)))
     on = [*keys, "element_type", "element_id"]
     stats = quantiles.bounded_statistics(element_excess(flows, elements, by), on, "excess")
     elements = per_run(elements, flows if runs is None else runs, by)
@@ -115,7 +115,7 @@ def network_overload(
 def site_flow(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Net flow per substation and hour of the listed sites."""
     on = shared(curves, sites, by, "site")
-    keys = list(dict.fromkeys(held(curves, by) + held(sites, by)))
+    keys = list(dict.fromkeys(run_keys(curves, by) + held(sites, by)))
     lookup = sites.select(*held(sites, by), "site", "substation")
     return curves.join(lookup, on).groupBy(*keys, "hour", "substation").agg(F.sum("mw").alias("mw"))
 
@@ -136,7 +136,7 @@ def substation_excess(flow: DataFrame, substations: DataFrame, by: Sequence[str]
     on = shared(flow, substations, by, "substation")
     joined = flow.join(substations.select(*on, "nx_capacity"), on, "left")
     over = power.signed_excess(F.col("mw"), F.col("nx_capacity"))
-    return joined.select(*held(flow, by), "hour", "substation", over.alias("excess"))
+    return joined.select(*run_keys(flow, by), "hour", "substation", over.alias("excess"))
 
 
 def substation_overload(
@@ -154,24 +154,24 @@ def substation_overload(
     at most.
     """
     reduced = reduced_capacity(substations, n, mode)
-    keys = held(flow, by)
+    keys = run_keys(flow, by)
     on = [*keys, "substation"]
     stats = quantiles.bounded_statistics(substation_excess(flow, reduced, by), on, "excess")
     listed = per_run(reduced, flow, by).select(*on, "nx_capacity")
-    stations = listed.join(flow.select(*on).distinct(), on, "full_outer")
     keep = [
         *[F.col(k) for k in keys],
         F.col("substation").alias("elementName"),
         F.lit("substation").alias("elementType"),
         F.coalesce("nx_capacity", F.lit(0.0)).alias("elementCapacity"),
     ]
-    return _scores(stations, stats, on, "left", F.lit(factor), keep)
+    # stations that stay within their capacity come from the statistics as well, with count 0
+    return _scores(listed, stats, on, "full_outer", F.lit(factor), keep)
 
 
 def link_excess(flows: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Excess of every link row over its limit, both signs; nameless links are dropped."""
     over = power.link_excess(F.col("berekening"), F.col("voorwaarde"))
-    return flows.where(F.col("naam").isNotNull()).select(*held(flows, by), "naam", over.alias("excess"))
+    return flows.where(F.col("naam").isNotNull()).select(*run_keys(flows, by), "naam", over.alias("excess"))
 
 
 def link_overload(flows: DataFrame, factors: DataFrame, by: Sequence[str] = BY) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import fixed
 from hourgrid.functions import time
-from hourgrid.keys import BY, held, shared
+from hourgrid.keys import BY, held, run_keys, shared
 
 
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
@@ -23,7 +23,7 @@ def sum_by_class(merit_order: DataFrame, classes: DataFrame, by: Sequence[str] =
     on = shared(merit_order, classes, by, "market_key")
     return (
         merit_order.join(classes.select(*on, "profile"), on)
-        .groupBy(*held(merit_order, by), "profile", "hour")
+        .groupBy(*run_keys(merit_order, by), "profile", "hour")
         .agg(F.sum("mw").alias("mw"))
     )
 
@@ -37,7 +37,7 @@ def normalise(
     The peak is an aggregate joined back (combined map-side), not a window over the
     whole series.
     """
-    keys = [*held(series, by), name]
+    keys = [*run_keys(series, by), name]
     peaks = series.groupBy(*keys).agg(F.max("mw").alias("_peak"))
     share = F.try_divide(F.col("mw"), F.col("_peak") * F.lit(margin))
     value = F.when(share == 0, F.lit(idle)).otherwise(share)
@@ -47,13 +47,15 @@ def normalise(
 def plant_profiles(
     merit_order: DataFrame,
     classes: DataFrame | None = None,
-    hours: int = fixed.HOURS_PER_YEAR,
     by: Sequence[str] = BY,
 ) -> DataFrame:
-    """Profile elements (from, to, value) per plant class."""
+    """Profile elements (from, to, value) per plant class, for all hours there are.
+
+    Whether a run has a full calendar is for ``quality.checked_plant_profiles`` to say.
+    """
     if classes is None:
         classes = lookup_table(merit_order.sparkSession, fixed.PLANT_CLASS_OF_KEY, "market_key", "profile")
-    shares = normalise(sum_by_class(merit_order.where(F.col("hour") < hours), classes, by), by=by)
+    shares = normalise(sum_by_class(merit_order, classes, by), by=by)
     return profile_elements(shares, by)
 
 
@@ -61,14 +63,14 @@ def profile_elements(values: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Hour positions to intervals of one hour."""
     hour = F.col("hour")
     return values.select(
-        *held(values, by), "profile", time.profile_from(hour).alias("from_ts"), time.profile_to(hour).alias("to_ts"), "value"
+        *run_keys(values, by), "profile", time.profile_from(hour).alias("from_ts"), time.profile_to(hour).alias("to_ts"), "value"
     )
 
 
 def price_profile(prices: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Hourly prices as profile elements."""
     values = prices.select(
-        *held(prices, by), F.lit("ElectricityPriceProfile").alias("profile"), "hour", F.col("price").alias("value")
+        *run_keys(prices, by), F.lit("ElectricityPriceProfile").alias("profile"), "hour", F.col("price").alias("value")
     )
     return profile_elements(values, by)
 
@@ -91,7 +93,7 @@ def assign_profiles(
     carries electricity; its inlet is the last in-port up to the electricity port.
     The first plant of a profile owns it, later ones refer to it.
     """
-    keys = held(ports, by)
+    keys = run_keys(ports, by)
     asset = [*keys, "asset_id"]
     # carriers as numbers (0: not listed), so that the aggregates hash instead of sorting
     listed = F.array(*[F.lit(c) for c in class_of_carrier])

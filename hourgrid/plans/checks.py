@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourgrid.operators import checks, curves, quality
+from hourgrid.operators import checks, curves, profiles, quality
 from hourgrid.plans import views as v
+from hourgrid.plans.profiles import CLASSES
 from hourgrid.plans.registry import query
 from hourgrid.plans.views import NETWORK, SCENARIO, define
 
@@ -163,6 +164,10 @@ def quarantine(spark, d):
         WHERE NOT EXISTS (SELECT 1 FROM shifted_site k WHERE k.scenario_id = c.scenario_id AND k.site = c.site)
     UNION ALL SELECT scenario_id, 'site without curve', site FROM shifted_site k
         WHERE NOT EXISTS (SELECT 1 FROM site_curve c WHERE k.scenario_id = c.scenario_id AND k.site = c.site)
+    UNION ALL SELECT DISTINCT c.scenario_id, 'sector not in market', p.product || ' ' || sector FROM (SELECT DISTINCT scenario_id, site FROM site_curve) c
+        JOIN (SELECT scenario_id, CAST(CAST(site AS BIGINT) + 3 AS VARCHAR) AS site, sector FROM site) k ON k.scenario_id = c.scenario_id AND k.site = c.site,
+        (VALUES ('Demand'), ('Supply')) AS p(product)
+        WHERE (p.product, sector) NOT IN (SELECT (product, sector) FROM categories WHERE category <> 'Flex')
     UNION ALL SELECT DISTINCT scenario_id, 'substation without bus', replace(substation, 'N', 'Q') FROM lifted_site""")
 def electricity(spark, d):
     sites = v.site(spark, d).withColumns(
@@ -173,3 +178,116 @@ def electricity(spark, d):
 
 
 define("shifted_site", "SELECT scenario_id, CAST(CAST(site AS BIGINT) + 3 AS VARCHAR) AS site FROM site")
+
+# checked stages: scenario O passes, scenario F (network 0001) has faults put in
+
+
+def _half_sites(spark, d):
+    """Sites with one left out in scenario F."""
+    return v.site(spark, d).where(~((F.col("scenario_id") == "F") & (F.col("site") == "7")))
+
+
+def _full_categories(spark, d):
+    """Categories in which every sector has both products."""
+    return v.categories(spark, d).unionByName(
+        v.categories(spark, d).where("market_key = 'click_0'").withColumns({"market_key": F.lit("error_2"), "product": F.lit("Supply")})
+    )
+
+
+def _checked_electricity(spark, d):
+    market = v.market_curve(spark, d)
+    extra = market.where("market_key = 'click_0'").withColumn("market_key", F.lit("error_2"))
+    return quality.checked_nodal_power(
+        market.unionByName(extra), v.site_curve(spark, d), _full_categories(spark, d), v.weights(spark, d), _half_sites(spark, d),
+        exceptions="R4", by=SCENARIO,
+    )
+
+
+@query("q_electricity_offenders", """SELECT 'F' AS scenario_id, 'curve without site' AS "check", '7' AS item
+    WHERE EXISTS (SELECT 1 FROM site_curve WHERE scenario_id = 'F' AND site = '7')""")
+def q_electricity_offenders(spark, d):
+    return _checked_electricity(spark, d)[1]
+
+
+@query("q_electricity_runs", """SELECT DISTINCT scenario_id FROM site_curve
+    WHERE scenario_id <> 'F' OR NOT EXISTS (SELECT 1 FROM site_curve WHERE scenario_id = 'F' AND site = '7')""")
+def q_electricity_runs(spark, d):
+    return _checked_electricity(spark, d)[0].select("scenario_id").distinct()
+
+
+def _gas_market(spark, d):
+    """Gas market curves: in scenario F the hydrogen market is as short as the sites', so nothing is padded."""
+    hours = F.when(F.col("carrier") == "methane", F.col("market_hours")).otherwise(F.when(F.col("scenario_id") == "F", 10).otherwise(v.CALENDAR))
+    return v.market_length(spark, d).select("scenario_id", "carrier", F.explode(F.sequence(F.lit(0), hours - 1)).alias("hour"))
+
+
+define("gas_bad", f"""SELECT scenario_id, carrier, n FROM gas_length WHERE scenario_id = 'F' AND carrier = 'hydrogen' AND n <> {v.CALENDAR}""")
+
+
+@query("q_gas_offenders", """SELECT scenario_id, 'series length' AS "check", 'hydrogen ' || n AS item FROM gas_bad""")
+def q_gas_offenders(spark, d):
+    return quality.checked_gas_input(v.gas_curve(spark, d), v.gas_site(spark, d), _gas_market(spark, d), v.CALENDAR, NETWORK)[1]
+
+
+@query("q_gas_hours", f"""SELECT g.scenario_id, network_id, carrier, CAST({v.CALENDAR} AS BIGINT) AS n_hours FROM (SELECT DISTINCT scenario_id, carrier FROM gas_curve) g
+    JOIN (SELECT DISTINCT network_id FROM gas_site) ON true WHERE scenario_id NOT IN (SELECT scenario_id FROM gas_bad)""")
+def q_gas_hours(spark, d):
+    result, _ = quality.checked_gas_input(v.gas_curve(spark, d), v.gas_site(spark, d), _gas_market(spark, d), v.CALENDAR, NETWORK)
+    hours = result.groupBy("scenario_id", "network_id", "carrier").agg(F.count_distinct("dag", "uur").alias("n_hours"))
+    return hours
+
+
+def _flows(spark, d):
+    """In network 0001 two elements are numbered out of the network."""
+    out = (F.col("network_id") == "0001") & F.col("element_id").isin(3, 4) & (F.col("element_type") == "line")
+    return v.element_flow(spark, d).withColumn("element_id", F.when(out, F.col("element_id") + 10**9).otherwise(F.col("element_id")))
+
+
+def _with_flow(spark, d, kind, table):
+    """Network elements that have a flow."""
+    seen = v.element_flow(spark, d).where(F.col("element_type") == kind).select("network_id", "element_id").distinct()
+    return table.join(seen, ["network_id", "element_id"], "left_semi")
+
+
+def _checked_overload(spark, d):
+    lines, trafos = _with_flow(spark, d, "line", v.line(spark, d)), _with_flow(spark, d, "trafo", v.trafo(spark, d))
+    return quality.checked_network_overload(_flows(spark, d), lines, trafos, v.bus(spark, d), NETWORK)
+
+
+define("moved_line", """SELECT DISTINCT f.element_id FROM element_flow f JOIN line l ON f.network_id = l.network_id AND f.element_id = l.element_id
+    WHERE f.network_id = '0001' AND element_type = 'line' AND f.element_id IN (3, 4)""")
+
+
+@query("q_overload_offenders", """SELECT CAST(NULL AS VARCHAR) AS scenario_id, '0001' AS network_id, 'element mismatch' AS "check",
+    'line ' || (element_id + 1000000000) || ' not in network' AS item FROM moved_line
+    UNION ALL SELECT NULL, '0001', 'element mismatch', 'line ' || element_id || ' without flow' FROM moved_line""")
+def q_overload_offenders(spark, d):
+    bad = _checked_overload(spark, d)[1]
+    return bad.select(F.lit(None).cast("string").alias("scenario_id"), "network_id", "check", "item")
+
+
+@query("q_overload_networks", """SELECT network_id, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT f.network_id, f.element_type, f.element_id FROM element_flow f
+    JOIN (SELECT network_id, 'line' AS t, element_id FROM line UNION ALL SELECT network_id, 'trafo', element_id FROM trafo) e
+    ON f.network_id = e.network_id AND f.element_type = e.t AND f.element_id = e.element_id)
+    WHERE network_id <> '0001' OR NOT EXISTS (SELECT 1 FROM moved_line) GROUP BY ALL""")
+def q_overload_networks(spark, d):
+    scored = _checked_overload(spark, d)[0]
+    return scored.groupBy("network_id").agg(F.count_distinct("elementType", "element_id").alias("n"))
+
+
+def _checked_profiles(spark, d):
+    """Market curves cut to the base hours; scenario F lacks the last of them."""
+    short = (F.col("scenario_id") == "F") & (F.col("hour") == v.EVENT_HOURS - 1)
+    market = v.market_curve(spark, d).where((F.col("hour") < v.EVENT_HOURS) & ~short)
+    classes = profiles.lookup_table(spark, CLASSES, "market_key", "profile")
+    return quality.checked_plant_profiles(market, classes, hours=v.EVENT_HOURS, by=SCENARIO)
+
+
+@query("q_profile_offenders", f"""SELECT 'F' AS scenario_id, 'series length' AS "check", '{v.EVENT_HOURS - 1}' AS item""")
+def q_profile_offenders(spark, d):
+    return _checked_profiles(spark, d)[1]
+
+
+@query("q_profile_hours", f"""SELECT 'O' AS scenario_id, profile, CAST({v.EVENT_HOURS} AS BIGINT) AS n FROM (SELECT DISTINCT profile FROM plant_class)""")
+def q_profile_hours(spark, d):
+    return _checked_profiles(spark, d)[0].groupBy("scenario_id", "profile").agg(F.count("*").alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hourgrid.fixed import HYDROGEN_NODES
 from hourgrid.functions import power, text
 from hourgrid.operators import curves, overload
 from hourgrid.plans import views as v
@@ -245,7 +246,7 @@ def p24(spark, d):
     return overload.link_excess(v.link_flow(spark, d), SCENARIO)
 
 
-_H2 = "('W1_001','W1_002','W1_003','W1_004','HW_001','HW_002','HW_003','HW_004','HW_005','HW_006','HW_007','BAL_H')"
+_H2 = "(" + ", ".join(f"'{n}'" for n in HYDROGEN_NODES) + ")"
 
 
 @query("p25_split_links", f"""SELECT scenario_id, name, length_km, from_node, to_node, 'hydrogen' AS carrier FROM link_factor

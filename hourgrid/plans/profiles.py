@@ -8,7 +8,7 @@ from hourgrid.fixed import PLANT_CLASS_OF_CARRIER
 from hourgrid.operators import profiles
 from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
-from hourgrid.plans.views import EVENT_HOURS, SCENARIO, define
+from hourgrid.plans.views import SCENARIO, define
 
 # Market key of the test views -> plant class
 CLASSES = {
@@ -74,7 +74,7 @@ _STAMP = "TIMESTAMP '2018-12-31 23:00:00' + to_hours(hour{}) AS {}"
     ON h.scenario_id = p.scenario_id AND h.profile = p.profile""")
 def c13(spark, d):
     classes = profiles.lookup_table(spark, CLASSES, "market_key", "profile")
-    return profiles.plant_profiles(v.market_curve(spark, d), classes, EVENT_HOURS, SCENARIO)
+    return profiles.plant_profiles(v.market_curve(spark, d), classes, SCENARIO)
 
 
 @query("p26_profile_interval", f"SELECT scenario_id, hour, site, {_STAMP.format('', 'from_ts')}, {_STAMP.format(' + 1', 'to_ts')} FROM site_curve")

@@ -230,6 +230,7 @@ def asset_row(spark: SparkSession, d: str) -> DataFrame:
     return lines.join(part, lines["l_partkey"] == part["p_partkey"]).select(
         F.col("l_linestatus").alias("scenario_id"),
         F.concat(F.lit("M"), F.col("l_partkey").cast("string")).alias("member"),
+        (F.col("l_partkey") * 7919 % 1000003).cast("int").alias("member_pos"),
         ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 4096 + _ship_day()).alias("row_idx"),
         name.alias("assetName"),
         klass.otherwise(F.lit("Import")).alias("assetClass"),
@@ -350,7 +351,7 @@ SQL = {
         FROM supplier, {_SCEN}, (VALUES ('methane'), ('hydrogen')) AS c(carrier), (VALUES ('11'), ('12')) AS n(network_id)""",
     "market_length": f"""SELECT scenario_id, carrier, CASE WHEN carrier = 'methane' THEN {CALENDAR} ELSE 2000 END AS market_hours
         FROM {_SCEN}, (VALUES ('methane'), ('hydrogen')) AS c(carrier)""",
-    "asset_row": f"""SELECT l_linestatus AS scenario_id, 'M' || l_partkey AS member,
+    "asset_row": f"""SELECT l_linestatus AS scenario_id, 'M' || l_partkey AS member, CAST(l_partkey * 7919 % 1000003 AS INTEGER) AS member_pos,
         (l_orderkey * 8 + l_linenumber) * 4096 + {_DAY} AS row_idx,
         {ASSET_NAMES}[p_size % 6 + 1] || '_' || {_BRAND} AS "assetName",
         CASE l_returnflag WHEN 'A' THEN 'EConnection' WHEN 'R' THEN 'GConnection' ELSE 'Import' END AS "assetClass",

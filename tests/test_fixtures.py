@@ -215,7 +215,7 @@ def test_routing(spark):
         ("s", "h", 0, "ImportH2_MV", "Import", None, "x", 7e6),
         ("s", "n", 0, None, "EConnection", "c", "x", 8e6),
     ], RAW)
-    got = rows(export.route(raw, S), "carrier", "member", "row_idx", "mw")
+    got = rows(export.route(raw.withColumn("member_pos", F.ascii("member")), S), "carrier", "member", "row_idx", "mw")
     assert got == [
         ("electricity", "e", 0, 2.0), ("electricity", "e", 1, 4.0), ("hydrogen", "g", 1, 3.0), ("hydrogen", "h", 0, 7.0),
         ("methane", "g", 0, 1.0), ("methane", "i", 0, 5.0)]
@@ -227,6 +227,7 @@ def test_export_aligns_names_and_hours(spark):
         + [("s", "m2", i, "B", "EConnection", "EL", "x", 1e6) for i in range(5)]
         + [("s", "m3", 0, "C", "EConnection", "EL", "x", 1e6), ("s", "m4", 0, "CH4Import_Wijngaarden", "Import", "c", "x", 1e6)], RAW)
     names = spark.createDataFrame([("A", "gA", 0), ("B", "old", 1), ("B", "gB", 2)], "raw_name string, grid_name string, row_idx int")
+    raw = raw.withColumn("member_pos", F.substring("member", 2, 1).cast("int"))
     got = rows(export.export_site_curves(raw, names, by=S), "carrier", "asset", "site", "hour", "mw")
     # B is cut to the length of A; C has no name and stays, the unnamed gas site is dropped
     assert got == [
@@ -304,3 +305,70 @@ def test_bad_runs_are_set_aside(spark):
     uneven = weights.where("node = 'A'")
     with pytest.raises(checks.CheckFailed, match="add up"):
         quality.checked_nodal_power(market, curve, cats, uneven, sites, by=S)
+
+
+def test_merged_codes_follow_the_maps(spark):
+    raw = spark.createDataFrame([("s", "m1", 0, "GM_1", "GConnection", "GM", "x", 1e6), ("s", "m2", 0, "HTLH_1", "GConnection", "HTLH", "x", 2e6)], RAW)
+    raw = raw.withColumn("member_pos", F.substring("member", 2, 1).cast("int"))
+    maps = [("electricity", "CH4_1", "g", 0), ("electricity", "GM_1", "e", 1), ("methane", "CH4_1", "g", 0), ("methane", "GM_1", "e", 1)]
+    names = spark.createDataFrame(maps, "carrier string, raw_name string, grid_name string, row_idx int")
+    assert rows(export.export_site_curves(raw, names, by=S), "asset", "site", "mw") == [("CH4_1", "g", 3.0)]
+    # another methane map: nothing is merged, and the electricity names count for gas as well
+    other = names.withColumn("grid_name", F.when(F.col("carrier") == "methane", F.lit("m")).otherwise(F.col("grid_name")))
+    assert rows(export.export_site_curves(raw, other, by=S), "asset", "site", "mw") == [("GM_1", "e", 1.0)]
+
+
+def test_profiles_keep_all_hours_and_checks_set_runs_aside(spark):
+    curve = spark.range(9000).select(F.lit("long").alias("scenario_id"), F.col("id").cast("int").alias("hour"), F.lit("k").alias("market_key"), F.lit(1.0).alias("mw"))
+    curve = curve.unionByName(curve.where("hour < 100").withColumn("scenario_id", F.lit("short")))
+    curve = curve.unionByName(curve.where("scenario_id = 'long' and hour < 8760").withColumn("scenario_id", F.lit("full")))
+    classes = spark.createDataFrame([("k", "Coal")], "market_key string, profile string")
+    made = profiles.plant_profiles(curve, classes, S)
+    assert rows(made.groupBy("scenario_id").count()) == [("full", 8760), ("long", 9000), ("short", 100)]
+    good, bad = quality.checked_plant_profiles(curve, classes, by=S)
+    assert rows(bad) == [("long", "series length", "9000"), ("short", "series length", "100")]
+    assert rows(good.groupBy("scenario_id").count()) == [("full", 8760)]
+
+
+def test_gas_runs_without_a_full_calendar_are_set_aside(spark):
+    hour = spark.range(8760).select(F.col("id").cast("int").alias("hour"), F.lit("methane").alias("carrier"))
+    curve = hour.select(F.lit("full").alias("scenario_id"), "carrier", "hour", F.lit("a").alias("site"), F.lit(1.0).alias("mw"))
+    curve = curve.unionByName(curve.where("hour < 100").withColumn("scenario_id", F.lit("short")))
+    market = hour.withColumn("scenario_id", F.lit("full")).unionByName(hour.where("hour < 100").withColumn("scenario_id", F.lit("short")))
+    sites = spark.createDataFrame([("full", "methane", "a", "N"), ("short", "methane", "a", "N")], "scenario_id string, carrier string, site string, substation string")
+    result, bad = quality.checked_gas_input(curve, sites, market, by=S)
+    assert rows(bad) == [("short", "series length", "methane 100")]
+    assert result.select("scenario_id").distinct().collect()[0][0] == "full" and result.where("node = 'N'").count() == 8760
+
+
+def test_run_keys_are_strict(spark):
+    facts = spark.createDataFrame([("s", "p", 0, "a", "methane", 1.0)], "scenario_id string, plan string, hour int, site string, carrier string, mw double")
+    with pytest.raises(ValueError, match="told apart"):
+        gas.hourly_balance(facts, S)
+    with pytest.raises(ValueError, match="told apart"):
+        gas.hourly_balance(facts.drop("scenario_id", "plan"), S)
+    assert gas.hourly_balance(facts.drop("scenario_id", "plan"), ()).count() == 1
+    assert gas.hourly_balance(facts, ("scenario_id", "plan")).count() == 1
+
+
+def test_updates_without_an_order_must_be_single(spark):
+    table = spark.createDataFrame([("k", "old")], "k string, b string")
+    once = spark.createDataFrame([("k", "new")], "k string, b string")
+    assert rows(scenarios.upsert(table, once, ["k"], ["b"])) == [("k", "new")]
+    with pytest.raises(Exception, match="need an order"):
+        scenarios.update_by_key(table, once.unionByName(once.withColumn("b", F.lit("x"))), ["k"], ["b"]).collect()
+
+
+def test_station_exceptions_and_carriers_reach_the_checks(spark):
+    market = spark.createDataFrame([("s", "d", h, 10.0) for h in range(2)] + [("s", "p", h, 10.0) for h in range(2)], "scenario_id string, market_key string, hour int, mw double")
+    cats = spark.createDataFrame([("d", "Electricity", "Demand", "x"), ("p", "Electricity", "Supply", "x"), ("g", "Gas", "Demand", "gas only")],
+                                 "market_key string, carrier string, product string, sector string")
+    weights = spark.createDataFrame([("R1", "x", 1.0)], "node string, sector string, weight double")
+    curve = spark.createDataFrame([("s", h, "w", 1.0) for h in range(2)], "scenario_id string, hour int, site string, mw double")
+    sites = spark.createDataFrame([("s", "w", "A25", "x")], "scenario_id string, site string, substation string, sector string")
+    buses = spark.createDataFrame([("B150",)], "short_name string")
+    moved = spark.createDataFrame([("A", "B")], "station string, lifted_station string")
+    power, bad = quality.checked_nodal_power(market, curve, cats, weights, sites, buses, station_exceptions=moved, by=S)
+    assert rows(bad) == [] and rows(power.select("node").distinct()) == [("B150",), ("R1",)]
+    power, bad = quality.checked_nodal_power(market, curve, cats, weights, sites, buses, exceptions="R9", by=S)
+    assert rows(bad) == [("s", "exception node not in market", "R9"), ("s", "substation without bus", "A150")] and power.count() == 0

@@ -133,8 +133,11 @@ def test_sites_and_substations(spark, tmp_path):
 def test_names_in_file_order(spark, tmp_path):
     (tmp_path / "names.csv").write_text("EIn,EOut,GIn,GOut\na,A1,m,M1\na,A2,,\nb,B1,m,M2\n")
     long = tables.read_names(spark, str(tmp_path / "names.csv"), {"electricity": ("EIn", "EOut"), "methane": ("GIn", "GOut")})
-    latest = export.latest_names(long, ("carrier",))
-    assert rows(latest, "carrier", "raw_name", "grid_name") == [("electricity", "a", "A2"), ("electricity", "b", "B1"), ("methane", "m", "M2")]
+    # all carriers are named by the electricity map
+    assert rows(export.latest_names(long, ()), "raw_name", "grid_name") == [("a", "A2"), ("b", "B1")]
+    assert not export.same_names(long, ())
+    twice = tables.read_names(spark, str(tmp_path / "names.csv"), {"electricity": ("EIn", "EOut"), "methane": ("EIn", "EOut")})
+    assert export.same_names(twice, ())
 
 
 def test_prices(spark, tmp_path):
@@ -180,3 +183,30 @@ def test_csv_sink(spark, tmp_path):
     sinks.write_csv(curve, f"{tmp_path}/out", sort=["hour"])
     file = next(Path(f"{tmp_path}/out/scenario_id=s").glob("*.csv.gz"))
     assert gzip.decompress(file.read_bytes()).decode().splitlines()[0] == "hour;site;mw"
+
+
+def test_sinks_keep_other_runs(spark, tmp_path):
+    run = lambda name, mw: spark.createDataFrame([(name, 0, "a", mw)], "scenario_id string, hour int, site string, mw double")
+    for write, read in (
+        (sinks.write_table, lambda p: spark.read.parquet(p)),
+        (sinks.write_csv, lambda p: spark.read.option("sep", ";").option("header", True).schema("hour int, site string, mw double, scenario_id string").csv(p)),
+    ):
+        path = f"{tmp_path}/{write.__name__}"
+        for name, mw in (("A", 1.0), ("B", 2.0), ("A", 3.0)):
+            write(run(name, mw), path)
+        assert rows(read(path), "scenario_id", "mw") == [("A", 3.0), ("B", 2.0)]
+
+
+def test_the_first_member_of_the_archive_gives_the_length(spark, tmp_path):
+    header = ",assetName,assetClass,carrierId,sector,allocationPower\n"
+    path = pack(tmp_path / "series.tar.gz", {
+        "z.csv": header + "".join(f"{i},Z,EConnection,EL,x,1000000\n" for i in range(3)),
+        "a.csv": header + "0,A,EConnection,EL,x,1000000\n",
+        "b.csv": header + "".join(f"{i},B,EConnection,EL,x,1000000\n" for i in range(5)),
+    })
+    raw = archives.site_records(spark, path)
+    names = spark.createDataFrame([], "raw_name string, grid_name string, row_idx int")
+    got = export.export_site_curves(raw, names, by=()).groupBy("asset").count()
+    assert rows(got) == [("A", 1), ("B", 3), ("Z", 3)]
+    series = export.one_row_per_carrier(export.number_hours(export.targets(raw, ()), ()))
+    assert rows(export.longer_than_first(series, ()), "member", "rows_lost") == [("b.csv", 2)]
