@@ -9,91 +9,105 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Relative rank error of the sketch that brackets the median.
-SKETCH_ACCURACY = 10_000
+from hourgrid.session import scratch_path
 
+# rows of a bracket that are ranked at once, and parts a larger one is counted into
+BRACKET_ROWS = 10_000
+BUCKETS = 1024
 
-def bounded_statistics(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Median, count and sum per group of at most one row per hour.
 
-    Nulls count as nothing; a group of nulls has count 0, no median and no sum.
+def bounded_statistics(rows: DataFrame, keys: Sequence[str], value: str, keep_empty: bool = False) -> DataFrame:
+    """Median, count and sum per group of at most one row per hour; nulls count as nothing.
+
+    A group of nulls only is left out, or with ``keep_empty`` has count 0, no median and no sum.
     """
     v = F.col(value)
+    valid = rows if keep_empty else rows.where(v.isNotNull())
     return (
-        rows.groupBy(*keys)
+        valid.groupBy(*keys)
         .agg(F.median(v).alias("median"), F.count(v).alias("n"), F.sum(v).alias("total"))
     )
 
 
-def statistics(rows: DataFrame, keys: Sequence[str], value: str, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Exact median, count and sum per group of any size.
+def statistics(rows: DataFrame, keys: Sequence[str], value: str, bound: int = BRACKET_ROWS) -> DataFrame:
+    """Exact median, count and sum per group of any size; values are finite, nulls count as nothing.
 
-    1. A bounded sketch brackets the median of every group (combined map-side).
-    2. Counting the rows below and inside the bracket gives the exact rank of its
-       ends.  A bracket that misses the middle rank is widened to the whole group.
-    3. Only the distinct values inside the bracket are ranked: about
-       ``4 / accuracy`` of a group, equal values already folded to one row.
+    The median of a group lies in a bracket, at first from its smallest to its largest
+    value.  While a bracket holds more than ``bound`` rows, its rows are counted into
+    BUCKETS parts of equal width and it shrinks to the part of the middle ranks: a count
+    that is combined before the shuffle, one row per group and part after it.  Then the
+    rows of the bracket, ``bound`` at most, are ranked.
 
-    The only rows that meet in one task are those of step 3; everything before is
-    hashed on (group, value) or combined before the shuffle.  Joins against the
-    per-group bounds are equi-joins that AQE may split on a hot group.
+    No window holds more than BUCKETS or ``bound`` rows, whatever the group.  The state of
+    a round, one row per group, is written to the shared folder; each round reads the
+    rows again.
     """
     keys = list(keys)
-    step = 2.0 / accuracy
-    v = F.col(value)
-    groups = rows.groupBy(*keys).agg(
-        F.count(v).alias("n"),
-        F.sum(v).alias("total"),
-        F.min(v).alias("_min"),
-        F.max(v).alias("_max"),
-        F.percentile_approx(v, [0.5 - step, 0.5 + step], accuracy).alias("_q"),
+    slim = rows.select(*keys, F.col(value).cast("double").alias("_v"))
+    n = F.count("_v")
+    state = _written(slim.groupBy(*keys).agg(
+        n.alias("n"), F.sum("_v").alias("total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        F.lit(0).cast("long").alias("_below"), n.alias("_inside"), F.lit(None).cast("double").alias("median"),
+    ))
+    wide = F.col("median").isNull() & (F.col("_inside") > bound) & (F.col("_lo") < F.col("_hi"))
+    while state.where(wide).limit(1).count():
+        narrow = _narrowed(slim, state.where(wide), keys)
+        state = _written(state.where(~F.coalesce(wide, F.lit(False))).unionByName(narrow))
+    one = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
+    state = state.withColumn("median", F.coalesce("median", one))
+    ranked = _ranked(slim, state.where(F.col("median").isNull() & (F.col("n") > 0)), keys)
+    result = state.join(ranked, keys, "left")
+    return result.select(*keys, "n", "total", F.coalesce("median", "_median").alias("median"))
+
+
+def _written(state: DataFrame) -> DataFrame:
+    path = scratch_path(state.sparkSession, "median")
+    state.write.parquet(path)
+    return state.sparkSession.read.schema(state.schema).parquet(path)
+
+
+def _ranks() -> tuple[Column, Column]:
+    """The middle ranks, counted from 0 at the bracket's lower end."""
+    return F.floor((F.col("n") - 1) / 2) - F.col("_below"), F.floor(F.col("n") / 2) - F.col("_below")
+
+
+def _inside(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    return slim.join(state.select(*keys, "_lo", "_hi"), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _narrowed(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """The state after one round: brackets shrunk to a part, or medians that lie between two parts."""
+    part = F.least(F.floor((F.col("_v") / F.lit(BUCKETS) - F.col("_lo") / F.lit(BUCKETS)) / (F.col("_hi") / F.lit(BUCKETS) - F.col("_lo") / F.lit(BUCKETS)) * F.lit(BUCKETS)), F.lit(BUCKETS - 1))
+    parts = _inside(slim, state, keys).groupBy(*keys, part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
     )
-    # plain numbers from here on, so that the next aggregate hashes instead of sorting
-    groups = groups.select(*keys, "n", "total", "_min", "_max", F.col("_q")[0].alias("_q_lo"), F.col("_q")[1].alias("_q_hi"))
-    # equal values fold to one row; hashed on group and value, so a hot group spreads
-    distinct = rows.groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_c"))
-
-    carried = ["n", "total", "_min", "_max", "_q_lo", "_q_hi"]
-    lo, hi = F.col("_q_lo"), F.col("_q_hi")
-    ranks = (
-        distinct.join(groups, keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.when(F.col("_v") < lo, F.col("_c")).otherwise(0)).alias("_below"),
-            F.sum(F.when(F.col("_v") <= hi, F.col("_c")).otherwise(0)).alias("_upto"),
-            *[F.first(c).alias(c) for c in carried],
-        )
+    running = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("_end", F.sum("_c").over(running)).join(state, keys)
+    low, high = _ranks()
+    holds = lambda rank: (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
+    middle = parts.where(holds(low) | holds(high)).groupBy(*keys).agg(
+        F.first("n").alias("n"), F.first("total").alias("total"),
+        F.count(F.lit(1)).alias("_parts"), F.min("_first").alias("_first"), F.min("_last").alias("_low_end"),
+        F.max("_first").alias("_high_start"), F.max("_last").alias("_last"),
+        F.min(F.col("_end") - F.col("_c")).alias("_before"), F.sum("_c").alias("_c"), F.first("_below").alias("_below"),
     )
-    lo_rank = F.floor((F.col("n") - 1) / 2)
-    hi_rank = F.floor(F.col("n") / 2)
-    hit = (F.col("_below") <= lo_rank) & (F.col("_upto") > hi_rank)
-    picks = ranks.select(
-        *keys, "n", "total",
-        F.when(hit, lo).otherwise(F.col("_min")).alias("_lo"),
-        F.when(hit, hi).otherwise(F.col("_max")).alias("_hi"),
-        F.when(hit, F.col("_below")).otherwise(F.lit(0)).alias("_before"),
-        lo_rank.alias("_lo_rank"),
-        hi_rank.alias("_hi_rank"),
+    # two parts: the lower middle rank is the last of the one, the upper the first of the other
+    return middle.select(
+        *keys, "n", "total", F.col("_first").alias("_lo"), F.col("_last").alias("_hi"),
+        (F.col("_below") + F.col("_before")).alias("_below"), F.col("_c").alias("_inside"),
+        F.when(F.col("_parts") == 2, F.col("_low_end") / 2 + F.col("_high_start") / 2).alias("median"),
     )
+
+
+def _ranked(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Medians of the groups whose brackets are small enough to rank."""
+    distinct = _inside(slim, state, keys).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    # groups without any value stay, with count 0 and no median
-    empty = F.col("n") == 0
-    inside = (
-        distinct.join(picks, keys)
-        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")) | empty)
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(running))
-    )
-    covers_lo = (F.col("_end") - F.col("_c") <= F.col("_lo_rank")) & (F.col("_lo_rank") < F.col("_end"))
-    covers_hi = (F.col("_end") - F.col("_c") <= F.col("_hi_rank")) & (F.col("_hi_rank") < F.col("_end"))
-    return (
-        inside.where(covers_lo | covers_hi | empty)
-        .groupBy(*keys)
-        .agg(
-            F.first("n").alias("n"),
-            F.first("total").alias("total"),
-            ((F.min("_v") + F.max("_v")) / 2).alias("median"),
-        )
-    )
+    placed = distinct.withColumn("_end", F.sum("_c").over(running)).join(state.select(*keys, "n", "_below"), keys)
+    low, high = _ranks()
+    start = F.col("_end") - F.col("_c")
+    middle = ((start <= low) & (low < F.col("_end"))) | ((start <= high) & (high < F.col("_end")))
+    return placed.where(middle).groupBy(*keys).agg((F.min("_v") / 2 + F.max("_v") / 2).alias("_median"))

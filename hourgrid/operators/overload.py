@@ -156,7 +156,7 @@ def substation_overload(
     reduced = reduced_capacity(substations, n, mode)
     keys = run_keys(flow, by)
     on = [*keys, "substation"]
-    stats = quantiles.bounded_statistics(substation_excess(flow, reduced, by), on, "excess")
+    stats = quantiles.bounded_statistics(substation_excess(flow, reduced, by), on, "excess", keep_empty=True)
     listed = per_run(reduced, flow, by).select(*on, "nx_capacity")
     keep = [
         *[F.col(k) for k in keys],

@@ -17,14 +17,14 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", sorted(SHAPES))
-@pytest.mark.parametrize("accuracy", [10, 10_000])
-def test_exact_median(spark, shape, accuracy):
+@pytest.mark.parametrize("bound", [10, 10_000])
+def test_exact_median(spark, shape, bound):
     rng = np.random.default_rng(7)
     groups = {"hot": 20_001, "even": 1000, "pair": 2, "single": 1}
     values = {g: SHAPES[shape](rng, n) for g, n in groups.items()}
     data = [(g, float(x)) for g, xs in values.items() for x in xs] + [("hot", None), ("empty", None)]
     df = spark.createDataFrame(data, "k string, x double").repartition(8)
-    got = {r["k"]: r for r in quantiles.statistics(df, ["k"], "x", accuracy).collect()}
+    got = {r["k"]: r for r in quantiles.statistics(df, ["k"], "x", bound).collect()}
     assert sorted(got) == sorted([*groups, "empty"])
     assert got["empty"]["n"] == 0 and got["empty"]["median"] is None
     for g, xs in values.items():
@@ -33,6 +33,19 @@ def test_exact_median(spark, shape, accuracy):
         assert got[g]["total"] == pytest.approx(float(np.sum(xs)), rel=1e-9)
 
 
+def test_no_window_holds_a_hot_group(spark, monkeypatch):
+    """What is ranked at last holds no more rows of a group than the bound says."""
+    df = spark.createDataFrame([("hot", float(x)) for x in np.random.default_rng(1).normal(size=30_000)], "k string, x double")
+    seen, ranked = [], quantiles._ranked
+
+    def watched(slim, state, keys):
+        seen.append(quantiles._inside(slim, state, keys).groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return ranked(slim, state, keys)
+
+    monkeypatch.setattr(quantiles, "_ranked", watched)
+    assert quantiles.statistics(df, ["k"], "x", 100).count() == 1 and 0 < seen[0] <= 100
+
+
 @pytest.mark.parametrize("block", [1, 7, 1 << 16])
 def test_row_numbers_across_blocks(spark, block):
     rng = np.random.default_rng(3)
