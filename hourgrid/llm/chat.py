@@ -79,13 +79,13 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     step = kept(rooted.select("node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("length"), F.col("node").alias("top")))
     nodes, steps = step.count(), []
     while step.where("up is not null").limit(1).count() and 1 << len(steps) <= nodes:
-        steps.append(step)
+        going = step.where("up is not null")  # messages that have reached their root stay as they are
+        steps.append(going.select("node", F.col("up").alias("to")))
         above = step.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("length").alias("l2"), F.col("top").alias("top2"))
-        far = step.join(above, "up", "left")
-        step = kept(far.select(
-            "node", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-            (F.col("length") + F.coalesce("l2", F.lit(0))).alias("length"), F.coalesce("top2", "top").alias("top"),
-        ))
+        far = going.join(above, "up").select(
+            "node", F.col("up2").alias("up"), (F.col("total") + F.col("t2")).alias("total"), (F.col("length") + F.col("l2")).alias("length"), F.col("top2").alias("top")
+        )
+        step = kept(step.where("up is null").unionByName(far))
     parents = slim.select(F.col("parent").alias("node")).where("node is not null").distinct()
     leaves = step.where("up is null").join(parents, "node", "left_anti")
     rank = F.struct((-F.col("total") / F.col("length")).alias("worse"), F.col("node").alias("leaf"))
@@ -97,8 +97,7 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         leaves = leaves.withColumn("part", part).withColumn("nth", F.row_number().over(window)).where(F.col("nth") <= branches)
     paths = kept(leaves.select("leaf", F.col("leaf").alias("node"), F.col("length").alias("position")))
     for k in reversed(range(len(steps))):
-        jump = steps[k].where("up is not null").select("node", F.col("up").alias("to"))
-        paths = kept(paths.unionByName(paths.join(jump, "node").select("leaf", F.col("to").alias("node"), (F.col("position") - (1 << k)).alias("position"))))
+        paths = kept(paths.unionByName(paths.join(steps[k], "node").select("leaf", F.col("to").alias("node"), (F.col("position") - (1 << k)).alias("position"))))
     return paths
 
 
