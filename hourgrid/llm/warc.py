@@ -150,7 +150,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 if out is None:
                     paths.append(f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{len(paths):04d}.warc.gz")
                     counts.append(0)
-                    out, size = system.open_output_stream(f"{base}/{paths[-1]}"), 0
+                    out, size = system.open_output_stream(f"{base}/{paths[-1]}", compression=None), 0
                 member = record(key, url, html.encode("utf-8"), refers_to)
                 out.write(member)
                 counts[-1] += 1
@@ -181,7 +181,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for path, expected in zip(*(c.to_pylist() for c in batch.columns)):
                 rows, n = [], 0
-                with system.open_input_stream(f"{base}/{path}") as stream:
+                with system.open_input_stream(f"{base}/{path}", compression=None) as stream:
                     for n, r in enumerate(records(stream), 1):
                         h = r.headers
                         refers_to = key(h["warc-refers-to"]) if "warc-refers-to" in h else None

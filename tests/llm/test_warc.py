@@ -59,6 +59,8 @@ def test_edge_rows(spark, tmp_path):
         again = h == big and i != 5
         want.append((None if i is None else str(i), len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", "5" if again else None))
     assert got == sorted(want, key=lambda r: tuple((x is None, x if x is not None else 0) for x in r))
+    files = list((tmp_path / "w").glob("*.warc.gz"))
+    assert sum(len(list(warc.records(f.open("rb")))) for f in files) == len(data)  # gzipped once, by the records alone
     (tmp_path / "w" / "part-00000-99-0000.warc.gz").write_bytes(b"left by a lost task")
     assert warc.read_archives(manifest, str(tmp_path / "w")).count() == len(data)
 
