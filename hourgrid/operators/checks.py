@@ -154,6 +154,12 @@ def long_series(raw: DataFrame, hours: int = HOURS_PER_YEAR, by: Sequence[str] =
     return raw.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > hours)
 
 
+def unreadable_numbers(rows: DataFrame, column: str) -> DataFrame:
+    """Rows whose text is neither empty nor a number."""
+    text_ = F.trim(F.col(column))
+    return rows.where((text_ != "") & (F.lower(text_) != "nan") & text_.try_cast("double").isNull())
+
+
 def scenarios_without_prices(scenarios: DataFrame, prices: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     """Scenarios without a price curve."""
     on = shared(scenarios, prices, by)

@@ -139,7 +139,7 @@ def undistributable(cells: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     return flagged.where(F.col("imbalanced") & (F.col("remaining") == 0) & (F.col("residual") != 0))
 
 
-def _net(market: DataFrame, simulated: DataFrame, by: Sequence[str]) -> DataFrame:
+def net_power(market: DataFrame, simulated: DataFrame, by: Sequence[str]) -> DataFrame:
     """Supply minus demand of both sources per run, hour and node."""
     keys = run_keys(simulated, by)
     net = power.signed(F.col("product"), F.col("mw")).alias("power")
@@ -164,7 +164,7 @@ def discount(
     share = factors(cells, by)
     on = shared(outside, share, by, *CELL)
     left = outside.join(share, on).withColumn("mw", F.col("mw") * F.col("factor"))
-    return _net(left, simulated, by)
+    return net_power(left, simulated, by)
 
 
 def nodal_power(
@@ -203,4 +203,4 @@ def nodal_power(
     left = categorised.join(share, shared(categorised, share, by, *CELL))
     left = left.withColumn("mw", F.col("mw") * F.col("factor"))
     outside = weights.where(~F.col("node").isin(nodes)) if nodes else weights
-    return _net(c.regionalise(left, outside, by), simulated, by)
+    return net_power(c.regionalise(left, outside, by), simulated, by)

@@ -12,6 +12,8 @@ from hourgrid.functions import power, text
 from hourgrid.keys import BY, held, run_keys, shared
 
 SERIES = ["member", "assetName", "carrierId"]
+# rows of an archive; the limits of align_to_first need both columns, so that they can share the rows' shuffle
+ORDER = ["member_pos", "row_idx"]
 CARRIER_BITS = {"electricity": 1, "methane": 2, "hydrogen": 4, "co2": 8}
 
 
@@ -74,7 +76,7 @@ def targets(raw: DataFrame, by: Sequence[str] = BY, carriers: Sequence[str] = tu
     rows = _has_series(raw).select(
         *keys, "member_pos", "row_idx", "assetName", "carrierId", "sector",
         power.watt_to_megawatt(F.col("allocationPower")).alias("mw"),
-        F.first(kind).over(member.orderBy("row_idx")).alias("_kind"),
+        F.first(kind).over(member.orderBy(*ORDER)).alias("_kind"),
         F.max(text.contains_any(F.col("assetName"), fixed.METHANE_ASSETS)).over(member).alias("has_methane_asset"),
     )
     rows = rows.where(F.col("_kind").isNotNull())
@@ -107,7 +109,7 @@ def number_hours(rows: DataFrame, by: Sequence[str] = BY) -> DataFrame:
     series = Window.partitionBy(*run_keys(rows, by), *SERIES)
     readings, missing = F.count("mw").over(series), F.count_if(F.col("mw").isNull()).over(series)
     return rows.withColumns({
-        "hour": (F.row_number().over(series.orderBy("row_idx")) - 1).cast("int"),
+        "hour": (F.row_number().over(series.orderBy(*ORDER)) - 1).cast("int"),
         "series_rows": readings + missing,
     })
 

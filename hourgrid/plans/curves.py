@@ -60,6 +60,15 @@ def j1(spark, d):
     return v.market_curve(spark, d).join(lookup, "market_key").select("scenario_id", "hour", "market_key", "product", "sector", "mw")
 
 
+@query("a4_one_carrier_of_two", """SELECT m.scenario_id, hour, product, sector, round(sum(mw), 4) + 0.0 AS mw FROM market_curve m
+    JOIN categories c ON m.market_key = c.market_key WHERE c.market_key NOT LIKE 'error%' GROUP BY ALL""")
+def a4_carrier(spark, d):
+    """Categories of two carriers: only those of the asked one count."""
+    gas = F.when(F.col("market_key").startswith("error"), F.lit("Methane")).otherwise(F.col("carrier"))
+    mixed = v.categories(spark, d).withColumn("carrier", gas)
+    return curves.categorise(v.market_curve(spark, d), mixed, carrier="Electricity", by=SCENARIO)
+
+
 @query("j5_regionalise", "SELECT scenario_id, hour, node, product, sector, round(mw, 4) + 0.0 AS mw FROM market_node")
 def j5(spark, d):
     sectors = curves.categorise(v.market_curve(spark, d), v.categories(spark, d), by=SCENARIO)

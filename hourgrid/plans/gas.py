@@ -51,6 +51,12 @@ def w4(spark, d):
     return gas.fit_calendar(v.gas_curve(spark, d), v.market_length(spark, d), CALENDAR, SCENARIO)
 
 
+@query("w4_cut_to_calendar", "SELECT scenario_id, carrier, site, hour, round(mw, 4) + 0.0 AS mw FROM gas_curve WHERE hour < 2000")
+def w4_cut(spark, d):
+    """A calendar shorter than the data: hours beyond it are cut."""
+    return gas.fit_calendar(v.gas_curve(spark, d), v.market_length(spark, d), 2000, SCENARIO)
+
+
 @query("p15_clean_sites", "SELECT * FROM gas_listed")
 def p15(spark, d):
     return gas.clean_sites(v.gas_site(spark, d))

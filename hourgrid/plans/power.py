@@ -131,7 +131,7 @@ def a7(spark, d):
     FROM (SELECT scenario_id, hour, node, product, mw FROM em UNION ALL SELECT scenario_id, hour, node, product, mw FROM xs) GROUP BY ALL""")
 def a8(spark, d):
     market, simulated = _aligned(spark, d)
-    return discount._net(market, simulated, SCENARIO)
+    return discount.net_power(market, simulated, SCENARIO)
 
 
 @query("u1_union_of_sources", """SELECT scenario_id, hour, node, product, sector, round(mw, 4) + 0.0 AS mw FROM em
@@ -166,3 +166,24 @@ def a14(spark, d):
     WHERE i.imb AND round(left_, 9) = 0 AND round(r, 9) <> 0""")
 def undistributable(spark, d):
     return discount.undistributable(_cells(spark, d), SCENARIO).select("scenario_id", "hour", "product", "chunk")
+
+
+define("und_cell", f"""SELECT coalesce(a.scenario_id, b.scenario_id) AS scenario_id, coalesce(a.hour, b.hour) AS hour, coalesce(a.product, b.product) AS product,
+    coalesce(he, 0) AS he, coalesce(hx, 0) AS hx, CASE WHEN EXISTS (SELECT 1 FROM hx_area k WHERE k.scenario_id = coalesce(a.scenario_id, b.scenario_id)
+        AND k.product = coalesce(a.product, b.product) AND k.sector = coalesce(a.sector, b.sector)) THEN coalesce(hx, 0) - coalesce(he, 0) ELSE 0 END AS d
+    FROM (SELECT scenario_id, hour, product, sector, sum(mw) AS he FROM em WHERE node = '{AREA}' GROUP BY ALL) a
+    FULL OUTER JOIN hx_area b ON a.scenario_id = b.scenario_id AND a.hour = b.hour AND a.product = b.product AND a.sector = b.sector""")
+define("und_imb", f"SELECT scenario_id, hour // {CHUNK} AS chunk, bool_or(round(d, 9) > 0) AS imb FROM und_cell GROUP BY ALL")
+
+
+@query("d_undistributable_area_only", f"""SELECT c.scenario_id, c.hour, c.product, CAST(c.hour // {CHUNK} AS INTEGER) AS chunk, round(sum(he) - sum(hx), 4) + 0.0 AS residual
+    FROM und_cell c JOIN und_imb i ON c.scenario_id = i.scenario_id AND c.hour // {CHUNK} = i.chunk WHERE i.imb
+    GROUP BY c.scenario_id, c.hour, c.product HAVING round(sum(he) - sum(hx), 9) <> 0""")
+def undistributable_area_only(spark, d):
+    """All market power lies in the area, so no residual can be spread."""
+    market, simulated = _aligned(spark, d)
+    area = market.where(F.col("node") == AREA)
+    market = area.unionByName(area.withColumns({"node": F.lit("R0"), "mw": F.lit(0.0)}))
+    totals = discount.market_totals(market, [AREA], SCENARIO)
+    cells = discount.discounts(totals, discount.site_totals(simulated, SCENARIO), True, SCENARIO, CHUNK)
+    return discount.undistributable(cells, SCENARIO).select("scenario_id", "hour", "product", "chunk", "residual")

@@ -7,16 +7,17 @@ the rows mean is decided by DataFrame operators.
 
 from __future__ import annotations
 
-import gzip
 import io
 import tarfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourgrid.functions import positions
+
 # rows of one member parsed at a time
 ROWS = 4096
 
@@ -26,7 +27,7 @@ _PLACE = [
     T.StructField("member_pos", T.IntegerType()),
     T.StructField("row_idx", T.LongType()),
 ]
-CELLS = T.StructType([*_PLACE, T.StructField("column", T.StringType()), T.StructField("value", T.DoubleType())])
+CELLS = T.StructType([*_PLACE, T.StructField("column", T.StringType()), T.StructField("value", T.StringType())])
 
 
 def _members(content: bytes) -> Iterator[tuple[int, str, io.BufferedIOBase]]:
@@ -90,7 +91,7 @@ def read_records(
     return _archives(spark, path).mapInPandas(parse, schema)
 
 
-def read_cells(
+def text_cells(
     spark: SparkSession,
     path: str | Sequence[str],
     sep: str = ",",
@@ -99,7 +100,7 @@ def read_cells(
     skip_bad: bool = False,
     member: str | None = None,
 ) -> DataFrame:
-    """Wide curve members as long cells (row, column, value); missing readings are null."""
+    """Wide curve members as long cells of text (row, column, value); missing readings are null."""
     drop = list(drop)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,44 +110,55 @@ def read_cells(
                 for piece in _frames(content, member, sep, label, skip_bad):
                     piece.insert(0, "path", path_)
                     long = piece.drop(columns=drop, errors="ignore").melt(place, var_name="column", value_name="value")
-                    long["value"] = pd.to_numeric(long["value"], errors="coerce")
+                    long["value"] = long["value"].astype(object).where(long["value"].notna(), None)
                     yield long
 
-    return (
-        _archives(spark, path)
-        .mapInPandas(parse, CELLS)
-        .withColumn("value", F.when(~F.isnan("value"), F.col("value")))
-    )
+    return _archives(spark, path).mapInPandas(parse, CELLS)
 
 
-def read_wide_files(spark: SparkSession, path: str | Sequence[str], sep: str = ";", hour: str | None = "hour") -> DataFrame:
-    """Wide curve files, gzip or plain, as long cells (path, hour, site, mw).
+def read_cells(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:
+    """The cells as numbers; see ``checks.unreadable_numbers`` for those that are none."""
+    return text_cells(spark, path, **options).withColumn("value", number(F.col("value")))
+
 
-    Each file may have columns of its own.  Without an ``hour`` column the position of
-    the row is the hour.
+def wide_cells(spark: SparkSession, path: str | Sequence[str], sep: str = ";", hour: str | None = "hour") -> DataFrame:
+    """Wide curve files, gzip or plain, as long cells of text (path, hour, site, value).
+
+    Each file may have columns of its own: its first line names them and is joined to its
+    other lines by path.  Fields are plain: quotes around one are taken off, a separator
+    inside one is not expected.  Without an ``hour`` column the position of the row is the
+    hour.
     """
-    schema = T.StructType([
-        T.StructField("path", T.StringType()), T.StructField("hour", T.IntegerType()),
-        T.StructField("site", T.StringType()), T.StructField("mw", T.DoubleType()),
-    ])
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("_line"),
+    )
+    heads = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min_by("_line", "_id").alias("_head"))
+    plain = lambda c: F.regexp_replace(F.trim(c), r'^["\ufeff]+|"$', "")
+    fields = lambda c: F.transform(F.split(c, f"\\Q{sep}\\E", -1), plain)
+    rows = lines.join(heads, "path").where((F.col("_line") != F.col("_head")) & (F.trim("_line") != ""))
+    rows = rows.withColumn("_names", fields(F.col("_head"))).withColumn("_values", fields(F.col("_line")))
+    if hour is None:
+        # ids follow the file inside a split, splits follow by their start
+        order = F.col("_start") * F.lit(1 << 20) + F.col("_id") % F.lit(1 << 33)
+        rows = positions.number_rows(rows.withColumn("_order", order), ["path"], "_order", "hour")
+    else:
+        at = F.array_position("_names", F.lit(hour)).cast("int")
+        rows = rows.withColumn("hour", F.element_at("_values", at).cast("int"))
+    cells = rows.select("path", "hour", F.explode(F.arrays_zip("_names", "_values")).alias("_c"))
+    cells = cells.select("path", "hour", F.col("_c._names").alias("site"), F.col("_c._values").alias("value"))
+    return cells if hour is None else cells.where(F.col("site") != hour)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path_, content in zip(batch["path"], batch["content"]):
-                data = io.BytesIO(content)
-                text = gzip.open(data) if content[:2] == b"\x1f\x8b" else data
-                row = 0
-                for piece in pd.read_csv(text, sep=sep, dtype=str, chunksize=ROWS, encoding="utf-8-sig"):
-                    at = piece.pop(hour).astype(int) if hour else pd.Series(range(row, row + len(piece)), index=piece.index)
-                    row += len(piece)
-                    piece.insert(0, "hour", at)
-                    long = piece.melt("hour", var_name="site", value_name="mw")
-                    long["mw"] = pd.to_numeric(long["mw"], errors="coerce")
-                    long.insert(0, "path", path_)
-                    yield long
 
-    cells = _archives(spark, path).mapInPandas(parse, schema)
-    return cells.withColumn("mw", F.when(~F.isnan("mw"), F.col("mw")))
+def read_wide_files(spark: SparkSession, path: str | Sequence[str], sep: str = ";", hour: str | None = "hour") -> DataFrame:
+    """Wide curve files as long cells (path, hour, site, mw); see ``checks.unreadable_numbers`` for fields that are no number."""
+    return wide_cells(spark, path, sep, hour).select("path", "hour", "site", number(F.col("value")).alias("mw"))
+
+
+def number(text: Column) -> Column:
+    """A number, null for an empty field and for what is no number."""
+    value = text.try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def first_member(rows: DataFrame, prefix: str, archive: Sequence[str] = ("path",)) -> DataFrame:
@@ -158,9 +170,13 @@ def first_member(rows: DataFrame, prefix: str, archive: Sequence[str] = ("path",
 
 def site_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Raw asset series of a simulation archive."""
+    return site_texts(spark, path).withColumn("allocationPower", number(F.col("allocationPower")))
+
+
+def site_texts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The same with readings as they are written."""
     names = ["assetName", "assetClass", "carrierId", "sector", "allocationPower"]
-    rows = read_records(spark, path, names, sep=",", label=True, skip_bad=True)
-    return rows.withColumn("allocationPower", F.col("allocationPower").try_cast("double"))
+    return read_records(spark, path, names, sep=",", label=True, skip_bad=True)
 
 
 def market_curves(spark: SparkSession, path: str | Sequence[str], member: str = "merit_order.csv", label: bool = False) -> DataFrame:

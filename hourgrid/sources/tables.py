@@ -136,17 +136,17 @@ def _file_order(rows: DataFrame) -> DataFrame:
 def read_prices(
     spark: SparkSession, path: str | Sequence[str], patterns: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Landed price curves: hour is the line position below the header."""
+    """Landed price curves: hour is the line position below the header, counted in each file."""
     patterns = patterns or {}
-    rows = _csv(spark, path, ",", ["time", "price"])
+    rows = _csv(spark, path, ",", ["time", "price"]).withColumn("_file", F.col("_metadata.file_path"))
     placed = _file_order(keys_from_path(rows, patterns))
     source = placed.withColumn("price", F.col("price").try_cast("double"))
-    return positions.number_rows(source, list(patterns), "row_idx", "hour").select(*patterns, "hour", "price")
+    return positions.number_rows(source, [*patterns, "_file"], "row_idx", "hour").select(*patterns, "hour", "price")
 
 
-def read_document_field(spark: SparkSession, path: str | Sequence[str], field: str) -> DataFrame:
-    """One field of JSON documents, with the path of each."""
-    docs = spark.read.schema(f"`{field}` STRING").option("multiLine", True).json(path)
+def read_document_field(spark: SparkSession, path: str | Sequence[str], field: str, multi_line: bool = True) -> DataFrame:
+    """One field of JSON documents, one a file or one a line, with the path of each."""
+    docs = spark.read.schema(f"`{field}` STRING").option("multiLine", multi_line).json(path)
     return docs.select(F.col("_metadata.file_path").alias("path"), F.col(field))
 
 

@@ -5,9 +5,22 @@ import sys
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
+import pytest
+
 import __spark_entry__ as entry
 import plans
 
+
+def final(spark, sf_dir, name):
+    """The executed plan, with broadcasts off: the shape that large lookups give."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plans.final_plan_text(entry.queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     text = plans.plan_text(entry.queries()["c9_mv_substation_flow"](spark, sf_dir))
     line = next(t for t in text.splitlines() if "FileScan" in t and "l_suppkey" in t)
@@ -24,3 +37,22 @@ def test_facts_are_read_twice_at_most(spark, sf_dir):
 def test_filters_reach_the_scan(spark, sf_dir):
     text = plans.plan_text(entry.queries()["a15_first_row_per_group"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in text
+
+
+@pytest.mark.parametrize(("name", "scans"), [("c1_export_site_curves", 1), ("j16_align_to_first_series", 2), ("c7_balance_on_slack", 2), ("c10_substation_overload", 1)])
+def test_facts_are_scanned_seldom(spark, sf_dir, name, scans):
+    text = plans.final_plan_text(entry.queries()[name](spark, sf_dir))
+    assert text.count("lineitem.parquet") <= scans
+
+
+@pytest.mark.parametrize("name", ["c1_export_site_curves", "w6_row_position_as_hour"])
+def test_routing_hashes_and_numbers_in_one_shuffle(spark, sf_dir, name):
+    text = final(spark, sf_dir, name)
+    assert "SortAggregate" not in text
+    # the rows' own shuffle; what else is shuffled are the limits and names they are joined with
+    assert text.count("BroadcastNestedLoop") == 0 and text.count("hashpartitioning(scenario_id") <= 8
+
+
+def test_balance_needs_no_join(spark, sf_dir):
+    text = final(spark, sf_dir, "c7_balance_on_slack")
+    assert "Join" not in text and text.count("hashpartitioning(") <= 3
