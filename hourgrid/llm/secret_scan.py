@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import col, text_of
+from hourgrid.llm.common import col, kept, text_of
 
 SAMPLE_DOCS = 300  # with a match, and as many without
 WINDOWS = 4  # of one sampled document
@@ -352,7 +352,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     """Fit on windows of at most ``sample_docs`` documents with a match and as many without, those whose identifiers hash lowest."""
     slim = docs.select(col(id_col).alias("id"), text_of(docs, text_col).alias("text")).where("id is not null")
     hit = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
-    marked = slim.select("id", hit.alias("hit"))
+    marked = kept(slim.select("id", hit.alias("hit")))
     lowest = [marked.where(F.col("hit") == side).orderBy(F.xxhash64("id"), "id").limit(sample_docs).select("id") for side in (True, False)]
     sample = slim.join(F.broadcast(lowest[0].unionByName(lowest[1]).distinct()), "id").select(F.col("id").cast("string"), "text")
 
