@@ -233,5 +233,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The row with the smallest identifier of each group, unchanged; rows without an identifier stay."""
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    gone = found.where("id <> component_id").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, col(id_col) == F.col("__gone"), "left_anti")
+    name = "gone" + "_" * max(map(len, docs.columns))  # no column of the documents
+    gone = found.where("id <> component_id").select(F.col("id").alias(name)).distinct()
+    return docs.join(gone, col(id_col) == F.col(name), "left_anti")
