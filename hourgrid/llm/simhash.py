@@ -1,11 +1,16 @@
 """SimHash near-duplicates by anchor points of a covering code.
 
-Fingerprints of 64 bits are cut into three segments (21, 21 and 22 bits).  Two fingerprints with at most four differing
-bits have a segment with at most one.  Every segment is covered by a code: its low 15 bits by the perfect Hamming code
-[15, 11], whose covering radius is 1, the rest by itself.  The codewords are the anchors.  A fingerprint lives at the
-anchor nearest to its segment and is sent to every anchor within covering radius plus threshold (1 + 1 bits), 14 or 22 of
-them.  So whenever two fingerprints differ in at most one bit of a segment, the second one visits the anchor at which
-the first one lives, and they are compared there in full.
+Fingerprints of 64 bits are cut into segments, three of 21, 21 and 22 bits in the layout THREE.  Two fingerprints with at
+most four differing bits have a segment with at most one.  Every segment is covered by a code: its low 15 bits by the
+perfect Hamming code [15, 11], whose covering radius is 1, the rest by itself.  The codewords are the anchors.  A
+fingerprint lives at the anchor nearest to its segment and is sent to every anchor within covering radius plus threshold
+(1 + 1 bits), 14 or 22 of them.  So whenever two fingerprints differ in at most one bit of a segment, the second one
+visits the anchor at which the first one lives, and they are compared there in full.
+
+The layout TWO has halves of 32 bits, the Hamming code [31, 26] and a reach of 1 + 2 bits: about 170 visits to a half
+instead of 14 to a third, but 2**27 anchors to a half instead of 2**17.  Both find the same links.  Comparisons grow with the
+square of the number of different fingerprints over the number of anchors, so THREE is cheaper up to some hundred
+millions of them, and TWO for tens of billions.
 
 Only distinct fingerprints are compared.  A crowded anchor is dealt out in cells of bounded size, each a block of residents
 against a block of visitors.  A cell returns a spanning forest of its links, not all of its pairs, and components of the
@@ -15,6 +20,8 @@ forests are found by hooking and shortcutting on written tables.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +34,6 @@ from hourgrid.llm.common import col, kept, text_of, whole_row
 SEED = 42
 SHINGLE = 4
 MAX_BITS = 4
-SEGMENTS = ((0, 21), (21, 21), (42, 22))  # shift and width
-CODED = 15  # bits of a segment that the Hamming code covers
-REACH = 2  # covering radius of the code plus the bits that may differ in a segment
 CELL = 1024  # residents, and visitors, of one cell
 CHUNK = 1 << 16  # shingles hashed at once
 
@@ -71,57 +75,64 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return slim.mapInArrow(hashed, schema)
 
 
-def _syndromes(values: np.ndarray) -> np.ndarray:
-    """Of 15-bit words: the exclusive or of the numbers 1 to 15 of the bits that are set; zero marks a codeword."""
-    found = np.zeros_like(values)
-    for bit in range(CODED):
-        found ^= np.where(values >> bit & 1, bit + 1, 0)
-    return found
-
-
-def _flip(syndrome: int) -> int:
-    return 1 << (syndrome - 1) if syndrome else 0
-
-
-def _steps() -> list[np.ndarray]:
-    """For each syndrome, what to exclusive-or to a 15-bit word to reach the codewords within REACH bits, the nearest first."""
-    masks = [0, *(1 << a for a in range(CODED)), *(1 << a | 1 << b for a in range(CODED) for b in range(a))]
-    syndromes = _syndromes(np.array(masks))
-    return [np.array([m for m, s in zip(masks, syndromes) if s == wanted]) for wanted in range(CODED + 1)]
-
-
-STEPS = _steps()
-
-
-def anchors(segment: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of segment values: (index, anchor, lives) for every anchor within REACH; ``lives`` marks the nearest."""
-    free = [1 << b for b in range(CODED, width)]
-    twos = [a | b for k, a in enumerate(free) for b in free[:k]]
-    syndromes = _syndromes(segment & ((1 << CODED) - 1))
-    where, found, nearest = [], [], []
-    for s, steps in enumerate(STEPS):
-        at = np.flatnonzero(syndromes == s)
-        masks = []
-        for step in steps.tolist():
-            left = REACH - step.bit_count()
-            masks += [step, *([step | f for f in free] if left >= 1 else []), *([step | t for t in twos] if left >= 2 else [])]
-        masks = np.array(masks)
-        where.append(np.repeat(at, len(masks)))
-        found.append((segment[at][:, None] ^ masks[None, :]).ravel())
-        nearest.append(np.tile(masks == _flip(s), len(at)))
-    return np.concatenate(where), np.concatenate(found), np.concatenate(nearest)
-
-
-def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in range(0, batch.num_rows, 8192):
-            fps = batch.column(0).slice(part, 8192).to_numpy()
-            for number, (shift, width) in enumerate(SEGMENTS):
-                segment = (fps.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << width) - 1)
-                at, anchor, lives = anchors(segment, width)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((anchor << 2 | number).astype(np.int32)), pa.array(fps[at]), pa.array(lives)], names=["anchor", "fp", "lives"]
-                )
+@dataclass(frozen=True)
+class Layout:
+    """Segments of a fingerprint, and the code that covers each."""
+
+    segments: tuple[tuple[int, int], ...]  # shift and width
+    coded: int  # bits of a segment that the Hamming code covers: 15 or 31
+    reach: int  # covering radius of the code plus the bits that may differ in a segment
+
+    def syndromes(self, values: np.ndarray) -> np.ndarray:
+        """Of coded words: the exclusive or of the numbers, from 1, of the bits that are set; zero marks a codeword."""
+        found = np.zeros_like(values)
+        for bit in range(self.coded):
+            found ^= np.where(values >> bit & 1, bit + 1, 0)
+        return found
+
+    def steps(self, width: int) -> list[np.ndarray]:
+        """For each syndrome, what to exclusive-or to a segment to reach the anchors within ``reach`` bits."""
+        bits = [1 << b for b in range(self.coded)]
+        masks = [sum(m) for k in range(self.reach + 1) for m in combinations(bits, k)]
+        rest = [1 << b for b in range(self.coded, width)]
+        free = [[sum(m) for k in range(left + 1) for m in combinations(rest, k)] for left in range(self.reach + 1)]
+        steps: list[list[int]] = [[] for _ in range(self.coded + 1)]
+        for mask, syndrome in zip(masks, self.syndromes(np.array(masks)).tolist()):
+            steps[syndrome] += [mask | f for f in free[self.reach - mask.bit_count()]]
+        return [np.array(s) for s in steps]
+
+    def anchors(self, segment: np.ndarray, steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of segment values: (index, anchor, lives) for every anchor within reach; ``lives`` marks the nearest."""
+        syndromes = self.syndromes(segment & ((1 << self.coded) - 1))
+        where, found, nearest = [], [], []
+        for s, masks in enumerate(steps):
+            at = np.flatnonzero(syndromes == s)
+            where.append(np.repeat(at, len(masks)))
+            found.append((segment[at][:, None] ^ masks[None, :]).ravel())
+            nearest.append(np.tile(masks == (1 << s - 1 if s else 0), len(at)))  # a syndrome numbers the bit that is off
+        return np.concatenate(where), np.concatenate(found), np.concatenate(nearest)
+
+    def visits(self, prints: DataFrame) -> DataFrame:
+        """(``anchor``, ``fp``, ``lives``) for all anchors within reach of a segment of each fingerprint."""
+        steps = [self.steps(width) for _, width in self.segments]
+        wide = max(width for _, width in self.segments) + 2 > 31
+        part = 8192 if self.reach < 3 else 512  # fingerprints at a time: each goes to many anchors
+
+        def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for first in range(0, batch.num_rows, part):
+                    fps = batch.column(0).slice(first, part).to_numpy()
+                    for number, (shift, width) in enumerate(self.segments):
+                        segment = (fps.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & ((1 << width) - 1)
+                        at, anchor, lives = self.anchors(segment, steps[number])
+                        named = (anchor << 2 | number).astype(np.int64 if wide else np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(fps[at]), pa.array(lives)], names=["anchor", "fp", "lives"])
+
+        return prints.mapInArrow(visited, f"anchor {'long' if wide else 'int'}, fp long, lives boolean")
+
+
+THREE = Layout(((0, 21), (21, 21), (42, 22)), 15, 2)
+TWO = Layout(((0, 32), (32, 32)), 31, 3)
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,11 +180,11 @@ def _linked(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
     """Edges (a, b) of a forest with the same components as all pairs of distinct ``fp`` within ``max_bits``."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the anchors are laid out for at most {MAX_BITS} bits")
-    visits = prints.select("fp").distinct().mapInArrow(_visits, "anchor int, fp long, lives boolean")
+    visits = layout.visits(prints.select("fp").distinct())
     crowd = visits.groupBy("anchor").agg(F.count_if("lives").alias("r"), F.count(F.lit(1)).alias("v"))
     crowd = crowd.where(f"r > {CELL} or v > {CELL}").select("anchor", F.ceil(F.col("r") / CELL).alias("rows"), F.ceil(F.col("v") / CELL).alias("cols"))
     rows, cols = F.coalesce("rows", F.lit(1)), F.coalesce("cols", F.lit(1))
@@ -214,7 +225,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
     """One row per input row: ``id``, ``fp`` (a signed long) and ``component_id``, the smallest identifier its group reaches.
 
     - Null texts count as empty; texts without words have fingerprint zero and link like any other.
@@ -222,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Only the two named columns are read, so others may have any names.
     """
     prints = kept(fingerprints(docs, id_col, text_col, shingle))
-    groups = components(links(prints, max_bits))
+    groups = components(links(prints, max_bits, layout))
     firsts = kept(prints.groupBy("fp").agg(F.min("id").alias("first")))
     rooted = kept(firsts.join(groups, firsts["fp"] == groups["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
     lowest = kept(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
@@ -230,9 +241,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
     """The row with the smallest identifier of each group, unchanged; rows without an identifier stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
+    found = near_duplicates(docs, id_col, text_col, shingle, max_bits, layout)
     name = "gone" + "_" * max(map(len, docs.columns))  # no column of the documents
     gone = found.where("id <> component_id").select(F.col("id").alias(name)).distinct()
     return docs.join(gone, col(id_col) == F.col(name), "left_anti")

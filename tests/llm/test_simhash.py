@@ -40,20 +40,26 @@ def test_the_hash_is_the_one_of_sql(spark):
     assert got % (1 << 64) == xxhash.xxh64_intdigest("é b c d".encode(), 42)
 
 
-def test_every_code_word_within_reach():
+@pytest.mark.parametrize("layout", [simhash.THREE, simhash.TWO])
+def test_every_anchor_within_reach(layout):
     rng = np.random.default_rng(1)
-    values = rng.integers(0, 1 << 21, 200)
-    at, anchor, lives = simhash.anchors(values, 21)
-    words = [w for w in range(1 << simhash.CODED) if simhash._syndromes(np.array([w]))[0] == 0]
-    assert len(words) == 1 << 11
-    for n in range(0, 200, 40):
-        want = {(w | free << 15) for w in words for free in range(64) if (int(values[n]) ^ (w | free << 15)).bit_count() <= simhash.REACH}
-        assert set(anchor[at == n].tolist()) == want
-    assert all(lives[at == n].sum() == 1 for n in range(200))
-
-
-@pytest.mark.parametrize("cell", [1024, 3])
-def test_links_against_brute_force(spark, monkeypatch, cell):
+    for _, width in layout.segments:
+        values = rng.integers(0, 1 << width, 40)
+        at, anchor, lives = layout.anchors(values, layout.steps(width))
+        coded = (1 << layout.coded) - 1
+        assert not layout.syndromes(anchor & coded).any()
+        away = np.bitwise_count(anchor ^ values[at])
+        assert (away <= layout.reach).all() and all(lives[at == n].sum() == 1 for n in range(40))
+        assert (away[lives] <= 1).all()
+        assert all(len(set(anchor[at == n].tolist())) == (at == n).sum() for n in range(40))
+        # all words of at most ``reach`` flips that are anchors were found
+        flips = [sum(1 << int(b) for b in rng.choice(width, layout.reach, replace=False)) for _ in range(3000)]
+        near = np.array([int(values[0]) ^ f for f in flips])
+        assert set(near[layout.syndromes(near & coded) == 0].tolist()) <= set(anchor[at == 0].tolist())
+
+
+@pytest.mark.parametrize(("cell", "layout"), [(1024, simhash.THREE), (3, simhash.THREE), (1024, simhash.TWO)])
+def test_links_against_brute_force(spark, monkeypatch, cell, layout):
     monkeypatch.setattr(simhash, "CELL", cell)
     rng = random.Random(3)
     prints = {0, (1 << 64) - 1}
@@ -62,7 +68,7 @@ def test_links_against_brute_force(spark, monkeypatch, cell):
         prints |= {base ^ sum(1 << b for b in rng.sample(range(64), k)) for k in (0, 0, 1, 2, 3, 4, 4, 5, 6, 8)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     df = spark.createDataFrame([(p,) for p in signed * 2], "fp long")
-    got = roots([tuple(r) for r in simhash.links(df).collect()])
+    got = roots([tuple(r) for r in simhash.links(df, layout=layout).collect()])
     assert got == roots(near(sorted(signed)))
 
 
