@@ -28,7 +28,7 @@ from hourgrid.llm.common import col, text_of
 LONGEST = 2048
 END_ID = 1
 STEP_TOKENS = 32 * LONGEST
-WORDS_KEPT, PIECES_KEPT = 1 << 20, 3 << 19  # words, and pieces of words, whose ids a worker remembers
+WORDS_KEPT, PIECES_KEPT = 1 << 19, 3 << 18  # words, and pieces of words, whose ids a worker remembers: some 250 MB
 STRETCH = 1 << 20  # bytes of a text that are split into words at once
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
