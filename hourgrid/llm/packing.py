@@ -28,7 +28,7 @@ from hourgrid.llm.common import col, text_of
 LONGEST = 2048
 END_ID = 1
 STEP_TOKENS = 32 * LONGEST
-WORDS_KEPT, PIECES_KEPT = 1 << 19, 3 << 18  # words, and pieces of words, whose ids a worker remembers: some 250 MB
+WORDS_KEPT = 1 << 20  # words whose ids a worker remembers, and half again as many pieces of words: some 450 MB
 STRETCH = 1 << 20  # bytes of a text that are split into words at once
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
@@ -43,12 +43,13 @@ class WordIds:
     tokenizer as a whole, and so are words that hold other white space.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words_kept = words_kept
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -60,9 +61,9 @@ class WordIds:
         return ids
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.words) > WORDS_KEPT:
+        if len(self.words) > self.words_kept:
             self.words.clear()
-        if len(self.pieces) > PIECES_KEPT:
+        if len(self.pieces) > self.words_kept * 3 // 2:
             self.pieces.clear()
         text = self.tokenizer.normalizer.normalize_str(b" ".join(words).decode("utf-8"))
         if text.count(" ") != len(words) - 1:
@@ -95,13 +96,13 @@ class WordIds:
         return b"".join(out)
 
 
-_LOADED: dict[str, WordIds] = {}  # of this worker
+_LOADED: dict[tuple[str, int], WordIds] = {}  # of this worker
 
 
-def word_ids(path: str) -> WordIds:
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+def word_ids(path: str, words_kept: int) -> WordIds:
+    if (path, words_kept) not in _LOADED:
+        _LOADED[path, words_kept] = WordIds(path, words_kept)
+    return _LOADED[path, words_kept]
 
 
 def tier_of(length: int) -> int:
@@ -159,10 +160,11 @@ def _pieces(ids: list[bytes], longest: int) -> list[list[tuple[int, int, int]]]:
     return sorted(sequences + packed, key=lambda s: -sum(length for *_, length in s))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, end_id: int = END_ID, words_kept: int = WORDS_KEPT) -> DataFrame:
     """One row per piece of a document: where it lies in the document and in its sequence, and a checksum of its ids.
 
-    - ``tokenizer`` is the path of a tokenizer file on the executors.  Each document's ids end with ``end_id``.
+    - ``tokenizer`` is the path of a tokenizer file on the executors.  Each document's ids end with ``end_id``.  ``words_kept``
+      sets what a worker remembers, and holds as long as it lives; fewer words take less memory and more time.
     - A null or empty text is the end token alone.  Rows that repeat or share an identifier are packed one by one; a null
       identifier stays null.  An empty table gives no rows.  Only the two named columns are read.
     - Sequence and group numbers are unique over the whole result (partition number, then a counter), not dense.
@@ -173,7 +175,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     end = np.array([end_id], "<u4").tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, first = word_ids(tokenizer), TaskContext.get().partitionId() << 40
+        encode, first = word_ids(tokenizer, words_kept), TaskContext.get().partitionId() << 40
         sequence = group = first
         for batch in batches:
             ids = [encode(text.as_py()) + end for text in batch.column(1)]

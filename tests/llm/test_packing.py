@@ -47,10 +47,8 @@ def test_ids_of_any_text(texts):
 CACHE = {}
 
 
-def test_memory_is_bounded(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
-    monkeypatch.setattr(packing, "PIECES_KEPT", 3)
-    words = packing.WordIds(PATH)
+def test_memory_is_bounded(tokenizer):
+    words = packing.WordIds(PATH, 3)
     for text in ("one two three four five", "six seven eight one two", "one nine ten"):
         assert np.frombuffer(words(text), "<u4").tolist() == ids(tokenizer, text)
 
