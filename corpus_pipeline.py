@@ -31,8 +31,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack_documents(docs, TOKENIZER)
+    """Pieces of documents in sequences of at most 2048 tokens.
+
+    Workers remember few words, as they live on through the other stages of later runs.
+    """
+    return packing.pack_documents(docs, TOKENIZER, words_kept=1 << 18)
 
 
 STAGES = [
