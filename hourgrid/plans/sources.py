@@ -10,6 +10,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from hourgrid import sinks
+from hourgrid.functions import positions
 from hourgrid.operators import curves, export, gas, quality
 from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
@@ -17,51 +18,56 @@ from hourgrid.plans.views import CALENDAR, SCENARIO, define
 from hourgrid.session import scratch_path
 from hourgrid.sources import archives, tables
 
-FOLDER = {"scenario_id": r"/([FO])/[^/]*$"}
+# bounds of one file, whatever the size of the tables
+ARCHIVE_ROWS = 20_000
+PRICE_ROWS = 8_760
+# sites side by side in a wide file, other ones in each scenario
+WIDE_SITES = {"F": 64, "O": 48}
+# member positions of the test tables end here
+POSITIONS = 1_000_003
 
 
 def _archived(spark, rows, key, order, name):
-    """One tar.gz per scenario below a fresh folder, with a CSV member for each value of ``key``; members by ``order``."""
+    """Archives below a fresh folder, one tar.gz per scenario and ``block``, with a CSV member for each value of ``key``; members by ``order``."""
     folder = scratch_path(spark, name)
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        scenario = group["scenario_id"].iloc[0]
+        place = f"{group['scenario_id'].iloc[0]}/{group['block'].iloc[0]}"
         system, base = fs.FileSystem.from_uri(folder)
-        system.create_dir(f"{base}/{scenario}", recursive=True)
-        with system.open_output_stream(f"{base}/{scenario}/series.tar.gz", compression=None) as out, tarfile.open(fileobj=out, mode="w|gz") as archive:
-            group = group.sort_values(order)
-            for member in group[key].unique():
-                data = group.loc[group[key] == member].drop(columns=["scenario_id", key, *order]).dropna(axis=1, how="all").to_csv().encode()
+        system.create_dir(f"{base}/{place}", recursive=True)
+        with system.open_output_stream(f"{base}/{place}/series.tar.gz", compression=None) as out, tarfile.open(fileobj=out, mode="w|gz") as archive:
+            for member, lines in group.sort_values(order).groupby(key, sort=False):
+                data = lines.drop(columns=["scenario_id", "block", key, *order]).dropna(axis=1, how="all").to_csv().encode()
                 info = tarfile.TarInfo(f"{member}.csv")
                 info.size = len(data)
                 archive.addfile(info, io.BytesIO(data))
         return pd.DataFrame({"n": [1]})
 
-    rows.groupBy("scenario_id").applyInPandas(pack, "n int").collect()
+    rows.groupBy("scenario_id", "block").applyInPandas(pack, "n int").write.format("noop").mode("overwrite").save()
     return folder
 
 
 def _raw(spark, d):
-    """Asset rows of few members, archived by scenario and read again."""
-    few = v.asset_row(spark, d).where(F.col("member_pos") % 20 == 0)
-    folder = _archived(spark, few, "member", ["member_pos", "row_idx"], "series")
-    rows = archives.site_records(spark, f"{folder}/*/series.tar.gz")
-    key = F.regexp_extract("path", FOLDER["scenario_id"], 1).alias("scenario_id")
-    return rows.select(key, F.regexp_replace("member", r"\.csv$", "").alias("member"), "member_pos", "row_idx", "assetName", "assetClass", "carrierId", "sector", "allocationPower")
-
-
-_FEW = "(SELECT * FROM asset_row WHERE member_pos % 20 = 0)"
-
-
-@query("src1_archive_members", f"""SELECT scenario_id, member, CAST(row_number() OVER (PARTITION BY scenario_id, member ORDER BY row_idx) - 1 AS BIGINT) AS row_idx,
-    "assetName", "carrierId", round("allocationPower" / 1e6, 2) + 0.0 AS mw FROM {_FEW}""")
+    """All asset rows, archived by scenario and block of member positions and read again; positions go on from block to block."""
+    rows = v.asset_row(spark, d)
+    span = max(1, POSITIONS * ARCHIVE_ROWS // max(1, v.table(spark, d, "lineitem").count()))
+    blocks = rows.withColumn("block", F.floor(F.col("member_pos") / span))
+    folder = _archived(spark, blocks, "member", ["member_pos", "row_idx"], "series")
+    rows = archives.site_records(spark, f"{folder}/*/*/series.tar.gz")
+    key, block = (F.regexp_extract("path", r"/([FO])/(\d+)/[^/]*$", n) for n in (1, 2))
+    place = (block.cast("long") * (1 << 32) + F.col("member_pos")).alias("member_pos")
+    return rows.select(key.alias("scenario_id"), F.regexp_replace("member", r"\.csv$", "").alias("member"), place, "row_idx", "assetName", "assetClass", "carrierId", "sector", "allocationPower")
+
+
+@query("src1_archive_members", """SELECT scenario_id, member, CAST(row_number() OVER (PARTITION BY scenario_id, member ORDER BY row_idx) - 1 AS BIGINT) AS row_idx,
+    "assetName", "carrierId", round("allocationPower" / 1e6, 2) + 0.0 AS mw FROM asset_row""")
 def src1(spark, d):
     rows = _raw(spark, d).withColumn("mw", F.round(F.col("allocationPower") / 1e6, 2))
     return rows.select("scenario_id", "member", "row_idx", "assetName", "carrierId", "mw")
 
 
-@query("src12_first_member", f"""SELECT scenario_id, member, CAST(count(*) AS BIGINT) AS n FROM {_FEW} f
-    WHERE (scenario_id, member_pos) IN (SELECT (scenario_id, min(member_pos)) FROM {_FEW} WHERE member LIKE 'M1%' GROUP BY scenario_id) GROUP BY ALL""")
+@query("src12_first_member", """SELECT scenario_id, member, CAST(count(*) AS BIGINT) AS n FROM asset_row f
+    WHERE (scenario_id, member_pos) IN (SELECT (scenario_id, min(member_pos)) FROM asset_row WHERE member LIKE 'M1%' GROUP BY scenario_id) GROUP BY ALL""")
 def src12(spark, d):
     found = archives.first_member(_raw(spark, d), "M1", ["scenario_id"])
     return found.groupBy("scenario_id", "member").agg(F.count("*").alias("n"))
@@ -80,7 +86,7 @@ def _export_sites(spark):
     )
 
 
-define("e1_row", "SELECT * FROM numbered WHERE member_pos % 20 = 0 AND carrier = 'electricity'")
+define("e1_row", "SELECT * FROM numbered WHERE carrier = 'electricity'")
 define("e1_limit", """SELECT scenario_id, arg_min(n, rk) AS lim FROM (
     SELECT *, row_number() OVER (PARTITION BY scenario_id ORDER BY member_pos, first_idx) AS rk FROM (
     SELECT scenario_id, member_pos, count(*) AS n, min(row_idx) AS first_idx FROM e1_row GROUP BY scenario_id, member, member_pos, "assetName", "carrierId"))
@@ -117,30 +123,40 @@ def e2(spark, d):
 
 
 def _wide(spark, d):
-    """Site curves of a few sites as wide semicolon files, gzip, one folder per scenario and other columns in each."""
+    """Curves of all sites as wide semicolon files, gzip, one folder per scenario, one file per block of sites in it; a column is a site's place in its block."""
     folder = scratch_path(spark, "wide")
-    for scenario, sites in (("F", ["1", "2", "3"]), ("O", ["2", "4"])):
-        rows = v.site_curve(spark, d).where((F.col("scenario_id") == scenario) & F.col("site").isin(sites)).drop("scenario_id")
-        sinks.write_csv(curves.to_wide(rows, ["hour"], "site", sites).coalesce(1), f"{folder}/{scenario}", (), sort=["hour"])
-    return folder
+    for scenario, width in WIDE_SITES.items():
+        site = F.col("site").cast("long")
+        rows = v.site_curve(spark, d).where(F.col("scenario_id") == scenario)
+        rows = rows.select(F.floor(site / width).alias("block"), "hour", (site % width).cast("string").alias("place"), "mw")
+        wide = curves.to_wide(rows, ["block", "hour"], "place", [str(k) for k in range(width)])
+        sinks.write_csv(wide.repartition("block"), f"{folder}/{scenario}", ["block"], sort=["block", "hour"])
+    return [f"{folder}/{s}/*" for s in WIDE_SITES]
+
+
+def _wide_place(n):
+    """Scenario (1) or block (2) of a wide file."""
+    return F.regexp_extract("path", r"/([FO])/block=(\d+)/[^/]*$", n)
 
 
-@query("src2_wide_files", """SELECT scenario_id, hour, site, round(mw, 4) + 0.0 AS mw FROM site_curve
-    WHERE (scenario_id = 'F' AND site IN ('1', '2', '3')) OR (scenario_id = 'O' AND site IN ('2', '4'))""")
+@query("src2_wide_files", """SELECT scenario_id, hour, site, round(mw, 4) + 0.0 AS mw FROM site_curve""")
 def src2_wide(spark, d):
-    cells = archives.read_wide_files(spark, [f"{_wide(spark, d)}/{s}" for s in v.SCENARIOS])
-    return cells.where(F.col("mw").isNotNull()).select(F.regexp_extract("path", "/([FO])/[^/]*$", 1).alias("scenario_id"), "hour", "site", "mw")
+    cells = archives.read_wide_files(spark, _wide(spark, d)).where(F.col("mw").isNotNull())
+    width = F.when(F.col("scenario_id") == "F", WIDE_SITES["F"]).otherwise(WIDE_SITES["O"])
+    site = (_wide_place(2).cast("long") * width + F.col("site").cast("long")).cast("string").alias("site")
+    return cells.withColumn("scenario_id", _wide_place(1)).select("scenario_id", "hour", site, "mw")
 
 
-@query("o1_sorted_sink", """SELECT scenario_id, CAST(count(*) AS BIGINT) AS n, true AS in_order FROM (SELECT DISTINCT scenario_id, hour FROM site_curve
-    WHERE (scenario_id = 'F' AND site IN ('1', '2', '3')) OR (scenario_id = 'O' AND site IN ('2', '4'))) GROUP BY ALL""")
+@query("o1_sorted_sink", """SELECT scenario_id, CAST(count(*) AS BIGINT) AS n, true AS in_order FROM (SELECT DISTINCT scenario_id, hour FROM site_curve) GROUP BY ALL""")
 def o1(spark, d):
-    """Hours come back from a file in the order in which the sink has sorted them."""
-    cells = archives.wide_cells(spark, [f"{_wide(spark, d)}/{s}" for s in v.SCENARIOS], hour=None)
-    hours = cells.where(F.col("site") == "hour").select(F.regexp_extract("path", "/([FO])/[^/]*$", 1).alias("scenario_id"), "hour", F.col("value").cast("int").alias("v"))
+    """Hours come back from every file in the order in which the sink has sorted them."""
+    cells = archives.wide_cells(spark, _wide(spark, d), hour=None)
+    hours = cells.where(F.col("site") == "hour").select("path", "hour", F.col("value").cast("int").alias("v"))
     line = F.array_sort(F.collect_list(F.struct("hour", "v")))
-    values = hours.groupBy("scenario_id").agg(F.transform(line, lambda s: s["v"]).alias("_v"))
-    return values.select("scenario_id", F.size("_v").cast("bigint").alias("n"), (F.col("_v") == F.array_sort("_v")).alias("in_order"))
+    values = hours.groupBy("path").agg(F.transform(line, lambda s: s["v"]).alias("_v"))
+    files = values.select(_wide_place(1).alias("scenario_id"), "_v", (F.col("_v") == F.array_sort("_v")).alias("_sorted"))
+    seen = files.select("scenario_id", "_sorted", F.explode("_v").alias("_hour"))
+    return seen.groupBy("scenario_id").agg(F.count_distinct("_hour").alias("n"), F.bool_and("_sorted").alias("in_order"))
 
 
 @query("src3_decimal_comma", """SELECT r_name AS node, 'Sector ' || k AS sector, round((r_regionkey + k) / 8, 4) + 0.0 AS weight
@@ -191,16 +207,21 @@ def src6(spark, d):
 
 @query("src9_price_files", "SELECT scenario_id, hour, round(price, 4) + 0.0 AS price FROM price_file")
 def src9(spark, d):
+    """Prices of all orders, a file for every ``PRICE_ROWS`` of a scenario; the hours of its files follow each other."""
     folder = scratch_path(spark, "prices")
-    for scenario, factor in (("F", 1.0), ("O", 2.0)):
-        rows = v.table(spark, d, "orders").where("o_orderkey <= 4000").select("o_orderkey", (F.col("o_totalprice") * factor).alias("Price")).coalesce(1)
-        lines = rows.sortWithinPartitions("o_orderkey").select(F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("Time"), "Price")
-        lines.write.option("header", True).csv(f"{folder}/{scenario}")
-    return tables.read_prices(spark, f"{folder}/*", FOLDER)
+    factors = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(f).alias("f")) for s, f in (("F", 1.0), ("O", 2.0))])).alias("_c")
+    rows = v.table(spark, d, "orders").select("o_orderkey", "o_totalprice", factors)
+    rows = rows.select(F.col("_c.s").alias("scenario_id"), "o_orderkey", (F.col("o_totalprice") * F.col("_c.f")).alias("Price"))
+    placed = positions.number_rows(rows, SCENARIO, "o_orderkey", "_pos").withColumn("block", F.floor(F.col("_pos") / PRICE_ROWS))
+    lines = placed.repartition("scenario_id", "block").sortWithinPartitions("scenario_id", "block", "_pos")
+    lines = lines.select("scenario_id", "block", F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("Time"), "Price")
+    lines.write.partitionBy("scenario_id", "block").option("header", True).csv(folder)
+    prices = tables.read_prices(spark, f"{folder}/*/*", {"scenario_id": "/scenario_id=([FO])/", "block": r"/block=(\d+)/"})
+    return prices.select("scenario_id", (F.col("block").cast("int") * PRICE_ROWS + F.col("hour")).alias("hour"), "price")
 
 
 define("price_file", """SELECT s.scenario_id, CAST(row_number() OVER (PARTITION BY s.scenario_id ORDER BY o_orderkey) - 1 AS INTEGER) AS hour, o_totalprice * f AS price
-    FROM orders, (VALUES ('F', 1.0::DOUBLE), ('O', 2.0::DOUBLE)) AS s(scenario_id, f) WHERE o_orderkey <= 4000""")
+    FROM orders, (VALUES ('F', 1.0::DOUBLE), ('O', 2.0::DOUBLE)) AS s(scenario_id, f)""")
 
 
 @query("v15_unreadable_numbers", """SELECT CAST(n_nationkey AS INTEGER) AS hour, 'n' || (n_nationkey % 3) || 'x' AS value FROM nation WHERE n_nationkey % 5 = 0""")
