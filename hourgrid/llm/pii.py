@@ -69,6 +69,15 @@ def _permuted_digits(digits: Column, key: str, domain: Column) -> Column:
     return F.lpad(value.cast("string"), n, "0")
 
 
+def _permuted_run(digits: Column, key: str, domain: Column) -> Column:
+    """As many digits again (36 at most): over 18, each half by a permutation that the other half chooses."""
+    half = F.floor(F.length(digits) / 2).cast("int")
+    a, b = F.substr(digits, F.lit(1), half), F.substr(digits, half + 1)
+    moved = F.array(_permuted_digits(b, key, F.concat_ws(",", domain, a)))
+    halves = F.transform(moved, lambda m: F.concat(_permuted_digits(a, key, F.concat_ws(",", domain, m)), m))[0]
+    return F.when(F.length(digits) <= 18, _permuted_digits(digits, key, domain)).otherwise(halves)
+
+
 def _refilled(form: Column, digits: Column) -> Column:
     """The form with its digits replaced, one after another."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
@@ -109,7 +118,7 @@ def _phone(m: Column, key: str) -> Column:
     """The country code stays."""
     code = F.regexp_extract(m, r"^(?:\+\d{1,3})?", 0)
     rest = F.substr(m, F.length(code) + 1)
-    return F.concat(code, _refilled(rest, _permuted_digits(_digits(rest), key, F.lit("phone"))))
+    return F.concat(code, _refilled(rest, _permuted_run(_digits(rest), key, F.lit("phone"))))
 
 
 def _ip(m: Column, key: str) -> Column:

@@ -70,6 +70,30 @@ def test_it_is_a_permutation(spark, high, low):
     assert got.agg(F.count_distinct("v"), F.min("v"), F.max("v")).first()[:] == (high * low, 0, high * low - 1)
 
 
+@pytest.mark.parametrize("n", range(18, 24))
+def test_phones_of_many_digits(spark, n):
+    """Such a run is one phone to the pattern; it gets as many other digits and leaves the other rows alone."""
+    digits = "999" + "9" * (n - 3)
+    grouped = "+999 " + " ".join(digits[3:][i:i + 4] for i in range(0, n - 3, 4))
+    texts = [f"+{digits}", f"+{digits[:-1]}8", "+999" + digits[3:5] + "0" * (n - 5), "plain"] + [grouped] * (n % 4 != 0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.id: r for r in pii.pseudonyms(docs, "key").collect()}
+    for i, text in enumerate(texts):
+        assert re.sub(r"\d", "0", got[i].text) == re.sub(r"\d", "0", text)
+        assert got[i].n_phone == (text != "plain") and (got[i].text == text) == (text == "plain")
+    assert len({re.sub(r"\D", "", got[i].text) for i in range(3)}) == 3
+    if n % 4:
+        assert re.sub(r"\D", "", got[4].text) == got[0].text[1:]
+
+
+def test_long_runs_are_permuted(spark):
+    """No two runs of 19 digits share a pseudonym, whichever half they differ in."""
+    runs = spark.range(2000).select(F.concat(F.lpad(F.col("id").cast("string"), 4, "0"), F.lit("0" * 15)).alias("d"))
+    runs = runs.union(spark.range(1, 2000).select(F.lpad(F.col("id").cast("string"), 19, "0").alias("d")))
+    got = [r.v for r in runs.select(pii._permuted_run(F.col("d"), "key", F.lit("test")).alias("v")).collect()]
+    assert len(set(got)) == len(got) == 3999 and {len(v) for v in got} == {19}
+
+
 def test_only_built_in_functions(spark, sf_dir):
     plan = queries.op4_pii(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
