@@ -1,10 +1,11 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines, one for each block element.  A line weighs as much as its text outside links.  Scripts,
+Markup is stripped to lines, one for each block element.  A line weighs as much as its text outside links, inside an
+article as much as its whole text.  Scripts,
 styles, menus, headers, footers, sidebars, notices, adverts, forms and comments leave one empty line each, however long
 they are, and the edge of an article leaves a gap of WINDOW empty lines.  The weights are summed over sliding windows of
-WINDOW lines: text surges where a window's sum leaves zero and dives where it comes back.  Of the stretches between surge
-and dive the heaviest is kept, one inside an article before any other.
+WINDOW lines: text surges where a window's sum leaves zero and dives where it comes back.  All stretches between surge and
+dive that lie inside an article or main element are kept; on a page without any, the heaviest.
 
 Elements are known by their names, or by words of their class, id or role.
 """
@@ -72,7 +73,7 @@ class _Lines:
     def flush(self, inside: bool) -> None:
         line = " ".join("".join(self.parts).split())
         if line:
-            self._add(line, max(0, len(line) - self.linked), inside)
+            self._add(line, len(line) if inside else max(0, len(line) - self.linked), inside)
         self.parts, self.linked = [], 0
 
     def _add(self, line: str, weight: int, inside: bool) -> None:
@@ -167,14 +168,13 @@ def main_text(page: str) -> str:
         if total and surge is None:
             surge = n
         elif not total and surge is not None:
-            weight = sum(lines.weight[surge:n])
-            stretches.append((any(lines.inside[surge:n]), weight, -surge, n))
+            stretches.append((surge, n))
             surge = None
-    if not stretches:
-        return ""
-    *_, start, dive = max(stretches)
-    last = max(n for n in range(-start, dive) if lines.weight[n])
-    return "\n".join(line for line in lines.text[-start : last + 1] if line)
+    kept = [s for s in stretches if any(lines.inside[slice(*s)])]
+    if not kept and stretches:
+        start, dive = max(stretches, key=lambda s: (sum(lines.weight[slice(*s)]), -s[0]))
+        kept = [(start, max(n for n in range(start, dive) if lines.weight[n]) + 1)]
+    return "\n".join(line for s in kept for line in lines.text[slice(*s)] if line)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -27,6 +27,24 @@ def test_an_article_before_longer_text():
     assert extraction.main_text(page) == "Short.\nx\ny\nz" or extraction.main_text(page) == "Head\nShort.\nx\ny\nz"
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=x{i}>link {i}</a></li>" for i in range(5)) + "</ul>"
+LINKED = "\n".join(f"link {i}" for i in range(5))
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><h1><a href=x>Head</a></h1><p>one</p></article>", "Head\none"),
+    (f"<article><p>one</p>{LINKS}<p>two, longer</p></article>", f"one\n{LINKED}\ntwo, longer"),
+    (f"<article><p>one</p>{LINKS}</article>", f"one\n{LINKED}"),
+    (f"<main>{LINKS}</main><div><p>{'else ' * 50}</p></div>", LINKED),
+    (f"<article><p>one</p>{LINKS}<div class=ad>x</div>{LINKS}<p>two</p></article>", f"one\n{LINKED}\n{LINKED}\ntwo"),
+    ("<article><p>first</p></article><div><p>between</p></div><article><p>second, longer</p></article>", "first\nsecond, longer"),
+    ("<article><p>first</p></article><article><p>second</p></article>", "first\nsecond"),
+    (f"<div><p>kept</p></div>{LINKS}<div><p>menu</p></div>", "kept"),
+])
+def test_articles_are_kept_whole(page, text):
+    assert extraction.main_text(f"<html><body>{page}</body></html>") == text
+
+
 @pytest.mark.parametrize(("page", "text"), [
     ("", ""), ("   ", ""), ("plain text", "plain text"), ("a < b &amp c", "a < b & c"), ("<p>a<p>b<script>x", "a\nb"), ("<!-- x -->y<!-- z", "y"),
     ("<p title='a > b'>c</p>", "c"), ("<p title=\"x>y</p>", "y"), ("<nav>only menu</nav>", ""), ("<p>&lt;b&gt;</p>", "<b>"),
