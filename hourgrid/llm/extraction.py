@@ -7,6 +7,9 @@ they are, and the edge of an article leaves a gap of WINDOW empty lines.  The we
 WINDOW lines: text surges where a window's sum leaves zero and dives where it comes back.  All stretches between surge and
 dive that lie inside an article or main element are kept; on a page without any, the heaviest.
 
+An element without end tag ends where HTML ends it: a paragraph at the next block, an item or cell at the next one, and any
+at the end tag of what encloses it.
+
 Elements are known by their names, or by words of their class, id or role.
 """
 
@@ -42,6 +45,24 @@ WORDS = frozenset(
 )
 OUTER_WORDS = frozenset("header masthead topbar site-header".split())
 
+BLOCKS = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr li main menu nav ol p pre section summary table ul".split()
+)
+WALLS = frozenset("table caption td th button object template".split())  # end tags of what is outside have no effect inside
+ROWS = frozenset("tr tbody thead tfoot".split())
+THROUGH = CONTENT | ROWS | WALLS | frozenset("body html".split())  # their end tags pass walls
+HEAD = frozenset("base basefont bgsound head html link meta noscript noframes script style template title".split())
+# elements that end without an end tag, at the start of which, and what hides them from it
+IMPLIED = (
+    (frozenset(["p"]), BLOCKS, WALLS),
+    (frozenset(["li"]), frozenset(["li"]), BLOCKS - frozenset("address div p li".split()) | WALLS),
+    (frozenset(["dt", "dd"]), frozenset(["dt", "dd"]), BLOCKS - frozenset("address div p dt dd".split()) | WALLS),
+    (frozenset(["option"]), frozenset(["option", "optgroup"]), frozenset(["select", "datalist"])),
+    (frozenset(["td", "th"]), frozenset(["td", "th"]) | ROWS, frozenset(["table"])),
+    (frozenset(["tr"]), ROWS, frozenset(["table"])),
+)
+
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>?")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.IGNORECASE)
@@ -92,13 +113,43 @@ class _Lines:
             self._add("", 0, inside)
 
 
+class _Open:
+    """Open elements, with the place of the innermost wall and of each that a start tag may end; no step walks the stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, tuple[int, ...]]] = []
+        self.where: dict[str, list[int]] = {}
+
+    def cut(self, n: int) -> None:
+        while len(self.stack) > n:
+            self.where[self.stack.pop()[0]].pop()
+
+    def imply(self, name: str) -> None:
+        """End what ends at the start of ``name``."""
+        for k, (_, starts, _) in enumerate(IMPLIED):
+            if name in starts and self.stack and self.stack[-1][2][k] >= 0:
+                self.cut(self.stack[-1][2][k])
+
+    def push(self, name: str) -> None:
+        n = len(self.stack)
+        _, wall, before = self.stack[-1] if n else ("", -1, (-1,) * len(IMPLIED))
+        places = tuple(n if name in ends else -1 if name in hides else b for (ends, _, hides), b in zip(IMPLIED, before))
+        self.stack.append((name, n if name in WALLS else wall, places))
+        self.where.setdefault(name, []).append(n)
+
+    def last(self, name: str) -> int:
+        """Place of the element that an end tag ends, -1 if none."""
+        places = self.where.get(name)
+        return places[-1] if places and (name in THROUGH or places[-1] >= self.stack[-1][1]) else -1
+
+
 def _lines(page: str) -> _Lines:
     out, at, depth, links = _Lines(), 0, 0, 0
-    skipped, nested = "", 0  # the element that is being left out, and how many of its name are open
+    opened, skipped = _Open(), -1  # the place of the element that is being left out
     while at < len(page):
         lt = page.find("<", at)
         lt = len(page) if lt < 0 else lt
-        if lt > at and not skipped:
+        if lt > at and skipped < 0:
             text = html.unescape(page[at:lt])
             out.parts.append(text)
             out.linked += len(text) if links else 0
@@ -114,7 +165,7 @@ def _lines(page: str) -> _Lines:
             continue
         tag = _TAG.match(page, lt) or _LOOSE_TAG.match(page, lt)
         if not tag:  # a bare "<" is text
-            if not skipped:
+            if skipped < 0:
                 out.parts.append("<")
             at = lt + 1
             continue
@@ -123,20 +174,34 @@ def _lines(page: str) -> _Lines:
             end = re.compile(f"</{name}", re.IGNORECASE).search(page, at)
             at = len(page) if end is None else end.start()
             continue
-        if skipped:
-            if name == skipped:
-                nested += -1 if closing else 1
-            # an element that was never closed ends where the page goes on
-            lost = skipped == "head" and name == "body" or name in CONTENT and not closing and not depth and not _set_aside(name, attributes, False)
-            if nested and not lost:
-                continue
-            skipped = ""
-            if not lost:
+        if closing:
+            place = opened.last(name)
+            if place < skipped and name in CONTENT and depth:
+                opened.cut(skipped)
+            if place >= 0:
+                opened.cut(place)
+            if skipped >= 0 and (place == skipped or len(opened.stack) > skipped):
+                skipped = -1 if place == skipped else skipped
                 continue
+        else:
+            opened.imply(name)
+            if len(opened.stack) > skipped >= 0:
+                # an element that was never closed ends where the page goes on
+                lost = opened.stack[-1][0] == "head" and name not in HEAD or name in CONTENT and not depth and not _set_aside(name, attributes, False)
+                if not lost:
+                    if name not in VOID and (name not in INLINE or name == opened.stack[skipped][0]):
+                        opened.push(name)
+                    continue
+                opened.cut(skipped)
+        skipped = -1
         if not closing and name not in VOID and _set_aside(name, attributes, depth > 0):
             out.hole(depth > 0)
-            skipped, nested = name, 1
-        elif name in CONTENT:
+            skipped = len(opened.stack)
+            opened.push(name)
+            continue
+        if not closing and name not in VOID and name not in INLINE:
+            opened.push(name)
+        if name in CONTENT:
             if not closing and not depth:
                 out.gap(False)
             depth = max(0, depth + (-1 if closing else 1))

@@ -55,6 +55,30 @@ def test_small_pages(page, text):
     assert extraction.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><p class="ad">x<p>text one</p><p>text two</p></article>', "text one\ntext two"),
+    ('<article><p>one</p><ul><li class="share">x<li>two<li>three</ul><p>four</p></article>', "one\ntwo\nthree\nfour"),
+    ('<article><ul><li>one<li class="share">x<ul><li>x</ul></ul><p>two</p></article>', "one\ntwo"),
+    ('<article><p>one</p><div class="ad">x</article><article><p>two</p></article>', "one\ntwo"),
+    ('<article><div><p>one</p><div class="ad"><p>x<div>x</div>x</div></div><p>two</p></article>', "one\ntwo"),
+    ('<article><div><span class="promo">x</div><p>one</p></article>', "one"),
+    ('<article><dl><dt>a<dd class="share">x<dt>b<dd>c</dl></article>', "a\nb\nc"),
+    ('<article><table><tr><td class="ad">x<td>a<tr class="ad"><td>x<tr><td>b</table><p>c</p></article>', "a\nb\nc"),
+    ('<article><div><table><tr><td class="ad">x</div>x</td><td>a</td></tr></table></div></article>', "a"),
+    ('<article><p class="ad">x<b>x</b><br>x<h2>one</h2><p>two</article>', "one\ntwo"),
+    ('<article><form><select><option>x</select></form><p>one</p></article>', "one"),
+    ('<div><article><p>one</p></div><p class="ad">x</article><p>out</p>', "one"),
+    ("<head><title>t</title><meta name=a><p>one</p>", "one"),
+])
+def test_elements_without_end_tag(page, text):
+    assert extraction.main_text(page) == text
+
+
+def test_open_elements_take_time_in_proportion():
+    assert extraction.main_text("<article><div><p><button>" + "<x>" * 50_000 + "<hr></div></p>" * 50_000 + "</article><p>y</p>") == "y"
+    assert extraction.main_text('<article><div class="ad">' + "<p>" * 100_000 + "</div><p>z</article>") == "z"
+
+
 def test_long_pages_take_time_in_proportion():
     assert len(extraction.main_text("<p>" + "word " * 300_000 + "</p>")) == 300_000 * 5 - 1
     assert extraction.main_text("<div>" * 50_000 + "x" + "</div>" * 50_000) == "x"
