@@ -242,8 +242,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
-    """The row with the smallest identifier of each group, unchanged; rows without an identifier stay."""
+    """The rows with the smallest identifier of their group, unchanged; rows without an identifier stay.
+
+    Rows go by identifier and fingerprint, so of different texts that share an identifier each is judged by its own group.
+    """
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits, layout)
-    name = "gone" + "_" * max(map(len, docs.columns))  # no column of the documents
-    gone = found.where("id <> component_id").select(F.col("id").alias(name)).distinct()
-    return docs.join(gone, col(id_col) == F.col(name), "left_anti")
+    gone = found.where("id <> component_id").select(F.col("id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct()
+    rows = fingerprints(docs, id_col, text_col, shingle, carry=True)
+    return rows.join(gone, (rows["id"] == gone["gone_id"]) & (rows["fp"] == gone["gone_fp"]), "left_anti").select("row.*")

@@ -99,6 +99,13 @@ def test_groups_against_brute_force(spark, sf_dir):
     assert sorted(((r.doc_id, r.text) for r in stay.collect()), key=str) == sorted(((i, t) for i, t in docs if i is None or first[root.get(prints[i, t], prints[i, t])] == i), key=str)
 
 
+def test_texts_that_share_an_identifier(spark):
+    """A text stays though another one under its identifier repeats a text with a smaller one."""
+    one, other = (" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b"))
+    docs = spark.createDataFrame([(1, one, "x"), (5, one, "y"), (5, other, "z"), (7, other, "u")], "id long, text string, fp string")
+    assert rows(simhash.deduplicate(docs, id_col="id")) == [(1, one, "x"), (5, other, "z")]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert rows(simhash.near_duplicates(docs)) == [] and simhash.deduplicate(docs).count() == 0
