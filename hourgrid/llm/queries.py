@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, warc
+from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, substrings, warc
 from hourgrid.llm.common import table
 from hourgrid.session import scratch_path
 
@@ -148,6 +148,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+), placed AS (
+  SELECT doc_id, i, words[i] AS word, CASE WHEN i + 19 <= len(words) THEN array_to_string(words[i : i + 19], ' ') END AS span
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split)
+), judged AS (
+  SELECT *, span IS NOT NULL AND row_number() OVER (PARTITION BY span ORDER BY doc_id, i) > 1 AS again FROM placed
+), covered AS (
+  SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM judged
+), found AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN found f ON s.doc_id = f.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -159,6 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op11_substrings": op11_substrings,
 }
 
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL, "op11_substrings": OP11_SQL}
