@@ -155,7 +155,7 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP11_SQL = r"""
 WITH split AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
 ), placed AS (
   SELECT doc_id, i, words[i] AS word, CASE WHEN i + 19 <= len(words) THEN array_to_string(words[i : i + 19], ' ') END AS span
   FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split)
