@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, substrings, warc
-from hourgrid.llm.common import table
+from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, substrings, tries, warc
+from hourgrid.llm.common import kept, table
 from hourgrid.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -171,6 +171,61 @@ FROM split s LEFT JOIN found f ON s.doc_id = f.doc_id
 """
 
 
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and members after each conversation c got the first h turns of conversation c - c % 100 for its own first h."""
+    h = F.expr("crc32(CAST(CAST(conv AS string) AS binary)) % 6")
+    base = F.col("conv") - F.col("conv") % 100
+    members = turns.select("conv").distinct()
+    heads = turns.where("conv % 100 = 0 AND pos <= 5").select(F.col("conv").alias("base"), F.col("pos").alias("head"), "a", "b", "size")
+    taken = members.select("conv", h.alias("h"), base.alias("base")).join(heads, "base").where("head <= h")
+    lengths = heads.groupBy("base").agg(F.count(F.lit(1)).alias("n"))
+    own = turns.select("*", h.alias("h"), base.alias("base")).where("pos > h").join(lengths, "base", "left")
+    place = F.col("pos") - F.col("h") + F.least("h", F.coalesce("n", F.lit(0)))
+    both = taken.select("conv", F.col("head").alias("pos"), "a", "b", "size").unionByName(own.select("conv", place.alias("pos"), "a", "b", "size"))
+    return both, members
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(*rebuilt(kept(tries.ordered_turns(table(spark, sf_dir, "conversations")))))
+
+
+# CRC-32 bit by bit: a byte is added, then eight steps, marked -1, shift it out
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(c.conv_id AS VARCHAR), ''),
+  lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda s, v: CASE WHEN v >= 0 THEN xor(s, v) WHEN (s & 1) = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295)"""
+OP13_SQL = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), listed AS (
+  SELECT conv_id, list(said ORDER BY pos) AS turns FROM own GROUP BY conv_id
+), sized AS (
+  SELECT c.conv_id, {CRC32_SQL} % 6 AS h, c.turns, b.turns AS head FROM listed c LEFT JOIN listed b ON b.conv_id = c.conv_id - c.conv_id % 100
+), whole AS (
+  SELECT conv_id, list_concat(coalesce(head[1:h], []), turns[h + 1:]) AS turns FROM sized
+), member AS (
+  SELECT conv_id, turns, d, turns[1:d] AS node FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM whole)
+), node AS (
+  SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = d), '')) AS ends_sha256,
+         CASE WHEN any_value(d) > 0 THEN (count(*) - 1) * length(node[any_value(d)].t) ELSE 0 END AS saved
+  FROM member GROUP BY node
+), child AS (
+  SELECT node[1:depth - 1] AS up, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL
+), known AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, p.conv_id AS parent_conv_id FROM node n
+  LEFT JOIN child c ON c.up = n.node LEFT JOIN node p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+), above AS (
+  SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS d FROM known
+), subtree AS (
+  SELECT node[1:d] AS top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY ALL
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM known JOIN subtree ON top = node
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -183,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
     "op11_substrings": op11_substrings,
+    "op13_trie": op13_trie,
 }
 
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL, "op11_substrings": OP11_SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL, "op11_substrings": OP11_SQL, "op13_trie": OP13_SQL}
