@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, packing, pii, quality, secret_scan, simhash, substrings, tries, warc
+from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, negatives, packing, pii, quality, secret_scan, simhash, substrings, tries, warc
 from hourgrid.llm.common import kept, table
 from hourgrid.session import scratch_path
 
@@ -171,6 +171,32 @@ FROM split s LEFT JOIN found f ON s.doc_id = f.doc_id
 """
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+OP12_SQL = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+), whole AS (
+  SELECT vec_id, label, list_transform(x, lambda v: CAST(floor(256 * v) AS DOUBLE)) AS v FROM given
+  WHERE len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER best <= 10
+"""
+
+
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns and members after each conversation c got the first h turns of conversation c - c % 100 for its own first h."""
     h = F.expr("crc32(CAST(CAST(conv AS string) AS binary)) % 6")
@@ -238,7 +264,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
     "op11_substrings": op11_substrings,
+    "op12_negatives": op12_negatives,
     "op13_trie": op13_trie,
 }
 
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL, "op11_substrings": OP11_SQL, "op13_trie": OP13_SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_chat": OP8_SQL, "op9_warc": OP9_SQL, "op11_substrings": OP11_SQL, "op12_negatives": OP12_SQL, "op13_trie": OP13_SQL}
