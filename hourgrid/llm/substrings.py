@@ -10,9 +10,9 @@ before it: a factor goes on as long as its next window has an earlier place.  Fa
 Where a factor ends, the windows that cross its boundary have been looked up one by one as well, so no repeat is lost
 between two factors or two stretches; a document's factors are joined where they meet.
 
-An anchor with over HOT stretches is cut into single windows, each filed under itself.  Of equal ones in a batch only the
-first goes to its block; the others repeat it, whatever the block says.  A window is compared by 64 bits of its own and by
-the 64 bits of its anchor.
+Anchors are counted in BUCKETS.  The stretches of a crowded bucket are cut into single windows, each filed under itself.
+Of equal ones in a batch only the first goes to its block; the others repeat it, whatever the block says.  A window is
+compared by 64 bits of its own and by the 64 bits of its anchor.  Texts meet their factors compressed.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +33,9 @@ from hourgrid.llm.common import col, kept, text_of, whole_row
 WINDOW = 20
 SEED = 4  # words of a shingle that can be an anchor
 LONGEST = 64  # windows of a stretch
-HOT = 1024  # stretches of an anchor that meet in one block
-HOT_ANCHORS = 1 << 20  # at most as many anchors are hot, so their list is 8 MB or less
+BUCKETS = 1 << 20  # that anchors are counted in; the list of the hot ones is as long at most
+HOT = 1024  # stretches of a bucket that need not be cut, or MEANS times the mean of all buckets if that is more
+MEANS = 4
 BYTES = 1 << 20  # of text hashed at once
 LONG_WORD = 1 << 16  # bytes from which a word is hashed by itself
 CHUNK = 1 << 18  # words, or windows of a block, looked at together
@@ -159,21 +161,28 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
 
 
-def hot_anchors(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW, seed: int = SEED) -> np.ndarray:
-    """Anchors with over HOT stretches in all documents, HOT_ANCHORS of them at most, sorted."""
+def _bucket(anchors: np.ndarray) -> np.ndarray:
+    # anchors are smallest hashes, so their high bits are mostly zero
+    return (_mixed(anchors) >> np.uint64(32)).astype(np.int64) % BUCKETS
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def hot_buckets(docs: DataFrame, text_col: str, size: int = WINDOW, seed: int = SEED) -> np.ndarray:
+    """Whether each bucket holds so many stretches of all documents that they are cut."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for anchors, *_ in _stretches(batch.column(0), size, seed):
-                values, counts = np.unique(anchors, return_counts=True)
-                yield pa.RecordBatch.from_arrays([_signed(values), pa.array(counts)], names=["anchor", "n"])
+                counts += np.bincount(_bucket(anchors), minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["bucket", "n"])
 
-    found = docs.select(text_of(docs, text_col).alias("text")).mapInArrow(listed, "anchor long, n long")
-    counts = kept(found.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > HOT))
-    # of n stretches fewer than n / limit anchors have over limit each
-    limit = max(HOT, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_ANCHORS)
-    hot = counts.where(F.col("n") > limit).select("anchor").toPandas()["anchor"].to_numpy(np.int64)
-    return np.sort(hot.view(np.uint64))
+    found = docs.select(text_of(docs, text_col).alias("text")).mapInArrow(counted, "bucket int, n long")
+    counts = kept(found.groupBy("bucket").agg(F.sum("n").alias("n")))
+    limit = max(HOT, MEANS * (counts.agg(F.sum("n")).first()[0] or 0) // BUCKETS)
+    hot = np.zeros(BUCKETS, bool)
+    hot[counts.where(F.col("n") > limit).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True  # fewer than BUCKETS rows
+    return hot
 
 
 def _rows(ids: pa.Array, digests: pa.Array, names: list[str], anchor, text, start, count, offsets, hashes) -> pa.RecordBatch:
@@ -218,9 +227,7 @@ def stretches(docs: DataFrame, id_col: str, text_col: str, size: int, seed: int,
             crowded = []
             for anchor, text, start, count, hashes in _stretches(batch.column(2), size, seed):
                 offsets = np.append(0, np.cumsum(count))
-                known = shared.value
-                at = np.minimum(np.searchsorted(known, anchor), max(0, len(known) - 1))
-                is_hot = known[at] == anchor if len(known) else np.zeros(len(anchor), bool)
+                is_hot = shared.value[_bucket(anchor)]
                 if is_hot.any():
                     wide = np.repeat(is_hot, count)
                     place = np.arange(len(hashes)) - np.repeat(offsets[:-1], count)
@@ -321,7 +328,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per document with repeats ``id``, ``digest`` of its text and ``factors``, (begin, end) in words, in any order."""
     if not 1 <= seed <= size:
         raise ValueError("an anchor has at least one word and at most as many as a window")
-    pieces = stretches(docs, id_col, text_col, size, seed, hot_anchors(docs, id_col, text_col, size, seed))
+    pieces = stretches(docs, id_col, text_col, size, seed, hot_buckets(docs, text_col, size, seed))
     return factors(pieces, size).groupBy("id", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("factors"))
 
 
@@ -337,10 +344,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     - An empty table gives no row; columns of any other name ride along in ``row``.
     """
     text = text_of(docs, text_col)
-    given = docs.select(whole_row(docs).alias("row"), col(id_col).alias("id"), F.xxhash64(text).alias("digest"))
+    given = _packed(docs.select(whole_row(docs).alias("row"), col(id_col).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text")), text_col)
     found = repeated_spans(docs, id_col, text_col, size, seed).select(F.col("id").alias("of"), F.col("digest").alias("of_digest"), "factors")
     joined = given.join(found, (given["digest"] == found["of_digest"]) & given["id"].eqNullSafe(found["of"]), "left")
-    joined = joined.select("row", F.array_sort("factors").alias("factors"))
+    joined = joined.select("row", "packed", F.array_sort("factors").alias("factors"))
     span = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([
         joined.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -348,10 +355,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ])
 
     def stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
+            texts = [unpack(x) for x in batch.column(1).to_pylist()]
             out = []
-            for whole, found in zip(batch.column(0).field(text_col), batch.column(1).to_pylist()):
-                words = str(whole.as_py() or "").encode("utf-8").split()  # bytes: splits at ASCII white space
+            for whole, found in zip(texts, batch.column(2).to_pylist()):
+                words = whole.split()  # bytes: splits at ASCII white space
                 spans, left, at = [], [], 0
                 for f in found or ():
                     if spans and f["begin"] <= spans[-1]["end"]:
@@ -364,7 +373,30 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 left += words[at:]
                 out.append((len(words), len(words) - len(left), b" ".join(left).decode("utf-8"), spans))
             columns = [pa.array(list(c), k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
+            yield pa.RecordBatch.from_arrays([_with_texts(batch.column(0), text_col, texts), *columns], names=schema.names)
 
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))]
     return joined.mapInArrow(stripped, schema)
+
+
+def _packed(rows: DataFrame, text_col: str) -> DataFrame:
+    """(``row``, ``id``, ``digest``, ``text``) with the text compressed, as ``packed``, and taken out of the row where it is a string: empty if not null."""
+    schema = T.StructType([rows.schema["row"], rows.schema["id"], rows.schema["digest"], T.StructField("packed", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pressed = zstandard.ZstdCompressor(1).compress
+        for batch in batches:
+            texts = pa.array([pressed(x.as_py().encode("utf-8")) for x in batch.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([_with_texts(batch.column(0), text_col, [b""] * len(texts)), batch.column(1), batch.column(2), texts], names=schema.names)
+
+    return rows.mapInArrow(pack, schema)
+
+
+def _with_texts(rows: pa.StructArray, text_col: str, texts: list[bytes]) -> pa.StructArray:
+    """The rows with other texts, if theirs are strings; nulls stay null."""
+    at = rows.type.get_field_index(text_col)
+    if not (pa.types.is_string(rows.type[at].type) or pa.types.is_large_string(rows.type[at].type)):
+        return rows
+    old = rows.field(at)
+    new = pa.array([t.decode("utf-8") if there else None for t, there in zip(texts, old.is_valid().to_pylist())], rows.type[at].type)
+    return pa.StructArray.from_arrays([new if k == at else rows.field(k) for k in range(rows.type.num_fields)], fields=list(rows.type))

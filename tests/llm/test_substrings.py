@@ -62,11 +62,15 @@ def test_against_every_window(spark, size, seed):
     assert removed(spark, docs, size, seed) == expected(docs, size)
 
 
-def test_hot_anchors_are_cut_into_windows(spark, monkeypatch):
+@pytest.mark.parametrize("buckets", [1 << 20, 64])
+def test_hot_anchors_are_cut_into_windows(spark, monkeypatch, buckets):
     docs = passages(150, 3)
     monkeypatch.setattr(substrings, "HOT", 3)
+    monkeypatch.setattr(substrings, "MEANS", 1)
+    monkeypatch.setattr(substrings, "BUCKETS", buckets)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    assert len(substrings.hot_anchors(frame, "doc_id", "text"))
+    hot = substrings.hot_buckets(frame, "text")
+    assert hot.any() and not hot.all()
     assert removed(spark, docs) == expected(docs)
 
 
@@ -86,6 +90,10 @@ def test_nulls_empty_long_ties_and_clashing_columns(spark):
     frame = spark.createDataFrame([("p", "q " * 30, 1, 2, 3)], "doc_id string, text string, id int, digest int, `a.row` int")
     got = substrings.deduplicated(frame).first()
     assert got["row"].asDict() == {"doc_id": "p", "text": "q " * 30, "id": 1, "digest": 2, "a.row": 3}
+    numbers = spark.createDataFrame([(1, 12), (2, None)], "doc_id int, text int")
+    assert rows(substrings.deduplicated(numbers), "row.doc_id", "row.text", "n_words", "kept_text") == [(1, 12, 1, "12"), (2, None, 0, "")]
+    nulls = spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string")
+    assert rows(substrings.deduplicated(nulls), "row.doc_id", "row.text", "kept_text") == [(1, None, ""), (2, "", "")]
     assert (got["n_words"], got["n_removed"], got["kept_text"], [tuple(s) for s in got["spans"]]) == (30, 29, "q", [(1, 30)])
 
 
