@@ -161,27 +161,28 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
 
 
-def _bucket(anchors: np.ndarray) -> np.ndarray:
+def _bucket(anchors: np.ndarray, buckets: int) -> np.ndarray:
     # anchors are smallest hashes, so their high bits are mostly zero
-    return (_mixed(anchors) >> np.uint64(32)).astype(np.int64) % BUCKETS
+    return (_mixed(anchors) >> np.uint64(32)).astype(np.int64) % buckets
 
 
 def hot_buckets(docs: DataFrame, text_col: str, size: int = WINDOW, seed: int = SEED) -> np.ndarray:
     """Whether each bucket holds so many stretches of all documents that they are cut."""
+    buckets = BUCKETS
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(buckets, np.int64)
         for batch in batches:
             for anchors, *_ in _stretches(batch.column(0), size, seed):
-                counts += np.bincount(_bucket(anchors), minlength=BUCKETS)
+                counts += np.bincount(_bucket(anchors, buckets), minlength=buckets)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["bucket", "n"])
 
     found = docs.select(text_of(docs, text_col).alias("text")).mapInArrow(counted, "bucket int, n long")
     counts = kept(found.groupBy("bucket").agg(F.sum("n").alias("n")))
-    limit = max(HOT, MEANS * (counts.agg(F.sum("n")).first()[0] or 0) // BUCKETS)
-    hot = np.zeros(BUCKETS, bool)
-    hot[counts.where(F.col("n") > limit).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True  # fewer than BUCKETS rows
+    limit = max(HOT, MEANS * (counts.agg(F.sum("n")).first()[0] or 0) // buckets)
+    hot = np.zeros(buckets, bool)
+    hot[counts.where(F.col("n") > limit).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True  # one row per bucket at most
     return hot
 
 
@@ -227,7 +228,7 @@ def stretches(docs: DataFrame, id_col: str, text_col: str, size: int, seed: int,
             crowded = []
             for anchor, text, start, count, hashes in _stretches(batch.column(2), size, seed):
                 offsets = np.append(0, np.cumsum(count))
-                is_hot = shared.value[_bucket(anchor)]
+                is_hot = shared.value[_bucket(anchor, len(shared.value))]
                 if is_hot.any():
                     wide = np.repeat(is_hot, count)
                     place = np.arange(len(hashes)) - np.repeat(offsets[:-1], count)
@@ -280,6 +281,7 @@ def _factored(anchors: np.ndarray, starts: np.ndarray, counts: np.ndarray, sizes
 
 def factors(pieces: DataFrame, size: int = WINDOW) -> DataFrame:
     """Factors of the documents, (``id``, ``digest``, ``begin``, ``end``) in words; each begins a run of repeated windows."""
+    chunk = CHUNK
     order = ["anchor", F.col("id").isNull(), "id", "digest", "start"]
     dealt = pieces.repartition("anchor").sortWithinPartitions(*order)
     schema = T.StructType([
@@ -310,7 +312,7 @@ def factors(pieces: DataFrame, size: int = WINDOW) -> DataFrame:
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
-            if n * 8 < CHUNK or not batch.num_rows:
+            if n * 8 < chunk or not batch.num_rows:
                 continue
             # whole anchors only: the last one may go on in the next batch
             anchors = batch.column(0).to_numpy()

@@ -90,7 +90,7 @@ def end_digests(ends: DataFrame) -> DataFrame:
 
     Identifiers are sorted by range and joined to chunks of at most IDS; a list of any length is hashed chunk by chunk.
     """
-    order = [*KEY, "conv"]
+    order, most = [*KEY, "conv"], IDS
     in_order = ends.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def end_digests(ends: DataFrame) -> DataFrame:
             new = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))[:n]
             start = np.flatnonzero(new)
             place = np.arange(n) - np.repeat(start, np.diff(np.append(start, n)))
-            start = np.flatnonzero(place % IDS == 0)
+            start = np.flatnonzero(place % most == 0)
             names = list(map(str, batch.column(2).to_pylist()))
             joined = [",".join(names[a:b]) for a, b in zip(start.tolist(), [*start[1:].tolist(), n])]
             at = pa.array(start)

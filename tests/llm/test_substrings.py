@@ -75,11 +75,34 @@ def test_hot_anchors_are_cut_into_windows(spark, monkeypatch, buckets):
 
 
 def test_rows_of_an_index_go_on_over_batches(spark, monkeypatch):
-    """Neither the words looked at together nor the batches of a block change a result."""
     docs = passages(80, 4)
+    monkeypatch.setattr(substrings, "CHUNK", 16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert removed(spark, docs) == expected(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def windows(texts):
+    """(text, first word): (hash, anchor) of all windows."""
+    out = {}
+    for anchor, text, start, count, hashes in substrings._stretches(pa.array(texts), 20, 4):
+        at = 0
+        for a, t, s, n in zip(anchor, text, start, count):
+            out.update({(t, s + k): (hashes[at + k], a) for k in range(n)})
+            at += n
+        assert at == len(hashes)
+    return out
+
+
+def test_parts_looked_at_together_change_nothing(monkeypatch):
+    texts = [t for _, t in passages(40, 8)]
+    want = windows(texts)
+    assert set(want) == {(k, s) for k, t in enumerate(texts) for s in range(len(WORD.findall(t)) - 19)}
     for name, value in (("CHUNK", 16), ("LONGEST", 3), ("BYTES", 64)):
         monkeypatch.setattr(substrings, name, value)
-    assert removed(spark, docs) == expected(docs)
+    assert windows(texts) == want
 
 
 def test_nulls_empty_long_ties_and_clashing_columns(spark):
