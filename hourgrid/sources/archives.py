@@ -1,25 +1,23 @@
 """CSV members of tar.gz archives as rows.
 
-A gzip stream cannot be split, so one archive is read by one task and the archives
-of all scenarios are read side by side.  The worker only unpacks and parses; what
-the rows mean is decided by DataFrame operators.
+The plan holds the paths of archives only.  A gzip stream cannot be split, so one archive is read by one task, as a stream of
+constant memory, and the archives of all scenarios are read side by side.  The worker only unpacks and parses; what the rows
+mean is decided by DataFrame operators.
 """
 
 from __future__ import annotations
 
 import io
-import tarfile
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourgrid import files
 from hourgrid.functions import positions
-
-# rows of one member parsed at a time
-ROWS = 4096
+from hourgrid.sources import packed
 
 _PLACE = [
     T.StructField("path", T.StringType()),
@@ -30,36 +28,25 @@ _PLACE = [
 CELLS = T.StructType([*_PLACE, T.StructField("column", T.StringType()), T.StructField("value", T.StringType())])
 
 
-def _members(content: bytes) -> Iterator[tuple[int, str, io.BufferedIOBase]]:
-    """Regular files of an archive in order."""
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
-        for position, entry in enumerate(e for e in archive if e.isfile()):
-            yield position, entry.name, archive.extractfile(entry)
+def _archives(spark: SparkSession, path: str | Sequence[str], loaded: bool) -> DataFrame:
+    """Paths of the archives, listed by Spark without reading any; with their bytes if ``loaded``."""
+    found = spark.read.format("binaryFile").load(path)
+    return found.select("path", "content") if loaded else found.select("path")
 
 
-def _frames(content: bytes, wanted: str | None, sep: str, label: bool, skip_bad: bool) -> Iterator[pd.DataFrame]:
-    """Parsed pieces of every member, with its place in the archive attached."""
-    for position, name, data in _members(content):
-        if wanted is not None and not name.startswith(wanted):
-            continue
-        try:
-            pieces = pd.read_csv(
-                data, sep=sep, dtype=str, chunksize=ROWS, keep_default_na=True,
-                index_col=0 if label else False, encoding="utf-8-sig",
-                on_bad_lines="warn" if skip_bad else "error",
-            )
-        except pd.errors.EmptyDataError:
-            continue
-        row = 0
-        for piece in pieces:
-            piece = piece.reset_index(drop=True)
-            place = pd.DataFrame({"member": name, "member_pos": position, "row_idx": range(row, row + len(piece))})
-            row += len(piece)
-            yield pd.concat([place, piece], axis=1)
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, io.RawIOBase]]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            path = batch.column(0)[row].as_py()
+            if batch.num_columns > 1:
+                yield path, io.BytesIO(batch.column(1)[row].as_py())
+            else:
+                with files.open_input(path) as source:
+                    yield path, source
 
 
-def _archives(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def _starting(prefix: str | None) -> packed.Wanted:
+    return lambda name: prefix is None or name.startswith(prefix)
 
 
 def read_records(
@@ -70,25 +57,21 @@ def read_records(
     label: bool = True,
     skip_bad: bool = False,
     member: str | None = None,
+    loaded: bool = False,
 ) -> DataFrame:
     """Rows of all members with the listed columns as text; a column a member lacks is null.
 
-    ``label`` drops a leading row label, ``skip_bad`` skips lines with too many
-    fields, ``member`` keeps the members whose name starts so.
+    ``label`` drops a leading row label, ``skip_bad`` skips lines with too many fields, ``member`` keeps the members whose
+    name starts so.  ``loaded`` takes whole archives through Spark, 2 GiB each at most, for stores that only Spark reads.
     """
     columns = list(columns)
     schema = T.StructType([*_PLACE, *[T.StructField(c, T.StringType()) for c in columns]])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path_, content in zip(batch["path"], batch["content"]):
-                for piece in _frames(content, member, sep, label, skip_bad):
-                    fields = piece.reindex(columns=["member", "member_pos", "row_idx", *columns])
-                    fields[columns] = fields[columns].astype(object).where(fields[columns].notna(), None)
-                    fields.insert(0, "path", path_)
-                    yield fields
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path_, source in _opened(batches):
+            yield from packed.records(path_, source, columns, _starting(member), sep, label, skip_bad)
 
-    return _archives(spark, path).mapInPandas(parse, schema)
+    return _archives(spark, path, loaded).mapInArrow(parse, schema)
 
 
 def text_cells(
@@ -99,21 +82,16 @@ def text_cells(
     drop: Sequence[str] = ("Time",),
     skip_bad: bool = False,
     member: str | None = None,
+    loaded: bool = False,
 ) -> DataFrame:
     """Wide curve members as long cells of text (row, column, value); missing readings are null."""
     drop = list(drop)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place = ["path", "member", "member_pos", "row_idx"]
-        for batch in batches:
-            for path_, content in zip(batch["path"], batch["content"]):
-                for piece in _frames(content, member, sep, label, skip_bad):
-                    piece.insert(0, "path", path_)
-                    long = piece.drop(columns=drop, errors="ignore").melt(place, var_name="column", value_name="value")
-                    long["value"] = long["value"].astype(object).where(long["value"].notna(), None)
-                    yield long
-
-    return _archives(spark, path).mapInPandas(parse, CELLS)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path_, source in _opened(batches):
+            yield from packed.cells(path_, source, _starting(member), sep, label, skip_bad, drop)
+
+    return _archives(spark, path, loaded).mapInArrow(parse, CELLS)
 
 
 def read_cells(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:

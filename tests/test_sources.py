@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import sinks
 from hourgrid.operators import export, overload, profiles, scenarios
-from hourgrid.sources import archives, messages, tables
+from hourgrid.sources import archives, messages, packed, tables
 
 
 def pack(path: Path, members: dict[str, str]) -> str:
@@ -46,7 +46,7 @@ def test_site_records(spark, tmp_path):
 
 
 def test_long_members_are_read_whole(spark, tmp_path):
-    n = archives.ROWS * 2 + 5
+    n = packed.ROWS * 2 + 5
     body = "".join(f"{i},{i}.5\n" for i in range(n))
     path = pack(tmp_path / "market.tar.gz", {"x.csv": "Time,other\n", "merit_order.csv": "Time,key (MW)\n" + body})
     got = archives.market_curves(spark, path)
