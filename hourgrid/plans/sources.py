@@ -16,13 +16,16 @@ from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
 from hourgrid.plans.views import CALENDAR, SCENARIO, define
 from hourgrid.session import scratch_path
-from hourgrid.sources import archives, tables
+from hourgrid.sinks import packed
+from hourgrid.sources import archives, datasource, tables
 
 # bounds of one file, whatever the size of the tables
 ARCHIVE_ROWS = 20_000
 PRICE_ROWS = 8_760
 # sites side by side in a wide file, other ones in each scenario
 WIDE_SITES = {"F": 64, "O": 48}
+# columns of a wide file of one run
+WIDE_TILE = 400
 # member positions of the test tables end here
 POSITIONS = 1_000_003
 
@@ -47,16 +50,27 @@ def _archived(spark, rows, key, order, name):
     return folder
 
 
-def _raw(spark, d):
-    """All asset rows, archived by scenario and block of member positions and read again; positions go on from block to block."""
+def _written(spark, d):
+    """All asset rows, archived by scenario and block of member positions."""
     rows = v.asset_row(spark, d)
     span = max(1, POSITIONS * ARCHIVE_ROWS // max(1, v.table(spark, d, "lineitem").count()))
     blocks = rows.withColumn("block", F.floor(F.col("member_pos") / span))
-    folder = _archived(spark, blocks, "member", ["member_pos", "row_idx"], "series")
-    rows = archives.site_records(spark, f"{folder}/*/*/series.tar.gz")
-    key, block = (F.regexp_extract("path", r"/([FO])/(\d+)/[^/]*$", n) for n in (1, 2))
-    place = (block.cast("long") * (1 << 32) + F.col("member_pos")).alias("member_pos")
-    return rows.select(key.alias("scenario_id"), F.regexp_replace("member", r"\.csv$", "").alias("member"), place, "row_idx", "assetName", "assetClass", "carrierId", "sector", "allocationPower")
+    return _archived(spark, blocks, "member", ["member_pos", "row_idx"], "series")
+
+
+ARCHIVE_KEYS = {"scenario_id": r"/([FO])/\d+/[^/]*$", "block": r"/[FO]/(\d+)/[^/]*$"}
+
+
+def _placed(rows, *columns):
+    """Positions go on from block to block."""
+    place = (F.col("block").cast("long") * (1 << 32) + F.col("member_pos")).alias("member_pos")
+    return rows.select("scenario_id", F.regexp_replace("member", r"\.csv$", "").alias("member"), place, "row_idx", *columns)
+
+
+def _raw(spark, d):
+    rows = archives.site_records(spark, f"{_written(spark, d)}/*/*/series.tar.gz")
+    keyed = rows.withColumns({name: F.regexp_extract("path", pattern, 1) for name, pattern in ARCHIVE_KEYS.items()})
+    return _placed(keyed, "assetName", "assetClass", "carrierId", "sector", "allocationPower")
 
 
 @query("src1_archive_members", """SELECT scenario_id, member, CAST(row_number() OVER (PARTITION BY scenario_id, member ORDER BY row_idx) - 1 AS BIGINT) AS row_idx,
@@ -69,10 +83,46 @@ def src1(spark, d):
 @query("src12_first_member", """SELECT scenario_id, member, CAST(count(*) AS BIGINT) AS n FROM asset_row f
     WHERE (scenario_id, member_pos) IN (SELECT (scenario_id, min(member_pos)) FROM asset_row WHERE member LIKE 'M1%' GROUP BY scenario_id) GROUP BY ALL""")
 def src12(spark, d):
-    found = archives.first_member(_raw(spark, d), "M1", ["scenario_id"])
+    """Members are chosen by the source; each archive is read up to its first one."""
+    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*/series.tar.gz", ["assetName"], ARCHIVE_KEYS, first_member=True, where=F.col("member").startswith("M1"))
+    found = archives.first_member(_placed(rows), "M1", ["scenario_id"])
     return found.groupBy("scenario_id", "member").agg(F.count("*").alias("n"))
 
 
+@query("src12_pushed_filters", """SELECT scenario_id, member, "assetName", CAST(count(*) AS BIGINT) AS n, round(sum("allocationPower") / 1e6, 2) + 0.0 AS mw
+    FROM asset_row WHERE scenario_id = 'F' AND member LIKE 'M2%' GROUP BY ALL""")
+def src12_pushed(spark, d):
+    """One scenario's archives are opened, and of their members those with a prefix parsed."""
+    chosen = F.col("member").startswith("M2") & (F.col("scenario_id") == "F")
+    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*/series.tar.gz", ["assetName", "allocationPower"], ARCHIVE_KEYS, where=chosen)
+    sums = _placed(rows, "assetName", "allocationPower").groupBy("scenario_id", "member", "assetName")
+    return sums.agg(F.count("*").alias("n"), F.round(F.sum(F.col("allocationPower").cast("double")) / 1e6, 2).alias("mw"))
+
+
+@query("snk2_packed_archives", "SELECT scenario_id, carrier, hour, site, round(mw, 4) + 0.0 AS mw FROM gas_curve")
+def snk2_packed(spark, d):
+    """Gas curves as an archive per scenario with a member per carrier, read back by the archive reader; a line's row label is its hour."""
+    folder = scratch_path(spark, "gas-archives")
+    manifest = packed.write_archives(v.gas_curve(spark, d), folder, ["scenario_id"])
+    paths = [r["path"] for r in manifest.select("path").collect()]  # one per scenario
+    cells = archives.read_cells(spark, paths, sep=";", label=False)
+    hours = cells.where("column = ''").select("path", "member", "row_idx", F.col("value").cast("int").alias("hour"))
+    mw = cells.where("column <> '' AND value IS NOT NULL").join(hours, ["path", "member", "row_idx"])
+    carrier = F.regexp_replace("member", r"\.csv$", "").alias("carrier")
+    return mw.select(F.regexp_extract("path", "scenario_id=([^/]+)", 1).alias("scenario_id"), carrier, "hour", F.col("column").alias("site"), F.col("value").alias("mw"))
+
+
+@query("snk1_wide_files_per_run", "SELECT scenario_id, hour, scenario_id || '-' || site AS site, round(mw, 4) + 0.0 AS mw FROM site_curve")
+def snk1_wide(spark, d):
+    """All site curves as wide files with the nodes of each run as columns, tiled, read back by the reader of wide files."""
+    folder = scratch_path(spark, "wide-runs")
+    named = v.site_curve(spark, d).withColumn("site", F.concat_ws("-", "scenario_id", "site"))
+    manifest = packed.write_wide_files(named, folder, ["scenario_id"], node="site", tile=WIDE_TILE)
+    paths = [r["path"] for r in manifest.select("path").collect()]  # one per scenario and tile
+    cells = archives.read_wide_files(spark, paths).where(F.col("mw").isNotNull())
+    return cells.select(F.regexp_extract("path", "scenario_id=([^/]+)", 1).alias("scenario_id"), "hour", "site", "mw")
+
+
 define("export_site", """SELECT 'S' || k AS site, 'N' || chr(CAST(65 + k % 25 AS INTEGER)) || CASE WHEN k % 3 = 0 THEN '150' ELSE '25' END AS substation,
     'Sector ' || (k % 3) AS sector FROM range(40) AS r(k)""")
 
