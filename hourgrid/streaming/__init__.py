@@ -12,7 +12,18 @@ from pyspark.sql.streaming import StreamingQuery
 from hourgrid.operators import scenarios
 from hourgrid.sources.messages import stream_batches
 
-__all__ = ["stream_batches", "fan_out", "write_records", "stream_name", "log_updates", "read_state", "compact_state"]
+__all__ = ["stream_batches", "once", "fan_out", "write_records", "stream_name", "log_updates", "read_state", "compact_state"]
+
+
+def once(records: DataFrame, delay: str, message: str = "messageId", sent: str = "sentAt") -> DataFrame:
+    """Every message a single time, however often and in whichever batches it is delivered.
+
+    Message ids are kept in the state store until the watermark, the latest time sent less ``delay``, has passed them;
+    ``delay`` is as long as a queue may deliver a message again, its retention.  Messages without a time sent are kept for
+    that long after the first one of the stream.
+    """
+    timed = records.withColumn(sent, F.coalesce(F.col(sent), F.lit(0).cast("timestamp"))).withWatermark(sent, delay)
+    return timed.dropDuplicatesWithinWatermark([message])
 
 
 def fan_out(records: DataFrame, plans: DataFrame, plan_field: str = "investmentPath") -> DataFrame:
@@ -56,14 +67,17 @@ def read_state(
     base: DataFrame, path: str, key: Sequence[str], overwrite: Sequence[str], order: Sequence[str],
     after: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """State table: the base with the logged updates applied, by batch and ``order``.
+    """State table: the base with the logged updates applied in ``order``, the position of a record itself.
 
-    ``after`` names for each stream the last batch that the base holds already.
+    The batch that a record comes in is no part of it, so a record that is delivered again later changes nothing; only
+    records at the same position go by their batch.  ``after`` names for each stream the last batch that the base holds
+    already: a base does not know the positions it was made of, so what is delivered again after it was made counts as new.
+    ``state.apply`` keeps positions.
     """
     log = base.sparkSession.read.parquet(path)
     for stream, batch_id in (after or {}).items():
         log = log.where((F.col("stream") != stream) | (F.col("batch_id") > batch_id))
-    return scenarios.upsert(base, log, key, overwrite, ["batch_id", *order])
+    return scenarios.upsert(base, log, key, overwrite, [*order, "batch_id"])
 
 
 def compact_state(spark: SparkSession, state: DataFrame, path: str) -> DataFrame:
