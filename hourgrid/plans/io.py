@@ -11,6 +11,7 @@ from hourgrid.plans.registry import query
 from hourgrid.plans.scenarios import _COLS, _FAN
 from hourgrid.session import scratch_path
 from hourgrid.sources import messages, tables
+from hourgrid.streaming import state
 
 _CURVE = "SELECT scenario_id, hour, site, round(mw, 4) + 0.0 AS mw FROM site_curve"
 RECORD = ["scenarioId", "scenarioUuid", "scenarioYear", "calculationState", "bucketFolder"]
@@ -100,11 +101,14 @@ def st2(spark, d):
     return spark.read.parquet(out)
 
 
-@query("st3_stream_state_upsert", """SELECT coalesce(c.k, u.k) AS "scenarioUuid", CASE WHEN c.k IS NULL THEN u.folder ELSE c.folder END AS "bucketFolder",
+_STATE = """SELECT coalesce(c.k, u.k) AS "scenarioUuid", CASE WHEN c.k IS NULL THEN u.folder ELSE c.folder END AS "bucketFolder",
     CASE WHEN u.k IS NULL THEN c.state ELSE u.state END AS "calculationState"
     FROM (SELECT 'U' || (c_custkey * 2) AS k, c_name AS folder, c_mktsegment AS state FROM customer) c
     FULL OUTER JOIN (SELECT "scenarioUuid" AS k, arg_min("bucketFolder", "scenarioId") AS folder,
-        arg_max("calculationState", "scenarioId") AS state FROM scenario GROUP BY ALL) u ON c.k = u.k""")
+        arg_max("calculationState", "scenarioId") AS state FROM scenario GROUP BY ALL) u ON c.k = u.k"""
+
+
+@query("st3_stream_state_upsert", _STATE)
 def st3(spark, d):
     log, check = scratch_path(spark, "log"), scratch_path(spark, "checkpoint")
     records = _typed(messages.decode(spark.readStream.text(_land_batches(spark, d))))
@@ -115,3 +119,49 @@ def st3(spark, d):
         F.col("c_mktsegment").alias("calculationState"),
     )
     return streaming.read_state(base, log, ["scenarioUuid"], ["calculationState"], ["scenarioId"])
+
+
+def _land_twice(spark, d) -> str:
+    """All scenario records, each in two messages of one id: in batches by their number, and again in other batches."""
+    path = scratch_path(spark, "redelivered")
+    message = F.struct(
+        F.to_json(F.struct(*RECORD)).alias("body"), F.col("scenarioId").cast("string").alias("messageId"),
+        F.create_map(F.lit("SentTimestamp"), (F.col("scenarioId") + 1_000_000_000_000).cast("string")).alias("attributes"),
+    )
+    records = v.scenario(spark, d)
+    rounds = [records.groupBy(key.alias("batch")).agg(F.collect_list(message).alias("Records")) for key in (
+        F.floor(F.col("scenarioId") / 10), F.concat_ws("-", F.col("scenarioId") % 97, F.floor(F.col("scenarioId") / 1000)))]
+    for n, batch in enumerate(rounds):
+        batch.select(F.to_json(F.struct("Records")).alias("value")).write.text(f"{path}/round={n}")
+    return f"{path}/*"
+
+
+def _delivered(spark, d):
+    """The messages as a stream of several batches."""
+    lines = spark.readStream.option("maxFilesPerTrigger", 6).text(_land_twice(spark, d))
+    return messages.decode(lines, envelope=True)
+
+
+@query("st4_fan_out_once_per_message", _FAN)
+def st4(spark, d):
+    """Records that are delivered twice are fanned out once."""
+    out, check = scratch_path(spark, "once"), scratch_path(spark, "checkpoint")
+    records = streaming.once(_delivered(spark, d), "36500 days")
+    plans = scenarios.plan_map_long(v.plan_wide(spark, d))
+    streaming.write_records(streaming.fan_out(_typed(records), plans), out, check).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("st5_state_in_partitions", _STATE)
+def st5(spark, d):
+    """The state by the positions of records that come twice, in any order, in several batches."""
+    path, check = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
+    base = v.table(spark, d, "customer").select(
+        F.concat(F.lit("U"), (F.col("c_custkey") * 2).cast("string")).alias("scenarioUuid"), F.col("c_name").alias("bucketFolder"),
+        F.col("c_mktsegment").alias("calculationState"),
+    )
+    key, overwrite = ["scenarioUuid"], ["calculationState"]
+    state.create(base, path, key, [("scenarioId", "bigint")], overwrite, 16)
+    updates = _delivered(spark, d).select("scenarioUuid", F.col("scenarioId").cast("bigint").alias("scenarioId"), "bucketFolder", "calculationState")
+    state.keep(updates, path, base.schema, check, key, overwrite, ["scenarioId"]).awaitTermination()
+    return state.read(spark, path, base.schema)
