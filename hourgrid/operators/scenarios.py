@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +117,22 @@ def fan_out(scenarios: DataFrame, plans: DataFrame, plan_field: str = "investmen
     return joined.select(*[scenarios[c] for c in others], lookup["networkId"], lookup[plan_field])
 
 
+def evaluate_once(assigned: DataFrame, evaluate: Callable[[DataFrame], DataFrame], run: Sequence[str]) -> DataFrame:
+    """Results for every row of ``assigned``, worked out once for all rows that share a run.
+
+    ``assigned`` says which run each plan and year uses: the columns ``run``, as scenario and network, and those that merely
+    name the use.  ``evaluate`` gets the distinct runs and returns results that carry the columns ``run``; facts are thus
+    aggregated once per run however many plans are built on it, and only results, never facts, are repeated per plan.
+    """
+    run = list(run)
+    uses = [c for c in assigned.columns if c not in run]
+    results = evaluate(assigned.select(*run).distinct())
+    clash = sorted(set(uses) & set(results.columns))
+    if clash:
+        raise ValueError(f"results have columns of the assignment: {clash}")
+    return assigned.join(results, run).select(*uses, *results.columns)
+
+
 def plans_using_network(plans: DataFrame, pattern: str) -> DataFrame:
     """Plans with a matching network in any year."""
     return plans.where(F.col("network_id").rlike(pattern)).select("plan").distinct()

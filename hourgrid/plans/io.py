@@ -60,6 +60,18 @@ def src11(spark, d):
     return keyed.groupBy("scenario", "design").agg(F.count("*").alias("n"))
 
 
+@query("src11_discovered_designs", """SELECT DISTINCT l_linestatus AS scenario, l_returnflag AS design FROM lineitem
+    UNION ALL SELECT DISTINCT l_linestatus, 'empty' FROM lineitem""")
+def src11_discovered(spark, d):
+    """Designs by their files alone, those without rows included."""
+    path = scratch_path(spark, "designs")
+    rows = v.table(spark, d, "lineitem").select("l_linestatus", "l_returnflag", "l_orderkey")
+    rows.write.partitionBy("l_linestatus", "l_returnflag").parquet(path)
+    for run in rows.select("l_linestatus").distinct().collect():  # two
+        rows.select("l_orderkey").where("false").write.parquet(f"{path}/l_linestatus={run[0]}/l_returnflag=empty")
+    return tables.discover(spark, path, {"scenario": "l_linestatus=([^/]+)", "design": "l_returnflag=([^/]+)"}).select("scenario", "design")
+
+
 def _land_batches(spark, d) -> str:
     """Scenario records as message batches of ten ids at most; some records doubly encoded."""
     path = scratch_path(spark, "messages")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.fixed import HYDROGEN_NODES
 from hourgrid.functions import power, text
-from hourgrid.operators import curves, overload
+from hourgrid.operators import curves, overload, scenarios
 from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
 from hourgrid.plans.views import NETWORK, SCENARIO, define
@@ -265,3 +265,26 @@ def j6(spark, d):
     side = lambda s: buses.select("network_id", F.col("bus_id").alias(f"{s}_bus"), F.col("vn_kv").alias(f"{s}_kv"))
     lines = v.line(spark, d).join(side("from"), ["network_id", "from_bus"], "left")
     return lines.join(side("to"), ["network_id", "to_bus"], "left").select("network_id", "element_id", "from_kv", "to_kv")
+
+
+define("plan_run", """SELECT plan, CAST(year AS INTEGER) AS plan_year, CASE WHEN CAST(network_id AS BIGINT) % 2 = 0 THEN 'F' ELSE 'O' END AS scenario_id,
+    CASE WHEN CAST(network_id AS BIGINT) % 2 = 0 THEN '0001' ELSE '0002' END AS network_id FROM plan_long""")
+
+
+def plan_runs(spark, d):
+    """Scenario and network of every plan and year: many plans share few networks."""
+    even = F.col("network_id").cast("bigint") % 2 == 0
+    return scenarios.plan_map_long(v.plan_wide(spark, d)).select(
+        "plan", F.col("year").cast("int").alias("plan_year"), F.when(even, "F").otherwise("O").alias("scenario_id"), F.when(even, "0001").otherwise("0002").alias("network_id"))
+
+
+@query("c15_overload_per_plan", f"SELECT p.plan, p.plan_year, r.* FROM plan_run p JOIN ({elements_sql('grid_element')}) r ON p.scenario_id = r.scenario_id AND p.network_id = r.network_id")
+def c15_per_plan(spark, d):
+    """Each network is evaluated once, its results are handed to all plans and years that use it."""
+    flows, lines, trafos, buses = (t(spark, d) for t in (v.element_flow, v.line, v.trafo, v.bus))
+
+    def evaluate(runs):
+        on = list(NETWORK)
+        return overload.network_overload(flows.join(runs, on, "left_semi"), lines, trafos, buses, by=NETWORK)
+
+    return scenarios.evaluate_once(plan_runs(spark, d), evaluate, NETWORK)

@@ -241,7 +241,7 @@ def p10(spark, d):
             F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("asset"),
             F.concat(F.lit("N"), F.col("s_nationkey").cast("string"), F.lit("25")).alias(header),
         )
-        rows.coalesce(1).write.option("sep", ";").option("header", True).csv(f"{folder}/d{design}")
+        rows.repartition("asset").write.option("sep", ";").option("header", True).csv(f"{folder}/d{design}")
         parts.append(tables.read_sites(spark, f"{folder}/d{design}", {"design": r"/d(\d)/[^/]*$"}))
     return parts[0].unionByName(parts[1]).select(F.col("design").cast("bigint").alias("design"), "site", "substation")
 
@@ -249,7 +249,7 @@ def p10(spark, d):
 @query("src6_document_field", """SELECT CAST(o_orderkey AS VARCHAR) AS field, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY ALL""")
 def src6(spark, d):
     path = scratch_path(spark, "documents")
-    rows = v.table(spark, d, "orders").select("o_orderkey", "o_orderstatus").coalesce(1)
+    rows = v.table(spark, d, "orders").select("o_orderkey", "o_orderstatus").repartition("o_orderkey")  # lines of many files
     rows.select(F.to_json(F.struct(F.col("o_orderkey").alias("contextScenario"), F.struct("o_orderstatus").alias("other"))).alias("value")).write.text(path)
     found = tables.read_document_field(spark, f"{path}/*.txt", "contextScenario", multi_line=False)
     return found.groupBy(F.col("contextScenario").alias("field")).agg(F.count("*").alias("n"))

@@ -28,6 +28,25 @@ def keys_from_path(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
     return df.withColumns(found)
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str], patterns: Mapping[str, str] | None = None) -> DataFrame:
+    """Files below a folder, ``path`` and ``length``, with keys from their folder names; no file is opened.
+
+    Spark lists folders in parallel; a file without rows, as that of an empty design, is found like any other.  Files whose
+    path lacks a key are left out.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    keys = {name: F.regexp_extract("path", p, 1) for name, p in (patterns or {}).items()}
+    for key in keys.values():
+        found = found.where(key != "")
+    return found.withColumns(keys)
+
+
+def discover(spark: SparkSession, path: str | Sequence[str], patterns: Mapping[str, str]) -> DataFrame:
+    """The runs, networks or designs that have files below a folder, with the number of files and of bytes."""
+    found = list_files(spark, path, patterns)
+    return found.groupBy(*patterns).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
 def read_wide_curves(
     spark: SparkSession, path: str | Sequence[str], sites: Sequence[str], hour: str = "hour", sep: str = ";",
     patterns: Mapping[str, str] | None = None,

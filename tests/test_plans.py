@@ -56,3 +56,51 @@ def test_routing_hashes_and_numbers_in_one_shuffle(spark, sf_dir, name):
 def test_balance_needs_no_join(spark, sf_dir):
     text = final(spark, sf_dir, "c7_balance_on_slack")
     assert "Join" not in text and text.count("hashpartitioning(") <= 3
+
+
+def test_plans_share_one_evaluation(spark, sf_dir):
+    """Facts are scanned and summed as often for all plans as for the networks alone."""
+    once, all_plans = (plans.final_plan_text(entry.queries()[n](spark, sf_dir)) for n in ("c11_network_overload", "c15_overload_per_plan"))
+    assert all_plans.count("lineitem.parquet") <= once.count("lineitem.parquet")
+
+
+def test_plans_evaluated_one_by_one_give_the_same(spark, sf_dir):
+    from conftest import rows
+    from pyspark.sql import functions as F
+
+    from hourgrid.operators import overload, scenarios
+    from hourgrid.plans import overload as bound
+    from hourgrid.plans import views as v
+
+    flows, lines, trafos, buses = (t(spark, sf_dir) for t in (v.element_flow, v.line, v.trafo, v.bus))
+    calls = []
+
+    def evaluate(runs):
+        calls.append(runs.count())
+        return overload.network_overload(flows.join(runs, list(v.NETWORK), "left_semi"), lines, trafos, buses, by=v.NETWORK)
+
+    assigned = bound.plan_runs(spark, sf_dir)
+    columns = ["plan", "plan_year", "scenario_id", "network_id", "element_id", "elementType", "overloadFreq"]
+    got = rows(scenarios.evaluate_once(assigned, evaluate, v.NETWORK), *columns)
+    assert calls == [2] and assigned.count() == 30
+    some = assigned.where(F.col("plan_year").isin(2025, 2040)).orderBy("plan", "plan_year").limit(4).collect()
+    for use in some:
+        mine = assigned.where((F.col("plan") == use.plan) & (F.col("plan_year") == use.plan_year))
+        want = rows(scenarios.evaluate_once(mine, evaluate, v.NETWORK), *columns)
+        assert want and want == [r for r in got if r[:2] == (use.plan, use.plan_year)]
+
+
+def test_discovery_opens_no_file(spark, tmp_path):
+    from conftest import rows
+
+    from hourgrid.sources import tables
+
+    spark.range(10).write.parquet(f"{tmp_path}/run=a/design=1")
+    spark.range(0).write.parquet(f"{tmp_path}/run=a/design=2")
+    for file in tmp_path.rglob("*.parquet"):
+        file.write_bytes(b"not parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    found = tables.discover(spark, str(tmp_path), {"run": "run=([^/]+)", "design": "design=([^/]+)"})
+    text = plans.plan_text(found)
+    assert "content" not in text[text.index("ReadSchema") :].splitlines()[0]
+    assert rows(found, "run", "design") == [("a", "1"), ("a", "2")]
