@@ -5,12 +5,16 @@ article as much as its whole text.  Scripts,
 styles, menus, headers, footers, sidebars, notices, adverts, forms and comments leave one empty line each, however long
 they are, and the edge of an article leaves a gap of WINDOW empty lines.  The weights are summed over sliding windows of
 WINDOW lines: text surges where a window's sum leaves zero and dives where it comes back.  All stretches between surge and
-dive that lie inside an article or main element are kept; on a page without any, the heaviest.
+dive that lie inside an article or main element are kept; on a page without any, the heaviest and all others with a window
+of at least DENSE.
 
 An element without end tag ends where HTML ends it: a paragraph at the next block, an item or cell at the next one, and any
 at the end tag of what encloses it.
 
-Elements are known by their names, or by words of their class, id or role.
+Elements are known by their names, or by whole names in their class, id or role: a word of the list, alone or in a compound
+with other such words and words of layout ("comment-list", but not "comments-open").  No html, body, article or main element
+goes by a name, but an article that is a "comment"; and where no article, or hardly any text, would be left, an element that
+holds an article, or over half of the page's text, stays whatever it is called.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import DataFrame
 from hourgrid.llm.common import col, text_of
 
 WINDOW = 3
+DENSE = 86  # code points outside links in a window: a line of prose
 
 # Element names and words of classes, ids and roles.
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
@@ -43,7 +48,13 @@ WORDS = frozenset(
     "share sharing social related recommended recommendations comment comments commentlist disqus respond replies pagination pager "
     "toolbar search searchbox form skip copyright".split()
 )
-OUTER_WORDS = frozenset("header masthead topbar site-header".split())
+OUTER_WORDS = frozenset("header masthead topbar".split())
+LAYOUT = frozenset(
+    "area bar block body box button buttons column container content entry footer form group header heading icon icons inline inner item items left "
+    "link links list main message modal module nav outer page panel policy post posts right row section site slot social text thread title top "
+    "bottom unit wrap wrapper stories story article articles us to the this on your my".split()
+)
+WHOLE = frozenset("html body article main".split())
 
 BLOCKS = frozenset(
     "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -67,18 +78,34 @@ _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>?")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.IGNORECASE)
+_COMMENT = re.compile(r"""\bclass\s*+=\s*+(?:"comment"|'comment'|comment(?=[\s>]|$)|["'][^"']*(?<=[\s"'])comment(?=[\s"']))""", re.IGNORECASE)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+WHITE = " \t\n\r\f\v"
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _set_aside(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is not part of the text."""
-    if name in ASIDE or name in OUTER and not inside:
-        return True
-    if not attributes.strip() or name in ("html", "body", *CONTENT) and "comment" not in attributes:
+def _called(attributes: str, words: frozenset[str], role: bool = True) -> bool:
+    """Whether a whole name in class, id or role is one of the words, alone or with others and words of layout."""
+    for m in _NAMED.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = [p for p in _SPLIT.split(_CAMEL.sub("-", name).lower()) if p and not p.isdigit()]
+            if any(p in words for p in parts) and all(p in words or p in LAYOUT or p in WORDS for p in parts):
+                return True
+    return False
+
+
+def _by_name(name: str, inside: bool) -> bool:
+    """Whether an element is not part of the text, whatever it is called."""
+    return name in ASIDE or name in OUTER and not inside
+
+
+def _by_words(name: str, attributes: str, inside: bool) -> bool:
+    """Whether an element's class, id or role says that it is not part of the text, or it is hidden."""
+    if not attributes.strip():
         return False
-    words = {w for m in _NAMED.finditer(attributes) for w in _SPLIT.split(_CAMEL.sub("-", m[1] or m[2] or m[3] or "").lower())}
-    return bool(words & WORDS) or not inside and bool(words & OUTER_WORDS) or _HIDDEN.search(attributes) is not None
+    if name in WHOLE:
+        return name == "article" and _COMMENT.search(attributes) is not None
+    return _called(attributes, WORDS) or not inside and _called(attributes, OUTER_WORDS) or _HIDDEN.search(attributes) is not None
 
 
 class _Lines:
@@ -90,6 +117,7 @@ class _Lines:
         self.inside: list[bool] = []
         self.parts: list[str] = []
         self.linked = 0
+        self.size = self.articles = 0  # of the whole page so far, what is left out by its words included
 
     def flush(self, inside: bool) -> None:
         line = " ".join("".join(self.parts).split())
@@ -113,16 +141,30 @@ class _Lines:
             self._add("", 0, inside)
 
 
+class _Named:
+    """What an element holds that its class, id or role speaks against: code points, and whether an article."""
+
+    def __init__(self, page: "_Lines"):
+        self.page, self.size, self.articles = page, -page.size, -page.articles
+
+    def close(self) -> None:
+        self.size += self.page.size
+        self.articles += self.page.articles
+
+
 class _Open:
     """Open elements, with the place of the innermost wall and of each that a start tag may end; no step walks the stack."""
 
     def __init__(self) -> None:
         self.stack: list[tuple[str, int, tuple[int, ...]]] = []
         self.where: dict[str, list[int]] = {}
+        self.marked: list[tuple[int, _Named]] = []  # open elements that are measured, with their places
 
     def cut(self, n: int) -> None:
         while len(self.stack) > n:
             self.where[self.stack.pop()[0]].pop()
+        while self.marked and self.marked[-1][0] >= n:
+            self.marked.pop()[1].close()
 
     def imply(self, name: str) -> None:
         """End what ends at the start of ``name``."""
@@ -144,15 +186,35 @@ class _Open:
 
 
 def _lines(page: str) -> _Lines:
+    """The lines of a page; where nothing else is left, elements that their words speak against stay."""
+    named: dict[int, _Named] = {}
+    out = _parsed(page, frozenset(), named)
+    no_article = not any(i and w for i, w in zip(out.inside, out.weight)) and any(e.articles for e in named.values())
+    no_text = sum(out.weight) < DENSE and any(2 * e.size > max(out.size, DENSE) for e in named.values())
+    if no_article or no_text:
+        named = {}
+        _parsed(page, None, named)
+        keeps = lambda e: e.articles if no_article else 2 * e.size > max(out.size, DENSE)
+        out = _parsed(page, frozenset(at for at, e in named.items() if keeps(e)), {})
+    return out
+
+
+def _parsed(page: str, spared: frozenset[int] | None, named: dict[int, _Named]) -> _Lines:
+    """Lines of a page without what is set aside, but for the elements at ``spared`` (all that go by their words, if None).
+
+    ``named`` gets what the outermost of the elements hold that go by their words, or all of them if all are spared.
+    """
     out, at, depth, links = _Lines(), 0, 0, 0
-    opened, skipped = _Open(), -1  # the place of the element that is being left out
+    opened, skipped, quiet = _Open(), -1, False  # the place of the element that is being left out, and whether by its name
     while at < len(page):
         lt = page.find("<", at)
         lt = len(page) if lt < 0 else lt
-        if lt > at and skipped < 0:
+        if lt > at and not (skipped >= 0 and quiet):
             text = html.unescape(page[at:lt])
-            out.parts.append(text)
-            out.linked += len(text) if links else 0
+            out.size += len(text) - sum(map(text.count, WHITE))
+            if skipped < 0:
+                out.parts.append(text)
+                out.linked += len(text) if links else 0
         if lt == len(page):
             break
         if page.startswith("<!--", lt):
@@ -187,21 +249,32 @@ def _lines(page: str) -> _Lines:
             opened.imply(name)
             if len(opened.stack) > skipped >= 0:
                 # an element that was never closed ends where the page goes on
-                lost = opened.stack[-1][0] == "head" and name not in HEAD or name in CONTENT and not depth and not _set_aside(name, attributes, False)
+                lost = opened.stack[-1][0] == "head" and name not in HEAD or name in CONTENT and not depth and not _by_words(name, attributes, False) and quiet
                 if not lost:
+                    if not quiet and name in CONTENT and not _by_words(name, attributes, False):
+                        out.articles += 1
                     if name not in VOID and (name not in INLINE or name == opened.stack[skipped][0]):
                         opened.push(name)
                     continue
                 opened.cut(skipped)
         skipped = -1
-        if not closing and name not in VOID and _set_aside(name, attributes, depth > 0):
-            out.hole(depth > 0)
-            skipped = len(opened.stack)
-            opened.push(name)
-            continue
+        if not closing and name not in VOID:
+            quiet = _by_name(name, depth > 0)
+            words = not quiet and _by_words(name, attributes, depth > 0)
+            if words and (spared is None or lt not in spared):
+                named[lt] = _Named(out)
+                opened.marked.append((len(opened.stack), named[lt]))
+            if quiet or words and spared is not None and lt not in spared:
+                out.hole(depth > 0)
+                skipped = len(opened.stack)
+                opened.push(name)
+                continue
+            if words and name in INLINE:
+                opened.push(name)
         if not closing and name not in VOID and name not in INLINE:
             opened.push(name)
         if name in CONTENT:
+            out.articles += not closing
             if not closing and not depth:
                 out.gap(False)
             depth = max(0, depth + (-1 if closing else 1))
@@ -217,6 +290,7 @@ def _lines(page: str) -> _Lines:
         elif name not in INLINE:
             out.flush(depth > 0)
             links = 0
+    opened.cut(0)
     out.gap(depth > 0)
     return out
 
@@ -237,8 +311,9 @@ def main_text(page: str) -> str:
             surge = None
     kept = [s for s in stretches if any(lines.inside[slice(*s)])]
     if not kept and stretches:
-        start, dive = max(stretches, key=lambda s: (sum(lines.weight[slice(*s)]), -s[0]))
-        kept = [(start, max(n for n in range(start, dive) if lines.weight[n]) + 1)]
+        heaviest = max(stretches, key=lambda s: (sum(lines.weight[slice(*s)]), -s[0]))
+        dense = [s for s in stretches if s == heaviest or max(sums[slice(*s)]) >= DENSE]
+        kept = [(start, max(n for n in range(start, dive) if lines.weight[n]) + 1) for start, dive in dense]
     return "\n".join(line for s in kept for line in lines.text[slice(*s)] if line)
 
 

@@ -74,6 +74,53 @@ def test_elements_without_end_tag(page, text):
     assert extraction.main_text(page) == text
 
 
+PROSE = "This is a line of plain prose that goes on for a while. " * 4
+OTHER = "Some other text that stands beside it for as long as this. " * 4
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="post comments-open"><p>{}</p></article>', '<body class="single showing-comments"><p>{}</p></body>',
+    '<article><div class="long-form"><p>{}</p></div></article>', '<article><section id="related-work"><p>{}</p></section></article>',
+    '<article><section id="search-algorithms"><p>{}</p></section></article>', '<body class="has-sidebar"><div class="page"><p>{}</p></div></body>',
+    '<div class="content-sidebar"><article><p>{}</p></article><div class="sidebar"><p>x</p></div></div>', '<main class="sidebar"><p>{}</p></main>',
+    '<div class="widget"><p>{}</p></div><div><p>short</p></div>', '<div class="modal"><div class="popup"><article><p>{}</p></article></div></div>',
+    '<article><h2 id="registering-forms">{}</h2></article>', '<html class="no-js menu-open"><p>{}</p></html>', '<div id="form-of-government"><p>{}</p></div>',
+])
+def test_names_do_not_cost_a_page_its_text(page):
+    assert PROSE.strip() in extraction.main_text(page.format(PROSE)).split("\n")
+
+
+@pytest.mark.parametrize("aside", [
+    '<div class="comments-area"><p>{}</p></div>', '<section id="comments"><article class="comment"><p>{}</p></article></section>', '<article class="comment depth-1"><p>{}</p></article>',
+    '<div class="related-posts"><p>{}</p></div>', '<div id="cookieNotice"><p>{}</p></div>', '<div class="share-bar"><p>{}</p></div>', '<div class="post-comments"><p>{}</p></div>',
+    '<aside><p>{}</p></aside>', '<div role="complementary"><p>{}</p></div>', '<div class="newsletter_signup"><p>{}</p></div>', '<ul class="comment-list"><li>{}</li></ul>', '<div class="ad"><p>{}</p></div>',
+    '<div class="ad-slot-3"><p>{}</p></div>', '<div class="social-links"><p>{}</p></div>', '<p class="promo">{}</p>', '<span class="promo">{}</span>', '<div hidden><p>{}</p></div>', '<div class="x widget y"><p>{}</p></div>',
+])
+def test_what_stands_beside_the_text_goes(aside):
+    inside = f"<article><p>{PROSE}</p>{aside.format(OTHER)}<p>{PROSE}</p></article>"
+    beside = f"<div><p>{PROSE}</p><p>{PROSE}</p></div>{aside.format(OTHER)}"
+    for page in (inside, beside):
+        assert extraction.main_text(f"<html><body>{page}</body></html>") == f"{PROSE.strip()}\n{PROSE.strip()}"
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>{}</p><div class=comments>{}</div></article>", "<main><p>{}</p></main><section id=comments><article>{}</article></section>",
+    "<div><p>{}</p></div><div class=comments>{}</div>", "<article><p>{}</p></article><div class=related-posts><article>{}</article></div>",
+])
+def test_long_comments_do_not_come_back(page):
+    assert extraction.main_text(page.format(PROSE, f"<p>{OTHER}</p>" * 5)) == PROSE.strip()
+
+
+def test_dense_stretches_stay_without_article():
+    links = "".join(f"<p><a href=x{i}>a link to something else</a></p>" for i in range(3))
+    assert extraction.main_text(f"<div><p>{PROSE}</p>{links}<p>{PROSE}</p>{links}<p>short</p></div>") == f"{PROSE.strip()}\n{PROSE.strip()}"
+
+
+def test_nested_names_take_time_in_proportion():
+    text = extraction.main_text("<div class=ad>" * 20_000 + f"<p>{PROSE}</p>" + "</div>" * 20_000)
+    assert text == PROSE.strip()
+
+
 def test_open_elements_take_time_in_proportion():
     assert extraction.main_text("<article><div><p><button>" + "<x>" * 50_000 + "<hr></div></p>" * 50_000 + "</article><p>y</p>") == "y"
     assert extraction.main_text('<article><div class="ad">' + "<p>" * 100_000 + "</div><p>z</article>") == "z"
