@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -37,7 +38,12 @@ def test_tables_hold_all_within_radius():
         flips = rng.choice(64, d.RADIUS, replace=False)
         other = np.array([prints[item] ^ np.uint64(sum(1 << int(b) for b in flips))])
         blocks = other.view(np.uint8)
-        assert any(tables[k][blocks[k], item] for k in range(d.BLOCKS))
+        lists = [items[starts[blocks[k]] : starts[int(blocks[k]) + 1]] for k, (starts, items) in enumerate(tables)]
+        assert any(item in found for found in lists)
+        w, items, bits = d.Index._near(other, prints, tables)
+        assert (w == 0).all() and dict(zip(items.tolist(), bits.tolist()))[item] == d.RADIUS
+        near = np.bitwise_count(prints ^ other[0])
+        assert dict(zip(items.tolist(), bits.tolist())) == {k: b for k, b in enumerate(near.tolist()) if b <= d.RADIUS}
 
 
 def test_against_brute_force():
@@ -98,3 +104,31 @@ def test_query(spark, sf_dir):
         own = set(d.bag(d.words_of(doc.text or ""), 5))
         want += [(doc.doc_id, i.item_id, s) for i, bag in shingles if own & bag and (s := plain_best(doc.text, i.text)) >= 0.8]
     assert got == sorted(want)
+
+
+def test_a_repeated_stem_costs_little():
+    """Items that share a stem, as exam questions do, and documents that only repeat it."""
+    draw, stem = random.Random(4), "which of the following is true"
+    items = [(k, stem + " " + " ".join(f"w{draw.randrange(5000)}" for _ in range(24))) for k in range(2000)]
+    index = d.Index(items, 0.8)
+    text = " ".join([stem] * 400)
+    took = []
+    for _ in range(3):
+        start = time.perf_counter()
+        assert index.matches(text) == []
+        took.append(time.perf_counter() - start)
+    assert min(took) < 0.3
+    assert [m[0] for m in index.matches(text + " " + items[7][1] + " " + text)] == [7]
+
+
+def test_radius_holds_pairs_at_the_threshold():
+    """Of windows just above the threshold the radius finds all, as the binomial distribution of the bits says."""
+    rng, found, n = np.random.default_rng(1), 0, 3000
+    for _ in range(n):
+        m = int(rng.integers(18, 60))
+        a = rng.integers(0, 1 << 63, m).astype(np.uint64)
+        b = a.copy()
+        b[: m // 9] = rng.integers(0, 1 << 63, m // 9).astype(np.uint64)
+        x, y = (d.simhashes(h, np.array([0]), m)[0] for h in (a, b))
+        found += int(np.bitwise_count(x ^ y)) <= d.RADIUS
+    assert found / n > 0.999
