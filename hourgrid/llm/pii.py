@@ -29,10 +29,20 @@ PHONE = r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{2,4})(?:[ .-]?\d{2,4}){1,4}|\(\
 KINDS = (
     ("email", EMAIL), ("ip", IP), ("date", f"{ISO_DATE}|{DAY_DATE}"), ("ssn", SSN), ("iban", IBAN), ("card", CARD), ("phone", PHONE),
 )
-PATTERN = r"(?<![\w.+-])(?:" + "|".join(p for _, p in KINDS) + r")(?![\w@]|[.-]\d)"
-
-DAYS = (189, 773)  # of 400 years, 146,097, as a product
+# no word before it, nor a number with a hyphen; behind it none but the time of a time stamp
+BEFORE, BEHIND = r"(?<![\w.+])(?<!\d-)", r"(?!(?!T\d\d:)[\w@]|[.-]\d)"
+PATTERN = BEFORE + "(?:" + "|".join(p for _, p in KINDS) + ")" + BEHIND
+INNER = BEFORE + "(?:" + "|".join(p for k, p in KINDS if k != "iban") + ")" + BEHIND  # inside what looks like an account number but is none
+# Country codes of telephone numbers of one and two digits; the others have three.
+COUNTRY_CODE = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
+# Blocks of dates: 400 years each from 1800 on and back, and what is left of the years 1 to 9999 at both ends.  A block has
+# so many days, which are permuted among the first numbers of a product that is as large or a little larger.
+FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
 EPOCH = "1800-01-01"
+DAYS, DAYS_AS = 146_097, (189, 773)
+FIRST_DAYS, LAST_DAYS, ENDS_AS = 72_683, 73_048, (271, 270)
+WALKS = 16  # steps until a number is a day again; one step fails in under 1% of all cases
 
 
 def _hash(key: str, *parts: Column) -> Column:
@@ -115,10 +125,10 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The country code stays."""
-    code = F.regexp_extract(m, r"^(?:\+\d{1,3})?", 0)
-    rest = F.substr(m, F.length(code) + 1)
-    return F.concat(code, _refilled(rest, _permuted_run(_digits(rest), key, F.lit("phone"))))
+    """The country code stays; it is told by the digits alone, so a number has one pseudonym however it is written."""
+    digits = _digits(m)
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, COUNTRY_CODE, 0)).otherwise(F.lit(""))
+    return _refilled(m, F.concat(code, _permuted_run(F.substr(digits, F.length(code) + 1), key, F.lit("phone"))))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -131,18 +141,32 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """Within the same 400 years, which are equally long from any day on."""
+    """Another day of the same 400 years; day first, or month first where that alone is a date."""
     iso = m.rlike(f"^{ISO_DATE}$")
     parts = F.split(m, "[./-]")
-    year, day = F.when(iso, parts[0]).otherwise(parts[2]), F.when(iso, parts[2]).otherwise(parts[0])
-    date = F.try_to_date(F.concat_ws("-", year, F.lpad(parts[1], 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
-    number = F.datediff(date, F.lit(EPOCH).cast("date")).cast("long")
-    within = F.pmod(number, F.lit(DAYS[0] * DAYS[1]))
-    moved = _permuted(within, F.lit(DAYS[0]), F.lit(DAYS[1]), key, F.lit("date"))
-    new = F.array(F.date_add(F.lit(EPOCH).cast("date"), (number - within + moved).cast("int")))
+    two = lambda c: F.lpad(c, 2, "0")
+    read = lambda *p: F.try_to_date(F.concat_ws("-", *p), "yyyy-MM-dd")
+    day_first = F.when(iso, read(*[parts[k] for k in range(3)])).otherwise(read(parts[2], two(parts[1]), two(parts[0])))
+    month_first = F.when(~iso, read(parts[2], two(parts[0]), two(parts[1])))
+    date = F.coalesce(day_first, month_first)
+    first, last, epoch = (F.lit(d).cast("date") for d in (FIRST_DAY, LAST_DAY, EPOCH))
+    since = F.datediff(date, epoch).cast("long")
+    start = since - F.pmod(since, F.lit(DAYS))  # of the block
+    low, high = F.datediff(first, epoch).cast("long"), F.datediff(last, epoch).cast("long")
+    start = F.greatest(start, low)
+    days = F.when(start == low, FIRST_DAYS).when(start + DAYS > high + 1, LAST_DAYS).otherwise(DAYS).cast("long")
+    a, b = (F.when(days == DAYS, DAYS_AS[k]).otherwise(ENDS_AS[k]) for k in (0, 1))
+    step = lambda v: _permuted(v, a, b, key, F.lit("date"))
+    moved = F.aggregate(F.sequence(F.lit(2), F.lit(WALKS)), step(since - start), lambda v, _: F.when(v < days, v).otherwise(step(v)))
+    new = F.array(F.date_add(epoch, (start + moved).cast("int")))
     mark = F.regexp_extract(m, "[./]", 0)
-    written = F.transform(new, lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).otherwise(F.concat(F.date_format(d, "dd"), mark, F.date_format(d, "MM"), mark, F.date_format(d, "yyyy"))))
-    return F.when(date.isNotNull(), written[0])
+
+    def written(d: Column) -> Column:
+        plain = F.concat(F.date_format(d, "dd"), mark, F.date_format(d, "MM"), mark, F.date_format(d, "yyyy"))
+        turned = F.concat(F.date_format(d, "MM"), mark, F.date_format(d, "dd"), mark, F.date_format(d, "yyyy"))
+        return F.when(iso, F.date_format(d, "yyyy-MM-dd")).when(day_first.isNotNull(), plain).otherwise(turned)
+
+    return F.when(date.between(first, last), F.transform(new, written)[0])
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -204,6 +228,21 @@ def pseudonyms(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     text = text_of(docs, text_col)
     base = docs.select(col(id_col).alias("id"), whole_row(docs).alias("row"), text.alias("text"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("found"))
 
+    def no_account(m: Column) -> Column:
+        plain = F.replace(m, F.lit(" "), F.lit(""))
+        return m.rlike(f"^(?:{IBAN})$") & (_remainder(F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))) != 1)
+
+    def apart(whole: Column, matches: Column, pattern: str) -> Column:
+        """Plain text and match in turn: what the pattern leaves, each with the match behind it."""
+        return F.zip_with(F.split(whole, pattern, -1), matches, lambda b, m: F.struct(b.alias("plain"), m.alias("match")))
+
+    # what looks like an account number and is none is looked through for other kinds
+    inside = lambda m: apart(m, F.regexp_extract_all(m, F.lit(INNER), F.lit(0)), INNER)
+    again = lambda p: F.when(p["match"].isNotNull() & no_account(p["match"]), F.concat(
+        F.array(F.struct(p["plain"].alias("plain"), F.lit(None).cast("string").alias("match"))), inside(p["match"]))).otherwise(F.array(p))
+    pieces = F.when(F.size("found") > 0, F.flatten(F.transform(apart(F.col("text"), F.col("found"), PATTERN), again)))
+    base = base.withColumn("pieces", pieces).withColumn("found", F.transform("pieces", lambda p: p["match"]))
+
     def kind_of(m: Column) -> Column:
         kinds = None
         for name, pattern in KINDS:
@@ -217,16 +256,14 @@ def pseudonyms(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
             out = F.when(kind == name, make(m, key)) if out is None else out.when(kind == name, make(m, key))
         return out
 
-    named = base.withColumn("kinds", F.transform("found", kind_of))
-    new = F.zip_with("found", "kinds", replaced)
-    done = named.withColumn("new", F.when(F.size("found") > 0, new).otherwise(F.array().cast("array<string>")))
-    between = F.split("text", PATTERN, -1)
-    parts = F.zip_with(between, F.zip_with("new", "found", lambda n, m: F.coalesce(n, m)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    valid = F.filter(F.zip_with("kinds", "new", lambda k, v: F.when(v.isNotNull(), k)), lambda k: k.isNotNull())
+    named = base.withColumn("kinds", F.transform("found", lambda m: F.when(m.isNotNull(), kind_of(m))))
+    done = named.withColumn("new", F.coalesce(F.zip_with("found", "kinds", replaced), F.array().cast("array<string>")))
+    parts = F.zip_with("pieces", "new", lambda p, n: F.concat(p["plain"], F.coalesce(n, p["match"], F.lit(""))))
+    valid = F.coalesce(F.filter(F.zip_with("kinds", "new", lambda k, v: F.when(v.isNotNull(), k)), lambda k: k.isNotNull()), F.array().cast("array<string>"))
     done = done.withColumn("valid", valid)
     return done.select(
         "id", "row",
-        F.when(F.col("row").getField(text_col).isNull(), None).when(F.size("found") == 0, F.col("text")).otherwise(F.array_join(parts, "")).alias("text"),
+        F.when(F.col("row").getField(text_col).isNull(), None).when(F.col("pieces").isNull(), F.col("text")).otherwise(F.array_join(parts, "")).alias("text"),
         F.size("valid").cast("long").alias("n_replaced"),
         *[(F.size("valid") - F.size(F.array_remove("valid", name))).cast("long").alias(f"n_{name}") for name, _ in KINDS],
     )

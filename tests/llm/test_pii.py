@@ -94,6 +94,74 @@ def test_long_runs_are_permuted(spark):
     assert len(set(got)) == len(got) == 3999 and {len(v) for v in got} == {19}
 
 
+def changed(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [r.text for r in sorted(pii.pseudonyms(docs, "key").collect(), key=lambda r: r.id)]
+
+
+def test_dates_keep_four_digit_years(spark):
+    days = ["9999-12-31", "31.12.9999", "9800-01-01", "0001-01-01", "0199-12-31", "0200-01-01", "9799-12-31", "1800-01-01", "2199-12-31"]
+    got = changed(spark, *days)
+    for old, new in zip(days, got):
+        assert re.sub(r"\d", "0", old) == re.sub(r"\d", "0", new) != new
+    read = [dt.date.fromisoformat(x) for x in got if "." not in x]
+    years = [(9800, 9999), (9800, 9999), (1, 199), (1, 199), (200, 599), (9400, 9799), (1800, 2199), (1800, 2199)]
+    assert all(a <= d.year <= b for d, (a, b) in zip(read, years))
+    assert dt.datetime.strptime(got[1], "%d.%m.%Y").date() == read[0]
+
+
+def test_dates_of_every_block_are_permuted(spark):
+    for start, n in (("0001-01-01", pii.FIRST_DAYS), ("9800-01-01", pii.LAST_DAYS), ("1800-01-01", pii.DAYS)):
+        days = spark.range(n).select(F.date_format(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("d"))
+        got = days.select(pii._date(F.col("d"), "key").alias("v"))
+        low, high = days.agg(F.min("d"), F.max("d")).first()
+        assert got.agg(F.count_distinct("v"), F.min("v"), F.max("v")).first()[:] == (n, low, high)
+
+
+def test_borders_and_other_forms(spark):
+    card, day = "4111111111111111", "1990-05-05"
+    plain = changed(spark, card, day, "+15551234567", "25.12.1990")
+    got = changed(spark, f"x-{card}", f"{day}T10:00", "12/25/1990", "NR12 4111 1111 1111 1111", "+1 555 123 4567", "AT12 4111 1111 1111 1111 and", f"{card}-1", "+49 30 123456 +4930123456")
+    assert got[0] == f"x-{plain[0]}" and plain[0] != card and got[1] == f"{plain[1]}T10:00" and plain[1] != day
+    assert dt.datetime.strptime(got[2], "%m/%d/%Y") == dt.datetime.strptime(plain[3], "%d.%m.%Y")
+    assert got[3][:5] == "NR12 " and got[3][5:].replace(" ", "") == plain[0] and got[5].startswith("AT12 ") and got[5][5:24].replace(" ", "") == plain[0]
+    assert re.sub(r"\D", "", got[4]) == plain[2][1:] and plain[2][:2] == "+1" and plain[2] != "+15551234567"
+    assert got[6] == f"{card}-1"  # part of a longer number
+    a, b = re.fullmatch(r"(\+49 \d\d \d{6}) (\+49\d{8})", got[7]).groups()
+    assert a.replace(" ", "") == b
+
+
+def plain_finder(text):
+    """Valid values found without the module's patterns, token by token: cards, dates and addresses of computers."""
+    found = set()
+    for token in re.split(r"[\s,;:()<>\"']+", text):
+        token = token.strip(".")
+        if token.isascii() and token.isdigit() and 13 <= len(token) <= 19 and luhn(token):
+            found.add(token)
+        parts = token.split(".")
+        if len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts):
+            found.add(token)
+        try:
+            if len(token) == 10 and token[4] == token[7] == "-":
+                dt.date.fromisoformat(token)
+                found.add(token)
+        except ValueError:
+            pass
+        if re.fullmatch(r"[^@]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", token) and token.isascii():
+            found.add(token)
+    return found
+
+
+def test_an_independent_finder_finds_nothing_left(spark, sf_dir):
+    before = dict(map(tuple, spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()))
+    seen = 0
+    for r in queries.op4_pii(spark, sf_dir).collect():
+        old = plain_finder(before[r.doc_id] or "")
+        seen += len(old)
+        assert not [v for v in old & plain_finder(r.text or "") if "example.invalid" not in v]
+    assert seen > 20
+
+
 def test_only_built_in_functions(spark, sf_dir):
     plan = queries.op4_pii(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
