@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourgrid.llm import decontaminate, exact_dedup, packing, quality, simhash
 from hourgrid.llm.common import table
-from hourgrid.llm.queries import TOKENIZER, quality_model
+from hourgrid.llm.queries import quality_model, tokenizer
 from hourgrid.session import scratch_path
 
 
@@ -21,7 +21,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest identifier."""
+    """Of each group of near-duplicates, the document with the smallest identifier, and no other."""
     return simhash.deduplicate(docs)
 
 
@@ -35,7 +35,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Workers remember few words, as they live on through the other stages of later runs.
     """
-    return packing.pack_documents(docs, TOKENIZER, words_kept=1 << 18)
+    return packing.pack_documents(docs, tokenizer(), words_kept=1 << 18)
 
 
 STAGES = [

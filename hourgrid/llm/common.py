@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid.session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,3 +33,10 @@ def kept(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet below the shared folder and read back, so that later uses read their columns alone."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

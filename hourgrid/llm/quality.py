@@ -139,18 +139,22 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, ra
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Fit on at most ``sample_rows`` labelled rows, those whose identifiers hash lowest; rows without label or identifier are left out.
 
-    The sample is bounded, and so is what is broadcast and what comes to the driver: one row of statistics each.
+    Where documents share an identifier, or a table repeats rows, those whose texts hash lowest are taken, so what is broadcast
+    and what comes to the driver, one row of statistics each, is ``sample_rows`` at most whatever the tables hold.
     """
     known = labels.select(col(id_col).alias("id"), col(label_col).cast("double").alias("y")).where("id is not null and y is not null")
     sample = known.orderBy(F.xxhash64("id"), "id", "y").limit(sample_rows)
-    texts = docs.select(col(id_col).alias("id"), text_of(docs, text_col).alias("text")).join(F.broadcast(sample), "id").select("y", "text")
+    texts = docs.select(col(id_col).alias("id"), text_of(docs, text_col).alias("text")).join(F.broadcast(sample), "id")
+    texts = texts.select("y", "text", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("t"))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [statistics(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["y", "x"])
+            columns = [batch.column(0), pa.array(rows, pa.list_(pa.float64())), batch.column(2), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["y", "x", "h", "t"])
 
-    rows = texts.mapInArrow(described, "y double, x array<double>").toPandas()
+    found = texts.mapInArrow(described, "y double, x array<double>, h long, t long")
+    rows = found.orderBy("h", "t", "y").limit(sample_rows).toPandas()
     x = np.array(rows["x"].tolist()).reshape(-1, len(STATISTICS))
     order = np.lexsort((*x.T, rows["y"].to_numpy()))  # whatever order the tasks ended in
     return fit(x[order], rows["y"].to_numpy()[order])

@@ -1,11 +1,10 @@
-"""The ten text operators on the tables they are meant for, and SQL for those that SQL can express."""
+"""The text operators on the tables they are meant for, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
 
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from hourgrid.llm import chat, decontaminate, exact_dedup, extraction, negatives
 from hourgrid.llm.common import kept, table
 from hourgrid.session import scratch_path
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Rows the quality classifier must not learn from.
 HELD_OUT = "crc32(CAST(doc_id AS string)) % 5 = 0"
 
@@ -26,7 +24,7 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Trees:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.scored(docs, quality_model(docs, table(spark, sf_dir, "labels")))
-    return found.withColumnRenamed("id", "doc_id").select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
+    return found.withColumnRenamed("id", "doc_id").select("doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +142,15 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THE
 """
 
 
+def tokenizer() -> str:
+    """The vocabulary file that documents are packed with; only packing needs its package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -354,7 +354,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     hit = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
     marked = kept(slim.select("id", hit.alias("hit")))
     lowest = [marked.where(F.col("hit") == side).orderBy(F.xxhash64("id"), "id").limit(sample_docs).select("id") for side in (True, False)]
-    sample = slim.join(F.broadcast(lowest[0].unionByName(lowest[1]).distinct()), "id").select(F.col("id").cast("string"), "text")
+    found = slim.join(F.broadcast(lowest[0].unionByName(lowest[1]).distinct()), "id")
+    # documents that share an identifier: those whose texts hash lowest
+    found = found.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(2 * sample_docs).repartition("id", "text")
+    sample = found.select(F.col("id").cast("string"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import col, kept, text_of, whole_row
+from hourgrid.llm.common import col, kept, text_of, whole_row, written
 
 SEED = 42
 SHINGLE = 4
@@ -225,6 +225,12 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def _rooted(firsts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(``fp``, ``root`` of its component, ``first``) for the distinct fingerprints of ``firsts``."""
+    groups = components(edges)
+    return firsts.join(groups, firsts["fp"] == groups["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
     """One row per input row: ``id``, ``fp`` (a signed long) and ``component_id``, the smallest identifier its group reaches.
 
@@ -233,20 +239,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     - Only the two named columns are read, so others may have any names.
     """
     prints = kept(fingerprints(docs, id_col, text_col, shingle))
-    groups = components(links(prints, max_bits, layout))
     firsts = kept(prints.groupBy("fp").agg(F.min("id").alias("first")))
-    rooted = kept(firsts.join(groups, firsts["fp"] == groups["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
+    rooted = kept(_rooted(firsts, links(prints, max_bits, layout)))
     lowest = kept(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     named = kept(rooted.join(lowest, "root").select("fp", "component_id"))
     return prints.join(named, "fp").select("id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, layout: Layout = THREE) -> DataFrame:
-    """The rows with the smallest identifier of their group, unchanged; rows without an identifier stay.
+    """Of each group the row with the smallest identifier, unchanged; an identifier that is null comes last.
 
-    Rows go by identifier and fingerprint, so of different texts that share an identifier each is judged by its own group.
+    Exactly one row of a group stays, also where rows share its smallest identifier or have none; of those it is one with the
+    smallest fingerprint.  Rows are told apart by their place in the written table, so a text is judged by its own group
+    whatever identifier it shares.  Rows are fingerprinted once and written with their fingerprints.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, max_bits, layout)
-    gone = found.where("id <> component_id").select(F.col("id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct()
-    rows = fingerprints(docs, id_col, text_col, shingle, carry=True)
-    return rows.join(gone, (rows["id"] == gone["gone_id"]) & (rows["fp"] == gone["gone_fp"]), "left_anti").select("row.*")
+    rows = written(fingerprints(docs, id_col, text_col, shingle, carry=True).withColumn("place", F.monotonically_increasing_id()), "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"), F.col("place"))
+    firsts = kept(rows.select("id", "fp", "place").groupBy("fp").agg(F.min(order).alias("first")))
+    rooted = _rooted(firsts, links(rows.select("fp"), max_bits, layout))
+    stay = kept(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.place").alias("place")))
+    return rows.join(stay, "place", "left_semi").select("row.*")

@@ -80,3 +80,39 @@ def test_held_out_labels_do_not_count(spark, sf_dir):
     turned = labels.withColumn("quality", F.when(F.expr(queries.HELD_OUT), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = queries.quality_model(docs, labels), queries.quality_model(docs, turned)
     assert (a.value == b.value).all() and (a.feature == b.feature).all()
+
+
+def test_the_sample_is_bounded_where_documents_share_an_identifier(spark, monkeypatch):
+    """What comes to the driver has as many rows as the parameter says, and the same ones in any order of the table."""
+    docs = spark.createDataFrame([(1, f"text number {k} with words") for k in range(500)] + [(1, "twice")] * 40 + [(2, "other text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x.copy(), y.copy())))
+    for frame in (docs, docs.orderBy("text").repartition(7)):
+        quality.train(frame, labels, sample_rows=10)
+    (x, y), (again, _) = seen
+    assert len(x) == len(y) == 10 and (x == again).all()
+
+
+def test_statistics_and_splits_against_plain_code():
+    """The best first split of a small sample is the one that trying every feature and bin finds."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5))
+    y = (x[:, 3] + 0.3 * rng.normal(size=400) > 0.4).astype(float)
+    model = quality.fit(x, y, trees=1, depth=1, rate=1.0)
+    p = 1 / (1 + np.exp(-model.prior))
+    grad, hess = y - p, np.full(len(y), p * (1 - p))
+    binned, best = model.binned(x).astype(int), (-1.0, None, None)
+    for f in range(5):
+        for cut in range(quality.BINS - 1):
+            left = binned[:, f] <= cut
+            if hess[left].sum() < quality.LEAST_WEIGHT or hess[~left].sum() < quality.LEAST_WEIGHT:
+                continue
+            score = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + quality.RIDGE)  # noqa: E731, B023
+            gain = score(left) + score(~left) - score(np.ones(len(y), bool))
+            if gain > best[0] + 1e-9:
+                best = (gain, f, cut)
+    assert (model.feature[0, 0], model.bin[0, 0]) == best[1:]
+    left = binned[:, best[1]] <= best[2]
+    want = [grad[m].sum() / (hess[m].sum() + quality.RIDGE) for m in (left, ~left)]
+    assert np.allclose(model.value[0], want)

@@ -96,7 +96,21 @@ def test_groups_against_brute_force(spark, sf_dir):
     assert sorted(((r.id, r.fp % (1 << 64), r.component_id) for r in got.collect()), key=str) == want
     stay = simhash.deduplicate(frame)
     assert stay.columns == frame.columns
-    assert sorted(((r.doc_id, r.text) for r in stay.collect()), key=str) == sorted(((i, t) for i, t in docs if i is None or first[root.get(prints[i, t], prints[i, t])] == i), key=str)
+    # one row of each group: the smallest identifier, null last; of texts that share it the smallest fingerprint as a signed number
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    keepers = {}
+    for i, t in docs:
+        p = prints[i, t]
+        rank = (i is None, i or 0, signed(p))
+        r = root.get(p, p)
+        keepers[r] = min(keepers.get(r, (rank, i, t)), (rank, i, t), key=lambda k: k[0])
+    assert sorted(((r.doc_id, r.text) for r in stay.collect()), key=str) == sorted(((i, t) for _, i, t in keepers.values()), key=str)
+
+
+def test_one_row_of_a_group_stays(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text), (None, "other"), (None, "other")], "doc_id long, text string")
+    assert rows(simhash.deduplicate(docs)) == [(1, text), (None, "other")]
 
 
 def test_texts_that_share_an_identifier(spark):
