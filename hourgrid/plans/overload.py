@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hourgrid import sinks
 from hourgrid.fixed import HYDROGEN_NODES
 from hourgrid.functions import power, text
 from hourgrid.operators import curves, overload, scenarios
 from hourgrid.plans import views as v
 from hourgrid.plans.registry import query
 from hourgrid.plans.views import NETWORK, SCENARIO, define
+from hourgrid.session import scratch_path
 
 PART = "'^([a-zA-Z]*)([0-9]*)(.*)$'"
 
@@ -288,3 +290,19 @@ def c15_per_plan(spark, d):
         return overload.network_overload(flows.join(runs, on, "left_semi"), lines, trafos, buses, by=NETWORK)
 
     return scenarios.evaluate_once(plan_runs(spark, d), evaluate, NETWORK)
+
+
+ELEMENT = ["network_id", "element_type", "element_id"]
+
+
+def bucketed_flows(spark, d):
+    """The flows as the stage before hands them over: in buckets of network and element."""
+    path = scratch_path(spark, "flows")
+    name = "flows_" + path.rsplit("-", 1)[1]
+    return sinks.write_bucketed(v.element_flow(spark, d), path, name, ELEMENT, 8)
+
+
+@query("c11_on_bucketed_flows", elements_sql("grid_element"))
+def c11_bucketed(spark, d):
+    """The flows are joined with their elements and summed where they lie."""
+    return overload.network_overload(bucketed_flows(spark, d), v.line(spark, d), v.trafo(spark, d), v.bus(spark, d), NETWORK, v.run(spark, d))

@@ -36,6 +36,18 @@ def write_csv(
     _writer(out, partition, mode).option("sep", ";").option("header", True).option("compression", "gzip").csv(path)
 
 
+def write_bucketed(df: DataFrame, path: str, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Hand-over table in buckets of the keys that the next stage joins and sums by; the table, read back.
+
+    Rows are shuffled once, here, so that every bucket is one sorted file; a stage that joins or groups by the keys, or by
+    more columns than these, takes the buckets as they are.  The table ``name`` is known to the session's catalog, its files
+    lie at ``path``; as many ``buckets`` as the next stage shall have tasks.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_by_carrier(df: DataFrame, path: str, by: Sequence[str] = BY, mode: str = "overwrite") -> None:
     """All gases as one dataset with a folder per carrier."""
     write_table(df, path, [*by, "carrier"], mode)

@@ -104,3 +104,29 @@ def test_discovery_opens_no_file(spark, tmp_path):
     text = plans.plan_text(found)
     assert "content" not in text[text.index("ReadSchema") :].splitlines()[0]
     assert rows(found, "run", "design") == [("a", "1"), ("a", "2")]
+
+
+def test_bucketed_flows_are_not_shuffled_again(spark, sf_dir):
+    """Without broadcasts the elements come to the flows: no exchange lies above the scan of the flows."""
+    from hourgrid.operators import overload
+    from hourgrid.plans import overload as bound
+    from hourgrid.plans import views as v
+
+    flows = bound.bucketed_flows(spark, sf_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        elements = overload.line_elements(v.line(spark, sf_dir), v.bus(spark, sf_dir), v.NETWORK)
+        elements = elements.unionByName(overload.trafo_elements(v.trafo(spark, sf_dir), v.NETWORK))
+        text = plans.final_plan_text(overload.element_excess(flows, elements, v.NETWORK).groupBy("scenario_id", *bound.ELEMENT).agg({"excess": "sum"}))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    scan = next(k for k, line in enumerate(lines) if "flows_" in line or "mva" in line and "FileScan" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :|+-*"))
+    level, above = depth(lines[scan]), []
+    for line in reversed(lines[:scan]):
+        if depth(line) < level:
+            above.append(line)
+            level = depth(line)
+    assert "Bucketed: true" in lines[scan] and not [a for a in above if "Exchange" in a] and "SortMergeJoin" in text
