@@ -179,19 +179,24 @@ def nodal_power(
     station_exceptions: DataFrame | None = None,
     sector_exceptions: DataFrame | None = None,
     by: Sequence[str] = BY,
+    limit: DataFrame | None = None,
 ) -> DataFrame:
     """Raw market and site curves to net power per hour and node.
 
+    Nothing is checked here: nodes in both sources, unknown exceptions and sectors that the market lacks go through.
+    ``quality.checked_nodal_power`` checks first and sets bad runs aside.
+
     Discounting happens on (hour, product, sector) totals, cut to the hours that both
     sources have; the spread over nodes comes last and is summed over products and
     sectors in the same stage.  Both sources are read and summed once: every later
-    use starts from the shuffled sums.
+    use starts from the shuffled sums.  ``limit`` are the hours of each run (``_limit``) if
+    they are known; else each source is read once more, two columns wide, for its length.
     """
     nodes = [exceptions] if isinstance(exceptions, str) else list(exceptions or [])
     categorised = c.categorise(market, categories, carrier=carrier, by=by)
     lifted = c.lift_to_high_voltage(sites, station_exceptions, by)
     net = c.net_by_sector(c.drop_site(site_curves), lifted, by)
-    limit = c.common_length(categorised, net, by=by)
+    limit = c.common_length(categorised, net, by=by) if limit is None else limit
     net = c.cut_to(net, limit, by)
     simulated = c.split_products(net)
     if sector_exceptions is not None:

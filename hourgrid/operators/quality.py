@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,29 @@ def _unused(lookup: DataFrame, used: DataFrame, key: str, by: Sequence[str]) ->
     return per_run.select(*run_keys(used, by), F.explode("_lost").alias(key))
 
 
+class KeySums(NamedTuple):
+    """What a scan of both sources gives per run and key: all that checks need, and how long the series are."""
+
+    used: DataFrame  # run keys, market_key, last hour
+    totals: DataFrame  # run keys, site, sum, last hour
+
+
+def key_sums(market: DataFrame, site_curves: DataFrame, by: Sequence[str] = BY) -> KeySums:
+    """One row per run and market key, and per run and site, from one scan of each source; combined before the shuffle."""
+    last = F.max("hour").alias("_last")
+    used = market.groupBy(*run_keys(market, by), "market_key").agg(last)
+    totals = curves.drop_site(site_curves).groupBy(*run_keys(site_curves, by), "site").agg(F.sum("mw").alias("_sum"), last)
+    return KeySums(_written(used), _written(totals))
+
+
+def common_limit(sums: KeySums, categories: DataFrame, sites: DataFrame, carrier: str = "Electricity", by: Sequence[str] = BY) -> DataFrame:
+    """Hours that both sources have, by the last hours of the keys that take part; no source is scanned for it."""
+    known = categories.where(F.col("carrier") == carrier)
+    sold = sums.used.join(known, shared(sums.used, known, by, "market_key"), "left_semi").withColumnRenamed("_last", "hour")
+    placed = sums.totals.join(sites, shared(sums.totals, sites, by, "site"), "left_semi").withColumnRenamed("_last", "hour")
+    return curves.common_length(sold, placed, by=by)
+
+
 def electricity_offenders(
     market: DataFrame,
     site_curves: DataFrame,
@@ -67,16 +91,16 @@ def electricity_offenders(
     station_exceptions: DataFrame | None = None,
     sector_exceptions: DataFrame | None = None,
     by: Sequence[str] = BY,
+    sums: KeySums | None = None,
 ) -> DataFrame:
     """What is wrong per run: run keys, check, item.
 
-    Each source is summed once, to its keys; everything else is worked out on those.
+    Each source is summed once, to its keys; everything else is worked out on those.  ``sums`` are these, if they are known.
     """
     nodes = [exceptions] if isinstance(exceptions, str) else list(exceptions or [])
     known = categories.where(F.col("carrier") == carrier)
     keys = run_keys(site_curves, by)
-    used = market.select(*run_keys(market, by), "market_key").distinct()
-    totals = curves.drop_site(site_curves).groupBy(*keys, "site").agg(F.sum("mw").alias("_sum"))
+    used, totals = (t.drop("_last") for t in sums or key_sums(market, site_curves, by))
     on = shared(totals, sites, by, "site")
     listed = sites.select(*on).distinct()
     strangers = totals.join(listed, on, "left_anti").where(F.round(F.coalesce("_sum", F.lit(0.0)), 9) != 0)
@@ -147,13 +171,18 @@ def checked_nodal_power(
     by: Sequence[str] = BY,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Net power of the runs that pass every check, and what is wrong with the others."""
+    """Net power of the runs that pass every check, and what is wrong with the others.
+
+    Each source is scanned once for its keys, which the checks and the common length come from, and once for its values.
+    """
     nodes = [exceptions] if isinstance(exceptions, str) else list(exceptions or [])
     check_weights(weights, nodes, by)
     lookups = {"carrier": carrier, "station_exceptions": station_exceptions, "sector_exceptions": sector_exceptions, "by": by}
-    bad = _written(electricity_offenders(market, site_curves, categories, sites, buses, weights, nodes, **lookups))
+    sums = key_sums(market, site_curves, by)
+    bad = _written(electricity_offenders(market, site_curves, categories, sites, buses, weights, nodes, **lookups, sums=sums))
+    limit = common_limit(sums, categories, curves.lift_to_high_voltage(sites, station_exceptions, by), carrier, by)
     power = discount.nodal_power(
-        passed(market, bad, by), passed(site_curves, bad, by), categories, weights, sites, nodes, **lookups, **options
+        passed(market, bad, by), passed(site_curves, bad, by), categories, weights, sites, nodes, **lookups, limit=limit, **options
     )
     return power, bad
 

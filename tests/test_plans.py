@@ -130,3 +130,29 @@ def test_bucketed_flows_are_not_shuffled_again(spark, sf_dir):
             above.append(line)
             level = depth(line)
     assert "Bucketed: true" in lines[scan] and not [a for a in above if "Exchange" in a] and "SortMergeJoin" in text
+
+
+def test_checks_add_no_scan(spark, sf_dir, monkeypatch):
+    """With checks each source is scanned as often as without: once for its keys, once for its values; the power is the same."""
+    from hourgrid.operators import discount, quality
+    from hourgrid.plans import views as v
+
+    scans = {"lineitem.parquet": 0, "events.parquet": 0}
+
+    def count(df):
+        text = plans.final_plan_text(df)
+        for name in scans:
+            scans[name] += text.count(name)
+
+    written = quality._written
+    monkeypatch.setattr(quality, "_written", lambda df: (count(df), written(df))[1])
+    market, sites = v.market_curve(spark, sf_dir), v.site_curve(spark, sf_dir)
+    args = (market, sites, v.categories(spark, sf_dir), v.weights(spark, sf_dir), v.site(spark, sf_dir))
+    power, bad = quality.checked_nodal_power(*args, by=v.SCENARIO)
+    count(power)
+    plain = plans.final_plan_text(discount.nodal_power(*args, by=v.SCENARIO))
+    assert all(0 < n <= plain.count(name) for name, n in scans.items())
+    good = {r[0] for r in sites.select("scenario_id").distinct().collect()} - {r["scenario_id"] for r in bad.collect()}
+    want = discount.nodal_power(*args, by=v.SCENARIO)
+    key = lambda df: sorted((r.scenario_id, r.hour, r.node, round(r.power, 6)) for r in df.collect() if r.scenario_id in good)
+    assert key(power) == key(want)
