@@ -17,6 +17,10 @@ from hourgrid.session import scratch_path
 # rows of a bracket that are ranked at once, and parts a larger one is counted into
 BRACKET_ROWS = 10_000
 BUCKETS = 1024
+# approximate percentiles that limit a bracket from its second round on, and the rows that one of them may be off: a share
+# of 1 / ACCURACY, far below the distance of two of them
+CUTS = 256
+ACCURACY = 10_000
 
 
 def bounded_statistics(rows: DataFrame, keys: Sequence[str], value: str, keep_empty: bool = False) -> DataFrame:
@@ -37,13 +41,17 @@ def statistics(rows: DataFrame, keys: Sequence[str], value: str, bound: int = BR
 
     The median of a group lies in a bracket, at first from its smallest to its largest
     value.  While a bracket holds more than ``bound`` rows, its rows are counted into
-    BUCKETS parts of equal width and it shrinks to the part of the middle ranks: a count
-    that is combined before the shuffle, one row per group and part after it.  Then the
+    BUCKETS parts and it shrinks to the part of the middle ranks: a count that is combined
+    before the shuffle, one row per group and part after it.  In the first round the parts
+    are of equal width.  Where that does not do, as values lie over many magnitudes, later
+    rounds divide what lies between two approximate percentiles around the middle rank, and
+    count the rest as two parts: whatever the values, a round leaves 3 / CUTS of the rows of
+    its bracket at most.  The counts are exact, so the percentiles need not be.  Then the
     rows of the bracket, ``bound`` at most, are ranked.
 
     No window holds more than BUCKETS or ``bound`` rows, whatever the group.  The state of
-    a round, one row per group, is written to the shared folder; each round reads the
-    rows again.
+    a round, one row per group, is written to the shared folder; the first round reads the
+    rows once more, a later one twice.
     """
     keys = list(keys)
     slim = rows.select(*keys, F.col(value).cast("double").alias("_v"))
@@ -53,8 +61,10 @@ def statistics(rows: DataFrame, keys: Sequence[str], value: str, bound: int = BR
         F.lit(0).cast("long").alias("_below"), n.alias("_inside"), F.lit(None).cast("double").alias("median"),
     ))
     wide = F.col("median").isNull() & (F.col("_inside") > bound) & (F.col("_lo") < F.col("_hi"))
+    first = True
     while state.where(wide).limit(1).count():
-        narrow = _narrowed(slim, state.where(wide), keys)
+        limits = state.where(wide).withColumns({"_from": F.col("_lo"), "_to": F.col("_hi")}) if first else _written(_limited(slim, state.where(wide), keys))
+        narrow, first = _narrowed(slim, limits, keys), False
         state = _written(state.where(~F.coalesce(wide, F.lit(False))).unionByName(narrow))
     one = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
     state = state.withColumn("median", F.coalesce("median", one))
@@ -75,12 +85,31 @@ def _ranks() -> tuple[Column, Column]:
 
 
 def _inside(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    return slim.join(state.select(*keys, "_lo", "_hi"), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    limits = [c for c in ("_from", "_to") if c in state.columns]
+    return slim.join(state.select(*keys, "_lo", "_hi", *limits), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _limited(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """The state with ``_from`` and ``_to``, approximate percentiles of a bracket's rows below and above the middle ranks."""
+    share = [k / CUTS for k in range(CUTS + 1)]
+    cuts = _inside(slim, state, keys).groupBy(*keys).agg(F.percentile_approx("_v", share, ACCURACY).alias("_cuts"))
+    low, _ = _ranks()
+    k = F.floor(low * CUTS / F.col("_inside")).cast("int")
+    below, above = F.greatest(k - 1, F.lit(0)), F.least(k + 2, F.lit(CUTS))
+    return state.join(cuts, keys).select(*state.columns, F.get("_cuts", below).alias("_from"), F.get("_cuts", above).alias("_to"))
 
 
 def _narrowed(slim: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """The state after one round: brackets shrunk to a part, or medians that lie between two parts."""
-    part = F.least(F.floor((F.col("_v") / F.lit(BUCKETS) - F.col("_lo") / F.lit(BUCKETS)) / (F.col("_hi") / F.lit(BUCKETS) - F.col("_lo") / F.lit(BUCKETS)) * F.lit(BUCKETS)), F.lit(BUCKETS - 1))
+    """The state after one round: brackets shrunk to a part, or medians that lie between two parts.
+
+    The first and the last part hold what lies outside ``_from`` and ``_to``, the others are of equal width.
+    """
+    inner = BUCKETS - 2
+    v, low, high = F.col("_v") / F.lit(inner), F.col("_from") / F.lit(inner), F.col("_to") / F.lit(inner)  # so that no difference overflows
+    part = (
+        F.when(F.col("_v") < F.col("_from"), 0).when(F.col("_v") > F.col("_to"), BUCKETS - 1).when(F.col("_from") == F.col("_to"), 1)
+        .otherwise(1 + F.least(F.floor((v - low) / (high - low) * F.lit(inner)), F.lit(inner - 1)))
+    )
     parts = _inside(slim, state, keys).groupBy(*keys, part.alias("_part")).agg(
         F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
     )

@@ -46,6 +46,22 @@ def test_no_window_holds_a_hot_group(spark, monkeypatch):
     assert quantiles.statistics(df, ["k"], "x", 100).count() == 1 and 0 < seen[0] <= 100
 
 
+@pytest.mark.parametrize("shape", ["magnitudes", "outliers", "far and near"])
+def test_few_rounds_whatever_the_values(spark, monkeypatch, shape):
+    """Values over 600 magnitudes would take a round for each factor of a thousand if all parts were of equal width."""
+    rng, n = np.random.default_rng(5), 40_001
+    values = {
+        "magnitudes": lambda: 10.0 ** rng.uniform(-300, 300, n) * rng.choice([-1, 1], n),
+        "outliers": lambda: np.concatenate([rng.normal(size=n - 5), np.full(5, 1e300)]),
+        "far and near": lambda: np.concatenate([1 + rng.uniform(0, 1e-9, n - 20_000), rng.uniform(-1e200, 1e200, 20_000)]),
+    }[shape]()
+    df = spark.createDataFrame([("hot", float(x)) for x in values], "k string, x double").repartition(8)
+    rounds, narrowed = [], quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    got = quantiles.statistics(df, ["k"], "x", 100).first()
+    assert got["median"] == pytest.approx(float(np.median(values)), rel=1e-12) and len(rounds) <= 4
+
+
 @pytest.mark.parametrize("block", [1, 7, 1 << 16])
 def test_row_numbers_across_blocks(spark, block):
     rng = np.random.default_rng(3)
