@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -46,7 +47,11 @@ def bare(named: str) -> str:
 
 
 def _named(key: str | None) -> str:
-    return f"<urn:page:{key or ''}>"
+    return f"<urn:page:{quote(key or '', safe='')}>"
+
+
+def _key(named: str) -> str | None:
+    return unquote(named.removeprefix("<urn:page:").removesuffix(">")) or None
 
 
 def record(key: str | None, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
@@ -171,22 +176,22 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """The records of the archives a manifest names: ``id``, ``url``, ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to``.
 
-    Identifiers come back as strings, null where none was written.  Each file is read by one task, record after record.
+    Identifiers come back as the strings they were (in the archive all but letters, digits and ``_.-~`` are percent-encoded),
+    null where none was written.  Each file is read by one task, record after record.
     """
     names = ["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
-        key = lambda name: name.removeprefix("<urn:page:").removesuffix(">") or None
         for batch in batches:
             for path, expected in zip(*(c.to_pylist() for c in batch.columns)):
                 rows, n = [], 0
                 with system.open_input_stream(f"{base}/{path}", compression=None) as stream:
                     for n, r in enumerate(records(stream), 1):
                         h = r.headers
-                        refers_to = key(h["warc-refers-to"]) if "warc-refers-to" in h else None
+                        refers_to = _key(h["warc-refers-to"]) if "warc-refers-to" in h else None
                         size = len(r.payload) if h["warc-type"] == "response" else int(r.http["content-length"])
-                        rows.append((key(h["warc-record-id"]), h.get("warc-target-uri"), size, bare(h["warc-payload-digest"]), h["warc-type"], refers_to))
+                        rows.append((_key(h["warc-record-id"]), h.get("warc-target-uri"), size, bare(h["warc-payload-digest"]), h["warc-type"], refers_to))
                         if len(rows) == 4096:
                             yield _batch(rows, names)
                             rows = []

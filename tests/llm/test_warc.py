@@ -73,3 +73,13 @@ def test_empty_table(spark, tmp_path):
 
 def test_query(spark, sf_dir):
     assert differs(spark, sf_dir, "op9_warc") is None
+
+
+def test_identifiers_cannot_forge_headers(spark, tmp_path):
+    keys = ["a\r\nWARC-Type: x", "<urn:page:1>", "1%0D", " é ", "7", "a b>", "\x00\x85"]
+    big = "b" * 1000
+    pages = spark.createDataFrame([(k, "u", h) for k in keys for h in (k, big)], "page_id string, url string, html string")
+    got = warc.read_archives(warc.write_archives(pages, str(tmp_path / "w")), str(tmp_path / "w")).collect()
+    assert sorted(r.id for r in got) == sorted(2 * keys)
+    assert sorted(r.id for r in got if r.record_type == "revisit") == sorted(set(keys) - {max(keys)})
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {max(keys)}
