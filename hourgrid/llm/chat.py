@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import kept
+from hourgrid.llm.common import written
 
 OPEN, MIDDLE, CLOSE = "### ", ":\n", "</turn>\n"
 SPECIAL = re.compile(r"[\\#<]")
@@ -73,21 +73,21 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     the smaller leaf.  A parent that does not exist makes a root; messages on a cycle have no root and are on no path.
     ``node`` must be unique and not null.
     """
-    slim = kept(messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")))
+    slim = written(messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")), "trees")
     known = slim.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     rooted = slim.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("up"), "score")
-    step = kept(rooted.select("node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("length"), F.col("node").alias("top")))
-    nodes, steps = step.count(), []
-    while step.where("up is not null").limit(1).count() and 1 << len(steps) <= nodes:
-        going = step.where("up is not null")  # messages that have reached their root stay as they are
+    step = written(rooted.select("node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("length"), F.col("node").alias("top")), "steps")
+    # a round writes the messages that have not reached their root before it; those that have are left where they are
+    nodes, steps, going, arrived = step.count(), [], step.where("up is not null"), step.where("up is null")
+    while going.limit(1).count() and 1 << len(steps) <= nodes:
         steps.append(going.select("node", F.col("up").alias("to")))
-        above = step.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("length").alias("l2"), F.col("top").alias("top2"))
-        far = going.join(above, "up").select(
+        above = arrived.unionByName(going).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("length").alias("l2"), F.col("top").alias("top2"))
+        step = written(going.join(above, "up").select(
             "node", F.col("up2").alias("up"), (F.col("total") + F.col("t2")).alias("total"), (F.col("length") + F.col("l2")).alias("length"), F.col("top2").alias("top")
-        )
-        step = kept(step.where("up is null").unionByName(far))
+        ), "steps")
+        going, arrived = step.where("up is not null"), arrived.unionByName(step.where("up is null"))
     parents = slim.select(F.col("parent").alias("node")).where("node is not null").distinct()
-    leaves = step.where("up is null").join(parents, "node", "left_anti")
+    leaves = arrived.join(parents, "node", "left_anti")
     rank = F.struct((-F.col("total") / F.col("length")).alias("worse"), F.col("node").alias("leaf"))
     leaves = leaves.select("top", F.col("node").alias("leaf"), "length", rank.alias("rank"))
     # first the best of each of many parts of a tree, then the best of those, so that no tree is in one task as a whole
@@ -95,9 +95,10 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     for by in (("top", "part"), ("top",)):
         window = Window.partitionBy(*by).orderBy("rank")
         leaves = leaves.withColumn("part", part).withColumn("nth", F.row_number().over(window)).where(F.col("nth") <= branches)
-    paths = kept(leaves.select("leaf", F.col("leaf").alias("node"), F.col("length").alias("position")))
+    paths = written(leaves.select("leaf", F.col("leaf").alias("node"), F.col("length").alias("position")), "paths")
     for k in reversed(range(len(steps))):
-        paths = kept(paths.unionByName(paths.join(steps[k], "node").select("leaf", F.col("to").alias("node"), (F.col("position") - (1 << k)).alias("position"))))
+        further = paths.join(steps[k], "node").select("leaf", F.col("to").alias("node"), (F.col("position") - (1 << k)).alias("position"))
+        paths = paths.unionByName(written(further, "paths"))
     return paths
 
 
@@ -113,10 +114,10 @@ def conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = f"leaf {messages.schema['node'].dataType.simpleString()}, conversation string, loss_spans array<struct<start: bigint, end: bigint>>"
 
-    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [formatted([(t["role"], t["text"]) for t in turns.as_py()]) for turns in batch.column(1)]
             masks = [[{"start": a, "end": b} for a, b in mask] for _, mask in done]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c for c, _ in done], pa.string()), pa.array(masks, spans)], names=["leaf", "conversation", "loss_spans"])
 
-    return paths.mapInArrow(written, schema)
+    return paths.mapInArrow(spelled, schema)

@@ -67,7 +67,10 @@ FROM normal WINDOW same AS (PARTITION BY norm)
 
 
 def chains(conversations: DataFrame) -> DataFrame:
-    """Messages of linear conversations as reply trees: each answers the one before it; ties by role and text."""
+    """Messages of linear conversations as reply trees: each answers the one before it; ties by role and text.
+
+    Rows without ``conv_id`` form one conversation, which like any other is sorted and formatted in one task.
+    """
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     name = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
     numbered = conversations.select(name.alias("conv"), place.alias("place"), "role", "text")
