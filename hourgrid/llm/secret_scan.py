@@ -7,8 +7,9 @@ is described without a loop over its tokens.  Lines in which no token could pay
 transitions, are outside as a whole and need no decoding.
 
 The field is trained on windows around the pattern matches of a bounded sample of documents (SAMPLE_DOCS), of which copies
-with other values (random strings over several alphabets) and without the word that names the value are made, and on
-windows from documents without a match.
+with other values (random strings over several alphabets) and without the word that names the value are made, on such
+values between two words of a text, where nothing names or marks them, on paths and identifiers made of a text's words, and
+on windows from documents without a match.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ from hourgrid.llm.common import col, kept, text_of
 SAMPLE_DOCS = 300  # with a match, and as many without
 WINDOWS = 4  # of one sampled document
 REACH = 9  # tokens on either side of a match
-ROUNDS = 150
-STEP = 0.3
+ROUNDS = 100
+STEP = 0.1
+MEMORY = (0.9, 0.99)  # of the running means of gradients and of their squares
 KINDS = ("assign", "access", "hex", "crf")
 
 # The patterns of the scan.
@@ -229,9 +231,11 @@ class Field:
         return np.array(tags[::-1])
 
 
-def fit(columns: list[np.ndarray], tags: list[np.ndarray], rounds: int = ROUNDS, ridge: float = 1e-5) -> Field:
+def fit(columns: list[np.ndarray], tags: list[np.ndarray], rounds: int = ROUNDS, ridge: float = 1e-4) -> Field:
     """Maximum likelihood by adaptive gradient steps, with forward-backward over all windows at once.
 
+    A step is a running mean of gradients over the root of that of their squares, shorter with each round.  Old squares fade:
+    the first rounds, in which all weights still have to turn to "outside", would otherwise hold rare features down for good.
     Without a window every token is outside.
     """
     features = int(STARTS[-1])
@@ -251,10 +255,10 @@ def fit(columns: list[np.ndarray], tags: list[np.ndarray], rounds: int = ROUNDS,
     pairs = np.zeros((TAGS, TAGS))
     np.add.at(pairs, (y[:, :-1][real[:, 1:]], y[:, 1:][real[:, 1:]]), 1)
     weights, moves = np.zeros((features, TAGS)), np.zeros((TAGS, TAGS))
-    square_w, square_m = np.full_like(weights, 1e-6), np.full_like(moves, 1e-6)
+    means = [(np.zeros_like(values), np.zeros_like(values)) for values in (weights, moves)]
     first = np.array([0, 0, -np.inf])
     flat = x[real]
-    for _ in range(rounds):
+    for turn in range(rounds):
         scores = weights[x].sum(axis=2)
         step = moves + forbidden
         alpha = np.empty((width, count, TAGS))
@@ -278,10 +282,11 @@ def fit(columns: list[np.ndarray], tags: list[np.ndarray], rounds: int = ROUNDS,
         gradient = np.stack([sum(np.bincount(flat[:, g], error[:, tag], features) for g in range(len(GROUPS))) for tag in range(TAGS)], axis=1) / count
         gradient -= ridge * weights
         push = (pairs - expected) / count
-        square_w += gradient**2
-        square_m += push**2
-        weights += STEP * gradient / np.sqrt(square_w)
-        moves += STEP * push / np.sqrt(square_m)
+        for values, ascent, (mean, square) in zip((weights, moves), (gradient, push), means):
+            for kept_mean, new, fade in zip((mean, square), (ascent, ascent**2), MEMORY):
+                kept_mean += (1 - fade) * (new - kept_mean)
+            level, spread = mean / (1 - MEMORY[0] ** (turn + 1)), square / (1 - MEMORY[1] ** (turn + 1))
+            values += STEP * (1 - turn / rounds) * level / (np.sqrt(spread) + 1e-8)
     return Field(weights, moves + forbidden)
 
 
@@ -339,6 +344,16 @@ def windows(text: str, seed: str) -> list[tuple[np.ndarray, np.ndarray]]:
             whole = head + new + near[y:]
             spans = [v for v in _values(whole) if v[1] <= len(head) or v[0] >= len(head) + len(new)]
             out.append(_window(whole, [*spans, (len(head), len(head) + len(new))], len(head)))
+    gaps = [m.start() for m in re.finditer(r"(?<=\w) (?=\w)", text)]
+    for gap in rng.sample(gaps, min(WINDOWS, len(gaps))):
+        head, tail = text[max(0, gap - 120) : gap + 1], text[gap : gap + 120]
+        new = "".join(rng.choices(rng.choice(_alphabets()), k=rng.randint(18, 56)))
+        spans = [v for v in _values(head + new + tail) if v[1] <= len(head) or v[0] >= len(head) + len(new)]
+        out.append(_window(head + new + tail, sorted([*spans, (len(head), len(head) + len(new))]), len(head)))
+        # a path or an identifier made of the text's own words is as long, but none
+        words = re.findall(r"[^\W\d_]{2,12}", head + tail) or ["x"]
+        path = rng.choice(["_", "-", "/", ".", ""]).join(rng.choices(words, k=rng.randint(2, 7))) + rng.choice(["", "", ".html", str(rng.randrange(1000))])
+        out.append(_window(head + path + tail, _values(head + path + tail), len(head)))
     for _ in range(2 if values else WINDOWS):
         at = rng.randrange(max(1, len(text)))
         out.append(_window(text, values, at))

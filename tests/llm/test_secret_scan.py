@@ -1,6 +1,8 @@
 import hashlib
 import itertools
+import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -89,6 +91,42 @@ def test_it_finds_what_the_patterns_miss(field):
     assert found(body + "mail bob.42@mail8.example.com or 4041894974608795 at +1 (988) 555-2485 " + body) == []
 
 
+#: Secrets of shapes that the patterns do not know, each with what stands before and after it.
+PLANTED = {
+    "base64": (lambda r: "".join(r.choices(string.ascii_letters + string.digits + "+/", k=r.randint(24, 44))), "credential => \"", "\""),
+    "url safe": (lambda r: "".join(r.choices(string.ascii_letters + string.digits + "-_", k=r.randint(20, 43))), "Authorization: Bearer ", ""),
+    "bare letters and digits": (lambda r: "".join(r.choices(string.ascii_letters + string.digits, k=r.randint(20, 40))), "", ""),
+    "upper case": (lambda r: "".join(r.choices(string.ascii_uppercase + string.digits, k=r.randint(20, 32))), "license ", ""),
+    "upper-case hex": (lambda r: "".join(r.choices("0123456789ABCDEF", k=32)), "key id ", ""),
+    "prefixed": (lambda r: "sk_live_" + "".join(r.choices(string.ascii_letters + string.digits, k=24)), "uses ", ""),
+}
+
+
+@pytest.mark.parametrize("shape", sorted(PLANTED))
+def test_recall_on_planted_secrets(field, spark, shape):
+    """Secrets that the field has not seen, planted into whole documents: at least 0.8 of their length found."""
+    rng = random.Random(shape)
+    make, before, after = PLANTED[shape]
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(200).collect() if r.text]
+    caught = 0
+    for text in texts:
+        at = rng.choice([k for k, c in enumerate(text) if c == " "] or [0])
+        secret = make(rng)
+        whole, start = f"{text[:at]} {before}{secret}{after} {text[at:]}", at + 1 + len(before)
+        cover = sum(max(0, min(b, start + len(secret)) - max(a, start)) for a, b, _ in s.all_spans(whole, field)[1])
+        caught += cover >= 0.8 * len(secret)
+    print(f"\nrecall {shape}: {caught / len(texts):.3f} of {len(texts)}")
+    assert caught >= 0.9 * len(texts)
+
+
+def test_false_spans_in_plain_documents(field, spark):
+    """Spans that the field adds where nothing is planted, for 1,000 documents."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(1000).collect()]
+    added = [text[a:b] for text in texts for a, b, kind in s.all_spans(text or "", field)[1] if kind == 3]
+    print(f"\nadded {len(added)} in {len(texts)}: {added[:20]}")
+    assert len(added) <= 10 * len(texts) / 1000
+
+
 def test_training_without_matches(spark):
     docs = spark.createDataFrame([(1, "plain words only"), (None, None), (2, "")], "doc_id long, text string")
     assert s.train(docs).spans("plain words only") == [] and s.train(docs.limit(0)).spans("token x") == []
