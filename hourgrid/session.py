@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings the operators are written for.  The broadcast limits stay at Spark's
@@ -36,8 +38,12 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+class UnnamedFileSystem(ValueError):
+    """The settings do not tell whether executors reach the folder."""
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``; judged by the settings alone.
 
     A path without a scheme means the driver's own disk unless a default file system is set, so on a cluster a scheme is
     asked for, or a default file system that is not local.  ``file:`` is taken at its word: it may be a shared mount.
@@ -48,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not urlparse(folder).scheme and not _one_machine(spark.sparkContext.master):
         default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
         if urlparse(default).scheme in ("", "file"):
-            raise ValueError(f"spark.checkpoint.dir is {folder}: on a cluster name its file system as well")
+            raise UnnamedFileSystem(f"spark.checkpoint.dir is {folder}: on a cluster name its file system as well")
     return folder.rstrip("/")
 
 
@@ -57,6 +63,30 @@ def _one_machine(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
+# applications and folders that executors and driver were seen to share
+_SHARED: set[tuple[str, str]] = set()
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Does the driver find in the folder what tasks on all cores write there, and do tasks read it back?  Asked once per application."""
+    seen = (spark.sparkContext.applicationId, folder)
+    if seen not in _SHARED:
+        path, tasks = f"{folder}/hourgrid/probe-{uuid.uuid4().hex}", 2 * spark.sparkContext.defaultParallelism
+        try:
+            spark.range(0, tasks, 1, tasks).write.parquet(path)
+            if spark.read.schema("id bigint").parquet(path).count() == tasks:
+                _SHARED.add(seen)
+        except (Py4JJavaError, PySparkException):  # a folder that some cannot write, or files that some do not see
+            return False
+    return seen in _SHARED
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/hourgrid/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; one whose file system is not named must prove to be shared."""
+    try:
+        folder = shared_folder(spark)
+    except UnnamedFileSystem:
+        folder = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+        if not _is_shared(spark, folder):
+            raise
+    return f"{folder}/hourgrid/{name}-{uuid.uuid4().hex}"
