@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BY = ("scenario_id", "year")
 
@@ -56,3 +57,18 @@ def per_run(lookup: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame
         raise ValueError(f"lookup must carry at least one of the run keys {list(by)}")
     runs = facts.select(*held(facts, by)).distinct()
     return lookup.join(runs, on)
+
+
+# parts that the rows of a run are dealt to; a lookup of the runs is repeated as often
+SLICES = 64
+
+
+def sliced_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join facts with a lookup of few rows per run, where a shuffle by the run alone would put a whole run into one task.
+
+    The rows of a run are dealt to SLICES parts by a hash of their other columns, and the lookup is repeated for each part.
+    """
+    own = [f.name for f in facts.schema.fields if f.name not in on and f.dataType.typeName() not in ("array", "map", "struct", "variant")]
+    dealt = facts.withColumn("_slice", F.pmod(F.hash(*own), F.lit(SLICES)) if own else F.lit(0))
+    each = lookup.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    return dealt.join(each, [*on, "_slice"], how).drop("_slice")

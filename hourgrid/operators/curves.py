@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid.fixed import HOURS_PER_YEAR, IGNORED_SITE, MV_LIMIT_KV
 from hourgrid.functions import power, text
-from hourgrid.keys import BY, held, run_keys, shared
+from hourgrid.keys import BY, held, run_keys, shared, sliced_join
 
 
 def categorise(
@@ -150,8 +150,8 @@ def common_length(
 
 
 def cut_to(curves: DataFrame, limit: DataFrame, by: Sequence[str] = BY) -> DataFrame:
-    """Rows before the limit of their run."""
-    joined = curves.join(limit, shared(curves, limit, by))
+    """Rows before the limit of their run; the rows of one run go to many tasks."""
+    joined = sliced_join(curves, limit, shared(curves, limit, by))
     return joined.where(F.col("hour") < F.col("_limit")).select(*curves.columns)
 
 

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from hourgrid.functions import positions, quantiles
+from hourgrid.operators import curves, gas
 
 SHAPES = {
     "uniform": lambda rng, n: rng.uniform(-5, 5, n),
@@ -79,3 +80,38 @@ def test_bounded_and_unbounded_medians_agree(spark, sf_dir):
     a = rows(quantiles.bounded_statistics(flow, ["l_suppkey"], "x"), "l_suppkey", "n", "median")
     b = rows(quantiles.statistics(flow, ["l_suppkey"], "x"), "l_suppkey", "n", "median")
     assert a == b
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as large lookups give them, and partitions as they are shuffled."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _one_run(spark):
+    hours = spark.range(4000).select(F.lit("F").alias("scenario_id"), F.lit("methane").alias("carrier"), F.col("id").cast("int").alias("hour"))
+    curve = hours.select("*", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit(None))).alias("site")).withColumn("mw", F.rand(1))
+    return curve.unionByName(curve.limit(1).withColumn("scenario_id", F.lit(None).cast("string")))
+
+
+RUN_JOINS = {
+    "cut_to": lambda spark, c: curves.cut_to(c, spark.createDataFrame([("F", 3000)], "scenario_id string, _limit int"), ["scenario_id"]),
+    "fit_calendar": lambda spark, c: gas.fit_calendar(
+        c, spark.createDataFrame([("F", "methane", 4000)], "scenario_id string, carrier string, market_hours int"), 3000, ["scenario_id"]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(RUN_JOINS))
+def test_the_rows_of_one_run_go_to_many_tasks(spark, no_broadcast, name):
+    curve = _one_run(spark)
+    got = RUN_JOINS[name](spark, curve).localCheckpoint()
+    columns = ["scenario_id", "hour", "site", "mw"]
+    assert rows(got, *columns) == rows(curve.where("hour < 3000 AND scenario_id IS NOT NULL"), *columns)
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) < 0.4 * sum(per_task)
