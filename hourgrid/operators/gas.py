@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourgrid import fixed
 from hourgrid.functions import power, time
-from hourgrid.keys import BY, held, run_keys, shared
+from hourgrid.keys import BY, held, run_keys, shared, sliced_join
 
 
 def _by_carrier(carrier_values: Mapping[str, str]):
@@ -78,15 +78,15 @@ def fit_calendar(
 ) -> DataFrame:
     """Cut at ``hours``; a series shorter than the market's is padded with its last row.
 
-    The rows of the last hour are repeated where they are; nothing but the lengths is
-    shuffled.
+    The rows of the last hour are repeated where they are.  Where Spark does not broadcast
+    the lengths, the rows of one run and carrier go to many tasks.
     """
     keys = [*run_keys(curves, by), "carrier"]
     lengths = fitted_length(curves, market_length, hours, by)
     last = (F.col("hour") == F.col("_n") - 1) & (F.col("_to") > F.col("_n"))
     spread = F.when(last, F.sequence(F.col("hour"), F.col("_to") - 1)).otherwise(F.array("hour"))
     cut = curves.where(F.col("hour") < hours)
-    return cut.join(lengths, keys).select(*keys, "site", F.explode(spread).alias("hour"), "mw")
+    return sliced_join(cut, lengths, keys).select(*keys, "site", F.explode(spread).alias("hour"), "mw")
 
 
 def site_power(curves: DataFrame, sites: DataFrame, by: Sequence[str] = BY) -> DataFrame:
