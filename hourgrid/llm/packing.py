@@ -28,7 +28,7 @@ from hourgrid.llm.common import col, text_of
 LONGEST = 2048
 END_ID = 1
 STEP_TOKENS = 32 * LONGEST
-WORDS_KEPT = 1 << 20  # words whose ids a worker remembers, and half again as many pieces of words: some 450 MB
+WORDS_KEPT = 1 << 21  # words whose ids a worker remembers, and half again as many pieces of words
 STRETCH = 1 << 20  # bytes of a text that are split into words at once
 
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
@@ -41,6 +41,9 @@ class WordIds:
     words, split at ASCII white space, one after another.  New words go through the tokenizer's own normalizer and
     pre-tokenizer; each of the pieces that come out is encoded once.  A text that spells out an added token is left to the
     tokenizer as a whole, and so are words that hold other white space.
+
+    When half of what may be kept is reached, the words so far become the older ones, in place of those before; a word that
+    is met again moves to the newer ones, so frequent words are learnt once.
     """
 
     def __init__(self, path: str, words_kept: int = WORDS_KEPT):
@@ -51,20 +54,19 @@ class WordIds:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words_kept = words_kept
         self.words: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encoded(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        ids = self.older_pieces.get(piece) or array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        self.pieces[piece] = ids
         return ids
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.words) > self.words_kept:
-            self.words.clear()
-        if len(self.pieces) > self.words_kept * 3 // 2:
-            self.pieces.clear()
         text = self.tokenizer.normalizer.normalize_str(b" ".join(words).decode("utf-8"))
         if text.count(" ") != len(words) - 1:
             self.words.update((w, self.encoded(w.decode("utf-8"))) for w in words)
@@ -78,6 +80,17 @@ class WordIds:
         self.words[words[at]] = ids
         self.words.update(dict.fromkeys(words[at + 1 :], b""))  # of which the pre-tokenizer leaves nothing
 
+    def _meet(self, words: set[bytes]) -> None:
+        """Words that are none of the newer ones."""
+        if len(self.words) > self.words_kept // 2:
+            self.older_words, self.words = self.words, {}
+        if len(self.pieces) > self.words_kept * 3 // 4:
+            self.older_pieces, self.pieces = self.pieces, {}
+        again = words & self.older_words.keys()
+        self.words.update((w, self.older_words[w]) for w in again)
+        if len(again) < len(words):
+            self._learn(list(words - again))
+
     def __call__(self, text: str) -> bytes:
         if any(token in text for token in self.added):
             return self.encoded(text)
@@ -89,7 +102,7 @@ class WordIds:
             words = raw[at:to].split()
             ids = list(map(self.words.get, words))
             if None in ids:
-                self._learn(list({w: None for w, known in zip(words, ids) if known is None}))
+                self._meet({w for w, known in zip(words, ids) if known is None})
                 ids = [self.words[w] if known is None else known for w, known in zip(words, ids)]
             out.append(b"".join(ids))
             at = to

@@ -108,3 +108,20 @@ def test_edge_rows(spark, tokenizer):
 def test_query(spark, sf_dir, tokenizer):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     check(tokenizer, docs, queries.op10_packing(spark, sf_dir).collect())
+
+
+def test_frequent_words_are_learnt_once():
+    learnt = []
+
+    class Watched(packing.WordIds):
+        def _learn(self, words):
+            learnt.extend(words)
+            super()._learn(words)
+
+    found = Watched(PATH, words_kept=40)
+    for n in range(300):
+        text = f"often met, word{n} other{n % 90}"
+        assert found(text) == found.encoded(text)
+    assert learnt.count(b"often") == learnt.count(b"met,") == 1
+    assert learnt.count(b"other0") == 4  # a word that comes back after all that may be kept
+    assert len(found.words) + len(found.older_words) <= 50
