@@ -54,6 +54,7 @@ def con(tables):
 WRITING = [
     "c11_on_bucketed_flows",
     "c12_link_overload",
+    "e1_archive_to_nodal_curves",
 ]
 
 
