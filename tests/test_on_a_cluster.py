@@ -55,6 +55,7 @@ WRITING = [
     "c11_on_bucketed_flows",
     "c12_link_overload",
     "e1_archive_to_nodal_curves",
+    "e2_balanced_gas_stage",
 ]
 
 
