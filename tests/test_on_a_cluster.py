@@ -56,6 +56,7 @@ WRITING = [
     "c12_link_overload",
     "e1_archive_to_nodal_curves",
     "e2_balanced_gas_stage",
+    "o1_sorted_sink",
 ]
 
 
