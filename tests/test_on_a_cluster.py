@@ -57,6 +57,7 @@ WRITING = [
     "e1_archive_to_nodal_curves",
     "e2_balanced_gas_stage",
     "o1_sorted_sink",
+    "p10_header_names",
 ]
 
 
