@@ -58,6 +58,7 @@ WRITING = [
     "e2_balanced_gas_stage",
     "o1_sorted_sink",
     "p10_header_names",
+    "q_electricity_offenders",
 ]
 
 
