@@ -59,6 +59,7 @@ WRITING = [
     "o1_sorted_sink",
     "p10_header_names",
     "q_electricity_offenders",
+    "q_electricity_runs",
 ]
 
 
