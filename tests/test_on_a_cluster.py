@@ -60,6 +60,7 @@ WRITING = [
     "p10_header_names",
     "q_electricity_offenders",
     "q_electricity_runs",
+    "q_gas_hours",
 ]
 
 
