@@ -61,6 +61,7 @@ WRITING = [
     "q_electricity_offenders",
     "q_electricity_runs",
     "q_gas_hours",
+    "q_gas_offenders",
 ]
 
 
