@@ -62,6 +62,7 @@ WRITING = [
     "q_electricity_runs",
     "q_gas_hours",
     "q_gas_offenders",
+    "q_overload_networks",
 ]
 
 
