@@ -63,6 +63,7 @@ WRITING = [
     "q_gas_hours",
     "q_gas_offenders",
     "q_overload_networks",
+    "q_overload_offenders",
 ]
 
 
