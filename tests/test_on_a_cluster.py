@@ -64,6 +64,7 @@ WRITING = [
     "q_gas_offenders",
     "q_overload_networks",
     "q_overload_offenders",
+    "q_profile_hours",
 ]
 
 
