@@ -65,6 +65,7 @@ WRITING = [
     "q_overload_networks",
     "q_overload_offenders",
     "q_profile_hours",
+    "q_profile_offenders",
 ]
 
 
