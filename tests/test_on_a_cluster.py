@@ -66,6 +66,7 @@ WRITING = [
     "q_overload_offenders",
     "q_profile_hours",
     "q_profile_offenders",
+    "snk1_csv_and_src2_read",
 ]
 
 
