@@ -67,6 +67,7 @@ WRITING = [
     "q_profile_hours",
     "q_profile_offenders",
     "snk1_csv_and_src2_read",
+    "snk1_partitioned_table",
 ]
 
 
