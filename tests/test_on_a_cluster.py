@@ -68,6 +68,7 @@ WRITING = [
     "q_profile_offenders",
     "snk1_csv_and_src2_read",
     "snk1_partitioned_table",
+    "snk1_wide_files_per_run",
 ]
 
 
