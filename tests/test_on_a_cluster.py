@@ -69,6 +69,7 @@ WRITING = [
     "snk1_csv_and_src2_read",
     "snk1_partitioned_table",
     "snk1_wide_files_per_run",
+    "snk2_dataset_per_carrier",
 ]
 
 
