@@ -70,6 +70,7 @@ WRITING = [
     "snk1_partitioned_table",
     "snk1_wide_files_per_run",
     "snk2_dataset_per_carrier",
+    "snk2_packed_archives",
 ]
 
 
