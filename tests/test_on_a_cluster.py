@@ -71,6 +71,7 @@ WRITING = [
     "snk1_wide_files_per_run",
     "snk2_dataset_per_carrier",
     "snk2_packed_archives",
+    "src10_message_batches",
 ]
 
 
