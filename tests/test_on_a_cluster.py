@@ -72,6 +72,7 @@ WRITING = [
     "snk2_dataset_per_carrier",
     "snk2_packed_archives",
     "src10_message_batches",
+    "src11_discovered_designs",
 ]
 
 
