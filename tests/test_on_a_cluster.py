@@ -73,6 +73,7 @@ WRITING = [
     "snk2_packed_archives",
     "src10_message_batches",
     "src11_discovered_designs",
+    "src11_keys_from_folders",
 ]
 
 
