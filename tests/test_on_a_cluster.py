@@ -5,12 +5,15 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import compare
+from test_skew import no_broadcast  # noqa: F401  (a fixture)
 
 from hourgrid import session
+from hourgrid.operators import curves
 from hourgrid.plans import oracles, queries
 
 # small tables of the schema that the queries read; keys repeat across the rows of the facts
@@ -85,3 +88,21 @@ def test_a_folder_without_a_scheme_serves(spark, con, tables, monkeypatch, name)
     monkeypatch.setattr(session, "_SHARED", set(), raising=False)
     assert compare.compare(spark, con, name, queries()[name], oracles()[name], tables) is None
     assert session._SHARED == {(spark.sparkContext.applicationId, folder)}
+
+
+# these cut both sources of a run to the shorter one
+CUTTING = [
+    "a14_any_and_all",
+]
+
+
+@pytest.mark.parametrize("name", CUTTING)
+def test_a_run_that_is_cut_goes_to_many_tasks(spark, con, tables, no_broadcast, monkeypatch, name):  # noqa: F811
+    cut, seen = curves.cut_to, []
+    monkeypatch.setattr(curves, "cut_to", lambda *args: seen.append(cut(*args)) or seen[-1])
+    df = queries()[name](spark, tables)
+    assert len(seen) == 2  # market and sites
+    for part in seen:
+        per_task = [r["count"] for r in part.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) > 1000 and max(per_task) < 0.4 * sum(per_task)
+    assert compare.compare(spark, con, name, lambda *_: df, oracles()[name], tables) is None
