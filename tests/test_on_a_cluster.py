@@ -93,6 +93,7 @@ def test_a_folder_without_a_scheme_serves(spark, con, tables, monkeypatch, name)
 # these cut both sources of a run to the shorter one
 CUTTING = [
     "a14_any_and_all",
+    "a8_net_power",
 ]
 
 
