@@ -94,6 +94,7 @@ def test_a_folder_without_a_scheme_serves(spark, con, tables, monkeypatch, name)
 CUTTING = [
     "a14_any_and_all",
     "a8_net_power",
+    "c17_discountability",
 ]
 
 
