@@ -95,6 +95,7 @@ CUTTING = [
     "a14_any_and_all",
     "a8_net_power",
     "c17_discountability",
+    "c4_discount",
 ]
 
 
