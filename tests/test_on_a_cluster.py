@@ -96,6 +96,7 @@ CUTTING = [
     "a8_net_power",
     "c17_discountability",
     "c4_discount",
+    "c4_discount_without_exceptions",
 ]
 
 
