@@ -97,6 +97,7 @@ CUTTING = [
     "c17_discountability",
     "c4_discount",
     "c4_discount_without_exceptions",
+    "d_undistributable",
 ]
 
 
