@@ -98,6 +98,7 @@ CUTTING = [
     "c4_discount",
     "c4_discount_without_exceptions",
     "d_undistributable",
+    "d_undistributable_area_only",
 ]
 
 
