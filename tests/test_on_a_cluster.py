@@ -99,6 +99,7 @@ CUTTING = [
     "c4_discount_without_exceptions",
     "d_undistributable",
     "d_undistributable_area_only",
+    "j9_discount_per_cell",
 ]
 
 
