@@ -100,6 +100,7 @@ CUTTING = [
     "d_undistributable",
     "d_undistributable_area_only",
     "j9_discount_per_cell",
+    "u1_union_of_sources",
 ]
 
 
