@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid import files
+from hourgrid.keys import sliced_join
 
 # columns of one wide file
 TILE = 4000
@@ -63,7 +64,7 @@ def _lines(rows: DataFrame, by: Sequence[str], member: Column, hour: str, node:
         slim = slim.withColumn("tile", F.lit(0))
     else:
         nodes = slim.select("run", "node").distinct().groupBy("run").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
-        slim = slim.join(nodes, "run").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
+        slim = sliced_join(slim, nodes, ["run"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).drop("tiles")
     file = ["run", "tile", "member"]
     lines = slim.groupBy(*file, "hour").agg(
         F.collect_list(F.struct("node", "cell")).alias("cells"), F.sum(F.octet_length("cell")).alias("bytes"),

@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from test_skew import no_broadcast  # noqa: F401  (a fixture)
 
 from hourgrid.sinks import packed
 from hourgrid.sources import archives
@@ -111,3 +112,17 @@ def test_edges(spark, tmp_path):
     manifest = packed.write_archives(odd, f"{tmp_path}/one", ())
     assert rows(manifest, "members", "n_lines") == [(1, 1)]
     assert rows(back(spark, manifest), "site", "mw") == [("a", 1.0)]
+
+
+def test_the_rows_of_a_tiled_run_go_to_many_tasks(spark, tmp_path, no_broadcast, monkeypatch):  # noqa: F811
+    hours = spark.range(200).select(F.lit("s").alias("scenario_id"), F.col("id").cast("int").alias("hour"))
+    given = hours.select("*", F.explode(F.array(*[F.lit(f"n{k}") for k in range(10)])).alias("node")).withColumn("mw", F.col("hour") * 0.5)
+    join, seen = packed.sliced_join, []
+    monkeypatch.setattr(packed, "sliced_join", lambda *args: seen.append(join(*args)) or seen[-1])
+    manifest = packed.write_wide_files(given, str(tmp_path), ["scenario_id"], tile=4)
+    (tiled,) = seen
+    per_task = [r["count"] for r in tiled.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2000 and max(per_task) < 0.4 * sum(per_task)
+    paths = [r.path for r in manifest.select("path").collect()]
+    got = archives.read_wide_files(spark, paths).where(F.col("mw").isNotNull())
+    assert len(paths) > 1 and rows(got, "hour", "site", "mw") == rows(given, "hour", "node", "mw")
