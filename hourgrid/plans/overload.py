@@ -299,7 +299,8 @@ def bucketed_flows(spark, d):
     """The flows as the stage before hands them over: in buckets of network and element."""
     path = scratch_path(spark, "flows")
     name = "flows_" + path.rsplit("-", 1)[1]
-    return sinks.write_bucketed(v.element_flow(spark, d), path, name, ELEMENT, 8)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a bucket is a task of the next stage
+    return sinks.write_bucketed(v.element_flow(spark, d), path, name, ELEMENT, buckets)
 
 
 @query("c11_on_bucketed_flows", elements_sql("grid_element"))

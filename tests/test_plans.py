@@ -156,3 +156,14 @@ def test_checks_add_no_scan(spark, sf_dir, monkeypatch):
     want = discount.nodal_power(*args, by=v.SCENARIO)
     key = lambda df: sorted((r.scenario_id, r.hour, r.node, round(r.power, 6)) for r in df.collect() if r.scenario_id in good)
     assert key(power) == key(want)
+
+
+def test_flows_get_as_many_buckets_as_a_shuffle_has_partitions(spark, sf_dir):
+    from hourgrid.plans import overload as bound
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert len(bound.bucketed_flows(spark, sf_dir).inputFiles()) == 13
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
