@@ -3,6 +3,8 @@
 A run is read by the next tool as a whole, so its file is one task's work.  What can be large about it is dealt with before:
 rows meet per run, member and hour first, evenly, and become one line's cells; only lines go to the task of their file, in
 order, behind a header with the run's own nodes.  A task holds one line at a time.  Node files are tiled beyond TILE columns.
+Members of archives are cut at hours into parts, which many tasks make to text and deflate; the task of an archive puts the
+deflated parts one behind the other, as one gzip stream.
 
 A member of an archive is preceded by its size.  Sizes are worked out with the headers, from the lengths of all cells, so
 nothing is spooled; a body of another length than said is an error.
@@ -15,17 +17,19 @@ never read.
 from __future__ import annotations
 
 import gzip
+import struct
 import tarfile
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain, groupby
 from typing import NamedTuple
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +38,8 @@ from hourgrid.keys import sliced_join
 
 # columns of one wide file
 TILE = 4000
+# bytes of nodes and cells that are made to lines of an archive at a time
+PART = 16 << 20
 
 
 class Line(NamedTuple):
@@ -46,6 +52,23 @@ class Line(NamedTuple):
     size: int | None
     hour: int | None
     cells: list[tuple[str, str]] | None
+    part: int = 0
+
+
+class Block(NamedTuple):
+    """Deflated text of lines of one member that follow each other, after the header in its first block."""
+
+    run: tuple
+    tile: int
+    member: str
+    part: int
+    said: int  # bytes of all lines of the member
+    head: int  # bytes of the header, in its first block
+    n: int
+    columns: int
+    size: int
+    crc: int
+    data: bytes
 
 
 def _quoted(c: Column, sep: str) -> Column:
@@ -78,14 +101,22 @@ def _lines(rows: DataFrame, by: Sequence[str], member: Column, hour: str, node:
         F.lit(None).cast("long").alias("hour"), F.lit(None).cast(lines.schema["cells"].dataType).alias("cells"),
     )
     body = lines.select(*file, F.lit(None).cast("array<string>").alias("names"), F.lit(None).cast("long").alias("size"), "hour", "cells")
-    return heads.unionByName(body).repartition("run", "tile").sortWithinPartitions(*file, F.col("hour").asc_nulls_first())
+    if tile is not None:
+        return heads.unionByName(body).repartition("run", "tile").sortWithinPartitions(*file, F.col("hour").asc_nulls_first())
+    # a header for each part of a member, so that its lines are made in many tasks; the window sees hours without cells
+    hours = slim.groupBy(*file, "hour").agg(F.sum(F.octet_length("node") + F.octet_length("cell") + 1).alias("weight"))
+    before = F.sum("weight").over(Window.partitionBy(*file).orderBy("hour")) - F.col("weight")
+    hours = hours.select(*file, "hour", F.floor(before / PART).cast("int").alias("part"))
+    heads = heads.join(hours.select(*file, "part").distinct(), file)
+    body = body.join(hours, [*file, "hour"], "left")
+    order = [*file, F.col("part"), F.col("hour").asc_nulls_first()]
+    return heads.unionByName(body).select(*Line._fields).repartition(*file, "part").sortWithinPartitions(*order)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Line]:
     for batch in batches:
-        for run, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-            cells = rest[-1] and [(c["node"], c["cell"]) for c in rest[-1]]
-            yield Line(tuple(run.items()), *rest[:-1], cells)
+        for run, tile, member, names, size, hour, cells, *part in zip(*(c.to_pylist() for c in batch.columns)):
+            yield Line(tuple(run.items()), tile, member, names, size, hour, cells and [(c["node"], c["cell"]) for c in cells], *part)
 
 
 def _name(name: str, sep: str) -> str:
@@ -103,47 +134,87 @@ def _texts(head: Line, lines: Iterator[Line], label: str, sep: str) -> Iterator[
         yield (sep.join([str(line.hour), *(cells.get(n, "") for n in head.names)]) + "\n").encode()
 
 
-class _Stream:
-    """Texts as a file that is read by sizes."""
+def _deflated(texts: Iterable[bytes]) -> tuple[int, int, bytes]:
+    """Size and checksum of the texts, and deflate blocks of them that end with a byte and look at no other piece."""
+    pack, pieces, size, crc = zlib.compressobj(wbits=-zlib.MAX_WBITS), [], 0, 0
+    for text in texts:
+        pieces.append(pack.compress(text))
+        size, crc = size + len(text), zlib.crc32(text, crc)
+    return size, crc, b"".join([*pieces, pack.flush(zlib.Z_FULL_FLUSH)])
 
-    def __init__(self, texts: Iterator[bytes]):
-        self.texts, self.rest = texts, b""
 
-    def read(self, size: int) -> bytes:
-        parts, n = [self.rest], len(self.rest)
-        while n < size and (text := next(self.texts, None)) is not None:
-            parts.append(text)
-            n += len(text)
-        whole = b"".join(parts)
-        self.rest = whole[size:]
-        return whole[:size]
+def _zeros(size: int, crc: int) -> int:
+    """The checksum of a text that ends with zeros, by that of what is before them."""
+    zeros = bytes(1 << 20)
+    for at in range(0, size, len(zeros)):
+        crc = zlib.crc32(zeros[: size - at], crc)
+    return crc
 
 
-def _archive(out, lines: Iterator[Line], sep: str) -> tuple[int, int, int]:
-    """All members of a run; their number, lines and most columns."""
-    members = n = most = 0
+class _Gzip:
+    """One gzip stream of pieces that were deflated apart."""
 
-    def counted(rows: Iterator[Line]) -> Iterator[Line]:
-        nonlocal n
-        for row in rows:
-            n += 1
-            yield row
-
-    with tarfile.open(fileobj=out, mode="w|gz") as archive:
-        for member, rows in groupby(lines, lambda line: line.member):
-            head = next(rows)
-            texts = _texts(head, counted(rows), "", sep)
-            first = next(texts)
-            info = tarfile.TarInfo(f"{member}.csv")
-            info.size = len(first) + head.size
-            body = _Stream(chain([first], texts))
-            archive.addfile(info, body)
-            if body.read(1):
-                raise ValueError(f"{head.run} {member} is longer than the {head.size} bytes it was said to have")
-            members, most = members + 1, max(most, len(head.names))
+    def __init__(self, out):
+        self.out, self.size, self.crc = out, 0, 0
+        out.write(b"\x1f\x8b\x08\0\0\0\0\0\0\xff")
+
+    def add(self, size: int, crc: int, data: bytes) -> None:
+        self.out.write(data)
+        # that of both texts: zeros move the first one's to its place
+        self.size, self.crc = self.size + size, _zeros(size, self.crc) ^ _zeros(size, 0) ^ crc
+
+    def end(self) -> None:
+        self.out.write(b"\x03\0" + struct.pack("<II", self.crc, self.size & 0xFFFFFFFF))
+
+
+def _blocks(lines: Iterator[Line], sep: str) -> Iterator[Block]:
+    """A block for each part of a member, its header first."""
+    for (run, tile, member, part), rows in groupby(lines, lambda line: (line.run, line.tile, line.member, line.part)):
+        head, n = next(rows), 0
+        if head.names is None:
+            raise ValueError(f"{run} {member} has lines without a header")
+
+        def counted(rows: Iterator[Line] = rows) -> Iterator[Line]:
+            nonlocal n
+            for row in rows:
+                n += 1
+                yield row
+
+        texts = _texts(head, counted(), "", sep)
+        first = next(texts)
+        texts = texts if part else chain([first], texts)
+        size, crc, data = _deflated(texts)
+        yield Block(run, tile, member, part, head.size, 0 if part else len(first), n, len(head.names), size, crc, data)
+
+
+def _joined(out, blocks: Iterator[Block]) -> tuple[int, int, int]:
+    """All members of a run by their blocks; their number, lines and most columns."""
+    members = n = most = 0
+    stream = _Gzip(out)
+    for member, parts in groupby(blocks, lambda block: block.member):
+        first, size = next(parts), 0
+        info = tarfile.TarInfo(f"{member}.csv")
+        info.size = first.head + first.said
+        stream.add(*_deflated([info.tobuf()]))
+        for block in chain([first], parts):
+            stream.add(block.size, block.crc, block.data)
+            size, n = size + block.size, n + block.n
+        if size > info.size:
+            raise ValueError(f"{first.run} {member} is longer than the {first.said} bytes it was said to have")
+        if size < info.size:
+            raise OSError(f"{first.run} {member}: unexpected end of data, {first.said} bytes were said")
+        stream.add(*_deflated([bytes(-size % tarfile.BLOCKSIZE)]))
+        members, most = members + 1, max(most, first.columns)
+    stream.add(*_deflated([bytes(2 * tarfile.BLOCKSIZE)]))
+    stream.end()
     return members, n, most
 
 
+def _archive(out, lines: Iterator[Line], sep: str) -> tuple[int, int, int]:
+    """All members of a run by their lines."""
+    return _joined(out, _blocks(lines, sep))
+
+
 def _wide(out, lines: Iterator[Line], label: str, sep: str) -> tuple[int, int, int]:
     head, n = next(lines), -1
     with gzip.GzipFile(fileobj=out, mode="wb", filename="", mtime=0) as zipped:
@@ -153,6 +224,7 @@ def _wide(out, lines: Iterator[Line], label: str, sep: str) -> tuple[int, int, i
     return 1, n, len(head.names)
 
 
+BLOCK = "tile int, member string, part int, said long, head long, n long, columns int, size long, crc long, data binary"
 MANIFEST = "path string, tile int, members int, n_lines long, n_columns int, written_at long"
 
 
@@ -160,25 +232,39 @@ def _written(lines: DataFrame, folder: str, by: Sequence[str], label: str, sep:
     """Write the files of sorted lines; the manifest of this write."""
     run = T.StructType([T.StructField(c, T.StringType()) for c in by] or [T.StructField("_", T.StringType())])
     schema = T.StructType([T.StructField("run", run), *T._parse_datatype_string(MANIFEST).fields])
+    blocks = T.StructType([schema["run"], *T._parse_datatype_string(BLOCK).fields])
     folder, written_at, ending = folder.rstrip("/"), time.time_ns() // 1000, "tar.gz" if packed else "csv.gz"
 
+    def deflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(_read(batches), sep):
+            yield pa.RecordBatch.from_pylist([block._asdict() | {"run": dict(block.run)}], _arrow(blocks))
+
+    def deflated(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield Block(**row | {"run": tuple(row["run"].items())})
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-        for (key, tile), rows in groupby(_read(batches), lambda line: (line.run, line.tile)):
+        given = deflated(batches) if packed else _read(batches)
+        for (key, tile), rows in groupby(given, lambda row: (row.run, row.tile)):
             place = [f"{c}={quote(str(v), safe='')}" for c, v in key if by]
             path = "/".join([folder, *place, f"{'series' if packed else f'part-{tile}'}-{attempt}.{ending}"])
             with files.open_output(path) as out:
-                counts = _archive(out, rows, sep) if packed else _wide(out, rows, label, sep)
+                counts = _joined(out, rows) if packed else _wide(out, rows, label, sep)
             row = {"run": dict(key), "path": path, "tile": tile, "members": counts[0], "n_lines": counts[1], "n_columns": counts[2], "written_at": written_at}
-            yield pa.RecordBatch.from_pylist([row], _arrow(run))
+            yield pa.RecordBatch.from_pylist([row], _arrow(schema))
 
+    if packed:  # only deflated text goes to the task of a file
+        lines = lines.mapInArrow(deflate, blocks).repartition("run", "tile").sortWithinPartitions("run", "tile", "member", "part")
     lines.mapInArrow(write, schema).write.mode("append").parquet(f"{folder}/_manifest")
     return committed(lines.sparkSession, folder).where(F.col("written_at") == written_at)
 
 
-def _arrow(run: T.StructType) -> pa.Schema:
-    kinds = {"path": pa.string(), "tile": pa.int32(), "members": pa.int32(), "n_lines": pa.int64(), "n_columns": pa.int32(), "written_at": pa.int64()}
-    return pa.schema([("run", pa.struct([(c, pa.string()) for c in run.names])), *kinds.items()])
+def _arrow(schema: T.StructType) -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    run = pa.struct([(c, pa.string()) for c in schema["run"].dataType.names])
+    return pa.schema([("run", run), *[(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields[1:]]])
 
 
 def write_archives(

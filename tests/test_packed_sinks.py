@@ -126,3 +126,22 @@ def test_the_rows_of_a_tiled_run_go_to_many_tasks(spark, tmp_path, no_broadcast,
     paths = [r.path for r in manifest.select("path").collect()]
     got = archives.read_wide_files(spark, paths).where(F.col("mw").isNotNull())
     assert len(paths) > 1 and rows(got, "hour", "site", "mw") == rows(given, "hour", "node", "mw")
+
+
+def test_the_lines_of_an_archive_are_made_in_many_tasks(spark, tmp_path, no_broadcast, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(packed, "PART", 300, raising=False)
+    hours = spark.range(400).select(F.lit("s").alias("scenario_id"), F.lit("methane").alias("carrier"), F.col("id").cast("int").alias("hour"))
+    given = hours.select("*", F.explode(F.array(*[F.lit(f"n{k}") for k in range(10)])).alias("site")).withColumn("mw", F.col("hour") * 0.5)
+    more = given.where("hour % 7 = 0 AND site < 'n3'").withColumn("carrier", F.lit("hydrogen"))
+    given = given.unionByName(more)
+    lines = packed._lines(given, ["scenario_id"], F.col("carrier"), "hour", "site", "mw", ";", None)
+    per_task = [r["count"] for r in lines.where("hour IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 458 and max(per_task) < 0.5 * sum(per_task)
+    manifest = packed.write_archives(given, str(tmp_path), ["scenario_id"])
+    assert rows(manifest, "members", "n_lines", "n_columns") == [(2, 458, 10)]
+    (path,) = [r.path for r in manifest.select("path").collect()]
+    plain = gzip.decompress(Path(path).read_bytes())  # its checksum holds
+    with tarfile.open(fileobj=io.BytesIO(plain)) as archive:
+        texts = {m.name: archive.extractfile(m).read().decode() for m in archive}
+    assert texts["methane.csv"] == "".join([";" + ";".join(f"n{k}" for k in range(10)) + "\n", *[";".join([str(h), *[str(h / 2)] * 10]) + "\n" for h in range(400)]])
+    assert texts["hydrogen.csv"] == "".join([";n0;n1;n2\n", *[f"{h};{h / 2};{h / 2};{h / 2}\n" for h in range(0, 400, 7)]])
