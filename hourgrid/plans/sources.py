@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import io
+import gzip
 import tarfile
+from collections.abc import Iterator
 
-import pandas as pd
-from pyarrow import fs
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from hourgrid import sinks
+from hourgrid import files, sinks
 from hourgrid.functions import positions
 from hourgrid.operators import curves, export, gas, quality
 from hourgrid.plans import views as v
@@ -30,23 +32,63 @@ WIDE_TILE = 400
 POSITIONS = 1_000_003
 
 
+def _joined(parts: list, sep: str) -> pa.Array:
+    return pc.binary_join_element_wise(*[pa.scalar(p, pa.large_string()) if isinstance(p, str) else p for p in [*parts, sep]])
+
+
+def _csv_lines(group: pa.Table, columns: list[str]) -> pa.Array:
+    """A CSV line for each row, its place in the group as label."""
+    parts = [pa.array(range(group.num_rows)).cast(pa.large_string())]
+    for name in columns:
+        text = pc.fill_null(group.column(name).combine_chunks().cast(pa.large_string()), "")
+        special = pc.match_substring_regex(text, '[,"\\r\\n]')
+        if pc.any(special).as_py():
+            text = pc.if_else(special, _joined(['"', pc.replace_substring(text, '"', '""'), '"'], ""), text)
+        parts.append(text)
+    return _joined([_joined(parts, ","), "\n"], "")
+
+
+def _members(group: pa.Table, key: str, order: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Name and CSV text of each member of an archive, by the first of its rows in their order; a column without a value in it is left out.
+
+    The lines of all members are made at once; those of one are a slice of their bytes.
+    """
+    columns = [c for c in group.column_names if c not in ("scenario_id", "block", key, *order)]
+    group = group.filter(group.column(key).is_valid()).sort_by([(c, "ascending") for c in order])
+    names = group.column(key).combine_chunks().dictionary_encode()  # codes by first appearance
+    place = np.argsort(names.indices.to_numpy(), kind="stable")
+    group, code = group.take(pa.array(place)), names.indices.to_numpy()[place]
+    starts = np.flatnonzero(np.diff(code, prepend=-1))
+    # the columns with a value in a member, a bit each
+    held = np.zeros(len(starts), np.int64)
+    for k, c in enumerate(columns):
+        held |= np.logical_or.reduceat(group.column(c).is_valid().to_numpy(), starts).astype(np.int64) << k
+    made: dict[int, tuple[bytes, np.ndarray, memoryview]] = {}
+    for member, first, end, bits in zip(names.dictionary.to_pylist(), starts.tolist(), [*starts[1:].tolist(), len(code)], held.tolist()):
+        if bits not in made:
+            chosen = [c for k, c in enumerate(columns) if bits >> k & 1]
+            lines = _csv_lines(group, chosen)
+            _, offsets, data = lines.buffers()
+            made[bits] = f",{','.join(chosen)}\n".encode(), np.frombuffer(offsets, np.int64), memoryview(data)
+        header, at, data = made[bits]
+        yield member, b"".join([header, data[at[first] : at[end]]])
+
+
 def _archived(spark, rows, key, order, name):
-    """Archives below a fresh folder, one tar.gz per scenario and ``block``, with a CSV member for each value of ``key``; members by ``order``."""
+    """Archives below a fresh folder, one tar.gz per ``block`` in the folder of its scenario, with a CSV member for each value of ``key``; members by ``order``."""
     folder = scratch_path(spark, name)
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        place = f"{group['scenario_id'].iloc[0]}/{group['block'].iloc[0]}"
-        system, base = fs.FileSystem.from_uri(folder)
-        system.create_dir(f"{base}/{place}", recursive=True)
-        with system.open_output_stream(f"{base}/{place}/series.tar.gz", compression=None) as out, tarfile.open(fileobj=out, mode="w|gz") as archive:
-            for member, lines in group.sort_values(order).groupby(key, sort=False):
-                data = lines.drop(columns=["scenario_id", "block", key, *order]).dropna(axis=1, how="all").to_csv().encode()
+    def pack(group: pa.Table) -> pa.Table:
+        place = "/".join(str(group.column(c)[0].as_py()) for c in ("scenario_id", "block"))
+        with files.open_output(f"{folder}/{place}.tar.gz") as out, gzip.GzipFile("", "wb", 6, out, 0) as zipped:
+            for member, data in _members(group, key, order):
                 info = tarfile.TarInfo(f"{member}.csv")
                 info.size = len(data)
-                archive.addfile(info, io.BytesIO(data))
-        return pd.DataFrame({"n": [1]})
+                zipped.write(b"".join([info.tobuf(), data, bytes(-len(data) % tarfile.BLOCKSIZE)]))
+            zipped.write(bytes(2 * tarfile.BLOCKSIZE))
+        return pa.table({"n": pa.array([1], pa.int32())})
 
-    rows.groupBy("scenario_id", "block").applyInPandas(pack, "n int").write.format("noop").mode("overwrite").save()
+    rows.groupBy("scenario_id", "block").applyInArrow(pack, "n int").write.format("noop").mode("overwrite").save()
     return folder
 
 
@@ -58,7 +100,7 @@ def _written(spark, d):
     return _archived(spark, blocks, "member", ["member_pos", "row_idx"], "series")
 
 
-ARCHIVE_KEYS = {"scenario_id": r"/([FO])/\d+/[^/]*$", "block": r"/[FO]/(\d+)/[^/]*$"}
+ARCHIVE_KEYS = {"scenario_id": r"/([FO])/\d+\.tar\.gz$", "block": r"/[FO]/(\d+)\.tar\.gz$"}
 
 
 def _placed(rows, *columns):
@@ -68,7 +110,7 @@ def _placed(rows, *columns):
 
 
 def _raw(spark, d):
-    rows = archives.site_records(spark, f"{_written(spark, d)}/*/*/series.tar.gz")
+    rows = archives.site_records(spark, f"{_written(spark, d)}/*")  # few folders to list, however many archives
     keyed = rows.withColumns({name: F.regexp_extract("path", pattern, 1) for name, pattern in ARCHIVE_KEYS.items()})
     return _placed(keyed, "assetName", "assetClass", "carrierId", "sector", "allocationPower")
 
@@ -84,7 +126,7 @@ def src1(spark, d):
     WHERE (scenario_id, member_pos) IN (SELECT (scenario_id, min(member_pos)) FROM asset_row WHERE member LIKE 'M1%' GROUP BY scenario_id) GROUP BY ALL""")
 def src12(spark, d):
     """Members are chosen by the source; each archive is read up to its first one."""
-    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*/series.tar.gz", ["assetName"], ARCHIVE_KEYS, first_member=True, where=F.col("member").startswith("M1"))
+    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*.tar.gz", ["assetName"], ARCHIVE_KEYS, first_member=True, where=F.col("member").startswith("M1"))
     found = archives.first_member(_placed(rows), "M1", ["scenario_id"])
     return found.groupBy("scenario_id", "member").agg(F.count("*").alias("n"))
 
@@ -94,7 +136,7 @@ def src12(spark, d):
 def src12_pushed(spark, d):
     """One scenario's archives are opened, and of their members those with a prefix parsed."""
     chosen = F.col("member").startswith("M2") & (F.col("scenario_id") == "F")
-    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*/series.tar.gz", ["assetName", "allocationPower"], ARCHIVE_KEYS, where=chosen)
+    rows = datasource.scan(spark, f"{_written(spark, d)}/*/*.tar.gz", ["assetName", "allocationPower"], ARCHIVE_KEYS, where=chosen)
     sums = _placed(rows, "assetName", "allocationPower").groupBy("scenario_id", "member", "assetName")
     return sums.agg(F.count("*").alias("n"), F.round(F.sum(F.col("allocationPower").cast("double")) / 1e6, 2).alias("mw"))
 

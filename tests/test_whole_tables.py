@@ -1,6 +1,11 @@
 """The queries that write files of their own take all rows of their tables along, in many files of bounded size."""
 
+import csv
+import io
+from pathlib import Path
+
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -51,6 +56,33 @@ def test_many_archives_give_the_curves_of_few(spark, sf_dir, monkeypatch):
     assert rows(run(spark, sf_dir, "e1_archive_to_nodal_curves")) == few and len(few) > 1000
 
 
+def test_the_lines_of_an_archive_are_made_at_once(monkeypatch):
+    made, csv_lines = [], sources._csv_lines
+    monkeypatch.setattr(sources, "_csv_lines", lambda group, columns: made.append(columns) or csv_lines(group, columns))
+    given = [
+        # member, member_pos, row_idx and two fields; a member's rows need not lie together, nor have a place
+        ("M2", 5, 3, "a,b", 1.5e9), ("M1", 5, 2, 'q"x', None), ("M2", 5, 1, None, 0.1), (None, 5, 0, "z", 1.0), ("M1", 5, None, "line\nend", None),
+        ("M3", 9, 1, None, 7.0), ("M4", 2, 8, "é", 1e-7),
+    ]
+    order = ["member_pos", "row_idx"]
+    columns = ["member", *order, "name", "mw"]
+    group = pa.table({"scenario_id": ["F"] * 7, "block": [0] * 7, **dict(zip(columns, map(list, zip(*given))))})
+    got = [(name, list(csv.reader(io.StringIO(data.decode(), newline="")))) for name, data in sources._members(group, "member", order)]
+    assert [(name, read[0], [r[1:] if "mw" not in read[0] else [*r[1:-1], float(r[-1])] for r in read[1:]]) for name, read in got] == [
+        ("M4", ["", "name", "mw"], [["é", 1e-7]]), ("M2", ["", "name", "mw"], [["", 0.1], ["a,b", 1.5e9]]),
+        ("M1", ["", "name"], [['q"x'], ["line\nend"]]), ("M3", ["", "mw"], [[7.0]]),
+    ]
+    assert made == [["name", "mw"], ["name"], ["mw"]]  # once for each set of columns, however many members have it
+    assert list(sources._members(group.slice(3, 1), "member", order)) == []
+
+
+def test_few_folders_hold_all_archives(spark, sf_dir, lines, small_files):
+    folder = Path(sources._written(spark, sf_dir).removeprefix("file:"))
+    found = list(folder.rglob("*.tar.gz"))
+    assert len(found) > 10 and {p.parent for p in found} == set(folder.iterdir())
+    assert sorted(p.name for p in folder.iterdir()) == sorted(lines[SCENARIO].unique())
+
+
 def test_all_sites_are_written_wide(spark, sf_dir, lines, small_files):
     lines = lines.assign(hour=(pd.to_datetime(lines["l_shipdate"]) - pd.Timestamp("1995-01-01")).dt.days)
     lines["net"] = lines["l_quantity"].where(lines["l_returnflag"] != "R", -lines["l_quantity"])
