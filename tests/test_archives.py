@@ -1,5 +1,6 @@
 """Archives as streams: constant memory, filters that reach the reader, small members in shared batches."""
 
+import gzip
 import io
 import re
 import subprocess
@@ -54,6 +55,48 @@ def test_an_archive_larger_than_the_memory_is_read(tmp_path):
     assert int(grown) < 64 << 20
 
 
+def test_a_stream_that_is_packed_well_is_not_kept_whole():
+    """8 MB of one letter fit in a buffer of packed bytes; what is held of them is bounded."""
+    text = b"x" * (8 << 20) + b"end"
+    stream = packed._Inflated(io.BytesIO(gzip.compress(text)))
+    got, most = 0, 0
+    while got < len(text) - 3:
+        data = stream.read(min(1 << 16, len(text) - 3 - got))
+        assert data == b"x" * len(data)
+        got, most = got + len(data), max(most, len(stream.piece))
+    assert most <= packed.PIECE and stream.tell() == got and stream.read(9) == b"end" and stream.read(1) == b""
+    skipping = packed._Inflated(io.BytesIO(gzip.compress(text)))
+    assert skipping.seek(8 << 20) == 8 << 20 and skipping.read(9) == b"end" and skipping.seek(9 << 20) == len(text)
+    with pytest.raises(tarfile.StreamError):
+        skipping.seek(0)
+    with pytest.raises(tarfile.ReadError, match="invalid compressed data"):
+        packed._Inflated(io.BytesIO(gzip.compress(text)[:40] + b"no" * 99)).read(len(text))
+
+
+@pytest.mark.parametrize("form", [tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT])
+@pytest.mark.parametrize("mode", ["w:gz", "w:bz2", "w"])
+def test_names_and_bodies_of_members(form, mode):
+    given = [("a.csv", b""), ("ö/ b.csv", b"x\n"), ("f/" + "n" * 80 + "/" + "m" * 60, b"y" * 700), ("c" * 100, b"z" * packed.PIECE), ("d", b"w" * (packed.PIECE + 1))]
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode=mode, format=form) as archive:
+        for name, data in given:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            archive.addfile(info, io.BytesIO(data))
+            folder = tarfile.TarInfo("folder")
+            folder.type = tarfile.DIRTYPE
+            archive.addfile(folder)
+    assert [(k, name, body.read()) for k, name, body in packed.members(io.BytesIO(out.getvalue()))] == [(k, *g) for k, g in enumerate(given)]
+    assert [name for _, name, _ in packed.members(io.BytesIO(out.getvalue()))] == [name for name, _ in given]  # bodies nobody reads
+
+
+def test_the_line_of_an_error_behind_many_rows():
+    text = "a,b\n" + '1,"x\r\ny"\n' * 3000 + "\n1,2,3\n"
+    with pytest.raises(ValueError, match="line 6003 has 3 fields, the header 2"):
+        list(packed.lines(io.BytesIO(text.encode()), ",", False))
+    assert len(list(packed.lines(io.BytesIO(text.encode()), ",", True))) == 3001
+
+
 def test_headers_of_many_members_are_not_kept(tmp_path):
     path = tmp_path / "many.tar.gz"
     big_archive(path, 500, 2)
