@@ -22,6 +22,14 @@ def open_input(path: str):
     return system.open_input_stream(place, compression=None, buffer_size=1 << 16)
 
 
+def open_at(path: str, place: int):
+    """The bytes of a file from a place on, read on demand."""
+    system, name = located(path)
+    source = system.open_input_file(name)
+    source.seek(place)
+    return source
+
+
 def open_output(path: str):
     """A new file; its folder is made."""
     system, place = located(path)

@@ -143,15 +143,13 @@ def src12_pushed(spark, d):
 
 @query("snk2_packed_archives", "SELECT scenario_id, carrier, hour, site, round(mw, 4) + 0.0 AS mw FROM gas_curve")
 def snk2_packed(spark, d):
-    """Gas curves as an archive per scenario with a member per carrier, read back by the archive reader; a line's row label is its hour."""
+    """Gas curves as an archive per scenario with a member per carrier, read back in parts by the archive reader; a line's row label is its hour."""
     folder = scratch_path(spark, "gas-archives")
     manifest = packed.write_archives(v.gas_curve(spark, d), folder, ["scenario_id"])
-    paths = [r["path"] for r in manifest.select("path").collect()]  # one per scenario
-    cells = archives.read_cells(spark, paths, sep=";", label=False)
-    hours = cells.where("column = ''").select("path", "member", "row_idx", F.col("value").cast("int").alias("hour"))
-    mw = cells.where("column <> '' AND value IS NOT NULL").join(hours, ["path", "member", "row_idx"])
+    cells = archives.read_cells(spark, manifest, sep=";", keep_label=True, missing=False).where("value IS NOT NULL")
     carrier = F.regexp_replace("member", r"\.csv$", "").alias("carrier")
-    return mw.select(F.regexp_extract("path", "scenario_id=([^/]+)", 1).alias("scenario_id"), carrier, "hour", F.col("column").alias("site"), F.col("value").alias("mw"))
+    hour = archives.number(F.col("label")).cast("int").alias("hour")
+    return cells.select(F.regexp_extract("path", "scenario_id=([^/]+)", 1).alias("scenario_id"), carrier, hour, F.col("column").alias("site"), F.col("value").alias("mw"))
 
 
 @query("snk1_wide_files_per_run", "SELECT scenario_id, hour, scenario_id || '-' || site AS site, round(mw, 4) + 0.0 AS mw FROM site_curve")

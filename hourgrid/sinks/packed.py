@@ -4,7 +4,8 @@ A run is read by the next tool as a whole, so its file is one task's work.  What
 rows meet per run, member and hour first, evenly, and become one line's cells; only lines go to the task of their file, in
 order, behind a header with the run's own nodes.  A task holds one line at a time.  Node files are tiled beyond TILE columns.
 Members of archives are cut at hours into parts, which many tasks make to text and deflate; the task of an archive puts the
-deflated parts one behind the other, as one gzip stream.
+deflated parts one behind the other, as one gzip stream.  The manifest tells where each part lies, so that readers who have
+it take the parts apart.
 
 A member of an archive is preceded by its size.  Sizes are worked out with the headers, from the lengths of all cells, so
 nothing is spooled; a body of another length than said is an error.
@@ -32,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hourgrid import files
 from hourgrid.keys import sliced_join
@@ -92,7 +94,7 @@ def _lines(rows: DataFrame, by: Sequence[str], member: Column, hour: str, node:
     lines = slim.groupBy(*file, "hour").agg(
         F.collect_list(F.struct("node", "cell")).alias("cells"), F.sum(F.octet_length("cell")).alias("bytes"),
     )
-    names = slim.groupBy(*file).agg(F.array_sort(F.collect_set("node")).alias("names"))
+    names = slim.select(*file, "node").distinct().groupBy(*file).agg(F.array_sort(F.collect_list("node")).alias("names"))
     # a line has its hour, a separator and a cell for each node, and an end
     label = F.octet_length(F.col("hour").cast("string"))
     sizes = lines.groupBy(*file).agg(F.sum(F.col("bytes") + label + 1).alias("bytes"), F.count(F.lit(1)).alias("n"))
@@ -114,9 +116,17 @@ def _lines(rows: DataFrame, by: Sequence[str], member: Column, hour: str, node:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Line]:
+    at = Line._fields.index("cells")
     for batch in batches:
-        for run, tile, member, names, size, hour, cells, *part in zip(*(c.to_pylist() for c in batch.columns)):
-            yield Line(tuple(run.items()), tile, member, names, size, hour, cells and [(c["node"], c["cell"]) for c in cells], *part)
+        columns = batch.columns
+        pairs, columns[at] = columns[at], pa.nulls(batch.num_rows)
+        inside, first = pairs.flatten(), 0
+        nodes, texts = inside.field("node"), inside.field("cell")
+        for (run, *given), n in zip(zip(*(c.to_pylist() for c in columns)), pairs.value_lengths().to_pylist()):
+            if n is not None:
+                given[at - 1] = list(zip(nodes.slice(first, n).to_pylist(), texts.slice(first, n).to_pylist()))
+                first += n
+            yield Line(tuple(run.items()), *given)
 
 
 def _name(name: str, sep: str) -> str:
@@ -127,11 +137,17 @@ def _name(name: str, sep: str) -> str:
 def _texts(head: Line, lines: Iterator[Line], label: str, sep: str) -> Iterator[bytes]:
     """The lines of a member, its header first."""
     yield (sep.join([label, *(_name(n, sep) for n in head.names)]) + "\n").encode()
+    place = {name: k for k, name in enumerate(head.names, 1)}  # behind the hour
+    empty = [""] * (len(place) + 1)
     for line in lines:
         cells = dict(line.cells)
         if len(cells) < len(line.cells):
             raise ValueError(f"{head.run} {head.member}: hour {line.hour} has a node twice")
-        yield (sep.join([str(line.hour), *(cells.get(n, "") for n in head.names)]) + "\n").encode()
+        fields = empty.copy()
+        fields[0] = str(line.hour)
+        for node, cell in cells.items():
+            fields[place[node]] = cell
+        yield (sep.join(fields) + "\n").encode()
 
 
 def _deflated(texts: Iterable[bytes]) -> tuple[int, int, bytes]:
@@ -156,10 +172,11 @@ class _Gzip:
 
     def __init__(self, out):
         self.out, self.size, self.crc = out, 0, 0
-        out.write(b"\x1f\x8b\x08\0\0\0\0\0\0\xff")
+        self.at = out.write(b"\x1f\x8b\x08\0\0\0\0\0\0\xff")  # bytes written
 
     def add(self, size: int, crc: int, data: bytes) -> None:
         self.out.write(data)
+        self.at += len(data)
         # that of both texts: zeros move the first one's to its place
         self.size, self.crc = self.size + size, _zeros(size, self.crc) ^ _zeros(size, 0) ^ crc
 
@@ -187,24 +204,27 @@ def _blocks(lines: Iterator[Line], sep: str) -> Iterator[Block]:
         yield Block(run, tile, member, part, head.size, 0 if part else len(first), n, len(head.names), size, crc, data)
 
 
-def _joined(out, blocks: Iterator[Block]) -> tuple[int, int, int]:
-    """All members of a run by their blocks; their number, lines and most columns."""
+def _joined(out, blocks: Iterator[Block], parts: list[dict] | None = None) -> tuple[int, int, int]:
+    """All members of a run by their blocks; their number, lines and most columns.  ``parts`` takes where each block lies."""
     members = n = most = 0
     stream = _Gzip(out)
-    for member, parts in groupby(blocks, lambda block: block.member):
-        first, size = next(parts), 0
+    for member, given in groupby(blocks, lambda block: block.member):
+        first, size, lines = next(given), 0, 0
         info = tarfile.TarInfo(f"{member}.csv")
         info.size = first.head + first.said
         stream.add(*_deflated([info.tobuf()]))
-        for block in chain([first], parts):
+        head_at = stream.at
+        for block in chain([first], given):
+            if parts is not None:
+                parts.append({"member": info.name, "member_pos": members, "first": lines, "head_at": head_at, "head": first.head, "at": stream.at, "size": block.size - block.head})
             stream.add(block.size, block.crc, block.data)
-            size, n = size + block.size, n + block.n
+            size, lines = size + block.size, lines + block.n
         if size > info.size:
             raise ValueError(f"{first.run} {member} is longer than the {first.said} bytes it was said to have")
         if size < info.size:
             raise OSError(f"{first.run} {member}: unexpected end of data, {first.said} bytes were said")
         stream.add(*_deflated([bytes(-size % tarfile.BLOCKSIZE)]))
-        members, most = members + 1, max(most, first.columns)
+        members, n, most = members + 1, n + lines, max(most, first.columns)
     stream.add(*_deflated([bytes(2 * tarfile.BLOCKSIZE)]))
     stream.end()
     return members, n, most
@@ -225,7 +245,9 @@ def _wide(out, lines: Iterator[Line], label: str, sep: str) -> tuple[int, int, i
 
 
 BLOCK = "tile int, member string, part int, said long, head long, n long, columns int, size long, crc long, data binary"
-MANIFEST = "path string, tile int, members int, n_lines long, n_columns int, written_at long"
+# where a part of a member lies in its archive: its first row, the first bytes of its header and of itself, the bytes both inflate to
+PARTS = "array<struct<member string, member_pos int, first long, head_at long, head long, at long, size long>>"
+MANIFEST = f"path string, tile int, members int, n_lines long, n_columns int, written_at long, parts {PARTS}"
 
 
 def _written(lines: DataFrame, folder: str, by: Sequence[str], label: str, sep: str, packed: bool) -> DataFrame:
@@ -250,9 +272,13 @@ def _written(lines: DataFrame, folder: str, by: Sequence[str], label: str, sep:
         for (key, tile), rows in groupby(given, lambda row: (row.run, row.tile)):
             place = [f"{c}={quote(str(v), safe='')}" for c, v in key if by]
             path = "/".join([folder, *place, f"{'series' if packed else f'part-{tile}'}-{attempt}.{ending}"])
+            parts = [] if packed else None
             with files.open_output(path) as out:
-                counts = _joined(out, rows) if packed else _wide(out, rows, label, sep)
-            row = {"run": dict(key), "path": path, "tile": tile, "members": counts[0], "n_lines": counts[1], "n_columns": counts[2], "written_at": written_at}
+                counts = _joined(out, rows, parts) if packed else _wide(out, rows, label, sep)
+            row = {
+                "run": dict(key), "path": path, "tile": tile, "members": counts[0], "n_lines": counts[1], "n_columns": counts[2],
+                "written_at": written_at, "parts": parts,
+            }
             yield pa.RecordBatch.from_pylist([row], _arrow(schema))
 
     if packed:  # only deflated text goes to the task of a file
@@ -262,9 +288,7 @@ def _written(lines: DataFrame, folder: str, by: Sequence[str], label: str, sep:
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
-    run = pa.struct([(c, pa.string()) for c in schema["run"].dataType.names])
-    return pa.schema([("run", run), *[(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields[1:]]])
+    return to_arrow_schema(schema)
 
 
 def write_archives(
@@ -287,7 +311,7 @@ def write_wide_files(
 
 
 def committed(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of the last finished write of each run: ``run``, ``path``, ``tile``, ``members``, ``n_lines``, ``n_columns``, ``written_at``."""
-    found = spark.read.parquet(f"{folder.rstrip('/')}/_manifest")
+    """The files of the last finished write of each run: ``run``, ``path``, ``tile``, ``members``, ``n_lines``, ``n_columns``, ``written_at``, ``parts``."""
+    found = spark.read.option("mergeSchema", True).parquet(f"{folder.rstrip('/')}/_manifest")  # older writes have no parts
     last = found.groupBy(F.col("run").alias("last_run")).agg(F.max("written_at").alias("last_at"))
     return found.join(last, (found["run"] == last["last_run"]) & (found["written_at"] == last["last_at"]), "left_semi")

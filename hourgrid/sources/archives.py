@@ -1,7 +1,7 @@
 """CSV members of tar.gz archives as rows.
 
 The plan holds the paths of archives only.  A gzip stream cannot be split, so one archive is read by one task, as a stream of
-constant memory, and the archives of all scenarios are read side by side.  The worker only unpacks and parses; what the rows
+constant memory, and the archives of all scenarios are read side by side; those of ``sinks.packed`` also in parts, by its manifest.  The worker only unpacks and parses; what the rows
 mean is decided by DataFrame operators.
 """
 
@@ -76,25 +76,47 @@ def read_records(
 
 def text_cells(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str | Sequence[str] | DataFrame,
     sep: str = ",",
     label: bool = True,
     drop: Sequence[str] = ("Time",),
     skip_bad: bool = False,
     member: str | None = None,
     loaded: bool = False,
+    keep_label: bool = False,
+    missing: bool = True,
 ) -> DataFrame:
-    """Wide curve members as long cells of text (row, column, value); missing readings are null."""
-    drop = list(drop)
+    """Wide curve members as long cells of text (row, column, value); missing readings are null.
+
+    ``keep_label`` puts the row label of a cell beside it, as ``label``; without ``missing`` cells without a reading are left
+    out.  In place of paths the manifest of ``sinks.packed.write_archives`` may be given: its archives are read in parts, by
+    as many tasks.
+    """
+    wanted, cut = _starting(member), packed.Cut(sep, label, skip_bad, list(drop), keep_label, missing)
+    schema = T.StructType([*CELLS, T.StructField("label", T.StringType())]) if keep_label else CELLS
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path_, source in _opened(batches):
-            yield from packed.cells(path_, source, _starting(member), sep, label, skip_bad, drop)
-
-    return _archives(spark, path, loaded).mapInArrow(parse, CELLS)
+            yield from packed.cells(path_, source, wanted, cut)
+
+    def parse_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] is None:  # one written before manifests told of parts
+                    with files.open_input(row["path"]) as source:
+                        yield from packed.cells(row["path"], source, wanted, cut)
+                elif wanted(row["part"]["member"]):
+                    yield from packed.part_cells(row["path"], row["part"], cut)
+
+    if isinstance(path, DataFrame):
+        if loaded:
+            raise ValueError("parts of archives are read where they lie, not through Spark")
+        n = path.agg(F.sum(F.greatest(F.size("parts"), F.lit(1)))).first()[0]
+        return path.select("path", F.explode_outer("parts").alias("part")).repartition(n or 1).mapInArrow(parse_parts, schema)
+    return _archives(spark, path, loaded).mapInArrow(parse, schema)
 
 
-def read_cells(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:
+def read_cells(spark: SparkSession, path: str | Sequence[str] | DataFrame, **options) -> DataFrame:
     """The cells as numbers; see ``checks.unreadable_numbers`` for those that are none."""
     return text_cells(spark, path, **options).withColumn("value", number(F.col("value")))
 

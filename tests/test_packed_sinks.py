@@ -12,6 +12,7 @@ from test_skew import no_broadcast  # noqa: F401  (a fixture)
 
 from hourgrid.sinks import packed
 from hourgrid.sources import archives
+from hourgrid.sources import packed as source
 
 BY = ("scenario_id", "year")
 CURVE = "scenario_id string, year int, carrier string, hour int, site string, mw double"
@@ -145,3 +146,60 @@ def test_the_lines_of_an_archive_are_made_in_many_tasks(spark, tmp_path, no_broa
         texts = {m.name: archive.extractfile(m).read().decode() for m in archive}
     assert texts["methane.csv"] == "".join([";" + ";".join(f"n{k}" for k in range(10)) + "\n", *[";".join([str(h), *[str(h / 2)] * 10]) + "\n" for h in range(400)]])
     assert texts["hydrogen.csv"] == "".join([";n0;n1;n2\n", *[f"{h};{h / 2};{h / 2};{h / 2}\n" for h in range(0, 400, 7)]])
+
+
+@pytest.fixture
+def in_parts(spark, tmp_path, monkeypatch):
+    """The manifest of archives in many parts."""
+    monkeypatch.setattr(packed, "PART", 100)
+    return packed.write_archives(curves(spark, ("s1", 2030, "methane", 400, "new\nline", 2.5)), str(tmp_path), BY)
+
+
+PLACE = ["member", "member_pos", "row_idx", "column", "value"]
+
+
+def test_an_archive_is_read_in_parts_by_many_tasks(spark, in_parts):
+    paths = [r.path for r in in_parts.collect()]
+    n = sum(len(r.parts) for r in in_parts.collect())
+    for options in ({}, {"label": False}, {"member": "hyd"}, {"drop": ["a"]}, {"missing": False}, {"keep_label": True}, {"keep_label": True, "missing": False, "drop": ["b"]}):
+        read = lambda path: archives.text_cells(spark, path, sep=";", **options).withColumn("path", F.regexp_extract("path", "([^/]+)$", 1))  # noqa: E731, B023
+        cells = read(in_parts)
+        assert rows(cells) == rows(read(paths)) != []
+        assert cells.rdd.getNumPartitions() == n > 5
+    per_task = [r["count"] for r in archives.text_cells(spark, in_parts, sep=";").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(per_task) < 0.5 * sum(per_task)
+
+
+def test_a_label_and_what_is_missing(spark, in_parts):
+    cells = archives.read_cells(spark, in_parts.where("run.scenario_id = 's1'"), sep=";", keep_label=True, missing=False)
+    assert [c for c, _ in cells.dtypes] == ["path", *PLACE, "label"]
+    want = curves(spark, ("s1", 2030, "methane", 400, "new\nline", 2.5)).where("scenario_id = 's1'")
+    got = cells.select(F.regexp_replace("member", ".csv$", "").alias("carrier"), F.col("label").cast("int").alias("hour"), "column", "value")
+    assert rows(got) == rows(want.select("carrier", "hour", "site", "mw"))
+
+
+def test_a_manifest_without_parts_is_read_whole(spark, tmp_path, in_parts):
+    whole = in_parts.drop("parts")
+    whole.write.parquet(f"{tmp_path}/older/_manifest")
+    in_parts.where("run.scenario_id = 's1'").write.mode("append").parquet(f"{tmp_path}/older/_manifest")
+    found = packed.committed(spark, f"{tmp_path}/older")
+    assert rows(archives.text_cells(spark, found, sep=";").select(PLACE).distinct()) == rows(archives.text_cells(spark, in_parts, sep=";").select(PLACE))
+    assert {r.parts is None for r in found.collect()} == {True, False}
+    assert archives.text_cells(spark, in_parts.limit(0), sep=";").count() == 0
+    with pytest.raises(ValueError, match="where they lie"):
+        archives.text_cells(spark, in_parts, sep=";", loaded=True)
+
+
+def test_a_part_of_another_size_is_an_error(in_parts):
+    found = in_parts.where("run.scenario_id = 's1'").first()
+    part = found.parts[-1].asDict()
+    cut = source.Cut(";", True, False, ())
+    assert sum(b.num_rows for b in source.part_cells(found.path, part, cut)) > 0
+    with pytest.raises(tarfile.ReadError, match="unexpected end of data"):
+        list(source.part_cells(found.path, part | {"size": part["size"] + (1 << 20)}, cut))
+
+
+def test_nodes_are_gathered_by_many_tasks(spark):
+    """Nodes are made distinct by member and node, not in one set a member in one task."""
+    lines = packed._lines(curves(spark), ["scenario_id"], F.col("carrier"), "hour", "site", "mw", ";", None)
+    assert "collect_set" not in lines._jdf.queryExecution().optimizedPlan().toString()
